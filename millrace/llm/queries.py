@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_report
+
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -20,6 +26,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
+_OP5 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS s,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+), p AS (
+  SELECT s, sum(size)::BIGINT AS source_size FROM d GROUP BY s
+), w AS (
+  SELECT *, ((row_number() OVER (ORDER BY s = '', s) - 1) % 3 + 1)::DOUBLE AS weight,
+         source_size * 3.0::DOUBLE AS most, (sum(source_size) OVER ())::DOUBLE AS total
+  FROM p
+), c AS (
+  SELECT *, most / weight <= (total - coalesce(sum(most) OVER b, 0)) / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER b, 0)) AS capped
+  FROM w WINDOW b AS (ORDER BY most / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), l AS (
+  SELECT *, total - sum(CASE WHEN capped THEN most ELSE 0 END) OVER () AS rest,
+         sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () AS open_weight
+  FROM c
+), t AS (
+  SELECT *, CASE WHEN capped THEN most ELSE weight * rest / nullif(open_weight, 0) END AS target FROM l
+), r AS (
+  SELECT *, coalesce(least(target / nullif(source_size, 0)::DOUBLE, 3.0), 0.0)::DOUBLE AS rate,
+         ('0x' || substr(md5('mix:20:' || s), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM t
+), k AS (
+  SELECT d.doc_id, d.size, r.source_size, r.target, floor(r.rate) AS whole, r.rate - floor(r.rate) AS part, u,
+         (row_number() OVER (PARTITION BY d.s ORDER BY d.size, d.doc_id))::DOUBLE AS n
+  FROM d JOIN r ON d.s = r.s
+)
+SELECT doc_id, size, source_size, target,
+       ((whole + floor(u + part * n) - floor(u + part * (n - 1))) * size)::BIGINT AS taken
+FROM k
+"""
+
 _OP9 = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -29,4 +69,4 @@ FROM t WINDOW w AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9}
+    return {"op5_source_mixing": _OP5, "op9_exact_dedup": _OP9}
