@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_report
 
