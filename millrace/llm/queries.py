@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
