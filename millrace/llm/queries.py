@@ -37,6 +37,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
