@@ -30,6 +30,15 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import digest
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
