@@ -39,6 +39,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
