@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import license_scan
 
