@@ -3,7 +3,7 @@ r"""Toxicity by votes of the nearest labelled examples, exact TF-IDF cosine.
 1. A bounded sample of the labelled training rows (at most about ``max_examples``,
    half of each label, chosen by a hash of the id) becomes the set of examples.
 2. Terms are words and their longer prefixes (compounds share them).  Those whose
-   presence goes with a label among the examples (chi-square) are kept, at most
+   presence goes with a label among the examples (likelihood ratio ``min_g2``, high enough for all the terms tested) are kept, at most
    ``max_terms``.
 3. One pass over all texts counts the kept terms of every document; the inverse
    document frequencies come from all documents.
@@ -46,6 +46,8 @@ _LETTERS = bytes(i + 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i > 127 els
 #: Lengths in bytes of the prefixes that are terms besides the word itself.
 PREFIXES = (5, 6, 7, 8)
 _REMEMBERED = 500_000
+#: The number of the term that stands for all words without a kept term.
+BACKGROUND = 0
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -178,7 +180,7 @@ class Model:
 
 
 def _term_tables(terms: list[bytes]) -> dict[bytes, int]:
-    return {t: i for i, t in enumerate(terms)}
+    return {t: i for i, t in enumerate(terms, BACKGROUND + 1)}
 
 
 def vectors(docs: DataFrame, terms: list[bytes], id_col: str, text_col: str, modulus: int) -> DataFrame:
@@ -201,8 +203,12 @@ def vectors(docs: DataFrame, terms: list[bytes], id_col: str, text_col: str, mod
             ids, counts, ends = [], [], [0]
             for text in batch.column(2):
                 seen: Counter[int] = Counter()
-                for hit in filter(None, map(of, words_of(text.as_py()))):
+                words = words_of(text.as_py())
+                hits = list(filter(None, map(of, words)))
+                for hit in hits:
                     seen.update(hit)
+                if len(words) > len(hits):
+                    seen[BACKGROUND] = len(words) - len(hits)
                 for i in sorted(seen):
                     ids.append(i)
                     counts.append(seen[i])
@@ -216,8 +222,8 @@ def vectors(docs: DataFrame, terms: list[bytes], id_col: str, text_col: str, mod
     )
 
 
-def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, min_examples: int, min_chi2: float) -> list[bytes]:
-    """The terms whose presence depends on the label most, by chi-square with a sign-free bound."""
+def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, min_examples: int, min_g2: float) -> list[bytes]:
+    """The terms whose presence depends on the label most, by the likelihood ratio."""
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pos: Counter[bytes] = Counter()
@@ -236,9 +242,14 @@ def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, m
     seen = examples.select("text", "label").mapInArrow(present, "term binary, p bigint, n bigint").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     p, n = F.col("p").cast("double"), F.col("n").cast("double")
     total = n_pos + n_neg
-    chi2 = (p * (n_neg - n) - n * (n_pos - p)) ** 2 * total / ((p + n) * (total - p - n) * n_pos * n_neg)
-    kept = seen.filter((p + n >= min_examples) & (p + n < total)).withColumn("chi2", chi2).filter(F.col("chi2") >= min_chi2)
-    return sorted(bytes(r["term"]) for r in kept.orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
+
+    def part(seen_in, of_all, of_term):
+        return F.when(seen_in > 0, seen_in * F.log(seen_in * total / (of_all * of_term))).otherwise(0.0)
+
+    with_term, without = p + n, total - (p + n)
+    g2 = 2 * (part(p, F.lit(n_pos), with_term) + part(n, F.lit(n_neg), with_term) + part(n_pos - p, F.lit(n_pos), without) + part(n_neg - n, F.lit(n_neg), without))
+    kept = seen.filter((with_term >= min_examples) & (without > 0)).withColumn("g2", g2).filter(F.col("g2") >= min_g2)
+    return sorted(bytes(r["term"]) for r in kept.orderBy(F.desc("g2"), "term").limit(max_terms).collect())
 
 
 def score_toxicity(
@@ -252,7 +263,7 @@ def score_toxicity(
     max_examples: int = MAX_EXAMPLES,
     max_terms: int = MAX_TERMS,
     min_examples: int = 5,
-    min_chi2: float = 20.0,
+    min_g2: float = 40.0,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -270,9 +281,9 @@ def score_toxicity(
     sampled = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     terms: list[bytes] = []
     if len(sampled) == 2:
-        terms = _select_terms(examples, sampled[1], sampled[0], max_terms, min_examples, min_chi2)
+        terms = _select_terms(examples, sampled[1], sampled[0], max_terms, min_examples, min_g2)
     counted = cut(vectors(docs, terms, id_col, text_col, modulus), "vectors")
-    df = np.zeros(len(terms))
+    df = np.zeros(len(terms) + 1)
     for r in counted.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect():
         df[r["id"]] = r["n"]
     idf = np.log((1.0 + counted.count()) / (1.0 + df)) + 1.0
