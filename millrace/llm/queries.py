@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import lm_score
+
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
 
