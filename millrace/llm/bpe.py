@@ -240,30 +240,39 @@ def _rank_data(path: str):
         return f.read()
 
 
-def digest(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row."""
+def digest(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``token_ids``) for every row."""
     data = docs.sparkSession.sparkContext.broadcast(_rank_data(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
         for batch in batches:
-            n, ids, back = [], [], []
+            n, ids, back, lists = [], [], [], []
             for text in batch.column(1):
                 packed = codec.packed(text.as_py() or "")
                 n.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
                 back.append(hashlib.sha256(codec.decode_bytes(packed)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                if with_ids:
+                    lists.append(packed)
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, *([_id_lists(lists)] if with_ids else [])], names=names)
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if with_ids else [])]
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
-        run, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        run, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
     )
 
 
+def _id_lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int64)
+    flat = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
 def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of each text in a further column (it replaces one of that name)."""
     data = docs.sparkSession.sparkContext.broadcast(_rank_data(ranks_path))
@@ -273,10 +282,7 @@ def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
         for batch in batches:
-            ids = [np.frombuffer(codec.packed(t.as_py() or ""), dtype="<u4").astype(np.int32) for t in batch.column(at)]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-            flat = np.concatenate([np.empty(0, np.int32), *ids])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            column = _id_lists([codec.packed(t.as_py() or "") for t in batch.column(at)])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*kept, out_col])
 
     fields = [docs.schema[c] for c in kept]
