@@ -252,6 +252,19 @@ def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, m
     return sorted(bytes(r["term"]) for r in kept.orderBy(F.desc("g2"), "term").limit(max_terms).collect())
 
 
+def _frequencies(counted: DataFrame, size: int) -> DataFrame:
+    """``id, n``: how many rows hold each term; a task sends one row per term, not per document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            n += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        ids = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(n[ids])], names=["id", "n"])
+
+    return counted.select("ids").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -284,7 +297,7 @@ def score_toxicity(
         terms = _select_terms(examples, sampled[1], sampled[0], max_terms, min_examples, min_g2)
     counted = cut(vectors(docs, terms, id_col, text_col, modulus), "vectors")
     df = np.zeros(len(terms) + 1)
-    for r in counted.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect():
+    for r in _frequencies(counted, len(df)).collect():
         df[r["id"]] = r["n"]
     idf = np.log((1.0 + counted.count()) / (1.0 + df)) + 1.0
     chosen = counted.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "ids", "counts")
