@@ -21,10 +21,12 @@ packed hashes travel, never texts.
 
 Scale.  The number of buckets follows the corpus, so a bucket holds some
 ``BUCKET_TOKENS`` tokens.  A bounded sample of texts yields a code book of frequent
-words (shorter codes; their contexts are resolved without a second hop), the hot
-words (their pairs are spread over all buckets by v) and the hot pairs (answered
-where the text is).  The sample changes the layout only: every count and every
-score covers all rows, whatever the sample holds.
+words (shorter codes in the pair table), the hot words (their pairs are spread over
+all buckets by v) and the hot pairs (answered where the text is).  The sample changes
+the layout only: every count and every score covers all rows, whatever it holds.
+After counting, at most ``CACHED`` of the most frequent words go to every task with
+c(w), c(v) and alpha(v); all other words are asked for in the tables.  Scores are
+summed as integers in units of 2^-32, so sums do not depend on their order.
 
 Defined cases: null text counts as empty and is one end token; a table without
 training rows has N = 0 and gives every token probability 1 (score 0); rows that
@@ -35,6 +37,7 @@ fold; extra columns are ignored.
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
@@ -53,6 +56,9 @@ BUCKET_TOKENS = 2_000_000
 CHUNK_TOKENS = 1_000_000
 SAMPLE_ROWS = 2_000
 BOOK = 65_000
+#: Most words that every task knows; the number of the others is not bounded.
+CACHED = 1_000_000
+UNIT = 2.0**32
 #: Share of the sample's tokens from which a word or a pair is hot; bounds their number.
 HOT = 0.001
 END, START = np.uint64(xxhash.xxh64_intdigest(b" end")), np.uint64(xxhash.xxh64_intdigest(b" start"))
@@ -114,63 +120,80 @@ class Layout:
 
 @dataclass(frozen=True)
 class Tokens:
-    """The tokens of a chunk: hashes, hash and code of the word before, owner, hot word?"""
+    """The tokens of a chunk as numbers of its distinct words; the last two are end and start."""
 
+    kinds: np.ndarray
     w: np.ndarray
     v: np.ndarray
-    code: np.ndarray
     owner: np.ndarray
-    hot: np.ndarray
     lengths: np.ndarray
 
 
-def tokens(texts: pa.Array, layout: Layout) -> Tokens:
+def tokens(texts: pa.Array) -> Tokens:
     flat, n = words(texts)
     coded = flat.dictionary_encode()
     kinds = coded.dictionary.cast(pa.binary()).to_pylist()
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, kinds), dtype=np.uint64, count=len(kinds))
-    hashes = np.r_[hashes, END, START]
-    codes = (_find(layout.book, hashes) + 1).astype(np.uint16)
-    hot = _find(layout.hot_words, hashes) >= 0
     lengths = n + 1
     ends = np.cumsum(lengths)
-    kind = np.full(int(ends[-1]) if len(ends) else 0, len(kinds), dtype=np.int64)
-    inner = np.ones(len(kind), dtype=bool)
+    w = np.full(int(ends[-1]) if len(ends) else 0, len(kinds), dtype=np.int64)
+    inner = np.ones(len(w), dtype=bool)
     inner[ends - 1] = False
-    kind[inner] = coded.indices.to_numpy(zero_copy_only=False)
-    before = np.r_[np.int64(len(kinds) + 1), kind[:-1]] if len(kind) else kind
-    before[ends - lengths] = len(kinds) + 1
-    owner = np.repeat(np.arange(len(n)), lengths)
-    return Tokens(hashes[kind], hashes[before], codes[before], owner, hot[kind], lengths)
+    w[inner] = coded.indices.to_numpy(zero_copy_only=False)
+    v = np.r_[np.int64(len(kinds) + 1), w[:-1]] if len(w) else w
+    v[ends - lengths] = len(kinds) + 1
+    return Tokens(np.r_[hashes, END, START], w, v, np.repeat(np.arange(len(n)), lengths), lengths)
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about CHUNK_TOKENS tokens (six bytes each)."""
+def _slices(batch: pa.RecordBatch, column: int, chunk: int = CHUNK_TOKENS) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``chunk`` tokens (six bytes each)."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 6)
     at, done = 0, 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(size, done + 6 * CHUNK_TOKENS, side="right")))
+        to = max(at + 1, int(np.searchsorted(size, done + 6 * chunk, side="right")))
         yield batch.slice(at, to - at)
         at, done = to, int(size[to - 1])
 
 
 def _bucket(layout: Layout, w: np.ndarray, v: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    return (np.where(hot, _mix(w, v), _mix(w)) % np.uint64(layout.buckets)).astype(np.int64)
+    bucket = _mix(w) % np.uint64(layout.buckets)
+    bucket[hot] = _mix(w[hot], v[hot]) % np.uint64(layout.buckets)
+    return bucket.astype(np.uint16 if layout.buckets < 1 << 16 else np.int64)
 
 
-def _pack_pairs(w: np.ndarray, v: np.ndarray, code: np.ndarray, *more: np.ndarray) -> bytes:
-    """Pairs sorted by w: w once per run, v by its code where it has one."""
+def _code(book: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """1 + the place in the book, 0 for a word that is not in it."""
+    return (_find(book, hashes) + 1).astype(np.uint32)
+
+
+def _coded(hashes: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words as codes, with the hashes of those without one."""
+    return _small(code), hashes[code == 0]
+
+
+def _decoded(code: np.ndarray, raw: np.ndarray, book: np.ndarray) -> np.ndarray:
+    out = np.empty(len(code), dtype=np.uint64)
+    has = code > 0
+    out[has] = book[code[has].astype(np.int64) - 1]
+    out[~has] = raw
+    return out
+
+
+def _pack_pairs(w: np.ndarray, w_code: np.ndarray, v: np.ndarray, v_code: np.ndarray, *more: np.ndarray) -> bytes:
+    """Pairs grouped by w: w once per run, words by their codes where they have one."""
     runs = _runs(w)
-    return _pack(w[runs[:-1]], _small(np.diff(runs)), code, v[code == 0], *map(_small, more))
+    at = runs[:-1]
+    return _pack(*_coded(w[at], w_code[at]), _small(np.diff(runs)), *_coded(v, v_code), *map(_small, more))
 
 
 def _unpack_pairs(data: bytes, book: np.ndarray) -> tuple[np.ndarray, ...]:
-    kinds, lengths, code, raw, *more = _unpack(data)
-    v = np.empty(len(code), dtype=np.uint64)
-    coded = code > 0
-    v[coded] = book[code[coded].astype(np.int64) - 1]
-    v[~coded] = raw
-    return np.repeat(kinds, lengths), v, code, *more
+    """Distinct w with their codes, run lengths, v with their codes, and what else was packed."""
+    w_code, w_raw, lengths, v_code, v_raw, *more = _unpack(data)
+    return _decoded(w_code, w_raw, book), w_code, lengths.astype(np.int64), _decoded(v_code, v_raw, book), v_code, *more
+
+
+def _fixed(x: np.ndarray) -> np.ndarray:
+    return np.rint(x * UNIT).astype(np.int64)
 
 
 def good_turing(n: list[int]) -> np.ndarray:
@@ -210,8 +233,10 @@ class Model:
     pair_counts: np.ndarray
     pairs_path: str = ""
     contexts_path: str = ""
-    book_log_count: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    book_log_alpha: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    cached: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    cached_count: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    cached_log_n: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    cached_log_alpha: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def log_unigram(self, c: np.ndarray) -> np.ndarray:
         p = self.scale * self.d1[np.minimum(c, K + 1)] * c / max(self.n_tokens, 1)
@@ -247,14 +272,14 @@ def _sample(docs: DataFrame, per_row: float) -> DataFrame:
 def plan_layout(rows: DataFrame) -> Layout:
     """Buckets for the estimated number of tokens; code book and hot lists from the sample."""
     n_rows = rows.count()
-    empty = Layout(1, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch, 1):
-                t = tokens(part.column(1), empty)
-                one, n1 = np.unique(t.w, return_counts=True)
-                two, first, n2 = np.unique(_mix(t.w, t.v), return_index=True, return_counts=True)
+                t = tokens(part.column(1))
+                ids, n1 = np.unique(t.w, return_counts=True)
+                one = t.kinds[ids]
+                two, n2 = np.unique(_mix(t.kinds[t.w], t.kinds[t.v]), return_counts=True)
                 often = n2 > max(2, HOT / 20 * len(t.w))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -285,48 +310,48 @@ def _count_pairs(rows: DataFrame, layout: Layout) -> DataFrame:
     """``bucket, pairs``: the pairs of chunks of texts, counted before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Tokens] = []
-
-        def flush() -> pa.RecordBatch:
-            w, v, code, hot = (np.concatenate([getattr(t, x) for t in held]) for x in ("w", "v", "code", "hot"))
-            held.clear()
-            _, first, n = np.unique(_mix(w, v), return_index=True, return_counts=True)
-            w, v, code, hot = w[first], v[first], code[first], hot[first]
-            bucket = _bucket(layout, w, v, hot)
-            order = np.lexsort((w, bucket))
-            ends = _runs(bucket[order])
-            blocks = []
-            for s, e in zip(ends[:-1], ends[1:]):
-                x = order[s:e]
-                blocks.append((int(bucket[x[0]]), _pack_pairs(w[x], v[x], code[x], n[x])))
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([d for _, d in blocks], pa.binary())], names=["bucket", "pairs"])
-
         for batch in batches:
-            for part in _slices(batch, 0):
-                held.append(tokens(part.column(0), layout))
-                if sum(len(t.w) for t in held) >= 2 * CHUNK_TOKENS:
-                    yield flush()
-        if held:
-            yield flush()
+            for part in _slices(batch, 0, 2 * CHUNK_TOKENS):
+                t = tokens(part.column(0))
+                code, hot = _code(layout.book, t.kinds), _find(layout.hot_words, t.kinds) >= 0
+                both = np.sort(t.w * len(t.kinds) + t.v)  # by w, then v
+                runs = _runs(both)
+                w, v = np.divmod(both[runs[:-1]], len(t.kinds))
+                n = np.diff(runs)
+                bucket = _bucket(layout, t.kinds[w], t.kinds[v], hot[w])
+                order = np.argsort(bucket, kind="stable")
+                ends = _runs(bucket[order])
+                ids, blocks = [], []
+                for s, e in zip(ends[:-1], ends[1:]):
+                    x = order[s:e]
+                    ids.append(int(bucket[x[0]]))
+                    blocks.append(_pack_pairs(t.kinds[w[x]], code[w[x]], t.kinds[v[x]], code[v[x]], n[x]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "pairs"])
 
     return rows.select("text").mapInArrow(run, "bucket int, pairs binary")
 
 
 _STATS = [*(f"one_{r}" for r in range(1, K + 2)), *(f"two_{r}" for r in range(1, K + 2)), "tokens", "types"]
+#: Words with a count of 2^j or more, for the choice of the cached ones.
+_LEVELS = 48
 
 
 def _merge_pairs(blocks: DataFrame, layout: Layout) -> DataFrame:
     """``bucket, pairs`` sorted by (w, v), with the bucket's counts of counts and its shares of hot words and pairs."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        parts = [_unpack_pairs(b, layout.book) for b in group.column("pairs").to_pylist()]
-        w, v, code, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        del parts
+        w, v, n = [], [], []
+        for b in group.column("pairs").to_pylist():
+            kinds, _, lengths, seconds, _, counts = _unpack_pairs(b, layout.book)
+            w.append(np.repeat(kinds, lengths))
+            v.append(seconds)
+            n.append(counts.astype(np.int64))
+        w, v, n = np.concatenate(w), np.concatenate(v), np.concatenate(n)
         order = np.lexsort((v, w))
-        w, v, code, n = w[order], v[order], code[order], n[order].astype(np.int64)
+        w, v, n = w[order], v[order], n[order]
         starts = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
         n = np.add.reduceat(n, starts)
-        w, v, code = w[starts], v[starts], code[starts]
+        w, v = w[starts], v[starts]
         runs = _runs(w)
         totals = np.add.reduceat(n, runs[:-1])
         kinds = w[runs[:-1]]
@@ -334,11 +359,13 @@ def _merge_pairs(blocks: DataFrame, layout: Layout) -> DataFrame:
         pair = _find(layout.hot_pairs, _mix(w, v))
         stats = [int(((totals == r) & (hot < 0)).sum()) for r in range(1, K + 2)] + [int((n == r).sum()) for r in range(1, K + 2)]
         stats += [int(n.sum()), int((hot < 0).sum())]
+        levels = [int(((totals >= 1 << j) & (hot < 0)).sum()) for j in range(_LEVELS)]
         shares = lambda at, x: pa.array([[{"i": int(i), "n": int(c)} for i, c in zip(at[at >= 0], x[at >= 0])]], pa.list_(pa.struct([("i", pa.int32()), ("n", pa.int64())])))
         return pa.table(
             {
                 "bucket": pa.array([key[0].as_py()], pa.int32()),
-                "pairs": pa.array([_pack_pairs(w, v, code, n)], pa.binary()),
+                "pairs": pa.array([_pack_pairs(w, _code(layout.book, w), v, _code(layout.book, v), n)], pa.binary()),
+                "levels": pa.array([levels], pa.list_(pa.int64())),
                 **{name: pa.array([x], pa.int64()) for name, x in zip(_STATS, stats)},
                 "hot_words": shares(hot, totals),
                 "hot_pairs": shares(pair, n),
@@ -347,12 +374,10 @@ def _merge_pairs(blocks: DataFrame, layout: Layout) -> DataFrame:
 
     stats = ", ".join(f"{s} bigint" for s in _STATS)
     shares = "array<struct<i:int,n:bigint>>"
-    return blocks.groupBy("bucket").applyInArrow(run, f"bucket int, pairs binary, {stats}, hot_words {shares}, hot_pairs {shares}")
+    return blocks.groupBy("bucket").applyInArrow(run, f"bucket int, pairs binary, levels array<bigint>, {stats}, hot_words {shares}, hot_pairs {shares}")
 
 
 def _write_partitioned(df: DataFrame, name: str) -> tuple[str, DataFrame]:
-    import uuid
-
     path = f"{shared_dir(df.sparkSession)}/millrace-{name}-{uuid.uuid4().hex}"
     df.write.partitionBy("bucket").option("compression", "uncompressed").parquet(path)
     return path, read_cut(df.sparkSession, path, df)
@@ -380,29 +405,55 @@ def _figures(table: DataFrame, layout: Layout) -> Model:
     return Model(layout, n_tokens, n_types, d1, d2, unknown, scale, hot, pairs)
 
 
-def _word_counts(model: Model, w_runs: np.ndarray, totals: np.ndarray) -> np.ndarray:
+def _word_counts(model: Model, kinds: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """c(w) of the words of a bucket: its own sum, or the global one of a hot word."""
-    hot = _find(model.layout.hot_words, w_runs)
-    return np.where(hot >= 0, model.hot_counts[hot] if len(model.hot_counts) else 0, totals)
+    hot = _find(model.layout.hot_words, kinds)
+    return np.where(hot >= 0, model.hot_counts[hot], totals) if len(model.hot_counts) else totals
+
+
+def _cached_words(pairs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """At most CACHED of the most frequent words (those over a power of two), sorted, with their counts."""
+    sums = pairs.select(F.posexplode("levels").alias("j", "n")).groupBy("j").agg(F.sum("n").alias("n")).collect()
+    least = min((1 << r["j"] for r in sums if r["n"] + len(model.hot_counts) <= CACHED), default=1 << _LEVELS)
+    layout = model.layout
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for data in batch.column(0):
+                kinds, _, lengths, _, _, n = _unpack_pairs(data.as_py(), layout.book)
+                totals = np.add.reduceat(n.astype(np.int64), np.cumsum(lengths) - lengths)
+                often = (totals >= least) & (_find(layout.hot_words, kinds) < 0)
+                found.append(_pack(kinds[often], _small(totals[often])))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["words"])
+
+    parts = [_unpack(bytes(r["words"])) for r in pairs.select("pairs").mapInArrow(run, "words binary").collect()]
+    there = model.hot_counts > 0
+    words_ = np.concatenate([model.layout.hot_words[there], *(p[0] for p in parts)])
+    counts = np.concatenate([model.hot_counts[there], *(p[1].astype(np.int64) for p in parts)])
+    # The start mark is a context of every text, though no word.
+    words_, counts = np.r_[words_, START], np.r_[counts, 0]
+    order = np.argsort(words_)
+    return words_[order], counts[order]
 
 
 def _context_parts(pairs: DataFrame, model: Model) -> DataFrame:
     """``bucket, sums``: each word bucket's integer sums for the contexts it has seen."""
+    slim = replace(model, cached=np.zeros(0, np.uint64), cached_count=np.zeros(0, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
-                w, v, _, n = _unpack_pairs(data.as_py(), model.layout.book)
+                kinds, _, lengths, v, _, n = _unpack_pairs(data.as_py(), slim.layout.book)
                 n = n.astype(np.int64)
-                runs = _runs(w)
-                cw = np.repeat(_word_counts(model, w[runs[:-1]], np.add.reduceat(n, runs[:-1])), np.diff(runs))
+                cw = np.repeat(_word_counts(slim, kinds, np.add.reduceat(n, np.cumsum(lengths) - lengths)), lengths)
                 order = np.argsort(v)
                 v, n, cw = v[order], n[order], cw[order]
                 starts = _runs(v)[:-1]
                 total = lambda x: np.add.reduceat(x.astype(np.int64), starts)
                 columns = [v[starts], total(n), total(np.where(cw > K, cw, 0))]
                 columns += [total(n == r) for r in range(1, K + 1)] + [total(cw == r) for r in range(1, K + 1)]
-                bucket = (_mix(columns[0]) % np.uint64(model.layout.buckets)).astype(np.int64)
+                bucket = (_mix(columns[0]) % np.uint64(slim.layout.buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 ends = _runs(bucket[order])
                 ids, blocks = [], []
@@ -416,7 +467,9 @@ def _context_parts(pairs: DataFrame, model: Model) -> DataFrame:
 
 
 def _merge_contexts(parts: DataFrame, model: Model) -> DataFrame:
-    """``bucket, contexts`` (sorted v, log10 c(v), log10 alpha(v)) and the part of the code book."""
+    """``bucket, contexts`` and ``cached``: sorted v, log10 c(v), log10 alpha(v) of the other and of the cached words."""
+    shared = parts.sparkSession.sparkContext.broadcast(model.cached)
+    slim = replace(model, cached=np.zeros(0, np.uint64), cached_count=np.zeros(0, np.int64))
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         blocks = [_unpack(b) for b in group.column("sums").to_pylist()]
@@ -425,19 +478,18 @@ def _merge_contexts(parts: DataFrame, model: Model) -> DataFrame:
         starts = _runs(v[order])[:-1]
         n, more, *rest = (np.add.reduceat(s[order].astype(np.int64), starts) for s in sums)
         v = v[order][starts]
-        log_n, log_alpha = model.context(n, np.stack(rest[:K], axis=1), more, np.stack(rest[K:], axis=1))
-        at = _find(model.layout.book, v)
-        book = [{"i": int(i), "c": float(c), "a": float(a)} for i, c, a in zip(at[at >= 0], log_n[at >= 0], log_alpha[at >= 0])]
-        rare = at < 0
+        log_n, log_alpha = slim.context(n, np.stack(rest[:K], axis=1), more, np.stack(rest[K:], axis=1))
+        at = _find(shared.value, v)
+        rare, known = at < 0, at >= 0
         return pa.table(
             {
                 "bucket": pa.array([key[0].as_py()], pa.int32()),
                 "contexts": pa.array([_pack(v[rare], log_n[rare], log_alpha[rare])], pa.binary()),
-                "book": pa.array([book], pa.list_(pa.struct([("i", pa.int32()), ("c", pa.float64()), ("a", pa.float64())]))),
+                "cached": pa.array([_pack(_small(at[known]), log_n[known], log_alpha[known])], pa.binary()),
             }
         )
 
-    return parts.groupBy("bucket").applyInArrow(run, "bucket int, contexts binary, book array<struct<i:int,c:double,a:double>>")
+    return parts.groupBy("bucket").applyInArrow(run, "bucket int, contexts binary, cached binary")
 
 
 def train(rows: DataFrame, layout: Layout) -> Model:
@@ -446,12 +498,15 @@ def train(rows: DataFrame, layout: Layout) -> Model:
     pairs_path, pairs = _write_partitioned(_merge_pairs(_count_pairs(rows, layout), layout), "pairs")
     free_shuffles(spark)
     model = _figures(pairs, layout)
+    cached, counts = _cached_words(pairs, model)
+    model = replace(model, cached=cached, cached_count=counts)
     contexts_path, contexts = _write_partitioned(_merge_contexts(_context_parts(pairs, model), model), "contexts")
     free_shuffles(spark)
-    log_count, log_alpha = np.zeros(len(layout.book)), np.zeros(len(layout.book))
-    for r in contexts.select(F.explode("book").alias("x")).select("x.*").collect():
-        log_count[r["i"]], log_alpha[r["i"]] = r["c"], r["a"]
-    return replace(model, pairs_path=pairs_path, contexts_path=contexts_path, book_log_count=log_count, book_log_alpha=log_alpha)
+    log_n, log_alpha = np.zeros(len(cached)), np.zeros(len(cached))
+    for r in contexts.select("cached").collect():
+        at, n, alpha = _unpack(bytes(r["cached"]))
+        log_n[at], log_alpha[at] = n, alpha
+    return replace(model, pairs_path=pairs_path, contexts_path=contexts_path, cached_log_n=log_n, cached_log_alpha=log_alpha)
 
 
 # ---- scoring --------------------------------------------------------------------------
@@ -467,88 +522,105 @@ def _table(rows: list[tuple], id_type: pa.DataType) -> dict:
     return {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))}
 
 
-def _sum_by_owner(owner: np.ndarray, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
-    ids, at = np.unique(owner, return_inverse=True)
-    add = lambda x: np.bincount(at, weights=x, minlength=len(ids))
-    return _pack(_small(ids), add(score), add(base), _small(add(known).astype(np.int64)))
+def _by_owner(owner: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Owners and the sums of their integer values."""
+    if not len(owner):
+        return owner, *values
+    order = np.argsort(owner, kind="stable")
+    runs = _runs(owner[order])[:-1]
+    return owner[order][runs], *(np.add.reduceat(v[order], runs) for v in values)
+
+
+def _answer(owner: np.ndarray, score: np.ndarray, base_owner: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
+    """Packed sums of scores, and of base scores and known tokens, by text (both without sign)."""
+    o, s = _by_owner(owner, -_fixed(score))
+    b, *rest = _by_owner(base_owner, -_fixed(base), known.astype(np.int64))
+    # Backoff weights may exceed 1, so a sum of scores can be above 0.
+    return _pack(_small(o), s if len(s) and s.min() < 0 else _small(s), _small(b), *map(_small, rest))
 
 
 def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
-    """The texts' pairs by word bucket; hot pairs are answered here, in the chunk's header."""
+    """The texts' pairs by word bucket; hot pairs and all of cached words is answered here, in the chunk's header."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         model = shared.value
         layout = model.layout
         name, number = uuid.uuid4().hex, 0
         for batch in batches:
             for part in _slices(batch, 2):
-                t, chunk = tokens(part.column(2), layout), f"{name}-{number}"
+                t, chunk = tokens(part.column(2)), f"{name}-{number}"
                 number += 1
-                pair = _find(layout.hot_pairs, _mix(t.w, t.v)) if len(layout.hot_pairs) else np.full(len(t.w), -1)
-                word = _find(layout.hot_words, t.w) if len(layout.hot_pairs) else pair
-                # A hot pair's word is hot and its context is in the code book, so all is known here.
-                here = (pair >= 0) & (word >= 0) & (t.code > 0)
-                c, cw, code = model.pair_counts[pair[here]], model.hot_counts[word[here]], t.code[here].astype(np.int64) - 1
-                score = np.where(c > 0, model.log_seen(c) - model.book_log_count[code], model.log_unigram(cw) + model.book_log_alpha[code])
-                header = _pack(_small(t.lengths), np.frombuffer(_sum_by_owner(t.owner[here], score, model.log_base(cw), cw > 0), dtype=np.uint8))
+                code, hot = _code(model.cached, t.kinds), _find(layout.hot_words, t.kinds) >= 0
+                counts = np.where(code > 0, model.cached_count[code.astype(np.int64) - 1], 0)
+                base = model.log_base(counts)
+                in_cache = code[t.w] > 0
+                # A hot pair's word is hot, and hot words that were seen are cached.
+                maybe = np.flatnonzero(hot[t.w]) if len(layout.hot_pairs) else np.zeros(0, np.int64)
+                pair = _find(layout.hot_pairs, _mix(t.kinds[t.w[maybe]], t.kinds[t.v[maybe]]))
+                maybe, pair = maybe[(pair >= 0) & (code[t.v[maybe]] > 0)], pair[(pair >= 0) & (code[t.v[maybe]] > 0)]
+                c, v = model.pair_counts[pair], code[t.v[maybe]].astype(np.int64) - 1
+                score = np.where(c > 0, model.log_seen(c) - model.cached_log_n[v], model.log_unigram(counts[t.w[maybe]]) + model.cached_log_alpha[v])
+                answer = _answer(t.owner[maybe], score, t.owner[in_cache], base[t.w[in_cache]], counts[t.w[in_cache]] > 0)
+                header = _pack(_small(t.lengths), np.frombuffer(answer, dtype=np.uint8))
                 rows = [(number % layout.buckets, chunk, _HEADER, header, part.column(0).to_pylist(), part.column(1).to_pylist())]
-                w, v, owner, hot, code = (x[~here] for x in (t.w, t.v, t.owner, t.hot, t.code))
-                bucket = _bucket(layout, w, v, hot)
-                order = np.lexsort((w, bucket))
+                rest = np.ones(len(t.w), dtype=bool)
+                rest[maybe] = False
+                w, v, owner = t.w[rest], t.v[rest], t.owner[rest]
+                bucket = _bucket(layout, t.kinds, t.kinds, np.zeros(len(t.kinds), dtype=bool)).astype(np.int64)[w]
+                spread = hot[w]
+                bucket[spread] = _bucket(layout, t.kinds[w[spread]], t.kinds[v[spread]], np.ones(int(spread.sum()), dtype=bool))
+                order = np.argsort(bucket * len(t.kinds) + w, kind="stable")
                 ends = _runs(bucket[order])
                 for s, e in zip(ends[:-1], ends[1:]):
                     x = order[s:e]
-                    rows.append((int(bucket[x[0]]), chunk, _QUESTION, _pack_pairs(w[x], v[x], code[x], owner[x]), None, None))
+                    rows.append((int(bucket[x[0]]), chunk, _QUESTION, _pack_pairs(t.kinds[w[x]], code[w[x]], t.kinds[v[x]], code[v[x]], owner[x]), None, None))
                 yield pa.RecordBatch.from_pydict(_table(rows, part.schema.field(0).type))
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, _ROW.format(id=id_type))
 
 
 def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
-    """Word buckets: unigram and pair counts are looked up; contexts outside the code book stay a question."""
+    """Word buckets: unigram and pair counts are looked up; contexts that are not cached stay a question."""
     pairs = read_cut(asked.sparkSession, model.pairs_path, _PairsOnly(asked)).select("bucket", "pairs")
     shared = asked.sparkSession.sparkContext.broadcast(model)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         model = shared.value
         layout = model.layout
+        kinds = key = np.zeros(0, np.uint64)
+        totals = n = np.zeros(0, np.int64)
         if right.num_rows:
-            w, v, _, n = _unpack_pairs(right.column("pairs")[0].as_py(), layout.book)
+            kinds, _, lengths, v, _, n = _unpack_pairs(right.column("pairs")[0].as_py(), layout.book)
             n = n.astype(np.int64)
-            runs = _runs(w)
-            kinds = w[runs[:-1]]
-            totals = _word_counts(model, kinds, np.add.reduceat(n, runs[:-1]))
-            key = _mix(w, v)
+            totals = np.add.reduceat(n, np.cumsum(lengths) - lengths)
+            key = _mix(np.repeat(kinds, lengths), v)
+            del v
             order = np.argsort(key)
             key, n = key[order], n[order]
-        else:
-            kinds = key = np.zeros(0, np.uint64)
-            totals = n = np.zeros(0, np.int64)
         rows = []
-        columns = [left.column(c).to_pylist() for c in ("bucket", "chunk", "part", "data", "ids", "held")]
-        for bucket, chunk, part, data, ids, held in zip(*columns):
+        columns = [left.column(c) for c in ("bucket", "chunk", "part", "data", "ids", "held")]
+        for i in range(left.num_rows):
+            bucket, chunk, part, data, ids, held = (c[i].as_py() for c in columns)
             if part != _QUESTION:
                 rows.append((bucket, chunk, part, data, ids, held))
                 continue
-            w, v, code, owner = _unpack_pairs(data, layout.book)
-            runs = _runs(w)
-            at = _find(kinds, w[runs[:-1]])
-            cw = np.where(at >= 0, totals[at] if len(totals) else 0, 0)
-            hot = _find(layout.hot_words, w[runs[:-1]])
-            if len(model.hot_counts):  # a hot word's count is global, even where this bucket has none of its pairs
-                cw = np.where(hot >= 0, model.hot_counts[hot], cw)
-            cw = np.repeat(cw, np.diff(runs))
-            at = _find(key, _mix(w, v))
-            c = np.where(at >= 0, n[at] if len(n) else 0, 0)
+            w, w_code, lengths, v, v_code, owner = _unpack_pairs(data, model.cached)
+            owner = owner.astype(np.int64)
+            at = _find(kinds, w)
+            cw = np.where(at >= 0, totals[at], 0) if len(totals) else np.zeros(len(w), np.int64)
+            # A cached word's count is global, also where this bucket has only some of its pairs.
+            cw = np.where(w_code > 0, model.cached_count[w_code.astype(np.int64) - 1], cw)
+            at = _find(key, _mix(np.repeat(w, lengths), v))
+            c = np.where(at >= 0, n[at], 0) if len(n) else np.zeros(len(v), np.int64)
             seen = c > 0
-            score = np.where(seen, model.log_seen(c), model.log_unigram(cw))
-            coded = code > 0
-            x = code[coded].astype(np.int64) - 1
-            score[coded] += np.where(seen[coded], -model.book_log_count[x], model.book_log_alpha[x])
-            rows.append((bucket, chunk, _ANSWER, _sum_by_owner(owner, score, model.log_base(cw), cw > 0), None, None))
+            score = np.where(seen, model.log_seen(c), np.repeat(model.log_unigram(cw), lengths))
+            coded = v_code > 0
+            x = v_code[coded].astype(np.int64) - 1
+            score[coded] += np.where(seen[coded], -model.cached_log_n[x], model.cached_log_alpha[x])
+            rare = np.repeat(w_code == 0, lengths)
+            answer = _answer(owner, score, owner[rare], np.repeat(model.log_base(cw), lengths)[rare], np.repeat(cw > 0, lengths)[rare])
+            rows.append((bucket, chunk, _ANSWER, answer, None, None))
             v, owner, seen = v[~coded], owner[~coded], seen[~coded]
             to = (_mix(v) % np.uint64(layout.buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
@@ -556,8 +628,7 @@ def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
             for s, e in zip(ends[:-1], ends[1:]):
                 y = order[s:e]
                 rows.append((int(to[y[0]]), chunk, _QUESTION, _pack(v[y], _small(owner[y]), seen[y]), None, None))
-        id_arrow = left.schema.field("ids").type.value_type
-        return pa.table(_table(rows, id_arrow))
+        return pa.table(_table(rows, left.schema.field("ids").type.value_type))
 
     return asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(run, _ROW.format(id=id_type))
 
@@ -569,16 +640,16 @@ def _answer_contexts(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known, log_n, log_alpha = _unpack(right.column("contexts")[0].as_py()) if right.num_rows else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
         rows = []
-        columns = [left.column(c).to_pylist() for c in ("bucket", "chunk", "part", "data", "ids", "held")]
-        for bucket, chunk, part, data, ids, held in zip(*columns):
+        columns = [left.column(c) for c in ("bucket", "chunk", "part", "data", "ids", "held")]
+        for i in range(left.num_rows):
+            bucket, chunk, part, data, ids, held = (c[i].as_py() for c in columns)
             if part == _QUESTION:
                 v, owner, seen = _unpack(data)
                 at = _find(known, v)
                 there = at >= 0
                 score = np.zeros(len(v))
                 score[there] = np.where(seen[there], -log_n[at[there]], log_alpha[at[there]])
-                nothing = np.zeros(len(v))
-                data, part = _sum_by_owner(owner, score, nothing, nothing), _ANSWER
+                data, part = _answer(owner.astype(np.int64), score, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)), _ANSWER
             rows.append((bucket, chunk, part, data, ids, held))
         return pa.table(_table(rows, left.schema.field("ids").type.value_type))
 
@@ -600,7 +671,7 @@ class _ContextsOnly(_PairsOnly):
 
 
 def _gather(answers: DataFrame, model: Model, id_type: str) -> DataFrame:
-    """The answers of a chunk are added up, in the order of their packed bytes, for each text."""
+    """The answers of a chunk are added up for each text."""
     n_tokens = model.n_tokens
 
     def run(group: pa.Table) -> pa.Table:
@@ -608,12 +679,13 @@ def _gather(answers: DataFrame, model: Model, id_type: str) -> DataFrame:
         data = group.column("data").to_pylist()
         at = parts.index(_HEADER)
         lengths, own = _unpack(data[at])
-        score, base, known = np.zeros(len(lengths)), np.zeros(len(lengths)), np.zeros(len(lengths), np.int64)
-        for packed in [own.tobytes(), *sorted(d for d, p in zip(data, parts) if p == _ANSWER)]:
-            ids, s, b, k = _unpack(packed)
-            score[ids] += s
-            base[ids] += b
-            known[ids] += k.astype(np.int64)
+        score, base, known = (np.zeros(len(lengths), np.int64) for _ in range(3))
+        for packed in [own.tobytes(), *(d for d, p in zip(data, parts) if p == _ANSWER)]:
+            ids, s, base_ids, *rest = _unpack(packed)
+            score[ids] -= s.astype(np.int64)
+            if len(base_ids):
+                base[base_ids] -= rest[0].astype(np.int64)
+                known[base_ids] += rest[1].astype(np.int64)
         ids = group.column("ids")[at]
         return pa.table(
             {
@@ -622,8 +694,8 @@ def _gather(answers: DataFrame, model: Model, id_type: str) -> DataFrame:
                 "n_tokens": pa.array(lengths.astype(np.int64)),
                 "n_known": pa.array(known),
                 "train_tokens": pa.array(np.full(len(lengths), n_tokens, dtype=np.int64)),
-                "base_score": pa.array(base),
-                "score": pa.array(score),
+                "base_score": pa.array(base / UNIT),
+                "score": pa.array(score / UNIT),
             }
         )
 
