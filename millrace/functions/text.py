@@ -19,6 +19,10 @@ DATELINE = r"^[A-Z .,'-]{3,40}\(Reuters\)\s*-\s*"
 EDGES = r"(?U)^\s+|\s+\z"
 NOT_KEY = r"[^a-z0-9]+"
 
+#: The characters that Windows-1252 has where ISO 8859-1 has controls, and these.
+_CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+_LATIN1 = _CP1252.encode("cp1252").decode("latin-1")
+
 #: Words without weight in vocabulary statistics.
 STOP_WORDS = (
     "the a an and or of to in is are was were be been being this that these those it its for on with as at by from but not no so if then than"
@@ -36,12 +40,11 @@ def fix_encoding(c: Column) -> Column:
     A native approximation of the usual repair libraries; they also uncurl quotes and
     normalise line breaks, which this does for CR LF only.
     """
-    # Bytes that are not UTF-8 give null, and the text then stays as it is.
     marked = c.rlike("Ã[\u0080-¿ƒ‚-™ŒœŠšŸŽžˆ˜]|â€|Â[\u0080-¿]")
-    lossless = ~c.rlike("[^\u0000-\u007f -ÿ€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
-    fixed = F.try_validate_utf8(F.encode(c, "windows-1252").cast("string"))
-    fixed = F.when(marked & lossless, F.coalesce(fixed, c)).otherwise(c)
-    return F.regexp_replace(fixed, "\r\n?", "\n")
+    plain = F.translate(c, _CP1252, _LATIN1)
+    # Only texts whose characters all fit one byte; bytes that are not UTF-8 give null, and the text stays.
+    fixed = F.when(marked & ~plain.rlike("[^\u0000-ÿ]"), F.try_validate_utf8(F.encode(plain, "iso-8859-1").cast("string")))
+    return F.regexp_replace(F.coalesce(fixed, c), "\r\n?", "\n")
 
 
 def strip_html(c: Column) -> Column:

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import list_files
+
 _SCHEMA = "path string, status string, format string, width int, height int, size_kb double"
 
 
@@ -66,7 +68,10 @@ def inspect(spark: SparkSession, paths: DataFrame, folder: str, column: str = "i
     files = files.select(F.regexp_replace("path", "^file:(//)?", "").alias("path"), "content", "length")
     wanted = paths.filter(F.col(column) != "").select(F.col(column).alias("path"))
     seen = files.join(wanted.distinct(), "path", "left_semi").mapInPandas(run, _SCHEMA)
-    return wanted.join(seen, "path", "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    # Empty files are listed but never scanned: they are there, and corrupt.
+    there = list_files(spark, folder).withColumn("_there", F.lit("corrupt"))
+    out = wanted.join(seen, "path", "left").join(there, "path", "left")
+    return out.withColumn("status", F.coalesce("status", "_there", F.lit("missing"))).drop("_there")
 
 
 def integrity(inspected: DataFrame) -> DataFrame:

@@ -128,22 +128,32 @@ def read_generated_text(spark: SparkSession, raw_dir: str | Path) -> DataFrame:
     return _numbered(parts).select("text", "source", ORDINAL)
 
 
+def list_files(spark: SparkSession, folder: str | Path) -> DataFrame:
+    """``path`` of every file below a folder, empty ones too (Spark's scans skip those).
+
+    The listing is what any scan does on the driver; names only.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(str(folder))
+    found = []
+    fs = root.getFileSystem(conf)
+    if fs.exists(root):
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            found.append((files.next().getPath().toUri().getPath(),))
+    return spark.createDataFrame(found, "path string")
+
+
 def list_images(spark: SparkSession, raw_dir: str | Path) -> DataFrame:
     """Image paths of ``{train,test}/{REAL,FAKE}``, REAL first, by path inside a folder; contents are not read."""
     from ..operators.normalize import with_ordinal
 
-    base, parts = Path(raw_dir), []
-    for i, (label, fold) in enumerate((label, fold) for label in ("REAL", "FAKE") for fold in ("train", "test")):
-        folder = base / fold / label
-        if folder.exists() and any(folder.iterdir()):
-            files = spark.read.format("binaryFile").load(str(folder)).select(F.col("path").alias("image_path"))
-            parts.append(files.filter(has_image_suffix(F.col("image_path"))).withColumns({"label": F.lit(label), "_folder": F.lit(i)}))
-    if not parts:
-        raise FileNotFoundError(f"no images below {base}")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    rows = rows.withColumn("image_path", F.regexp_replace("image_path", "^file:(//)?", ""))
+    files = list_files(spark, raw_dir).select(F.col("path").alias("image_path")).filter(has_image_suffix(F.col("image_path")))
+    label, fold = F.regexp_extract("image_path", "/(REAL|FAKE)/[^/]*$", 1), F.regexp_extract("image_path", "/(train|test)/(?:REAL|FAKE)/[^/]*$", 1)
+    rows = files.withColumns({"label": label, "_fold": fold}).filter("label != '' AND _fold != ''")
+    rows = rows.withColumn("_folder", F.when(F.col("label") == "FAKE", 2).otherwise(0) + F.when(F.col("_fold") == "test", 1).otherwise(0))
+    if rows.isEmpty():
+        raise FileNotFoundError(f"no images below {raw_dir}")
     return with_ordinal(rows, ["_folder", "image_path"]).select("image_path", "label", ORDINAL)
 
 
