@@ -67,7 +67,7 @@ def length_histogram(df: DataFrame, text: str = "text", bins: int = 50, clip: fl
     """``bin, count`` of word counts, clipped at a quantile; the last bin is closed."""
     n = df.select(X.word_count(F.col(text)).alias("_n"))
     edge = n.agg(F.percentile("_n", F.lit(clip)).alias("top"), F.min("_n").alias("low"))
-    clipped = n.join(F.broadcast(edge)).select(F.least(F.col("_n").cast("double"), "top").alias("x"), "low", F.least(F.col("top"), F.col("top")).alias("high"))
+    clipped = n.join(F.broadcast(edge)).select(F.least(F.col("_n").cast("double"), "top").alias("x"), "low", F.col("top").alias("high"))
     width = (F.col("high") - F.col("low")) / bins
     place = F.when(width <= 0, 1).otherwise(F.least(F.floor(F.try_divide(F.col("x") - F.col("low"), width)) + 1, F.lit(bins)))
     return clipped.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
