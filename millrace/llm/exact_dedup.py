@@ -20,13 +20,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, drop_cut, free_shuffles, read_cut, text_or_empty, write_cut
 
 #: A run of white space that is not already one single space.
 _UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
-#: At least 256 characters, then up to the first place where two lower letters of the
-#: first half are followed by one of the second half and a space, 4,096 at most.
-CHUNK = r"[\s\S]{256,4093}?(?:[a-m]{2}[n-z]\x20)|[\s\S]{1,4096}"
+#: About half of the characters of any script.
+_HALF = r"a-mA-M0-4\u0080-\u00E4\u0370-\u03B0\u0400-\u0430\u0590-\u0630\u0900-\u0930\u3040-\u6FFF\uAC00-\uC2FF"
+#: At least 256 characters, then up to the first place where four characters of that half
+#: and three others follow each other (one place in 128, so two texts that share a passage
+#: soon cut it alike); 4,096 at most.
+CHUNK = rf"[\s\S]{{256,4089}}?(?:[{_HALF}]{{4}}[^{_HALF}]{{3}})|[\s\S]{{1,4096}}"
 
 
 def normalised(text):
@@ -84,9 +87,7 @@ def restore(recipe_rows: DataFrame, store: DataFrame, id_col: str = "doc_id") ->
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256, n_chunks`` for every row."""
-    rows = cut(recipes(docs, id_col, text_col), "recipes")
+def _decide(rows: DataFrame, id_col: str) -> DataFrame:
     broken = chunk_dictionary(rows).filter(~F.col("verified")).limit(1).collect()
     if broken:
         raise ValueError(f"chunk identifier {broken[0]['id'].hex()} names different contents")
@@ -107,10 +108,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256, n_chunks`` for every row."""
+    return _decide(cut(recipes(docs, id_col, text_col), "recipes"), id_col)
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The filtering form: one row of ``docs`` for each distinct normalised text, all columns kept."""
     key = lambda sha: F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), sha)
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(key(F.col("text_sha256")).alias("_key"))
+    listed = recipes(docs, id_col, text_col)
+    path = write_cut(listed, "recipes")
+    kept = cut(_decide(read_cut(docs.sparkSession, path, listed), id_col).filter("kept").select(key(F.col("text_sha256")).alias("_key")), "kept")
+    drop_cut(docs.sparkSession, path)
+    free_shuffles(docs.sparkSession)
     keyed = docs.withColumn("_key", key(F.sha2(normalised(text_or_empty(text_col)), 256)))
     # Rows that repeat id and text meet in the partition where the join has put them.
     return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

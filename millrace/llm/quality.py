@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, text_or_empty
+from .common import WORD, cut, drop_cut, read_cut, text_or_empty, write_cut
 
 #: What the learner may test: name -> Spark SQL over the counts of ``measure``.
 FEATURES = {
@@ -251,7 +251,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     The rules are learned from all rows and then applied to each row's own counts, so
     no join and no shuffle of texts is needed.
     """
-    rules = learn(cut(measure(docs, id_col, text_col), "measured"), labels, **named)
+    measured = measure(docs, id_col, text_col)
+    path = write_cut(measured, "measured")
+    rules = learn(read_cut(docs.sparkSession, path, measured), labels, **named)
+    drop_cut(docs.sparkSession, path)
     marked = docs.withColumn("_row", F.struct(*docs.columns))
     counts = measure(marked.select("_row", F.col(text_col).alias("_body")), "_row", "_body")
     # The generated number keeps the optimiser from pushing the filter below the counts,

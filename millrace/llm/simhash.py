@@ -24,7 +24,7 @@ its smallest non-null id; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -213,44 +213,46 @@ WIDE_RADIUS = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
-def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Wide fingerprint, anchors (smallest shingle hash under each of ANCHORS mixings) and 32-bit shingle hashes."""
+def _shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle))))) if len(words) > shingle else [b" ".join(words)]
-    h = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=len(grams)))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=len(grams)))
+
+
+def _mixed(h: np.ndarray, odd: np.uint64) -> np.ndarray:
     with np.errstate(over="ignore"):
-        mixed = [(h ^ (h >> np.uint64(33))) * odd for odd in _ODD]
-        mixed = [m ^ (m >> np.uint64(29)) for m in mixed]
+        m = (h ^ (h >> np.uint64(33))) * odd
+        return m ^ (m >> np.uint64(29))
+
+
+def anchors(text: str | None, shingle: int) -> np.ndarray:
+    """The smallest shingle hash under each of ANCHORS mixings."""
+    h = _shingle_hashes(text, shingle)
+    return np.array([_mixed(h, odd).min() for odd in _ODD[:ANCHORS]], dtype=np.uint64)
+
+
+def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Wide fingerprint and 32-bit shingle hashes."""
+    h = _shingle_hashes(text, shingle)
     fps = []
-    for m in mixed[:WIDE]:
-        ones = np.zeros(64, dtype=np.int64)
+    for odd in _ODD[:WIDE]:
+        m, ones = _mixed(h, odd), np.zeros(64, dtype=np.int64)
         for at in range(0, len(m), 1 << 16):
             ones += np.unpackbits(m[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         fps.append(_WEIGHTS[2 * ones > len(m)].sum(dtype=np.uint64))
-    anchors = np.array([m.min() for m in mixed[:ANCHORS]], dtype=np.uint64)
-    return np.array(fps, dtype=np.uint64), anchors, np.unique((h >> np.uint64(32)).astype(np.uint32))
+    return np.array(fps, dtype=np.uint64), np.unique((h >> np.uint64(32)).astype(np.uint32))
 
 
-def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fps, anchors, shingles`` of the rows with an id."""
+def _by_text(rows: DataFrame, columns: dict[str, pa.DataType], types: str, of: Callable[[str | None], tuple]) -> DataFrame:
+    """``doc_id`` and what ``of`` gives for each text of ``rows`` (``doc_id, text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(t.as_py(), shingle) for t in batch.column(1)]
-            long = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([f[0].view(np.int64) for f in found], long),
-                    pa.array([f[1].view(np.int64) for f in found], long),
-                    pa.array([f[2].tobytes() for f in found], pa.binary()),
-                ],
-                names=["doc_id", "fps", "anchors", "shingles"],
-            )
+            found = [of(t.as_py()) for t in batch.column(1)]
+            out = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(columns.values())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *out], names=["doc_id", *columns])
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, fps array<bigint>, anchors array<bigint>, shingles binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {types}")
 
 
 def similar(ids: list, fps: np.ndarray, sets: list[np.ndarray], similarity: float, radius: int) -> list[tuple]:
@@ -300,7 +302,9 @@ def near_copies(
     1 - (1 - similarity) ** ANCHORS (0.9997 at 0.8).  Groups of the same members count
     once; a group of more than ``tile_rows`` texts is compared in pairs of blocks.
     """
-    table = cut(sketches(docs, shingle, id_col, text_col), "sketches")
+    spark, longs = docs.sparkSession, pa.list_(pa.int64())
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    table = cut(_by_text(rows, {"anchors": longs}, "anchors array<bigint>", lambda t: (anchors(t, shingle).view(np.int64),)), "anchors")
     members = table.select("doc_id", F.posexplode("anchors").alias("i", "anchor"))
     groups = (
         members.groupBy("i", "anchor")
@@ -324,9 +328,18 @@ def near_copies(
         kind = group.schema.field("doc_id").type
         return pa.table({"a": pa.array([s[0] for s in stars], kind), "b": pa.array([s[1] for s in stars], kind)})
 
-    links = placed.join(table.select("doc_id", "fps", "shingles"), "doc_id").groupBy("i", "anchor", "x", "y").applyInArrow(compare, f"a {id_type}, b {id_type}")
+    placed = cut(placed, "placed")
+
+    def full(text: str | None) -> tuple[np.ndarray, bytes]:
+        fps, hashes = sketch(text, shingle)
+        return fps.view(np.int64), hashes.tobytes()
+
+    # Only texts that share an anchor are looked at again.
+    shared = rows.join(placed.select("doc_id").distinct(), "doc_id", "left_semi")
+    sketched = _by_text(shared, {"fps": longs, "shingles": pa.binary()}, "fps array<bigint>, shingles binary", full)
+    links = placed.join(sketched, "doc_id").groupBy("i", "anchor", "x", "y").applyInArrow(compare, f"a {id_type}, b {id_type}")
     found = components(links.distinct())
-    free_shuffles(docs.sparkSession)
+    free_shuffles(spark)
     return found
 
 
