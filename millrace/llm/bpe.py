@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most pieces a worker remembers before it starts anew.
-REMEMBERED = 800_000
+#: Pieces in each of the two generations that a worker remembers.
+REMEMBERED = 200_000
 
 
 def read_ranks(data: bytes) -> list[bytes]:
@@ -52,6 +52,7 @@ class Vocabulary:
         self.tokens = tokens
         self.ids = {t: i for i, t in enumerate(tokens) if t}
         self.longest = max(map(len, tokens))
+        self.lengths = (*_LIKELY, *(n for n in range(1, self.longest + 1) if n not in _LIKELY))
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[int, bool] = {}
 
@@ -85,7 +86,7 @@ class Vocabulary:
         key = left << 20 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > 400_000:
                 self._fits.clear()
             known = self._fits[key] = self._check(left, right)
         return known
@@ -107,6 +108,31 @@ class Vocabulary:
                 before, right = right + 1, b[0]
 
 
+#: Token lengths in the order in which they are tried; since only one token fits, any order gives it.
+_LIKELY = (3, 2, 4, 5, 1)
+
+
+def extend(v: Vocabulary, data: bytes, last: list[int], stop: int) -> None:
+    """Adds the entries of the prefixes of ``data`` up to ``stop`` to ``last``."""
+    ids, known, lengths = v.ids, v._fits, v.lengths
+    for end in range(len(last) + 1, stop + 1):
+        for n in lengths:
+            start = end - n
+            if start < 0:
+                continue
+            token = ids.get(data[start:end])
+            if token is None:
+                continue
+            if start:
+                fits = known.get(last[start - 1] << 20 | token)
+                if not (v.fits(last[start - 1], token) if fits is None else fits):
+                    continue
+            last.append(token)
+            break
+        else:
+            raise ValueError("the vocabulary lacks a single byte")
+
+
 class PrefixTable:
     """The unique last token of every prefix of ``data``."""
 
@@ -115,28 +141,8 @@ class PrefixTable:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        start, self.data = len(self.data), self.data + more
-        for _ in self._fill(start + 1):
-            pass
-
-    def _fill(self, first: int) -> Iterator[int]:
-        """Computes the entries from ``first`` on, one after the other; yields each end."""
-        v, data, last = self.vocabulary, self.data, self.last
-        ids, known, longest = v.ids, v._fits, v.longest
-        for end in range(first, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ids.get(data[start:end])
-                if token is None:
-                    continue
-                if start:
-                    fits = known.get(last[start - 1] << 20 | token)
-                    if not (v.fits(last[start - 1], token) if fits is None else fits):
-                        continue
-                last.append(token)
-                break
-            else:
-                raise ValueError("the vocabulary lacks a single byte")
-            yield end
+        self.data += more
+        extend(self.vocabulary, self.data, self.last, len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Puts ``new`` in place of ``data[start:stop]``; returns how many entries were computed."""
@@ -144,7 +150,8 @@ class PrefixTable:
         self.data = self.data[:start] + new + self.data[stop:]
         self.last = old[:start]
         equal = computed = 0
-        for end in self._fill(start + 1):
+        for end in range(start + 1, len(self.data) + 1):
+            extend(self.vocabulary, self.data, self.last, end)
             computed += 1
             then = end - 1 - shift
             equal = equal + 1 if then >= stop and old[then] == self.last[-1] else 0
@@ -193,26 +200,40 @@ class Codec:
         self.vocabulary = Vocabulary(tokens)
         self.pattern = regex.compile(pattern)
         self.ascii_pattern = _ascii_pattern(pattern) or self.pattern
+        self._packed = [i.to_bytes(4, "little") for i in range(len(tokens))]
         self._pieces: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _encode_piece(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "surrogatepass")
-        whole = self.vocabulary.ids.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-        return np.array(ids, dtype="<u4").tobytes()
+        data, v, packed = piece.encode("utf-8", "surrogatepass"), self.vocabulary, self._packed
+        whole = v.ids.get(data)
+        if whole is not None:
+            return packed[whole]
+        last: list[int] = []
+        extend(v, data, last, len(data))
+        at, out = len(data), []
+        while at:
+            token = last[at - 1]
+            out.append(packed[token])
+            at -= len(v.tokens[token])
+        return b"".join(out[::-1])
+
+    def _recall(self, piece: str) -> bytes:
+        """A piece that is not among the recent ones: from the older ones, else encoded."""
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._encode_piece(piece)
+        if len(piece) <= 64:
+            if len(self._pieces) >= REMEMBERED:
+                self._older, self._pieces = self._pieces, {}
+            self._pieces[piece] = ids
+        return ids
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, out = self._pieces, []
+        out = []
         for piece in (self.ascii_pattern if text.isascii() else self.pattern).findall(text):
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = self._encode_piece(piece)
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
+            out.append(self._pieces.get(piece) or self._recall(piece))
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
