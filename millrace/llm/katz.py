@@ -45,6 +45,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -347,11 +348,20 @@ def _merge_pairs(blocks: DataFrame, layout: Layout) -> DataFrame:
             v.append(seconds)
             n.append(counts.astype(np.int64))
         w, v, n = np.concatenate(w), np.concatenate(v), np.concatenate(n)
-        order = np.lexsort((v, w))
+        mixed = _mix(w, v)
+        order = np.argsort(mixed)
+        starts = _runs(mixed[order])
+        del mixed
+        changes = np.flatnonzero((np.diff(w[order]) != 0) | (np.diff(v[order]) != 0))
+        if len(changes) != len(starts) - 2:
+            # Two pairs share a mixed key; sorted by their words they part.
+            order = np.lexsort((v, w))
+            changes = np.flatnonzero((np.diff(w[order]) != 0) | (np.diff(v[order]) != 0))
+            starts = np.r_[0, changes + 1, len(order)]
+        n = np.add.reduceat(n[order], starts[:-1])
+        w, v = w[order[starts[:-1]]], v[order[starts[:-1]]]
+        order = np.argsort(w, kind="stable")
         w, v, n = w[order], v[order], n[order]
-        starts = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
-        n = np.add.reduceat(n, starts)
-        w, v = w[starts], v[starts]
         runs = _runs(w)
         totals = np.add.reduceat(n, runs[:-1])
         kinds = w[runs[:-1]]
@@ -523,12 +533,10 @@ def _table(rows: list[tuple], id_type: pa.DataType) -> dict:
 
 
 def _by_owner(owner: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Owners and the sums of their integer values."""
-    if not len(owner):
-        return owner, *values
-    order = np.argsort(owner, kind="stable")
-    runs = _runs(owner[order])[:-1]
-    return owner[order][runs], *(np.add.reduceat(v[order], runs) for v in values)
+    """Owners and the sums of their integer values (in two halves, so that float sums are exact)."""
+    there = np.flatnonzero(np.bincount(owner)) if len(owner) else np.zeros(0, np.int64)
+    add = lambda x: np.bincount(owner, weights=x)[there].astype(np.int64) if len(owner) else there
+    return there, *((add(v >> 20) << 20) + add(v & 0xFFFFF) for v in values)
 
 
 def _answer(owner: np.ndarray, score: np.ndarray, base_owner: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
@@ -540,13 +548,14 @@ def _answer(owner: np.ndarray, score: np.ndarray, base_owner: np.ndarray, base:
 
 
 def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
-    """The texts' pairs by word bucket; hot pairs and all of cached words is answered here, in the chunk's header."""
+    """The texts' pairs by word bucket; hot pairs and the base scores of cached words are answered here, in the chunk's header."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         layout = model.layout
-        name, number = uuid.uuid4().hex, 0
+        # The same in every attempt, so a task that is run again fits the answers to the first.
+        name, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in _slices(batch, 2):
                 t, chunk = tokens(part.column(2)), f"{name}-{number}"
@@ -570,7 +579,7 @@ def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
                 bucket = _bucket(layout, t.kinds, t.kinds, np.zeros(len(t.kinds), dtype=bool)).astype(np.int64)[w]
                 spread = hot[w]
                 bucket[spread] = _bucket(layout, t.kinds[w[spread]], t.kinds[v[spread]], np.ones(int(spread.sum()), dtype=bool))
-                order = np.argsort(bucket * len(t.kinds) + w, kind="stable")
+                order = np.argsort(bucket * len(t.kinds) + w)
                 ends = _runs(bucket[order])
                 for s, e in zip(ends[:-1], ends[1:]):
                     x = order[s:e]
@@ -582,7 +591,7 @@ def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
 
 def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
     """Word buckets: unigram and pair counts are looked up; contexts that are not cached stay a question."""
-    pairs = read_cut(asked.sparkSession, model.pairs_path, _PairsOnly(asked)).select("bucket", "pairs")
+    pairs = asked.sparkSession.read.schema("pairs binary, bucket int").parquet(model.pairs_path).select("bucket", "pairs")
     shared = asked.sparkSession.sparkContext.broadcast(model)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -635,7 +644,7 @@ def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
 
 def _answer_contexts(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
     """Context buckets: c(v) for seen pairs, alpha(v) for the others (1 for an unknown context)."""
-    contexts = read_cut(asked.sparkSession, model.contexts_path, _ContextsOnly(asked)).select("bucket", "contexts")
+    contexts = asked.sparkSession.read.schema("contexts binary, bucket int").parquet(model.contexts_path).select("bucket", "contexts")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known, log_n, log_alpha = _unpack(right.column("contexts")[0].as_py()) if right.num_rows else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
@@ -656,20 +665,6 @@ def _answer_contexts(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
     return asked.groupBy("bucket").cogroup(contexts.groupBy("bucket")).applyInArrow(run, _ROW.format(id=id_type))
 
 
-class _PairsOnly:
-    """Stands in for a frame where only its schema is wanted."""
-
-    def __init__(self, df: DataFrame, column: str = "pairs"):
-        from pyspark.sql import types as T
-
-        self.schema = T.StructType([T.StructField(column, T.BinaryType()), T.StructField("bucket", T.IntegerType())])
-
-
-class _ContextsOnly(_PairsOnly):
-    def __init__(self, df: DataFrame):
-        super().__init__(df, "contexts")
-
-
 def _gather(answers: DataFrame, model: Model, id_type: str) -> DataFrame:
     """The answers of a chunk are added up for each text."""
     n_tokens = model.n_tokens
