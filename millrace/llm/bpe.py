@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import pieces
+
 #: Pieces in each of the two generations that a worker remembers.
 REMEMBERED = 200_000
 
@@ -269,7 +271,7 @@ def digest(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             n, ids, back, lists = [], [], [], []
             for text in batch.column(1):
                 packed = codec.packed(text.as_py() or "")
@@ -302,7 +304,7 @@ def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             column = _id_lists([codec.packed(t.as_py() or "") for t in batch.column(at)])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*kept, out_col])
 

@@ -76,3 +76,9 @@ def fold(column: str, modulus: int):
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def pieces(batch, rows: int = 1024):
+    """An Arrow batch in slices, so that what a task holds besides its input stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)

@@ -141,5 +141,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     )
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
     key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), size, _source_key(F.col(source_col)))
-    kept = docs.withColumn("_key", key).join(copies, "_key")
+    # One row per document grows with the table, so the plan is the same at any size: no broadcast.
+    kept = docs.withColumn("_key", key).join(copies.hint("merge"), "_key")
     return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut, free_shuffles, partitions, read_cut, write_cut
+from .common import cut, drop_cut, free_shuffles, partitions, pieces, read_cut, write_cut
 
 SEED = 42
 TILE_ROWS = 2048
@@ -247,7 +247,7 @@ def _by_text(rows: DataFrame, columns: dict[str, pa.DataType], types: str, of: C
     """``doc_id`` and what ``of`` gives for each text of ``rows`` (``doc_id, text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             found = [of(t.as_py()) for t in batch.column(1)]
             out = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(columns.values())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *out], names=["doc_id", *columns])
@@ -335,7 +335,8 @@ def near_copies(
         return fps.view(np.int64), hashes.tobytes()
 
     # Only texts that share an anchor are looked at again.
-    shared = rows.join(placed.select("doc_id").distinct(), "doc_id", "left_semi")
+    # Their number grows with the table, so the plan is the same at any size: no broadcast.
+    shared = rows.join(placed.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     sketched = _by_text(shared, {"fps": longs, "shingles": pa.binary()}, "fps array<bigint>, shingles binary", full)
     links = placed.join(sketched, "doc_id").groupBy("i", "anchor", "x", "y").applyInArrow(compare, f"a {id_type}, b {id_type}")
     found = components(links.distinct())
