@@ -2,7 +2,7 @@ r"""License scans by ordered signature rules (DataFrame functions only).
 
 Texts are read as lower-case words.  A cheap anchor expression decides which texts
 can hold any signature at all; for these the words are joined by single spaces,
-the keywords present are found in one pass, and only the rules of present keywords
+the keywords present are found in one pass, and only the rules with a present keyword
 run.  A rule is a hand-written expression over words with a label and a priority (0
 is the most specific kind).  Detections are intervals of words; one is suppressed
 if another of the same or a more specific priority contains it.  Everything
@@ -32,40 +32,41 @@ _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Label, keyword, and the names it goes by, as word expressions.
+#: Label, keywords, and the names it goes by, as word expressions.
+#: Every alternative of the names holds one of the keywords as a whole word.
 FAMILIES = [
-    ("mit", "mit", "mit|expat"),
+    ("mit", "mit|expat", "mit|expat"),
     ("mit-0", "mit", "mit no attribution|mit 0"),
     ("apache-1.1", "apache", "apache(?: software)? license(?: version)? 1 1|apache 1 1"),
-    ("apache-2", "apache", "apache(?: software)? license(?: version)?(?: v)? ?2(?: 0)?|apache(?: v)? ?2(?: 0)?|apache v2(?: 0)?|asl 2 0"),
-    ("bsd", "bsd", "bsd|bsd style|berkeley software distribution"),
+    ("apache-2", "apache|apache2|asl", "apache(?: software)? license(?: version)?(?: v)? ?2(?: 0)?|apache(?: v)? ?2(?: 0)?|apache v2(?: 0)?|asl 2 0"),
+    ("bsd", "bsd|berkeley", "bsd|bsd style|berkeley software distribution"),
     ("bsd-2", "bsd", "bsd 2 clause|2 clause bsd|simplified bsd|freebsd bsd"),
     ("bsd-3", "bsd", "bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd"),
     ("bsd-4", "bsd", "bsd 4 clause|4 clause bsd|original bsd"),
-    ("isc", "isc", "isc|internet systems consortium"),
+    ("isc", "isc|consortium", "isc|internet systems consortium"),
     ("zlib", "zlib", "zlib|zlib libpng"),
     ("libpng", "libpng", "libpng"),
-    ("boost", "boost", "boost software(?: license)?(?: version)?(?: 1 0)?|bsl 1 0"),
+    ("boost", "boost|bsl", "boost software(?: license)?(?: version)?(?: 1 0)?|bsl 1 0"),
     ("unlicense", "unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl"),
     ("gpl", "gpl", "gpl|gnu gpl"),
-    ("gpl-2", "gpl", "(?:gnu )?gpl(?: version)? ?2(?: 0)?|gplv2|(?:gnu )?gpl v2"),
-    ("gpl-3", "gpl", "(?:gnu )?gpl(?: version)? ?3(?: 0)?|gplv3|(?:gnu )?gpl v3"),
+    ("gpl-2", "gpl|gpl2|gplv2", "(?:gnu )?gpl(?: version)? ?2(?: 0)?|gplv2|(?:gnu )?gpl v2"),
+    ("gpl-3", "gpl|gpl3|gplv3", "(?:gnu )?gpl(?: version)? ?3(?: 0)?|gplv3|(?:gnu )?gpl v3"),
     ("gpl", "gnu", "gnu general public"),
     ("gpl-2", "gnu", "gnu general public license(?: as published by the free software foundation)?(?: either)? version 2"),
     ("gpl-3", "gnu", "gnu general public license(?: as published by the free software foundation)?(?: either)? version 3"),
     ("lgpl", "lgpl", "lgpl|gnu lgpl"),
-    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl(?: version)? 2 1|lgplv2 1"),
-    ("lgpl-3", "lgpl", "(?:gnu )?lgpl(?: version)? 3(?: 0)?|lgplv3"),
+    ("lgpl-2.1", "lgpl|lgplv2", "(?:gnu )?lgpl(?: version)? 2 1|lgplv2 1"),
+    ("lgpl-3", "lgpl|lgplv3", "(?:gnu )?lgpl(?: version)? 3(?: 0)?|lgplv3"),
     ("lgpl", "lesser", "gnu lesser general public"),
     ("lgpl", "library", "gnu library general public"),
     ("agpl", "agpl", "agpl|gnu agpl"),
-    ("agpl-3", "agpl", "(?:gnu )?agpl(?: version)? 3(?: 0)?|agplv3"),
+    ("agpl-3", "agpl|agplv3", "(?:gnu )?agpl(?: version)? 3(?: 0)?|agplv3"),
     ("agpl", "affero", "gnu affero general public"),
-    ("gfdl", "gfdl", "gfdl|gnu fdl"),
+    ("gfdl", "gfdl|fdl", "gfdl|gnu fdl"),
     ("gfdl", "documentation", "gnu free documentation"),
     ("mpl", "mpl", "mpl"),
-    ("mpl-2", "mpl", "mpl(?: version)? 2(?: 0)?|mplv2"),
+    ("mpl-2", "mpl|mplv2", "mpl(?: version)? 2(?: 0)?|mplv2"),
     ("mpl", "mozilla", "mozilla public"),
     ("mpl-2", "mozilla", "mozilla public license(?: version)? 2(?: 0)?"),
     ("epl", "epl", "epl"),
@@ -80,7 +81,7 @@ FAMILIES = [
     ("eupl", "union", "european union public"),
     ("artistic-2", "artistic", "artistic license 2 0|artistic 2 0"),
     ("artistic", "artistic", "artistic|perl artistic"),
-    ("python", "python", "python software foundation|psf"),
+    ("python", "python|psf", "python software foundation|psf"),
     ("php", "php", "php"),
     ("ruby", "ruby", "ruby"),
     ("openssl", "openssl", "openssl"),
@@ -105,7 +106,7 @@ FAMILIES = [
     ("openrail", "openrail", "openrail(?: m)?|bigscience openrail m"),
     ("cc0", "cc0", "cc0(?: 1 0)?"),
     ("cc0", "zero", "creative commons zero"),
-    ("beerware", "beerware", "beerware|beer ware"),
+    ("beerware", "beerware|beer", "beerware|beer ware"),
     ("zpl", "zope", "zope public"),
     ("w3c", "w3c", "w3c software|w3c"),
     ("x11", "x11", "x11"),
@@ -121,11 +122,11 @@ TEMPLATES = [
     (2, " under(?: the)?(?: terms of)?(?: the)? (?:{n}) licen[cs]e"),
     (3, " (?:{n}) licen[cs]e"),
 ]
-#: Passages and tags with no such name: priority, label, keyword, expression.
+#: Passages and tags with no such name: priority, label, keywords, expression.
 PASSAGES = [
     (0, "mit", "hereby", " permission is hereby granted free of charge to any person obtaining a copy"),
-    (1, "mit", "merchantability", " the software is provided as is without warranty of any kind express or implied"),
-    (0, "isc", "hereby", " permission to use copy modify and or distribute this software for any purpose"),
+    (1, "mit", "warranty", " the software is provided as is without warranty of any kind express or implied"),
+    (0, "isc", "permission", " permission to use copy modify and or distribute this software for any purpose"),
     (0, "bsd", "redistribution", " redistribution and use in source and binary forms with or without modification"),
     (1, "bsd-3", "endorse", " neither the name of .{1,80}? may be used to endorse or promote products"),
     (0, "gpl", "redistribute", " this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
@@ -158,7 +159,7 @@ CONFIDENCE = [1.0, 0.95, 0.85, 0.7]
 class Rule:
     priority: int
     label: str
-    keyword: str
+    keywords: str
     pattern: str
     base: bool = False
 
@@ -166,7 +167,7 @@ class Rule:
 def rules() -> list[Rule]:
     """The ordered rule set: base phrases, passages, then every family in every template."""
     out = [Rule(0, label, words.split()[0] if words.startswith("cc") else words.split()[-2], f" {words}(?= )", True) for words, label in BASE.items()]
-    out += [Rule(p, label, keyword, f"{x}(?= )") for p, label, keyword, x in PASSAGES]
+    out += [Rule(p, label, keywords, f"{x}(?= )") for p, label, keywords, x in PASSAGES]
     for terms in CC_TERMS:
         label = "cc-" + terms.replace(" ", "-")
         spelled = " ".join(_CC_WORDS[t] for t in terms.split())
@@ -175,8 +176,8 @@ def rules() -> list[Rule]:
         out.append(Rule(1, label, "cc", f" cc {terms}{version}(?: licen[cs]e)?(?= )"))
         out.append(Rule(1, label, "creative", f" creative commons(?: licen[cs]e)? {spelled}{version}(?: international| unported)?(?: licen[cs]e)?(?= )"))
     for priority, template in TEMPLATES:
-        for label, keyword, names in FAMILIES:
-            out.append(Rule(priority, label, "spdx" if priority == 0 else keyword, template.format(n=names.replace(" ?", "(?: )?")) + "(?= )"))
+        for label, keywords, names in FAMILIES:
+            out.append(Rule(priority, label, "spdx" if priority == 0 else keywords, template.format(n=names.replace(" ?", "(?: )?")) + "(?= )"))
     return out
 
 
@@ -235,9 +236,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """``doc_id, n_words`` and ``found`` (base places), ``spans`` (surviving detections, words from 0)."""
     table = rules()
     literal = F.array(
-        *[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.base).alias("base")) for r in table]
+        *[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.array(*map(F.lit, r.keywords.split("|"))).alias("keywords"), F.lit(r.pattern).alias("pattern"), F.lit(r.base).alias("base")) for r in table]
     )
-    keywords = sorted({r.keyword for r in table})
+    keywords = sorted({k for r in table for k in r.keywords.split("|")})
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     text = F.col("_text")
     low = F.translate(text, upper, upper.lower())
@@ -256,7 +257,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.when(words.isNotNull(), F.array_distinct(F.regexp_extract_all(words, F.lit(f" ({'|'.join(keywords)})(?= )"), F.lit(1)))).alias("_keys"),
     )
     keys = F.col("_keys")
-    candidates = F.filter(literal, lambda r: F.array_contains(keys, r["keyword"]))
+    candidates = F.filter(literal, lambda r: F.arrays_overlap(keys, r["keywords"]))
     step = step.select(
         "doc_id",
         "n_words",

@@ -79,3 +79,66 @@ def test_anchors_cover_keywords():
         example = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", example).replace("licen[cs]e", "license").replace("unauthori[sz]ed", "unauthorized")
         if "\\" not in example and ".{" not in example:
             assert gate.search(example), (r.label, r.pattern)
+
+
+def spelled(pattern):
+    """Every text that an expression matches; open repeats once, with one word."""
+    options, at = [[""]], 0
+    pattern = re.sub(r"\.\{[\d,]+\}\??", "some", pattern)
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "|":
+            options.append([""])
+            at += 1
+            continue
+        if pattern.startswith("(?:", at):
+            depth, end = 1, at + 3
+            while depth:
+                depth += {"(": 1, ")": -1}.get(pattern[end], 0)
+                end += 1
+            parts = spelled(pattern[at + 3 : end - 1])
+        elif c == "[":
+            end = pattern.index("]", at) + 1
+            inner = pattern[at + 1 : end - 1]
+            parts = [chr(x) for x in range(ord(inner[0]), ord(inner[2]) + 1)] if "-" in inner else list(inner)
+        else:
+            end, parts = at + 1, [c]
+        if pattern[end : end + 1] == "?":
+            end, parts = end + 1, ["", *parts]
+        options[-1] = [a + b for a in options[-1] for b in parts]
+        at = end
+    return [x for o in options for x in o]
+
+
+def test_keywords_cover_every_alternative():
+    """Whatever text a rule matches holds one of its keywords as a word."""
+    for _, keywords, names in L.FAMILIES:
+        for name in spelled(names):
+            assert set(keywords.split("|")) & set(name.split()), (name, keywords)
+    for r in L.rules()[: -len(L.FAMILIES) * len(L.TEMPLATES)]:
+        for example in spelled(r.pattern.replace("(?= )", "")):
+            assert set(r.keywords.split("|")) & set(example.split()), (example, r.keywords)
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Licensed under the GPLv3", "gpl-3"),
+        ("the GPL2 license", "gpl-2"),
+        ("LGPLv2.1 license", "lgpl-2.1"),
+        ("AGPLv3 license", "agpl-3"),
+        ("MPLv2 license", "mpl-2"),
+        ("under the terms of the Expat License", "mit"),
+        ("the ASL 2.0 license", "apache-2"),
+        ("Berkeley Software Distribution license", "bsd"),
+        ("Internet Systems Consortium license", "isc"),
+        ("BSL 1.0 license", "boost"),
+        ("the PSF license", "python"),
+        ("the beer-ware license", "beerware"),
+        ("GNU FDL license", "gfdl"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose", "isc"),
+    ],
+)
+def test_names_without_the_family_word(spark, text, labels):
+    out = L.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert out["labels"] == labels and out["score"] > 0
