@@ -145,11 +145,12 @@ PASSAGES = [
 CC_TERMS = ["by nc nd", "by nc sa", "by nc", "by nd", "by sa", "by"]
 _CC_WORDS = {"by": "attribution", "nc": "non ?commercial", "nd": "no ?deriv(?:atives|s)?(?: works)?", "sa": "share ?alike"}
 
+#: A superset of all rules: a text without any of these holds nothing that a rule matches.
 ANCHORS = (
     r"(?i)licen[cs]e|spdx|cc" + _GAP + r"by|creative" + _GAP + r"commons|cc0|public" + _GAP + r"domain|all" + _GAP
     + r"rights" + _GAP + r"reserved|hereby" + _GAP + r"granted|redistribution" + _GAP + r"and|proprietary" + _GAP
     + r"and|unauthori[sz]ed" + _GAP + r"|misrepresented|unencumbered|endorse" + _GAP
-    + r"|permission" + _GAP + r"to|provided" + _GAP + r"as|redistribute" + _GAP + r"|under" + _GAP + r"the"
+    + r"|permission" + _GAP + r"to|provided" + _GAP + r"as|redistribute" + _GAP + r"|under" + _GAP
 )
 #: How sure a detection of each priority is.
 CONFIDENCE = [1.0, 0.95, 0.85, 0.7]

@@ -142,3 +142,26 @@ def test_keywords_cover_every_alternative():
 def test_names_without_the_family_word(spark, text, labels):
     out = L.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
     assert out["labels"] == labels and out["score"] > 0
+
+
+def test_anchors_cover_every_alternative():
+    gate = re.compile(L.ANCHORS)
+    whole = L.rules()[: -len(L.FAMILIES) * len(L.TEMPLATES)]
+    for pattern in [*(r.pattern for r in whole), *(t.format(n="name") for _, t in L.TEMPLATES)]:
+        for example in spelled(pattern.replace("(?= )", "")):
+            assert gate.search(example.upper().replace(" ", "-")) and gate.search(example + " "), example
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Released under MIT.", "mit"),
+        ("Distributed under Apache 2.0.", "apache-2"),
+        ("available under GPL version 3", "gpl-3"),
+        ("you can redistribute it under terms of BSD", "bsd"),
+        ("offered to you under ISC", "isc"),
+    ],
+)
+def test_use_without_the_word_license(spark, text, labels):
+    out = L.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert out["labels"] == labels and out["score"] > 0
