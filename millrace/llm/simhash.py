@@ -24,6 +24,7 @@ its smallest non-null id; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
@@ -202,14 +203,20 @@ def near_dedup(
 # ---- near copies by similarity -------------------------------------------------------
 #
 # A radius of two bits finds little beyond texts that are all but equal.  For a given
-# Jaccard similarity of word shingles, wide fingerprints are compared the same way (tiles,
-# exclusive-or, bit counts) within groups of texts that share an anchor, and every link is
-# confirmed on the shingles themselves.
+# Jaccard similarity of word shingles, wide fingerprints are compared by exclusive-or and
+# bit counts within groups of texts that share an anchor, and every link is confirmed on the
+# shingles themselves.  That finds nearly all links cheaply, but not all.  The rest comes
+# from an exact prefix filter: in one global order of the shingles, two texts of the
+# similarity share one of the first n - ceil(similarity * n) + 1 shingles of each.  Only
+# pairs that the first pass has not already put in one group are looked at.
 
 ANCHORS = 5
 WIDE = 4
 #: Bits of 64 * WIDE: at similarity 0.8 fingerprints differ in 39 bits, with a deviation of 6.
 WIDE_RADIUS = 64
+#: Texts from which common shingles are known, and in how many of them one is common.  Common
+#: shingles come last in the global order; any order finds the same links.
+SAMPLE_TEXTS, COMMON = 4096, 8
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -225,10 +232,21 @@ def _mixed(h: np.ndarray, odd: np.uint64) -> np.ndarray:
         return m ^ (m >> np.uint64(29))
 
 
+def _anchors(h: np.ndarray) -> np.ndarray:
+    return np.array([_mixed(h, odd).min() for odd in _ODD[:ANCHORS]], dtype=np.uint64)
+
+
 def anchors(text: str | None, shingle: int) -> np.ndarray:
     """The smallest shingle hash under each of ANCHORS mixings."""
-    h = _shingle_hashes(text, shingle)
-    return np.array([_mixed(h, odd).min() for odd in _ODD[:ANCHORS]], dtype=np.uint64)
+    return _anchors(_shingle_hashes(text, shingle))
+
+
+def prefix(h: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """The first shingles in the global order: by hash, the ``common`` (sorted) after all others."""
+    late = np.zeros(len(h), dtype=bool)
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
+    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
 
 
 def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -301,10 +319,17 @@ def near_copies(
     Texts of the given similarity share one of the ANCHORS anchors with probability
     1 - (1 - similarity) ** ANCHORS (0.9997 at 0.8).  Groups of the same members count
     once; a group of more than ``tile_rows`` texts is compared in pairs of blocks.
+    What the anchors and the radius miss, ``missed_links`` finds, so no link is lost.
     """
     spark, longs = docs.sparkSession, pa.list_(pa.int64())
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = cut(_by_text(rows, {"anchors": longs}, "anchors array<bigint>", lambda t: (anchors(t, shingle).view(np.int64),)), "anchors")
+    common = _common(rows, shingle)
+
+    def seeds(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+        h = _shingle_hashes(text, shingle)
+        return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), len(h)
+
+    table = cut(_by_text(rows, {"anchors": longs, "prefix": longs, "n": pa.int64()}, "anchors array<bigint>, prefix array<bigint>, n bigint", seeds), "anchors")
     members = table.select("doc_id", F.posexplode("anchors").alias("i", "anchor"))
     groups = (
         members.groupBy("i", "anchor")
@@ -341,9 +366,71 @@ def near_copies(
     links = placed.join(sketched, "doc_id").groupBy("i", "anchor", "x", "y").applyInArrow(compare, f"a {id_type}, b {id_type}")
     found = components(links.distinct())
     free_shuffles(spark)
+    missed = cut(missed_links(rows, table, found, shingle, similarity, tile_rows), "missed")
+    if not missed.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(missed))
+    free_shuffles(spark)
     return found
 
 
+def _common(rows: DataFrame, shingle: int) -> np.ndarray:
+    """Shingle hashes that many texts of a bounded sample hold, sorted."""
+    share = max(1, rows.count() // SAMPLE_TEXTS)
+    some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    hashes = _by_text(some, {"h": pa.list_(pa.int64())}, "h array<bigint>", lambda t: (_shingle_hashes(t, shingle).view(np.int64),))
+    often = hashes.select(F.explode("h").alias("h")).groupBy("h").count().filter(F.col("count") >= COMMON)
+    return np.unique(np.array([r["h"] for r in often.collect()], dtype=np.int64).view(np.uint64))
+
+
+def missed_links(rows: DataFrame, table: DataFrame, found: DataFrame, shingle: int, similarity: float, tile_rows: int) -> DataFrame:
+    """``a, b``: all links between texts of different groups of ``found``, by an exact prefix filter.
+
+    ``table`` holds ``doc_id, prefix, n``.  Pairs that share a prefix shingle are bounded by
+    their sizes and by the shingles left after it (which the first shared one always
+    satisfies), and confirmed on all shingle hashes.
+    """
+    placed = table.select("doc_id", "prefix", "n").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
+    entries = placed.select("doc_id", "n", F.coalesce("root", "doc_id").alias("root"), F.posexplode("prefix").alias("pos", "h"))
+    entries = entries.select("doc_id", "n", "root", "h", (F.col("n") - F.col("pos") - 1).alias("left"))
+    groups = (
+        entries.groupBy("h")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low != high")
+        .select("h", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
+    )
+    entries = cut(entries.join(groups.hint("merge"), "h"), "entries")
+    one = entries.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("bigint")).cast("int")).alias("x")
+    other = entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    bound = F.least("x.left", "y.left") + 1 >= (small + large) * (similarity / (1 + similarity)) - 1e-6
+    pairs = (
+        one.join(other.hint("merge"), ["h", "block"])
+        .filter((F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.root") != F.col("y.root")) & (small >= large * similarity - 1e-6) & bound)
+        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        .distinct()
+    )
+    pairs = cut(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    hashes = _by_text(
+        rows.join(ids.hint("merge"), "doc_id", "left_semi"), {"s": pa.binary()}, "s binary", lambda t: (_shingle_hashes(t, shingle).tobytes(),)
+    )
+    hashes = cut(hashes, "hashes")
+    both = pairs.join(hashes.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")).hint("merge"), "a")
+    both = both.join(hashes.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")).hint("merge"), "b").select("a", "b", "s_a", "s_b")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return both.mapInArrow(confirm, f"a {id_type}, b {id_type}")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **named) -> DataFrame:
     """The filtering form: of each group of near copies the smallest id stays; null ids stay."""
     gone = near_copies(docs, id_col, text_col, **named).select(F.col("node").alias(id_col))

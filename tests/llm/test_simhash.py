@@ -98,3 +98,36 @@ def test_edges_of_the_table(spark, docs, nothing):
     assert S.near_dedup(nothing).count() == 0 and S.keep_one(nothing).count() == 0
     out = S.keep_one(docs)
     assert out.columns == docs.columns and out.filter("doc_id is null").count() == 1
+
+
+def near_pair(rng, first):
+    words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    copy = list(words)
+    copy[30] = copy[31] = copy[32] = f"z{rng.randrange(10**6)}"
+    return [(first, " ".join(words)), (first + 1, " ".join(copy))]
+
+
+def test_no_link_is_lost(spark):
+    """Pairs just over the similarity that share no anchor, or lie beyond the radius."""
+    rng, apart = random.Random(8), []
+    while len(apart) < 4:
+        pair = near_pair(rng, len(apart))
+        if not set(S.anchors(pair[0][1], 5).tolist()) & set(S.anchors(pair[1][1], 5).tolist()):
+            apart += pair
+    rows = apart + [row for i in range(100, 140, 2) for row in near_pair(rng, i)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i + 1: i for i, _ in rows[::2]}
+    assert {r["node"]: r["root"] for r in S.near_copies(docs).collect()} == want
+    assert {r["node"]: r["root"] for r in S.near_copies(docs, radius=0, tile_rows=2).collect()} == want
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(4)
+    for _ in range(2000):
+        n, gone = int(rng.integers(1, 60)), int(rng.integers(0, 8))
+        h = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        other = np.unique(np.r_[h[gone:], rng.integers(0, 2**64, int(rng.integers(0, 8)), dtype=np.uint64)])
+        shared = len(np.intersect1d(h, other))
+        common = np.sort(h[rng.random(len(h)) < 0.3])
+        if len(other) and shared >= 0.8 * (len(h) + len(other) - shared):
+            assert len(np.intersect1d(S.prefix(h, 0.8, common), S.prefix(other, 0.8, common)))
