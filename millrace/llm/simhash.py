@@ -31,8 +31,9 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, drop_cut, free_shuffles, partitions, pieces, read_cut, write_cut
 
@@ -431,7 +432,25 @@ def missed_links(rows: DataFrame, table: DataFrame, found: DataFrame, shingle: i
     return both.mapInArrow(confirm, f"a {id_type}, b {id_type}")
 
 
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Bytes that name a row by its id and a digest of its text, in the order of the ids, nulls last."""
+    column = F.col(id_col)
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        # With the sign bit turned, the order of the bytes is that of the numbers.
+        named = F.unhex(F.lpad(F.hex(column.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    else:
+        named = F.concat(column.cast("string").cast("binary"), F.unhex(F.lit("00")))
+    text = F.unhex(F.substring(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256), 1, 32))
+    return F.coalesce(F.concat(F.unhex(F.lit("00")), named, text), F.concat(F.unhex(F.lit("01")), text))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **named) -> DataFrame:
-    """The filtering form: of each group of near copies the smallest id stays; null ids stay."""
-    gone = near_copies(docs, id_col, text_col, **named).select(F.col("node").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """The filtering form: of each group of near copies the row of the smallest id stays, null ids last.
+
+    A row is its id and its text, so rows that repeat an id with different texts are
+    judged each by its own text.  Rows equal in id and text stay or go together; they are
+    exact copies, which the stage before removes.
+    """
+    keyed = docs.withColumn("_key", _row_key(docs, id_col, text_col))
+    gone = near_copies(keyed, "_key", text_col, **named).select(F.col("node").alias("_key"))
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)

@@ -131,3 +131,15 @@ def test_prefixes_of_similar_sets_meet():
         common = np.sort(h[rng.random(len(h)) < 0.3])
         if len(other) and shared >= 0.8 * (len(h) + len(other) - shared):
             assert len(np.intersect1d(S.prefix(h, 0.8, common), S.prefix(other, 0.8, common)))
+
+
+def test_rows_that_repeat_an_id(spark):
+    rng = random.Random(6)
+    (_, text), (_, copy) = near_pair(rng, 0)
+    (_, clean), (_, last) = near_pair(rng, 0)
+    rows = [(-3, text), (7, copy), (7, clean), (7, last), (None, copy + " x"), (None, clean + " y"), (None, "alone")]
+    for kind, as_id in (("long", lambda i: i), ("string", lambda i: None if i is None else f"id{i + 3:02}")):
+        docs = spark.createDataFrame([(as_id(i), t) for i, t in rows], f"doc_id {kind}, text string")
+        kept = [(r["doc_id"], r["text"]) for r in S.keep_one(docs).collect()]
+        assert len(kept) == 3 and (as_id(-3), text) in kept and (None, "alone") in kept
+        assert [i for i, t in kept if t in (clean, last)] == [as_id(7)]
