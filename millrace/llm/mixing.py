@@ -38,11 +38,12 @@ def _source_key(column):
     return F.coalesce(F.concat(F.lit("="), column), F.lit(""))
 
 
-def sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+def sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str, digest: bool = False) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"),
         _source_key(F.col(source_col)).alias("_source"),
         F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
+        *([F.xxhash64(text_col).alias("_digest")] if digest else []),
     )
 
 
@@ -87,11 +88,12 @@ def plan(
     text_col: str = "text",
     cap: float = 3.0,
     seed: int = SEED,
+    digest: bool = False,
 ) -> DataFrame:
-    """``doc_id, _source, size, source_size, target, copies`` for every row."""
+    """``doc_id, _source, size, source_size, target, copies`` for every row, and ``_digest`` of its text if asked for."""
     spark = docs.sparkSession
-    sized = cut(sizes(docs, id_col, source_col, text_col), "sizes")
-    order = ["_source", "size", "doc_id"]
+    sized = cut(sizes(docs, id_col, source_col, text_col, digest), "sizes")
+    order = ["_source", "size", "doc_id", *(["_digest"] if digest else [])]
     placed = (
         sized.repartitionByRange(partitions(spark), *order)
         .sortWithinPartitions(*order)
@@ -113,7 +115,7 @@ def plan(
     part = F.col("rate") - whole
     crossed = F.floor(F.col("_start") + part * rank) - F.floor(F.col("_start") + part * (rank - 1))
     return placed.join(known, ["_part", "_source"]).select(
-        "doc_id", "_source", "size", "source_size", "target", (whole + crossed).alias("copies")
+        "doc_id", "_source", "size", "source_size", "target", (whole + crossed).alias("copies"), *order[3:]
     )
 
 
@@ -127,20 +129,19 @@ def mix_report(docs: DataFrame, **named) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **named) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the plan takes it, columns unchanged.
 
-    Rows that repeat id, source and size share the largest of their counts.
+    Each row keeps its own count.  Rows equal in id, source, size and text differ by one at
+    most; as many of them as the plan gives one more take it, in no particular order.
     """
+    key = lambda doc_id, size, source, digest: F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), size, source, digest)
     copies = (
-        plan(docs, id_col, source_col, text_col, **named)
-        .groupBy("doc_id", "_source", "size")
-        .agg(F.max("copies").alias("_copies"))
-        .filter("_copies > 0")
-        .select(
-            F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size"), "_source").alias("_key"),
-            "_copies",
-        )
+        plan(docs, id_col, source_col, text_col, digest=True, **named)
+        .groupBy(key(F.col("doc_id"), F.col("size"), F.col("_source"), F.col("_digest")).alias("_key"))
+        .agg(F.min("copies").alias("_low"), (F.sum("copies") - F.count(F.lit(1)) * F.min("copies")).alias("_more"))
+        .filter("_low + _more > 0")
     )
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
-    key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), size, _source_key(F.col(source_col)))
     # One row per document grows with the table, so the plan is the same at any size: no broadcast.
-    kept = docs.withColumn("_key", key).join(copies.hint("merge"), "_key")
-    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    keyed = docs.withColumn("_key", key(F.col(id_col), size, _source_key(F.col(source_col)), F.xxhash64(text_col)))
+    kept = keyed.join(copies.hint("merge"), "_key").withColumn("_nth", F.row_number().over(W.partitionBy("_key").orderBy("_low")))
+    kept = kept.withColumn("_copies", F.col("_low") + (F.col("_nth") <= F.col("_more")).cast("bigint")).filter("_copies > 0")
+    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy")).drop("_copy")

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import mixing as M
 
@@ -66,3 +67,12 @@ def test_empty_and_wordless(spark, nothing):
     assert M.mix_report(nothing).count() == 0 and M.mix(nothing).count() == 0
     blank = spark.createDataFrame([(1, " ", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [tuple(r) for r in M.mix_report(blank).orderBy("doc_id").collect()] == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+
+
+def test_rows_with_equal_keys_keep_their_own_counts(spark):
+    """Null ids of one size, and equal rows: every source takes what the plan gives it."""
+    rows = [(None, f"a{i} b", s) for i in range(101) for s in ("s", "t", "u")] + [(5, "c d", s) for _ in range(50) for s in ("s", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {r["_source"]: r["n"] for r in M.plan(docs).groupBy("_source").agg(F.sum("copies").alias("n")).collect()}
+    got = M.mix(docs).groupBy("source").count().collect()
+    assert {"=" + r["source"]: r["count"] for r in got} == plan
