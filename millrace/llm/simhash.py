@@ -208,7 +208,7 @@ def near_dedup(
 # bit counts within groups of texts that share an anchor, and every link is confirmed on the
 # shingles themselves.  That finds nearly all links cheaply, but not all.  The rest comes
 # from an exact prefix filter: in one global order of the shingles, two texts of the
-# similarity share one of the first n - ceil(similarity * n) + 1 shingles of each.  Only
+# similarity share SHARED of the first n - ceil(similarity * n) + SHARED shingles of each.  Only
 # pairs that the first pass has not already put in one group are looked at.
 
 ANCHORS = 5
@@ -218,6 +218,9 @@ WIDE_RADIUS = 64
 #: Texts from which common shingles are known, and in how many of them one is common.  Common
 #: shingles come last in the global order; any order finds the same links.
 SAMPLE_TEXTS, COMMON = 4096, 8
+#: Shingles that the prefixes of similar texts share at least (all of them, if fewer suffice);
+#: prefixes are longer by as many less one.
+SHARED = 8
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -247,7 +250,7 @@ def prefix(h: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
     late = np.zeros(len(h), dtype=bool)
     if len(common):
         late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
-    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + SHARED]
 
 
 def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +323,7 @@ def near_copies(
     Texts of the given similarity share one of the ANCHORS anchors with probability
     1 - (1 - similarity) ** ANCHORS (0.9997 at 0.8).  Groups of the same members count
     once; a group of more than ``tile_rows`` texts is compared in pairs of blocks.
-    What the anchors and the radius miss, ``missed_links`` finds, so no link is lost.
+    What the anchors and the radius miss, the pairs of ``_open_pairs`` hold, so no link is lost.
     """
     spark, longs = docs.sparkSession, pa.list_(pa.int64())
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -330,7 +333,25 @@ def near_copies(
         h = _shingle_hashes(text, shingle)
         return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), len(h)
 
-    table = cut(_by_text(rows, {"anchors": longs, "prefix": longs, "n": pa.int64()}, "anchors array<bigint>, prefix array<bigint>, n bigint", seeds), "anchors")
+    seeded = _by_text(rows, {"anchors": longs, "prefix": longs, "n": pa.int64()}, "anchors array<bigint>, prefix array<bigint>, n bigint", seeds)
+    seeded = seeded.withColumn("row", F.monotonically_increasing_id())
+    path = write_cut(seeded, "anchors")
+    table = read_cut(spark, path, seeded)
+    found = _anchored(rows, table, shingle, similarity, radius, tile_rows)
+    free_shuffles(spark)
+    pairs = _open_pairs(table, found, similarity, tile_rows)
+    drop_cut(spark, path)
+    free_shuffles(spark)
+    missed = cut(_confirmed(rows, pairs, shingle, similarity), "missed")
+    if not missed.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(missed))
+    free_shuffles(spark)
+    return found
+
+
+def _anchored(rows: DataFrame, table: DataFrame, shingle: int, similarity: float, radius: int, tile_rows: int) -> DataFrame:
+    """``node, root`` by the links among texts that share an anchor and lie within the radius."""
+    spark, longs = rows.sparkSession, pa.list_(pa.int64())
     members = table.select("doc_id", F.posexplode("anchors").alias("i", "anchor"))
     groups = (
         members.groupBy("i", "anchor")
@@ -344,7 +365,7 @@ def near_copies(
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "doc_id", "i", "anchor", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def compare(group: pa.Table) -> pa.Table:
         ids = group.column("doc_id").to_pylist()
@@ -354,7 +375,8 @@ def near_copies(
         kind = group.schema.field("doc_id").type
         return pa.table({"a": pa.array([s[0] for s in stars], kind), "b": pa.array([s[1] for s in stars], kind)})
 
-    placed = cut(placed, "placed")
+    path = write_cut(placed, "placed")
+    placed = read_cut(spark, path, placed)
 
     def full(text: str | None) -> tuple[np.ndarray, bytes]:
         fps, hashes = sketch(text, shingle)
@@ -366,11 +388,7 @@ def near_copies(
     sketched = _by_text(shared, {"fps": longs, "shingles": pa.binary()}, "fps array<bigint>, shingles binary", full)
     links = placed.join(sketched, "doc_id").groupBy("i", "anchor", "x", "y").applyInArrow(compare, f"a {id_type}, b {id_type}")
     found = components(links.distinct())
-    free_shuffles(spark)
-    missed = cut(missed_links(rows, table, found, shingle, similarity, tile_rows), "missed")
-    if not missed.isEmpty():
-        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(missed))
-    free_shuffles(spark)
+    drop_cut(spark, path)
     return found
 
 
@@ -383,34 +401,42 @@ def _common(rows: DataFrame, shingle: int) -> np.ndarray:
     return np.unique(np.array([r["h"] for r in often.collect()], dtype=np.int64).view(np.uint64))
 
 
-def missed_links(rows: DataFrame, table: DataFrame, found: DataFrame, shingle: int, similarity: float, tile_rows: int) -> DataFrame:
-    """``a, b``: all links between texts of different groups of ``found``, by an exact prefix filter.
+def _open_pairs(table: DataFrame, found: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
+    """``a, b``: pairs of different groups of ``found`` that can be similar, by an exact prefix filter.
 
-    ``table`` holds ``doc_id, prefix, n``.  Pairs that share a prefix shingle are bounded by
-    their sizes and by the shingles left after it (which the first shared one always
-    satisfies), and confirmed on all shingle hashes.
+    ``table`` holds ``doc_id, row, prefix, n``.  Two texts of c shared prefix shingles share
+    no more than c and what is left after the last of these; links need SHARED of them.
+    Groups are told apart by a 64-bit hash of the root, texts by their row.
     """
-    placed = table.select("doc_id", "prefix", "n").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
-    entries = placed.select("doc_id", "n", F.coalesce("root", "doc_id").alias("root"), F.posexplode("prefix").alias("pos", "h"))
-    entries = entries.select("doc_id", "n", "root", "h", (F.col("n") - F.col("pos") - 1).alias("left"))
-    groups = (
-        entries.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low != high")
-        .select("h", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
-    )
-    entries = cut(entries.join(groups.hint("merge"), "h"), "entries")
-    one = entries.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("bigint")).cast("int")).alias("x")
+    placed = table.select("doc_id", "row", "prefix", "n").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
+    entries = placed.select("row", "n", F.xxhash64(F.coalesce("root", "doc_id")).alias("root"), F.posexplode("prefix").alias("pos", "h"))
+    entries = entries.select("h", "row", "root", F.col("n").cast("int").alias("n"), F.col("pos").cast("int").alias("pos"))
+    groups = entries.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("h")
+    path = write_cut(entries.join(groups.hint("merge"), "h", "left_semi"), "entries")
+    entries = read_cut(table.sparkSession, path, entries)
+    blocks = entries.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("blocks"))
+    entries = entries.join(blocks.hint("merge"), "h")
+    one = entries.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks").cast("bigint")).cast("int")).alias("x")
     other = entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    bound = F.least("x.left", "y.left") + 1 >= (small + large) * (similarity / (1 + similarity)) - 1e-6
+    needed = F.ceil((small + large) * (similarity / (1 + similarity)) - 1e-6)
+    last = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
     pairs = (
         one.join(other.hint("merge"), ["h", "block"])
-        .filter((F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.root") != F.col("y.root")) & (small >= large * similarity - 1e-6) & bound)
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
+        .filter((F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & (small >= large * similarity - 1e-6))
+        .groupBy(F.col("x.row").alias("row_a"), F.col("y.row").alias("row_b"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min(last).alias("last"), F.first(needed).alias("needed"))
+        .filter((F.col("c") >= F.least(F.lit(SHARED), "needed")) & (F.col("c") + F.col("last") >= F.col("needed")))
     )
-    pairs = cut(pairs, "pairs")
+    pairs = cut(pairs.select("row_a", "row_b"), "pairs")
+    named = lambda row, name: table.select(F.col("row").alias(row), F.col("doc_id").alias(name)).hint("merge")
+    pairs = cut(pairs.join(named("row_a", "a"), "row_a").join(named("row_b", "b"), "row_b").select("a", "b"), "pairs")
+    drop_cut(table.sparkSession, path)
+    return pairs
+
+
+def _confirmed(rows: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs that are links, by all their shingle hashes."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     hashes = _by_text(
         rows.join(ids.hint("merge"), "doc_id", "left_semi"), {"s": pa.binary()}, "s binary", lambda t: (_shingle_hashes(t, shingle).tobytes(),)
