@@ -11,8 +11,10 @@ on at least ``MIN_PAGES`` distinct pages are covered.  Of a page without content
 elements the unique runs of its unexplained blocks are kept.
 
 Scale: pages are grouped by (host, shard); a host gets one shard for each
-``SHARD_CHARS`` characters, so a hot host is many groups of bounded size, and
-repeats are sought among the pages of a shard.
+``SHARD_CHARS`` characters, so a hot host is many groups of bounded size.  Where a
+host has several shards, each counts the pages of its runs, the counts are summed over
+the host by a 64-bit hash of the run, and every shard gets back those of its runs that
+``MIN_PAGES`` pages of the host share; shards do not change the result.
 
 Defined cases: null and empty html give an empty text; a null url is the host '';
 cut-off pages are read as far as they go (an unfinished tag is dropped, open
@@ -29,9 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 DEPTH = 8
 MIN_PAGES = 3
 SHARD_CHARS = 2_000_000
@@ -136,6 +141,32 @@ def parse(page: str | None) -> list[tuple[str, int]]:
     return out
 
 
+def run_hashes(tokens: list[str], depth: int = DEPTH) -> np.ndarray:
+    """A hash of the ``depth`` tokens from each place on; no place is nearer to the end."""
+    n = len(tokens) - depth + 1
+    return np.fromiter((xxhash.xxh64_intdigest(" ".join(tokens[i : i + depth]).encode("utf-8", "surrogatepass")) for i in range(n)), dtype=np.uint64, count=max(n, 0))
+
+
+def page_counts(streams: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of the streams and on how many pages each is."""
+    pages: dict[int, list[np.ndarray]] = {}
+    for page, tokens in streams:
+        pages.setdefault(page, []).append(run_hashes(tokens))
+    each = [np.unique(np.concatenate(h)) for h in pages.values()]
+    return np.unique(np.concatenate(each) if each else np.zeros(0, dtype=np.uint64), return_counts=True)
+
+
+def covered_by(streams: list[tuple[int, list[str]]], repeated: np.ndarray, depth: int = DEPTH) -> list[np.ndarray]:
+    """As ``covered``, with the hashes of the repeated runs known."""
+    masks = []
+    for _, tokens in streams:
+        mask = np.zeros(len(tokens), dtype=bool)
+        for at in np.flatnonzero(np.isin(run_hashes(tokens), repeated)).tolist():
+            mask[at : at + depth] = True
+        masks.append(mask)
+    return masks
+
+
 def covered(streams: list[tuple[int, list[str]]], depth: int = DEPTH, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
     """For each (page number, tokens): which tokens lie in a run of ``depth`` tokens that ``min_pages`` pages share.
 
@@ -225,9 +256,21 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     id_type = pages.schema[id_col].dataType.simpleString()
 
-    def decide(group: pa.Table) -> pa.Table:
+    def streams(found: list) -> list[tuple[int, list[str]]]:
+        return [(i, t.split()) for i, page in enumerate(found) for t, _ in page]
+
+    def count(group: pa.Table) -> pa.Table:
+        runs, n = page_counts(streams([_unpack(b) for b in group.column("blocks").to_pylist()]))
+        host, shard = group.column("host")[0].as_py(), group.column("shard")[0].as_py()
+        same = [pa.array([x] * len(runs), kind) for x, kind in ((host, pa.string()), (shard, pa.int64()))]
+        return pa.table([*same, pa.array(runs.view(np.int64)), pa.array(n, pa.int64())], names=["host", "shard", "run", "n"])
+
+    def decide(group: pa.Table, known: pa.Table) -> pa.Table:
         found = [_unpack(b) for b in group.column("blocks").to_pylist()]
-        masks = iter(covered([(i, t.split()) for i, page in enumerate(found) for t, _ in page]))
+        if group.num_rows and group.column("n_shards")[0].as_py() > 1:
+            masks = iter(covered_by(streams(found), known.column("run").to_numpy().view(np.uint64)))
+        else:
+            masks = iter(covered(streams(found)))
         text, repeated = [], []
         for page in found:
             own = [next(masks) for _ in page]
@@ -243,8 +286,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             }
         )
 
+    several = placed.filter("n_shards > 1").select("host", "shard", "blocks").groupBy("host", "shard")
+    counts = cut(several.applyInArrow(count, "host string, shard bigint, run bigint, n bigint"), "runs")
+    often = counts.groupBy("host", "run").agg(F.sum("n").alias("pages")).filter(F.col("pages") >= MIN_PAGES).select("host", "run")
+    known = counts.select("host", "shard", "run").join(often.hint("merge"), ["host", "run"], "left_semi").select("host", "shard", "run")
     return (
-        placed.select("host", "shard", "page_id", "url", "blocks")
+        placed.select("host", "shard", "n_shards", "page_id", "url", "blocks")
         .groupBy("host", "shard")
+        .cogroup(known.groupBy("host", "shard"))
         .applyInArrow(decide, f"page_id {id_type}, url string, text string, n_chars bigint, n_repeated bigint")
     )

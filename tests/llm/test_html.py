@@ -77,3 +77,15 @@ def test_real_pages_and_empty(spark):
     out = H.extract(pages)
     assert out.count() == pages.count() and out.filter("n_chars = 0").count() == 0
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_shards_do_not_change_the_result(spark):
+    """A notice on five pages of a host goes, however many shards the host has."""
+    from millrace.llm import html as module
+
+    notice = "this site keeps small files on your device to remember you"
+    rows = [(i, f"http://h.example/{i}", f"<div>{notice}</div><div>" + " ".join(f"p{i}w{k}" for k in range(40)) + "</div>") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one = sorted(map(tuple, module.extract(pages).collect()))
+    many = sorted(map(tuple, module.extract(pages, shard_chars=100).collect()))
+    assert many == one and all("small files" not in r[2] and r[4] == 11 for r in many)
