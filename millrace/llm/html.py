@@ -158,10 +158,13 @@ def page_counts(streams: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.nd
 
 def covered_by(streams: list[tuple[int, list[str]]], repeated: np.ndarray, depth: int = DEPTH) -> list[np.ndarray]:
     """As ``covered``, with the hashes of the repeated runs known."""
-    masks = []
-    for _, tokens in streams:
+    hashes = [run_hashes(tokens) for _, tokens in streams]
+    known = np.isin(np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]), repeated)
+    masks, start = [], 0
+    for (_, tokens), own in zip(streams, hashes):
         mask = np.zeros(len(tokens), dtype=bool)
-        for at in np.flatnonzero(np.isin(run_hashes(tokens), repeated)).tolist():
+        here, start = known[start : start + len(own)], start + len(own)
+        for at in np.flatnonzero(here).tolist():
             mask[at : at + depth] = True
         masks.append(mask)
     return masks
@@ -288,8 +291,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     several = placed.filter("n_shards > 1").select("host", "shard", "blocks").groupBy("host", "shard")
     counts = cut(several.applyInArrow(count, "host string, shard bigint, run bigint, n bigint"), "runs")
-    often = counts.groupBy("host", "run").agg(F.sum("n").alias("pages")).filter(F.col("pages") >= MIN_PAGES).select("host", "run")
-    known = counts.select("host", "shard", "run").join(often.hint("merge"), ["host", "run"], "left_semi").select("host", "shard", "run")
+    counts = counts.withColumn("key", F.xxhash64("host", "run"))
+    often = counts.groupBy("key").agg(F.sum("n").alias("pages")).filter(F.col("pages") >= MIN_PAGES).select("key")
+    known = counts.join(often.hint("merge"), "key", "left_semi").select("host", "shard", "run")
     return (
         placed.select("host", "shard", "n_shards", "page_id", "url", "blocks")
         .groupBy("host", "shard")
