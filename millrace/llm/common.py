@@ -78,6 +78,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_size(batch, column: int, limit: int = 16 << 20):
+    """An Arrow batch in slices of some ``limit`` bytes of one string or binary column, one row at least."""
+    values = batch.column(column)
+    if not batch.num_rows or values.nbytes <= limit:
+        yield batch
+        return
+    rows = max(1, batch.num_rows * limit // values.nbytes)
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def pieces(batch, rows: int = 1024):
     """An Arrow batch in slices, so that what a task holds besides its input stays small."""
     for at in range(0, batch.num_rows, rows):

@@ -1,25 +1,39 @@
-r"""HTML extraction with a host suffix array.
-
-A page is parsed into blocks of text.  Elements that say what they are decide:
-navigation, page header and footer, sidebars, forms, scripts, styles, adverts,
-notices and comments are boilerplate; what an ``article`` or ``main`` element holds
-besides these is content, and is never removed, since copies of an article on
-several pages are no boilerplate.  Blocks that no element explains are decided by
-the host: the token streams of its pages are concatenated, suffixes are ranked by
-prefix doubling to a depth of ``DEPTH`` tokens, and runs that begin equal suffixes
-on at least ``MIN_PAGES`` distinct pages are covered.  Of a page without content
-elements the unique runs of its unexplained blocks are kept.
-
-Scale: pages are grouped by (host, shard); a host gets one shard for each
-``SHARD_CHARS`` characters, so a hot host is many groups of bounded size.  Where a
-host has several shards, each counts the pages of its runs, the counts are summed over
-the host by a 64-bit hash of the run, and every shard gets back those of its runs that
-``MIN_PAGES`` pages of the host share; shards do not change the result.
-
-Defined cases: null and empty html give an empty text; a null url is the host '';
-cut-off pages are read as far as they go (an unfinished tag is dropped, open
-elements end with the page); rows that repeat a page_id are pages of their own;
-extra columns are ignored.
+r"""HTML extraction with a suffix array over the pages of a host.
+
+A page is parsed into blocks of text, and its token stream (the words of all blocks,
+each block closed by a boundary token) joins those of its host.  Runs of ``DEPTH``
+tokens that stand on at least ``MIN_PAGES`` pages of the host, of at least two different
+contents, are repeats; pages of equal content are copies of one article and say nothing
+about boilerplate.  The repeats are found for every block, and decide as follows.
+
+* Blocks that no element explains: what repeats cover is boilerplate, unique runs stay;
+  fewer than ``DEPTH // 2`` covered tokens within a block that has others stay too.  Of a block shorter than ``DEPTH`` outside paragraphs the whole text is one run.
+* Blocks in an ``article`` or ``main`` element: a box (a block that is no paragraph,
+  heading, list item or table cell) covered as a whole is boilerplate, unless repeats cover
+  more than half of the page's article, which then is a near copy and stays.  Paragraphs
+  stay: articles of a host share passages, and these belong to each of them.
+* Navigation, page header and footer, sidebars, forms, scripts, styles, adverts, notices
+  and comments that elements or class names state are boilerplate whether repeated or
+  not, as is what stands outside the article of a page that has one.
+
+How the repeats of a host are found, whatever its size: no task holds a host.
+
+1. Each page sends the hashes of its anchors, the 4-grams that are smallest among the seven of
+   some ``DEPTH`` window (one token in four).  Every window holds one, so only windows
+   whose anchor is on enough pages can be repeats; that is exact.
+2. Those pages get their repeated anchors back.  The suffixes of a batch of pages are ranked by
+   prefix doubling to ``DEPTH`` tokens; equal ranks are equal runs, counted once per page.
+   Runs that hold a repeated anchor are summed over all batches by a 64-bit hash.
+3. Those pages get their repeated runs back, which are covered and joined.
+
+Keys are hashes that contain the host, so a hot host is as many keys as any other text;
+counts are combined before each shuffle.  Pages move by a hash of their own.
+
+Defined cases: null and empty html give an empty text; a null url is the host ''; cut-off
+pages are read as far as they go (an unfinished tag is dropped, open elements end with the
+page); an article inside an element that only its class marks counts where the page has no
+other; rows that repeat a page_id are pages of their own, and rows equal in url and html
+are copies; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +42,8 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +51,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import by_size, cut, free_shuffles
 
-DEPTH = 8
+DEPTH = 10
 MIN_PAGES = 3
-SHARD_CHARS = 2_000_000
-BOILERPLATE, UNKNOWN, CONTENT = 0, 1, 2
+GRAM = 4
+BOILERPLATE, UNKNOWN, CONTENT, MARKED_CONTENT = 0, 1, 2, 3
 
 #: Elements by what they hold.
 _DROPPED = frozenset("nav footer aside form script style noscript template iframe object svg select button menu dialog canvas audio video".split())
@@ -50,6 +66,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img input".split()
 )
+_FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th caption figcaption article main".split())
 #: Words of class, id or role that mark boilerplate; the second set only outside content.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner cookie cookies consent sidebar menu nav navbar navigation breadcrumb breadcrumbs"
@@ -57,18 +74,45 @@ _MARKS = frozenset(
     " notices alert pagination complementary contentinfo search login".split()
 )
 _OUTER_MARKS = frozenset("header masthead related recommended toolbar widget".split())
+#: Words that may stand beside a mark in one name ("site-footer", "ad-slot-2"); any
+#: other word ("with-sidebar", "no-comments", "search-results") makes it a name of something else.
+_BESIDE = frozenset(
+    "site page main global top bottom left right inner outer primary secondary post entry user reader wrapper wrap container box block area"
+    " section list item items bar link links slot unit row col column panel group holder text title heading icon button form field fixed sticky".split()
+)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: What a stream holds where a block ends; no word contains a line break.
+BOUNDARY = "\n"
+
+
+class Block(NamedTuple):
+    text: str
+    kind: int
+    flow: bool
+
+
+@cache
+def _end_of(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I)
+
+
+@cache
+def _marks(name: str) -> frozenset:
+    """The marks of one class, id or role name; none if it says other things too."""
+    words = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
+    found = words & (_MARKS | _OUTER_MARKS)
+    return frozenset(found) if words <= found | _BESIDE else frozenset()
 
 
-def parse(page: str | None) -> list[tuple[str, int]]:
-    """The blocks of a page in order: their text, and what the elements around say of it."""
+def parse(page: str | None) -> list[Block]:
+    """The blocks of a page in order: their text, what the elements around say, and if it is running text."""
     page = page or ""
-    out: list[tuple[str, int]] = []
+    out: list[Block] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements that can hold blocks, and their kind
+    stack: list[tuple[str, int, bool]] = []  # open elements that can hold blocks, their kind, if only a name marks it
     kind, at, n = UNKNOWN, 0, len(page)
 
     def flush() -> None:
@@ -77,7 +121,7 @@ def parse(page: str | None) -> list[tuple[str, int]]:
             held.clear()
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
-                out.append((text, kind))
+                out.append(Block(text, kind, bool(stack) and stack[-1][0] in _FLOW))
 
     while at < n:
         lt = page.find("<", at)
@@ -105,9 +149,11 @@ def parse(page: str | None) -> list[tuple[str, int]]:
         at = tag.end()
         closing, name, attributes = tag[1], tag[2].lower(), tag[3]
         if name in _RAW and not closing:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
             held.append(" ")
+            end = _end_of(name).search(page, at)
+            if attributes.endswith("/") and (end is None or name not in ("script", "style", "textarea")):
+                continue  # closes itself
+            at = end.end() if end else n
             continue
         if name in _INLINE:
             if name in ("br", "img", "input"):
@@ -126,177 +172,342 @@ def parse(page: str | None) -> list[tuple[str, int]]:
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
             stack.pop()  # these end where the next one begins
             kind = stack[-1][1] if stack else UNKNOWN
-        within = kind
-        if within != BOILERPLATE and name not in ("html", "body"):
-            marks = set(_WORDS.findall(" ".join(map("".join, _NAMES.findall(attributes))).lower())) if "=" in attributes else set()
-            if name in _DROPPED or marks & _MARKS:
-                within = BOILERPLATE
-            elif within == UNKNOWN and (name in ("header", "head") or marks & _OUTER_MARKS):
-                within = BOILERPLATE
-            elif name in _CONTENT:
+        within, named = kind, bool(stack) and stack[-1][2]
+        if within == BOILERPLATE:
+            if named and name in _CONTENT:
+                within = MARKED_CONTENT
+        elif name not in ("html", "body"):
+            marks: set[str] = set()
+            if "=" in attributes:
+                for word in " ".join(map("".join, _NAMES.findall(attributes))).split():
+                    marks |= _marks(word)
+            outside = within == UNKNOWN
+            if name in _DROPPED or outside and name in ("header", "head"):
+                within, named = BOILERPLATE, False
+            elif marks & _MARKS or outside and marks:
+                within, named = BOILERPLATE, outside
+            elif name in _CONTENT and within != MARKED_CONTENT:
                 within = CONTENT
-        stack.append((name, within))
+        stack.append((name, within, named))
         kind = within
     flush()
     return out
 
 
-def run_hashes(tokens: list[str], depth: int = DEPTH) -> np.ndarray:
-    """A hash of the ``depth`` tokens from each place on; no place is nearer to the end."""
-    n = len(tokens) - depth + 1
-    return np.fromiter((xxhash.xxh64_intdigest(" ".join(tokens[i : i + depth]).encode("utf-8", "surrogatepass")) for i in range(n)), dtype=np.uint64, count=max(n, 0))
+# ---- token streams ------------------------------------------------------------------
+
+_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_REMEMBERED = 500_000
+
+
+class _Ids(dict):
+    def __missing__(self, token: str) -> int:
+        found = self[token] = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+        return found
+
 
+_ids = _Ids()
 
-def page_counts(streams: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct runs of the streams and on how many pages each is."""
-    pages: dict[int, list[np.ndarray]] = {}
-    for page, tokens in streams:
-        pages.setdefault(page, []).append(run_hashes(tokens))
-    each = [np.unique(np.concatenate(h)) for h in pages.values()]
-    return np.unique(np.concatenate(each) if each else np.zeros(0, dtype=np.uint64), return_counts=True)
 
+def stream_of(blocks: list[Block]) -> np.ndarray:
+    """Hashes of the page's tokens, a boundary after each block."""
+    if len(_ids) > _REMEMBERED:
+        _ids.clear()
+    tokens: list[str] = []
+    for block in blocks:
+        tokens += block.text.split()
+        tokens.append(BOUNDARY)
+    return np.fromiter(map(_ids.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
 
-def covered_by(streams: list[tuple[int, list[str]]], repeated: np.ndarray, depth: int = DEPTH) -> list[np.ndarray]:
-    """As ``covered``, with the hashes of the repeated runs known."""
-    hashes = [run_hashes(tokens) for _, tokens in streams]
-    known = np.isin(np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]), repeated)
-    masks, start = [], 0
-    for (_, tokens), own in zip(streams, hashes):
-        mask = np.zeros(len(tokens), dtype=bool)
-        here, start = known[start : start + len(own)], start + len(own)
-        for at in np.flatnonzero(here).tolist():
-            mask[at : at + depth] = True
-        masks.append(mask)
-    return masks
 
+def _seed(host: str | None) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest((host or "").encode("utf-8", "surrogatepass")))
 
-def covered(streams: list[tuple[int, list[str]]], depth: int = DEPTH, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each (page number, tokens): which tokens lie in a run of ``depth`` tokens that ``min_pages`` pages share.
 
-    The suffixes of all streams are ranked by prefix doubling; equal ranks at the
-    full depth are neighbours in the suffix array.  A separator of its own after each
-    stream keeps runs inside it.
+def grams(ids: np.ndarray, width: int, seed: np.uint64) -> np.ndarray:
+    """A hash of the ``width`` tokens from each place on and of the host."""
+    n = max(len(ids) - width + 1, 0)
+    with np.errstate(over="ignore"):
+        out = np.full(n, seed, dtype=np.uint64)
+        for i in range(width):
+            out = out * _FACTOR + ids[i : i + n]
+        out = (out ^ (out >> np.uint64(32))) * _MIX
+        return out ^ (out >> np.uint64(29))
+
+
+def window_anchors(ids: np.ndarray, seed: np.uint64, depth: int = DEPTH) -> np.ndarray:
+    """For each window of ``depth`` tokens its anchor: the smallest hash of its GRAM-grams."""
+    if len(ids) < depth:
+        return np.zeros(0, dtype=np.uint64)
+    return np.lib.stride_tricks.sliding_window_view(grams(ids, GRAM, seed), depth - GRAM + 1).min(axis=1)
+
+
+def short_blocks(blocks: list[Block], seed: np.uint64, depth: int = DEPTH) -> dict[int, int]:
+    """Blocks too short for a window that no paragraph holds: number of the block -> hash of its text."""
+    out = {}
+    for i, (text, kind, flow) in enumerate(blocks):
+        if kind == UNKNOWN and not flow and text.count(" ") + 1 < depth:
+            out[i] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=int(seed))
+    return out
+
+
+def content_hash(blocks: list[Block]) -> int:
+    """31 bits of the text that makes the page: its article, or else all that no element explains, or all."""
+    chosen = _article(blocks) or [b for b in blocks if b.kind == UNKNOWN] or blocks
+    return xxhash.xxh64_intdigest(BOUNDARY.join(b.text for b in chosen).encode("utf-8", "surrogatepass")) >> 33
+
+
+def suffix_ranks(streams: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of all suffixes to ``depth`` tokens, by prefix doubling, and where each stream starts.
+
+    A separator of its own after each stream keeps equal runs inside streams.
     """
-    lengths = np.array([len(t) for _, t in streams], dtype=np.int64)
+    lengths = np.array([len(s) for s in streams], dtype=np.int64)
+    starts = np.r_[0, np.cumsum(lengths + 1)[:-1]] if len(streams) else np.zeros(0, np.int64)
     total = int(lengths.sum() + len(streams))
     if not total:
-        return [np.zeros(0, dtype=bool) for _ in streams]
-    number: dict[str, int] = {}
-    ids = np.empty(total, dtype=np.int64)
-    page = np.repeat([p for p, _ in streams], lengths + 1)
-    starts = np.r_[0, np.cumsum(lengths + 1)[:-1]]
-    for start, (_, tokens) in zip(starts, streams):
-        ids[start : start + len(tokens)] = [number.setdefault(t, len(number)) for t in tokens]
+        return np.zeros(0, np.int64), starts
+    words = np.unique(np.concatenate(streams), return_inverse=True)[1]
+    rank = np.empty(total, dtype=np.int64)
     ends = starts + lengths
-    ids[ends] = len(number) + np.arange(len(streams))
-    rank, width = ids, 1
+    inside = np.ones(total, dtype=bool)
+    inside[ends] = False
+    rank[inside] = words
+    rank[ends] = (int(words.max()) + 1 if len(words) else 0) + np.arange(len(streams))
+    width = 1
     while width < depth:
         step = min(width, depth - width)
         after = np.zeros(total, dtype=np.int64)
         after[: max(total - step, 0)] = rank[step:] + 1
         rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
         width += step
-    order = np.lexsort((page, rank))  # the suffix array, suffixes of one rank by page
-    r, p = rank[order], page[order]
-    new_rank = np.r_[True, r[1:] != r[:-1]]
-    pages = np.add.reduceat((new_rank | np.r_[True, p[1:] != p[:-1]]).astype(np.int64), np.flatnonzero(new_rank))
-    repeated = np.empty(total, dtype=bool)
-    repeated[order] = np.repeat(pages >= min_pages, np.diff(np.r_[np.flatnonzero(new_rank), total]))
-    edge = np.zeros(total + depth + 1, dtype=np.int64)
-    at = np.flatnonzero(repeated)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + depth, -1)
-    mask = np.cumsum(edge)[:total] > 0
-    return [mask[s : s + n] for s, n in zip(starts, lengths)]
-
-
-def _assemble(blocks: list[tuple[str, int]], masks: list[np.ndarray]) -> str:
-    chosen = [text for text, kind in blocks if kind == CONTENT]
-    if not chosen:
-        for (text, kind), mask in zip(blocks, masks):
-            if kind == UNKNOWN and not mask.all():
-                # Unique runs stay; a block without a repeat stays as it is.
-                chosen.append(" ".join(t for t, m in zip(text.split(), mask) if not m) if mask.any() else text)
-    return "\n\n".join(chosen)
-
-
-def _pack(found: list[tuple[str, int]]) -> bytes:
-    """Blocks as compressed JSON, since pages are shuffled by host."""
-    raw = json.dumps(found, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")
+    return rank, starts
+
+
+def runs(pages: list[tuple[np.ndarray, np.ndarray, np.uint64, int]], depth: int = DEPTH) -> tuple[np.ndarray, ...]:
+    """Hash, pages, and least and greatest content of each run that may be a repeat.
+
+    ``pages`` holds stream, places of the windows that may be repeats, host seed and content hash.
+    """
+    with np.errstate(over="ignore"):
+        rank, starts = suffix_ranks([ids * _FACTOR + seed for ids, _, seed, _ in pages], depth)
+    places = [start + at for start, (_, at, _, _) in zip(starts, pages)]
+    none = np.zeros(0, dtype=np.int64)
+    at = np.concatenate([none, *places])
+    page = np.repeat(np.arange(len(pages)), [len(p) for p in places])
+    hashes = np.concatenate([none.view(np.uint64), *(grams(ids, depth, seed)[where] for ids, where, seed, _ in pages)])
+    content = np.array([c for *_, c in pages], dtype=np.int64)
+    order = np.lexsort((page, rank[at]))  # the suffix array of these places, equal runs by page
+    r, p, h = rank[at][order], page[order], hashes[order]
+    first = np.r_[True, (r[1:] != r[:-1]) | (p[1:] != p[:-1])][: len(r)]
+    r, p, h = r[first], p[first], h[first]
+    new = np.flatnonzero(np.r_[True, r[1:] != r[:-1]][: len(r)])
+    if not len(new):
+        return none.view(np.uint64), none, none, none
+    c = content[p]
+    return h[new], np.diff(np.r_[new, len(r)]), np.minimum.reduceat(c, new), np.maximum.reduceat(c, new)
+
+
+def _covered(ids: np.ndarray, seed: np.uint64, repeated: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Which tokens of a stream lie in a repeated run."""
+    edge = np.zeros(len(ids) + 1, dtype=np.int64)
+    at = np.flatnonzero(np.isin(grams(ids, depth, seed), repeated))
+    edge[at] += 1
+    edge[at + depth] -= 1
+    return np.cumsum(edge)[: len(ids)] > 0
+
+
+def _stretches(mask: np.ndarray, least: int = DEPTH // 2) -> np.ndarray:
+    """Without covered stretches of fewer than ``least`` tokens: a run that ends a word or two into a block."""
+    edges = np.flatnonzero(np.diff(np.r_[False, mask, False].astype(np.int8)))
+    out = mask.copy()
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if end - start < least:
+            out[start:end] = False
+    return out
+
+
+def _article(blocks: list[Block]) -> list[Block]:
+    return [b for b in blocks if b.kind == CONTENT] or [b for b in blocks if b.kind == MARKED_CONTENT]
+
+
+def assemble(blocks: list[Block], host: str | None, repeated: np.ndarray) -> tuple[str, int, int]:
+    """Text of a page, its tokens in repeats, and its tokens that go because of them."""
+    seed = _seed(host)
+    mask = _covered(stream_of(blocks), seed, repeated) if len(repeated) else None
+    short = short_blocks(blocks, seed) if len(repeated) else {}
+    known = set(repeated.tolist())
+    article = _article(blocks)
+    kind = article[0].kind if article else UNKNOWN
+    chosen: list[tuple[Block, np.ndarray | None]] = []
+    at = n_repeated = 0
+    for i, block in enumerate(blocks):
+        own = None
+        if mask is not None:
+            n = block.text.count(" ") + 1
+            own = mask[at : at + n]
+            at += n + 1
+            if short.get(i) in known:
+                own = np.ones(n, dtype=bool)
+            n_repeated += int(own.sum())
+        if block.kind == kind:
+            chosen.append((block, own))
+    out: list[str] = []
+    n_cut = 0
+    copy = bool(article) and mask is not None and 2 * sum(int(own.sum()) for _, own in chosen) > sum(len(own) for _, own in chosen)
+    for block, own in chosen:
+        if own is None or not own.any() or article and (copy or block.flow or not own.all()):
+            out.append(block.text)
+            continue
+        if not own.all():
+            own = _stretches(own)
+        n_cut += int(own.sum())
+        if not own.all():
+            out.append(" ".join(t for t, m in zip(block.text.split(), own) if not m))
+    return "\n\n".join(out), n_repeated, n_cut
+
+
+# ---- tables -------------------------------------------------------------------------
+
+
+def _pack(blocks: list[Block]) -> bytes:
+    """Blocks as compressed JSON, since pages are shuffled."""
+    raw = json.dumps(blocks, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpack(data: bytes) -> list[tuple[str, int]]:
+def _unpack(data: bytes) -> list[Block]:
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return [(t, k) for t, k in json.loads(raw.decode("utf-8", "surrogatepass"))]
+    return [Block(*b) for b in json.loads(raw.decode("utf-8", "surrogatepass"))]
 
 
 def _host(url_col: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, host, blocks``: the parsed pages, packed."""
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(values, dtype=np.uint64).view(np.int64))
+
+
+def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """``row`` names a page by url and html; equal pages share it, and pages that a collision joins only share keys of runs."""
+    url, body = F.col(url_col).cast("string"), F.col(html_col).cast("string")
+    return pages.select(F.xxhash64(url, body).alias("row"), _host(url_col).alias("host"), body.alias("html"), F.col(id_col).alias("page_id"), url.alias("url"))
+
+
+def page_anchors(keyed: DataFrame) -> DataFrame:
+    """``key, row, content``: each page's anchors and short blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in by_size(whole, 2)):
+            keys, content = [], []
+            for host, html in zip(batch.column(1).to_pylist(), batch.column(2)):
+                blocks, seed = parse(html.as_py()), _seed(host)
+                short = np.array(list(short_blocks(blocks, seed).values()), dtype=np.uint64)
+                keys.append(np.unique(np.concatenate([window_anchors(stream_of(blocks), seed), short])))
+                content.append(content_hash(blocks))
+            each = [len(k) for k in keys]
+            rows = np.repeat(batch.column(0).to_numpy(), each)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(np.concatenate([np.zeros(0, np.uint64), *keys])), pa.array(rows), pa.array(np.repeat(np.array(content, dtype=np.int32), each))],
+                names=["key", "row", "content"],
+            )
+
+    return keyed.select("row", "host", "html").mapInArrow(run, "key bigint, row bigint, content int")
+
+
+def _often(counted: DataFrame, n: Column, least: str, greatest: str) -> DataFrame:
+    """Keys on enough pages of different contents, combined before the shuffle."""
+    sums = counted.groupBy("key").agg(F.sum(n).alias("n"), F.min(least).alias("low"), F.max(greatest).alias("high"))
+    return sums.filter((F.col("n") >= MIN_PAGES) & (F.col("low") != F.col("high"))).select("key")
+
+
+def _per_page(found: DataFrame, often: DataFrame) -> DataFrame:
+    """``row, keys``: what is repeated of each page, at most as much as the page holds."""
+    return found.join(often.hint("merge"), "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("keys"))
+
+
+def page_runs(placed: DataFrame) -> DataFrame:
+    """``key, row, n, low, high`` for the windows of ``placed`` (``row, host, blocks, keys``) that hold a repeated anchor.
+
+    ``n`` and contents of a run stand in the row of one page of the batch; the others have n = 0.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in by_size(whole, 2)):
+            pages, short_keys, short_rows, short_content = [], [], [], []
+            rows = batch.column(0).to_numpy()
+            for row, host, blocks, keys in zip(rows.tolist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                blocks, seed = _unpack(blocks.as_py()), _seed(host)
+                known = np.array(keys.as_py() or [], dtype=np.int64).view(np.uint64)
+                ids = stream_of(blocks)
+                content = content_hash(blocks)
+                pages.append((ids, np.flatnonzero(np.isin(window_anchors(ids, seed), known)), seed, content))
+                for key in set(short_blocks(blocks, seed).values()) & set(known.tolist()):
+                    short_keys.append(key)
+                    short_rows.append(row)
+                    short_content.append(content)
+            keys, n, low, high = runs(pages)
+            own = [np.unique(grams(ids, DEPTH, seed)[at]) for ids, at, seed, _ in pages]
+            each = np.concatenate([np.zeros(0, np.uint64), *own])
+            owner = np.repeat(rows, [len(o) for o in own])
+            order = np.argsort(keys)
+            place = order[np.searchsorted(keys, each, sorter=order)] if len(keys) else np.zeros(0, np.int64)
+            first = np.zeros(len(each), dtype=bool)
+            first[np.unique(place, return_index=True)[1]] = True
+            k = len(short_keys)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _signed(np.concatenate([each, np.array(short_keys, dtype=np.uint64)])),
+                    pa.array(np.concatenate([owner, np.array(short_rows, dtype=np.int64)])),
+                    pa.array(np.concatenate([np.where(first, n[place], 0), np.ones(k, np.int64)])),
+                    pa.array(np.concatenate([low[place], np.array(short_content, dtype=np.int64)])),
+                    pa.array(np.concatenate([high[place], np.array(short_content, dtype=np.int64)])),
+                ],
+                names=["key", "row", "n", "low", "high"],
+            )
+
+    return placed.select("row", "host", "blocks", "keys").mapInArrow(run, "key bigint, row bigint, n bigint, low bigint, high bigint")
+
+
+def blocks(keyed: DataFrame, id_type: str) -> DataFrame:
+    """The parsed pages, packed: ``row, host, page_id, url, blocks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in by_size(whole, 4)):
+            packed = pa.array([_pack(parse(h.as_py())) for h in batch.column(4)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed], names=["row", "host", "page_id", "url", "blocks"])
+
+    return keyed.select("row", "host", "page_id", "url", "html").mapInArrow(run, f"row bigint, host string, page_id {id_type}, url string, blocks binary")
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``page_id, url, text, n_chars, n_repeated`` (tokens in repeats), ``n_cut`` (tokens that repeats remove) for every row."""
+    spark, id_type = pages.sparkSession, pages.schema[id_col].dataType.simpleString()
+    keyed = _keyed(pages, id_col, url_col, html_col)
+    anchors = page_anchors(keyed)
+    # The first counts are written and their shuffle is freed before the next one is made.
+    often = cut(_often(anchors.withColumn("n", F.lit(1)), F.col("n"), "content", "content"), "anchors")
+    free_shuffles(spark)
+    known = cut(_per_page(anchors.select("key", "row"), often), "known")
+    free_shuffles(spark)
+    distinct = blocks(keyed, id_type).select("row", "host", "blocks")
+    found = cut(page_runs(distinct.join(known.hint("merge"), "row")), "runs")
+    free_shuffles(spark)
+    repeats = cut(_per_page(found.select("key", "row"), _often(found, F.col("n"), "low", "high")), "repeats")
+    free_shuffles(spark)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = pa.array([_pack(parse(h.as_py())) for h in batch.column(3)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], names=["page_id", "url", "host", "blocks"])
-
-    id_type = pages.schema[id_col].dataType.simpleString()
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), _host(url_col).alias("host"), F.col(html_col).cast("string").alias("html")).mapInArrow(
-        run, f"page_id {id_type}, url string, host string, blocks binary"
-    )
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """``page_id, url, text, n_chars, n_repeated`` (tokens in host repeats) for every row."""
-    size = F.coalesce(F.length(html_col), F.lit(0))
-    shards = pages.groupBy(_host(url_col).alias("host")).agg(F.ceil(F.sum(size) / F.lit(shard_chars)).cast("bigint").alias("n_shards"))
-    # The hosts' table is broadcast by Spark only while it is small; beyond that both sides are shuffled.
-    placed = blocks(pages, id_col, url_col, html_col).join(shards, "host").withColumn(
-        "shard", F.pmod(F.xxhash64("page_id", "url"), F.greatest("n_shards", F.lit(1).cast("bigint")))
-    )
-    id_type = pages.schema[id_col].dataType.simpleString()
-
-    def streams(found: list) -> list[tuple[int, list[str]]]:
-        return [(i, t.split()) for i, page in enumerate(found) for t, _ in page]
-
-    def count(group: pa.Table) -> pa.Table:
-        runs, n = page_counts(streams([_unpack(b) for b in group.column("blocks").to_pylist()]))
-        host, shard = group.column("host")[0].as_py(), group.column("shard")[0].as_py()
-        same = [pa.array([x] * len(runs), kind) for x, kind in ((host, pa.string()), (shard, pa.int64()))]
-        return pa.table([*same, pa.array(runs.view(np.int64)), pa.array(n, pa.int64())], names=["host", "shard", "run", "n"])
-
-    def decide(group: pa.Table, known: pa.Table) -> pa.Table:
-        found = [_unpack(b) for b in group.column("blocks").to_pylist()]
-        if group.num_rows and group.column("n_shards")[0].as_py() > 1:
-            masks = iter(covered_by(streams(found), known.column("run").to_numpy().view(np.uint64)))
-        else:
-            masks = iter(covered(streams(found)))
-        text, repeated = [], []
-        for page in found:
-            own = [next(masks) for _ in page]
-            text.append(_assemble(page, own))
-            repeated.append(int(sum(m.sum() for m in own)))
-        return pa.table(
-            {
-                "page_id": group.column("page_id"),
-                "url": group.column("url"),
-                "text": pa.array(text, pa.string()),
-                "n_chars": pa.array(list(map(len, text)), pa.int64()),
-                "n_repeated": pa.array(repeated, pa.int64()),
-            }
-        )
-
-    several = placed.filter("n_shards > 1").select("host", "shard", "blocks").groupBy("host", "shard")
-    counts = cut(several.applyInArrow(count, "host string, shard bigint, run bigint, n bigint"), "runs")
-    counts = counts.withColumn("key", F.xxhash64("host", "run"))
-    often = counts.groupBy("key").agg(F.sum("n").alias("pages")).filter(F.col("pages") >= MIN_PAGES).select("key")
-    known = counts.join(often.hint("merge"), "key", "left_semi").select("host", "shard", "run")
-    return (
-        placed.select("host", "shard", "n_shards", "page_id", "url", "blocks")
-        .groupBy("host", "shard")
-        .cogroup(known.groupBy("host", "shard"))
-        .applyInArrow(decide, f"page_id {id_type}, url string, text string, n_chars bigint, n_repeated bigint")
-    )
+            done = [
+                assemble(_unpack(b.as_py()), h, np.array(k.as_py() or [], dtype=np.int64).view(np.uint64))
+                for h, b, k in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4))
+            ]
+            text = [d[0] for d in done]
+            numbers = [pa.array(x, pa.int64()) for x in (list(map(len, text)), [d[1] for d in done], [d[2] for d in done])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(text, pa.string()), *numbers], names=["page_id", "url", "text", "n_chars", "n_repeated", "n_cut"]
+            )
+
+    placed = blocks(keyed, id_type).join(repeats.hint("merge"), "row", "left").select("page_id", "url", "host", "blocks", "keys")
+    return placed.mapInArrow(decide, f"page_id {id_type}, url string, text string, n_chars bigint, n_repeated bigint, n_cut bigint")

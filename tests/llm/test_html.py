@@ -20,6 +20,12 @@ def page(body, head=""):
         ("<article><p>a<br>b<br/>c</p></article>", "a b c"),
         ('<article><header><h1>title</h1></header><p data-x="a>b">t</p></article>', "title\n\nt"),
         ("<main><p>m</p></main><p>loose</p>", "m"),
+        ('<svg class="i"/><article><p>a</p><iframe src=a/><svg/><p>b</p></article>', "a\n\nb"),
+        ('<div class="with-sidebar"><article class="post no-comments"><p>a</p></article></div>', "a"),
+        ('<main><div id="search-results"><p>r</p></div><div class="site-footer">no</div><div class="cookieBanner ad-slot-2">no</div></main>', "r"),
+        ('<div class="sidebar"><article><p>only here</p></article></div>', "only here"),
+        ('<article><p>x</p></article><div class="sidebar"><article><p>teaser</p></article></div>', "x"),
+        ("<nav><article><p>teaser</p></article></nav><p>loose</p>", "loose"),
         ("", ""),
         (None, ""),
     ],
@@ -30,62 +36,165 @@ def test_structure(spark, body, text):
     assert (out["text"], out["n_chars"]) == (text, len(text))
 
 
-def brute(streams, depth, pages):
-    where = {}
-    for p, t in streams:
-        for i in range(len(t) - depth + 1):
-            where.setdefault(tuple(t[i : i + depth]), set()).add(p)
-    out = []
-    for _, t in streams:
-        mask = [False] * len(t)
-        for i in range(len(t) - depth + 1):
-            if len(where[tuple(t[i : i + depth])]) >= pages:
-                mask[i : i + depth] = [True] * depth
-        out.append(mask)
-    return out
-
-
-def test_suffix_array_against_brute_force():
+def brute(pages):
+    """Extraction by comparing all windows of all pages of a host: page number -> masks, for (host, html) pages."""
+    where, whole, content = {}, {}, {}
+    parsed = [(host, H.parse(html)) for host, html in pages]
+    for p, (host, blocks) in enumerate(parsed):
+        tokens = [t for b in blocks for t in [*b.text.split(), None]]
+        for i in range(len(tokens) - H.DEPTH + 1):
+            where.setdefault((host, *tokens[i : i + H.DEPTH]), set()).add(p)
+        for b in blocks:
+            if b.kind == H.UNKNOWN and not b.flow and len(b.text.split()) < H.DEPTH:
+                whole.setdefault((host, b.text), set()).add(p)
+        article = [b for b in blocks if b.kind == H.CONTENT] or [b for b in blocks if b.kind == H.MARKED_CONTENT]
+        content[p] = tuple(b.text for b in article or [b for b in blocks if b.kind == H.UNKNOWN] or blocks)
+
+    def often(found):
+        return len(found) >= H.MIN_PAGES and len({content[p] for p in found}) > 1
+
+    texts = []
+    for p, (host, blocks) in enumerate(parsed):
+        tokens = [t for b in blocks for t in [*b.text.split(), None]]
+        mask = [False] * len(tokens)
+        for i in range(len(tokens) - H.DEPTH + 1):
+            if often(where[(host, *tokens[i : i + H.DEPTH])]):
+                mask[i : i + H.DEPTH] = [True] * H.DEPTH
+        at, own = 0, []
+        for b in blocks:
+            n = len(b.text.split())
+            m = mask[at : at + n]
+            at += n + 1
+            if (host, b.text) in whole and b.kind == H.UNKNOWN and not b.flow and often(whole[(host, b.text)]):
+                m = [True] * n
+            own.append(m)
+        kinds = [b.kind for b in blocks]
+        kind = H.CONTENT if H.CONTENT in kinds else H.MARKED_CONTENT if H.MARKED_CONTENT in kinds else H.UNKNOWN
+        chosen = [(b, m) for b, m in zip(blocks, own) if b.kind == kind]
+        near = kind != H.UNKNOWN and sum(map(sum, (m for _, m in chosen))) * 2 > sum(len(m) for _, m in chosen)
+        out = []
+        for b, m in chosen:
+            if kind != H.UNKNOWN:
+                if near or b.flow or not all(m):
+                    out.append(b.text)
+            elif not all(m):
+                for start in range(len(m)):
+                    if m[start] and not (start and m[start - 1]):
+                        end = (m + [False]).index(False, start)
+                        if end - start < H.DEPTH // 2:
+                            m[start:end] = [False] * (end - start)
+                out.append(" ".join(t for t, x in zip(b.text.split(), m) if not x))
+        texts.append("\n\n".join(out))
+    return texts
+
+
+def host_pages(seed, n):
+    """Pages of a few hosts, one hot, with notices, menus, boxes inside articles, shared passages and copies."""
     import random
 
-    rng = random.Random(4)
-    shared = [rng.choice("abcde") for _ in range(30)]
-    streams = [(p, [rng.choice("abc") for _ in range(rng.randrange(40))] + shared[rng.randrange(10) :]) for p in range(25)] + [(3, []), (4, ["a"])]
-    for depth, pages in ((8, 3), (5, 2), (1, 4), (11, 2)):
-        assert [m.tolist() for m in H.covered(streams, depth, pages)] == brute(streams, depth, pages)
-    assert H.covered([]) == []
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    text = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    pool = {h: [text(rng.randrange(3, 25)) for _ in range(6)] for h in "abc"}
+    rows, bodies = [], []
+    for i in range(n):
+        host = rng.choice("aaaab" if i % 3 else "abc")
+        menu = "".join(f"<li>{w}</li>" for w in pool[host][0].split())
+        box = f'<div class="x">{rng.choice(pool[host])}</div>'
+        story = "".join(f"<p>{text(rng.randrange(1, 30))}</p>" for _ in range(rng.randrange(4))) + (f"<p>{pool[host][1]}</p>" if rng.random() < 0.3 else "")
+        body = rng.choice(
+            [
+                f"<ul>{menu}</ul><div>{text(9)} {rng.choice(pool[host])} {text(5)}</div><div>Home</div>{box}",
+                f"<nav>{menu}</nav><article><h1>{text(4)}</h1>{box}{story}</article><footer>{pool[host][2]}</footer>",
+                f"<main>{box}{box}</main>{story}",
+                rng.choice(bodies) if bodies else "<p>first</p>",
+            ]
+        )
+        bodies.append(body)
+        rows.append((i, host, page(body)))
+    return rows
+
+
+def test_against_brute_force_on_generated_hosts(spark):
+    rows = host_pages(7, 240)
+    rows.append((240, "a", page("<div>" + rows[0][2] + " ".join(f"long{i % 5000}" for i in range(60_000)) + "</div>")))
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", html, "x", 1) for i, h, html in rows], "page_id long, url string, html string, row string, keys int")
+    expected = brute([(h, html) for _, h, html in rows])
+    plain = ["\n\n".join(b.text for b in (H._article(H.parse(x)) or [b for b in H.parse(x) if b.kind == H.UNKNOWN])) for _, _, x in rows]
+    assert sum(a != b for a, b in zip(plain, expected)) > 60  # repeats decide
+    for parts in (1, 5):
+        out = H.extract(frame.repartition(parts)).collect()
+        assert len(out) == len(rows)
+        assert {r["page_id"]: r["text"] for r in out} == dict(enumerate(expected))
+        assert all(r["n_chars"] == len(r["text"]) for r in out) and sum(r["n_cut"] for r in out) > 500
+
+
+def test_anchor_of_every_window():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 5, 300).astype(np.uint64)
+    seed = np.uint64(11)
+    every, single = H.window_anchors(ids, seed), H.grams(ids, H.GRAM, seed)
+    windows = [tuple(ids[i : i + H.DEPTH]) for i in range(len(ids) - H.DEPTH + 1)]
+    assert [min(single[i : i + H.DEPTH - H.GRAM + 1]) for i in range(len(windows))] == every.tolist()
+    assert len(H.window_anchors(ids[: H.DEPTH - 1], seed)) == 0
+
+
+def test_suffix_ranks_against_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    streams = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 1, 40, 9, 25, 25)]
+    for depth in (1, 3, 8, 10):
+        rank, starts = H.suffix_ranks(streams, depth)
+        seen = {}
+        for s, (start, ids) in enumerate(zip(starts, streams)):
+            for i in range(len(ids) - depth + 1):
+                seen.setdefault(int(rank[start + i]), set()).add(tuple(ids[i : i + depth].tolist()))
+        assert all(len(v) == 1 for v in seen.values()) and len(seen) == len(set().union(*seen.values()))
 
 
 def test_host_boilerplate_of_unmarked_pages(spark):
     common = " ".join(f"welcome{i}" for i in range(12))
-    rows = [(i, "http://h.org/x", page(f"<div>{common}</div><div>story {i} " + " ".join(f"u{i}v{j}" for j in range(10)) + "</div>")) for i in range(5)]
+    rows = [(i, "http://h.org/x", page(f"<div>Home</div><div>{common}</div><div>story {i} " + " ".join(f"u{i}v{j}" for j in range(10)) + "</div>")) for i in range(5)]
     rows += [(9, "http://other.org/", page(f"<div>{common}</div>")), (10, None, page("<div>alone</div>"))]
     out = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(out[i].startswith(f"story {i}") and "welcome" not in out[i] for i in range(5))
     assert out[9] == common and out[10] == "alone"
 
 
+def test_boxes_inside_articles(spark):
+    """A notice repeated inside articles goes; passages that articles share, and copies, stay."""
+    notice = " ".join(f"notice{i}" for i in range(12))
+    passage = " ".join(f"passage{i}" for i in range(30))
+    own = lambda i: " ".join(f"p{i}w{k}" for k in range(60))
+    rows = [(i, "http://h.org/", page(f"<main><div>{notice}</div><p>{own(i)}</p><p>{passage}</p></main>")) for i in range(4)]
+    out = {r["page_id"]: r for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i]["text"] == f"{own(i)}\n\n{passage}" and out[i]["n_cut"] == 12 for i in range(4))
+
+
 def test_repeated_articles_stay(spark):
     text = " ".join(f"w{i}" for i in range(100))
-    rows = [(i, "http://h.org/", page(f"<article><p>{text}</p></article>")) for i in range(6)] + [(0, "http://h.org/", page(f"<article><p>{text}</p></article>"))]
-    out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_chars=500).collect()
+    rows = [(i, "http://h.org/", page(f"<nav>menu {i}</nav><article><div>{text}</div></article>")) for i in range(6)]
+    rows.append(rows[0])
+    out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert len(out) == 7 and {r["text"] for r in out} == {text}
 
 
 def test_real_pages_and_empty(spark):
+    """Where every page has an article, the text is what a plain reading of the article's elements gives."""
+    import html as entities
+    import re
+
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    out = H.extract(pages)
-    assert out.count() == pages.count() and out.filter("n_chars = 0").count() == 0
+    out = {r["page_id"]: r for r in H.extract(pages).collect()}
+    rows = pages.collect()
+    assert len(out) == len(rows)
+    for r in rows:
+        inside = re.search(r"<article>(.*?)(</article>|$)", r["html"], re.S)[1]
+        inside = re.sub(r"<!--.*?(-->|$)|<(script|style|form|aside|nav)\b.*?</\2>", "", inside, flags=re.S)
+        parts = re.split(r"</?(?:p|h1|h2|div|ul|li|section|blockquote|table|tr|td)\b[^>]*>", inside)
+        parts = [" ".join(entities.unescape(re.sub(r"<br>", " ", x) if "<br>" in x else x).split()) for x in (re.sub(r"</?(?:b|a|i|em|strong)\b[^>]*>", "", y) for y in parts)]
+        assert out[r["page_id"]]["text"] == "\n\n".join(x for x in parts if x), r["page_id"]
     assert H.extract(pages.limit(0)).count() == 0
-
-
-def test_shards_do_not_change_the_result(spark):
-    """A notice on five pages of a host goes, however many shards the host has."""
-    from millrace.llm import html as module
-
-    notice = "this site keeps small files on your device to remember you"
-    rows = [(i, f"http://h.example/{i}", f"<div>{notice}</div><div>" + " ".join(f"p{i}w{k}" for k in range(40)) + "</div>") for i in range(5)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    one = sorted(map(tuple, module.extract(pages).collect()))
-    many = sorted(map(tuple, module.extract(pages, shard_chars=100).collect()))
-    assert many == one and all("small files" not in r[2] and r[4] == 11 for r in many)
