@@ -39,10 +39,9 @@ are copies; extra columns are ignored.
 from __future__ import annotations
 
 import html as entities
-import json
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -51,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, cut, free_shuffles
+from .common import by_size, cut, drop_cut, free_shuffles, read_cut, write_cut
 
 DEPTH = 10
 MIN_PAGES = 3
@@ -80,6 +79,7 @@ _BESIDE = frozenset(
     "site page main global top bottom left right inner outer primary secondary post entry user reader wrapper wrap container box block area"
     " section list item items bar link links slot unit row col column panel group holder text title heading icon button form field fixed sticky".split()
 )
+_PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>"']*)([^>"']*)>""")
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -99,7 +99,7 @@ def _end_of(name: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I)
 
 
-@cache
+@lru_cache(4096)
 def _marks(name: str) -> frozenset:
     """The marks of one class, id or role name; none if it says other things too."""
     words = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
@@ -107,6 +107,11 @@ def _marks(name: str) -> frozenset:
     return frozenset(found) if words <= found | _BESIDE else frozenset()
 
 
+@lru_cache(4096)
+def _marks_of(attributes: str) -> frozenset:
+    return frozenset().union(*map(_marks, " ".join(map("".join, _NAMES.findall(attributes))).split()))
+
+
 def parse(page: str | None) -> list[Block]:
     """The blocks of a page in order: their text, what the elements around say, and if it is running text."""
     page = page or ""
@@ -131,15 +136,12 @@ def parse(page: str | None) -> list[Block]:
         if lt > at:
             held.append(page[at:lt])
         following = page[lt + 1 : lt + 2]
-        if page.startswith("<!--", lt):
-            end = page.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
-            continue
         if following in ("!", "?"):
-            end = page.find(">", lt)
-            at = n if end < 0 else end + 1
+            comment = page.startswith("<!--", lt)
+            end = page.find("-->", lt + 4) if comment else page.find(">", lt)
+            at = n if end < 0 else end + (3 if comment else 1)
             continue
-        tag = _TAG.match(page, lt) or _LOOSE_TAG.match(page, lt)
+        tag = _PLAIN_TAG.match(page, lt) or _TAG.match(page, lt) or _LOOSE_TAG.match(page, lt)
         if tag is None:
             if following == "/" or following.isalpha():  # an unfinished tag
                 break
@@ -147,7 +149,8 @@ def parse(page: str | None) -> list[Block]:
             at = lt + 1
             continue
         at = tag.end()
-        closing, name, attributes = tag[1], tag[2].lower(), tag[3]
+        closing, name, attributes = tag.groups()
+        name = name.lower()
         if name in _RAW and not closing:
             held.append(" ")
             end = _end_of(name).search(page, at)
@@ -177,10 +180,7 @@ def parse(page: str | None) -> list[Block]:
             if named and name in _CONTENT:
                 within = MARKED_CONTENT
         elif name not in ("html", "body"):
-            marks: set[str] = set()
-            if "=" in attributes:
-                for word in " ".join(map("".join, _NAMES.findall(attributes))).split():
-                    marks |= _marks(word)
+            marks = _marks_of(attributes) if "=" in attributes else frozenset()
             outside = within == UNKNOWN
             if name in _DROPPED or outside and name in ("header", "head"):
                 within, named = BOILERPLATE, False
@@ -197,124 +197,143 @@ def parse(page: str | None) -> list[Block]:
 # ---- token streams ------------------------------------------------------------------
 
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_REMEMBERED = 500_000
-
-
-class _Ids(dict):
-    def __missing__(self, token: str) -> int:
-        found = self[token] = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
-        return found
-
-
-_ids = _Ids()
-
-
-def stream_of(blocks: list[Block]) -> np.ndarray:
-    """Hashes of the page's tokens, a boundary after each block."""
-    if len(_ids) > _REMEMBERED:
-        _ids.clear()
-    tokens: list[str] = []
-    for block in blocks:
-        tokens += block.text.split()
-        tokens.append(BOUNDARY)
-    return np.fromiter(map(_ids.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-
-
-def _seed(host: str | None) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest((host or "").encode("utf-8", "surrogatepass")))
+_BOUNDARY_ID = np.uint64(0x165667B19E3779F9)
 
 
-def grams(ids: np.ndarray, width: int, seed: np.uint64) -> np.ndarray:
-    """A hash of the ``width`` tokens from each place on and of the host."""
-    n = max(len(ids) - width + 1, 0)
+def _mixed(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        out = np.full(n, seed, dtype=np.uint64)
-        for i in range(width):
-            out = out * _FACTOR + ids[i : i + n]
-        out = (out ^ (out >> np.uint64(32))) * _MIX
-        return out ^ (out >> np.uint64(29))
+        h = (h ^ (h >> np.uint64(32))) * _MIX
+        return h ^ (h >> np.uint64(29))
 
 
-def window_anchors(ids: np.ndarray, seed: np.uint64, depth: int = DEPTH) -> np.ndarray:
-    """For each window of ``depth`` tokens its anchor: the smallest hash of its GRAM-grams."""
-    if len(ids) < depth:
-        return np.zeros(0, dtype=np.uint64)
-    return np.lib.stride_tricks.sliding_window_view(grams(ids, GRAM, seed), depth - GRAM + 1).min(axis=1)
+def token_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of ``data`` and the places where they end; a space or line break follows each.
 
-
-def short_blocks(blocks: list[Block], seed: np.uint64, depth: int = DEPTH) -> dict[int, int]:
+    A token's bytes are the digits of a number to an odd base, modulo 2 ** 64.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    ends = np.flatnonzero((raw == 32) | (raw == 10))
+    if not len(ends):
+        return np.zeros(0, dtype=np.uint64), ends
+    starts = np.r_[0, ends[:-1] + 1]
+    with np.errstate(over="ignore"):
+        powers = np.full(int((ends - starts).max()) + 1, _FACTOR, dtype=np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        digits = raw.astype(np.uint64) + np.uint64(1)
+        digits[ends] = 0
+        digits *= powers[np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)]
+        return _mixed(np.add.reduceat(digits, starts)), ends
+
+
+def _seed(host: str | None) -> int:
+    return xxhash.xxh64_intdigest((host or "").encode("utf-8", "surrogatepass"))
+
+
+class Streams:
+    """Token streams of some pages, one after another: hashes, with page and host of each token."""
+
+    def __init__(self, pages: list[list[Block]], seeds: list[int]):
+        texts = ["".join([f"{block[0]}{BOUNDARY}" for block in blocks]).encode("utf-8", "surrogatepass") for blocks in pages]
+        data = b"".join(texts)
+        words, ends = token_hashes(data)
+        closes = np.frombuffer(data, dtype=np.uint8)[ends] == 10
+        last = np.cumsum(1 + closes)  # tokens up to and with each word and the boundary after it
+        self.ids = np.repeat(words, 1 + closes)
+        self.ids[last[closes] - 1] = _BOUNDARY_ID
+        upto = np.searchsorted(ends, np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64))
+        stops = np.r_[0, last][upto]
+        self.starts = np.r_[0, stops[:-1]].astype(np.int64)[: len(pages)]
+        self.page = np.repeat(np.arange(len(pages)), stops - self.starts)
+        self.seed = np.repeat(np.array(seeds, dtype=np.uint64), stops - self.starts)
+
+    def grams(self, width: int) -> np.ndarray:
+        """A hash of the ``width`` tokens from each place on and of the host."""
+        n = max(len(self.ids) - width + 1, 0)
+        with np.errstate(over="ignore"):
+            out = self.seed[:n].copy()
+            for i in range(width):
+                out = out * _FACTOR + self.ids[i : i + n]
+            return _mixed(out)
+
+    def windows(self, depth: int = DEPTH) -> np.ndarray:
+        """The places from which ``depth`` tokens belong to one page."""
+        return np.flatnonzero(self.page[: max(len(self.ids) - depth + 1, 0)] == self.page[depth - 1 :])
+
+    def anchors(self, depth: int = DEPTH) -> np.ndarray:
+        """For each of ``windows`` its anchor: the smallest hash of its GRAM-grams."""
+        at, least = self.windows(depth), self.grams(GRAM)
+        out = least[at] if len(at) else least[:0]
+        for i in range(1, depth - GRAM + 1):
+            out = np.minimum(out, least[at + i])
+        return out
+
+
+def _distinct(page: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each page's keys once, by page."""
+    change = np.r_[True, (key[1:] != key[:-1]) | (page[1:] != page[:-1])][: len(key)]
+    page, key = page[change], key[change]
+    order = np.lexsort((key, page))
+    page, key = page[order], key[order]
+    change = np.r_[True, (key[1:] != key[:-1]) | (page[1:] != page[:-1])][: len(key)]
+    return page[change], key[change]
+
+
+def short_blocks(blocks: list[Block], seed: int, depth: int = DEPTH) -> dict[int, int]:
     """Blocks too short for a window that no paragraph holds: number of the block -> hash of its text."""
-    out = {}
-    for i, (text, kind, flow) in enumerate(blocks):
-        if kind == UNKNOWN and not flow and text.count(" ") + 1 < depth:
-            out[i] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=int(seed))
-    return out
+    return {
+        i: xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=seed)
+        for i, (text, kind, flow) in enumerate(blocks)
+        if kind == UNKNOWN and not flow and text.count(" ") + 1 < depth
+    }
 
 
 def content_hash(blocks: list[Block]) -> int:
     """31 bits of the text that makes the page: its article, or else all that no element explains, or all."""
     chosen = _article(blocks) or [b for b in blocks if b.kind == UNKNOWN] or blocks
-    return xxhash.xxh64_intdigest(BOUNDARY.join(b.text for b in chosen).encode("utf-8", "surrogatepass")) >> 33
-
+    return xxhash.xxh64_intdigest(BOUNDARY.join([b[0] for b in chosen]).encode("utf-8", "surrogatepass")) >> 33
 
-def suffix_ranks(streams: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all suffixes to ``depth`` tokens, by prefix doubling, and where each stream starts.
 
-    A separator of its own after each stream keeps equal runs inside streams.
-    """
-    lengths = np.array([len(s) for s in streams], dtype=np.int64)
-    starts = np.r_[0, np.cumsum(lengths + 1)[:-1]] if len(streams) else np.zeros(0, np.int64)
-    total = int(lengths.sum() + len(streams))
-    if not total:
-        return np.zeros(0, np.int64), starts
-    words = np.unique(np.concatenate(streams), return_inverse=True)[1]
-    rank = np.empty(total, dtype=np.int64)
-    ends = starts + lengths
-    inside = np.ones(total, dtype=bool)
-    inside[ends] = False
-    rank[inside] = words
-    rank[ends] = (int(words.max()) + 1 if len(words) else 0) + np.arange(len(streams))
-    width = 1
-    while width < depth:
+def suffix_ranks(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Ranks of the suffixes to ``depth`` tokens by prefix doubling; nothing follows the end."""
+    rank, width = np.unique(ids, return_inverse=True)[1], 1
+    while width < depth and len(rank):
         step = min(width, depth - width)
-        after = np.zeros(total, dtype=np.int64)
-        after[: max(total - step, 0)] = rank[step:] + 1
+        after = np.zeros(len(rank), dtype=np.int64)
+        after[: max(len(rank) - step, 0)] = rank[step:] + 1
         rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
         width += step
-    return rank, starts
+    return rank
 
 
-def runs(pages: list[tuple[np.ndarray, np.ndarray, np.uint64, int]], depth: int = DEPTH) -> tuple[np.ndarray, ...]:
-    """Hash, pages, and least and greatest content of each run that may be a repeat.
+def runs(streams: Streams, at: np.ndarray, content: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, ...]:
+    """Of the windows at the places ``at``: hash, pages, least and greatest content of their runs.
 
-    ``pages`` holds stream, places of the windows that may be repeats, host seed and content hash.
+    Pages and contents of a run stand at its first window, 0 at the others.
     """
+    inside = np.zeros(len(streams.ids) + 1, dtype=np.int64)
+    inside[at] += 1
+    inside[at + depth] -= 1
+    inside = np.cumsum(inside)[:-1] > 0
+    # Only what the windows cover is concatenated; each window's tokens stay neighbours.
     with np.errstate(over="ignore"):
-        rank, starts = suffix_ranks([ids * _FACTOR + seed for ids, _, seed, _ in pages], depth)
-    places = [start + at for start, (_, at, _, _) in zip(starts, pages)]
-    none = np.zeros(0, dtype=np.int64)
-    at = np.concatenate([none, *places])
-    page = np.repeat(np.arange(len(pages)), [len(p) for p in places])
-    hashes = np.concatenate([none.view(np.uint64), *(grams(ids, depth, seed)[where] for ids, where, seed, _ in pages)])
-    content = np.array([c for *_, c in pages], dtype=np.int64)
-    order = np.lexsort((page, rank[at]))  # the suffix array of these places, equal runs by page
-    r, p, h = rank[at][order], page[order], hashes[order]
-    first = np.r_[True, (r[1:] != r[:-1]) | (p[1:] != p[:-1])][: len(r)]
-    r, p, h = r[first], p[first], h[first]
+        ids = streams.ids[inside] * _FACTOR + streams.seed[inside]
+    page = streams.page[at]
+    rank = suffix_ranks(ids, depth)[(np.cumsum(inside) - 1)[at]]
+    order = np.lexsort((page, rank))  # the suffix array of these places, equal runs by page
+    r, p = rank[order], page[order]
     new = np.flatnonzero(np.r_[True, r[1:] != r[:-1]][: len(r)])
-    if not len(new):
-        return none.view(np.uint64), none, none, none
-    c = content[p]
-    return h[new], np.diff(np.r_[new, len(r)]), np.minimum.reduceat(c, new), np.maximum.reduceat(c, new)
-
-
-def _covered(ids: np.ndarray, seed: np.uint64, repeated: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Which tokens of a stream lie in a repeated run."""
-    edge = np.zeros(len(ids) + 1, dtype=np.int64)
-    at = np.flatnonzero(np.isin(grams(ids, depth, seed), repeated))
-    edge[at] += 1
-    edge[at + depth] -= 1
-    return np.cumsum(edge)[: len(ids)] > 0
+    n, low, high = (np.zeros(len(at), dtype=np.int64) for _ in range(3))
+    if len(new):
+        first = np.r_[True, (r[1:] != r[:-1]) | (p[1:] != p[:-1])].astype(np.int64)
+        c = content[p]
+        leader = order[new]
+        n[leader] = np.add.reduceat(first, new)
+        everyone = np.diff(np.r_[new, len(r)])
+        # All windows of a run carry its contents, so that min and max need no leader.
+        low[order] = np.repeat(np.minimum.reduceat(c, new), everyone)
+        high[order] = np.repeat(np.maximum.reduceat(c, new), everyone)
+    return streams.grams(depth)[at], n, low, high
 
 
 def _stretches(mask: np.ndarray, least: int = DEPTH // 2) -> np.ndarray:
@@ -331,12 +350,19 @@ def _article(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if b.kind == CONTENT] or [b for b in blocks if b.kind == MARKED_CONTENT]
 
 
-def assemble(blocks: list[Block], host: str | None, repeated: np.ndarray) -> tuple[str, int, int]:
-    """Text of a page, its tokens in repeats, and its tokens that go because of them."""
-    seed = _seed(host)
-    mask = _covered(stream_of(blocks), seed, repeated) if len(repeated) else None
-    short = short_blocks(blocks, seed) if len(repeated) else {}
-    known = set(repeated.tolist())
+def assemble(blocks: list[Block], places: np.ndarray, short: list[int]) -> tuple[str, int, int]:
+    """Text of a page, its tokens in repeats, and its tokens that go because of them.
+
+    Repeats start at ``places`` of the stream; the blocks numbered in ``short`` are repeats as a whole.
+    """
+    mask = None
+    if len(places) or short:
+        total = sum(b[0].count(" ") + 2 for b in blocks)
+        edge = np.zeros(total + 1, dtype=np.int64)
+        np.add.at(edge, places, 1)
+        np.add.at(edge, places + DEPTH, -1)
+        mask = np.cumsum(edge)[:total] > 0
+    whole = set(short)
     article = _article(blocks)
     kind = article[0].kind if article else UNKNOWN
     chosen: list[tuple[Block, np.ndarray | None]] = []
@@ -347,7 +373,7 @@ def assemble(blocks: list[Block], host: str | None, repeated: np.ndarray) -> tup
             n = block.text.count(" ") + 1
             own = mask[at : at + n]
             at += n + 1
-            if short.get(i) in known:
+            if i in whole:
                 own = np.ones(n, dtype=bool)
             n_repeated += int(own.sum())
         if block.kind == kind:
@@ -371,14 +397,14 @@ def assemble(blocks: list[Block], host: str | None, repeated: np.ndarray) -> tup
 
 
 def _pack(blocks: list[Block]) -> bytes:
-    """Blocks as compressed JSON, since pages are shuffled."""
-    raw = json.dumps(blocks, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")
+    """Blocks as compressed lines (their text holds no line break), since pages are shuffled."""
+    raw = "\n".join([f"{2 * kind + flow}{text}" for text, kind, flow in blocks]).encode("utf-8", "surrogatepass")
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes) -> list[Block]:
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return [Block(*b) for b in json.loads(raw.decode("utf-8", "surrogatepass"))]
+    return [Block(line[1:], int(line[0]) >> 1, int(line[0]) & 1 == 1) for line in raw.decode("utf-8", "surrogatepass").split("\n")] if raw else []
 
 
 def _host(url_col: str) -> Column:
@@ -399,18 +425,16 @@ def page_anchors(keyed: DataFrame) -> DataFrame:
     """``key, row, content``: each page's anchors and short blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in by_size(whole, 2)):
-            keys, content = [], []
-            for host, html in zip(batch.column(1).to_pylist(), batch.column(2)):
-                blocks, seed = parse(html.as_py()), _seed(host)
-                short = np.array(list(short_blocks(blocks, seed).values()), dtype=np.uint64)
-                keys.append(np.unique(np.concatenate([window_anchors(stream_of(blocks), seed), short])))
-                content.append(content_hash(blocks))
-            each = [len(k) for k in keys]
-            rows = np.repeat(batch.column(0).to_numpy(), each)
+        for batch in (part for whole in batches for part in by_size(whole, 2, 4 << 20)):
+            parsed = [parse(html.as_py()) for html in batch.column(2)]
+            seeds = list(map(_seed, batch.column(1).to_pylist()))
+            streams = Streams(parsed, seeds)
+            short = [(i, key) for i, (blocks, seed) in enumerate(zip(parsed, seeds)) for key in short_blocks(blocks, seed).values()]
+            page = np.concatenate([streams.page[streams.windows()], np.array([s[0] for s in short], dtype=np.int64)])
+            page, key = _distinct(page, np.concatenate([streams.anchors(), np.array([s[1] for s in short], dtype=np.uint64)]))
+            content = np.array(list(map(content_hash, parsed)), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([np.zeros(0, np.uint64), *keys])), pa.array(rows), pa.array(np.repeat(np.array(content, dtype=np.int32), each))],
-                names=["key", "row", "content"],
+                [_signed(key), pa.array(batch.column(0).to_numpy()[page]), pa.array(content[page])], names=["key", "row", "content"]
             )
 
     return keyed.select("row", "host", "html").mapInArrow(run, "key bigint, row bigint, content int")
@@ -422,59 +446,52 @@ def _often(counted: DataFrame, n: Column, least: str, greatest: str) -> DataFram
     return sums.filter((F.col("n") >= MIN_PAGES) & (F.col("low") != F.col("high"))).select("key")
 
 
-def _per_page(found: DataFrame, often: DataFrame) -> DataFrame:
-    """``row, keys``: what is repeated of each page, at most as much as the page holds."""
-    return found.join(often.hint("merge"), "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("keys"))
-
-
 def page_runs(placed: DataFrame) -> DataFrame:
-    """``key, row, n, low, high`` for the windows of ``placed`` (``row, host, blocks, keys``) that hold a repeated anchor.
+    """``key, row, at, n, low, high`` for the windows of ``placed`` (``row, host, blocks, keys``) that hold a repeated anchor.
 
-    ``n`` and contents of a run stand in the row of one page of the batch; the others have n = 0.
+    ``at`` is the place in the page's stream, or -1 less the number of a short block; ``n`` is
+    counted once for each run and page of a batch and 0 elsewhere.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in by_size(whole, 2)):
-            pages, short_keys, short_rows, short_content = [], [], [], []
-            rows = batch.column(0).to_numpy()
-            for row, host, blocks, keys in zip(rows.tolist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                blocks, seed = _unpack(blocks.as_py()), _seed(host)
-                known = np.array(keys.as_py() or [], dtype=np.int64).view(np.uint64)
-                ids = stream_of(blocks)
-                content = content_hash(blocks)
-                pages.append((ids, np.flatnonzero(np.isin(window_anchors(ids, seed), known)), seed, content))
-                for key in set(short_blocks(blocks, seed).values()) & set(known.tolist()):
-                    short_keys.append(key)
-                    short_rows.append(row)
-                    short_content.append(content)
-            keys, n, low, high = runs(pages)
-            own = [np.unique(grams(ids, DEPTH, seed)[at]) for ids, at, seed, _ in pages]
-            each = np.concatenate([np.zeros(0, np.uint64), *own])
-            owner = np.repeat(rows, [len(o) for o in own])
-            order = np.argsort(keys)
-            place = order[np.searchsorted(keys, each, sorter=order)] if len(keys) else np.zeros(0, np.int64)
-            first = np.zeros(len(each), dtype=bool)
-            first[np.unique(place, return_index=True)[1]] = True
-            k = len(short_keys)
+        for batch in (part for whole in batches for part in by_size(whole, 2, 4 << 20)):
+            parsed = [_unpack(b.as_py()) for b in batch.column(2)]
+            seeds = list(map(_seed, batch.column(1).to_pylist()))
+            streams, content = Streams(parsed, seeds), np.array(list(map(content_hash, parsed)), dtype=np.int64)
+            keys = batch.column(3)
+            known = np.unique(keys.flatten().to_numpy().view(np.uint64))
+            anchors = streams.anchors()
+            # Keys hold the host: one that is repeated for a page is so for all pages of its host.
+            near = np.searchsorted(known, anchors)
+            at = streams.windows()[known[np.minimum(near, len(known) - 1)] == anchors] if len(known) else np.zeros(0, np.int64)
+            key, n, low, high = runs(streams, at, content)
+            page = streams.page[at]
+            also = set(known.tolist())
+            short = [(i, k, h) for i, (blocks, seed) in enumerate(zip(parsed, seeds)) for k, h in short_blocks(blocks, seed).items() if h in also]
+            owner = np.array([s[0] for s in short], dtype=np.int64)
+            hashes = np.array([s[2] for s in short], dtype=np.uint64)
+            once = np.zeros(len(short), dtype=np.int64)
+            once[list({(s[0], s[2]): i for i, s in enumerate(short)}.values())] = 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(np.concatenate([each, np.array(short_keys, dtype=np.uint64)])),
-                    pa.array(np.concatenate([owner, np.array(short_rows, dtype=np.int64)])),
-                    pa.array(np.concatenate([np.where(first, n[place], 0), np.ones(k, np.int64)])),
-                    pa.array(np.concatenate([low[place], np.array(short_content, dtype=np.int64)])),
-                    pa.array(np.concatenate([high[place], np.array(short_content, dtype=np.int64)])),
+                    _signed(np.concatenate([key, hashes])),
+                    pa.array(batch.column(0).to_numpy()[np.concatenate([page, owner])]),
+                    pa.array(np.concatenate([at - streams.starts[page], -1 - np.array([s[1] for s in short], dtype=np.int64)]).astype(np.int32)),
+                    pa.array(np.concatenate([n, once]).astype(np.int32)),
+                    pa.array(np.concatenate([low, content[owner]]).astype(np.int32)),
+                    pa.array(np.concatenate([high, content[owner]]).astype(np.int32)),
                 ],
-                names=["key", "row", "n", "low", "high"],
+                names=["key", "row", "at", "n", "low", "high"],
             )
 
-    return placed.select("row", "host", "blocks", "keys").mapInArrow(run, "key bigint, row bigint, n bigint, low bigint, high bigint")
+    return placed.select("row", "host", "blocks", "keys").mapInArrow(run, "key bigint, row bigint, at int, n int, low int, high int")
 
 
 def blocks(keyed: DataFrame, id_type: str) -> DataFrame:
     """The parsed pages, packed: ``row, host, page_id, url, blocks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in by_size(whole, 4)):
+        for batch in (part for whole in batches for part in by_size(whole, 4, 4 << 20)):
             packed = pa.array([_pack(parse(h.as_py())) for h in batch.column(4)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed], names=["row", "host", "page_id", "url", "blocks"])
 
@@ -489,25 +506,31 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # The first counts are written and their shuffle is freed before the next one is made.
     often = cut(_often(anchors.withColumn("n", F.lit(1)), F.col("n"), "content", "content"), "anchors")
     free_shuffles(spark)
-    known = cut(_per_page(anchors.select("key", "row"), often), "known")
+    known = anchors.select("key", "row").join(often.hint("merge"), "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("keys"))
+    path = write_cut(known, "known")
     free_shuffles(spark)
-    distinct = blocks(keyed, id_type).select("row", "host", "blocks")
-    found = cut(page_runs(distinct.join(known.hint("merge"), "row")), "runs")
+    found = page_runs(blocks(keyed, id_type).select("row", "host", "blocks").join(read_cut(spark, path, known).hint("merge"), "row"))
+    runs_path = write_cut(found, "runs")
+    drop_cut(spark, path)
     free_shuffles(spark)
-    repeats = cut(_per_page(found.select("key", "row"), _often(found, F.col("n"), "low", "high")), "repeats")
+    found = read_cut(spark, runs_path, found)
+    repeats = found.select("key", "row", "at").join(_often(found, F.col("n"), "low", "high").hint("merge"), "key", "left_semi")
+    # Rows that share a name by equal url and html have found the same places.
+    repeats = cut(repeats.groupBy("row").agg(F.collect_set("at").alias("places")), "repeats")
+    drop_cut(spark, runs_path)
     free_shuffles(spark)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [
-                assemble(_unpack(b.as_py()), h, np.array(k.as_py() or [], dtype=np.int64).view(np.uint64))
-                for h, b, k in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4))
-            ]
+            done = []
+            for packed, found in zip(batch.column(2), batch.column(3)):
+                places = np.array(found.as_py() or [], dtype=np.int64)
+                done.append(assemble(_unpack(packed.as_py()), places[places >= 0], (-1 - places[places < 0]).tolist()))
             text = [d[0] for d in done]
             numbers = [pa.array(x, pa.int64()) for x in (list(map(len, text)), [d[1] for d in done], [d[2] for d in done])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(text, pa.string()), *numbers], names=["page_id", "url", "text", "n_chars", "n_repeated", "n_cut"]
             )
 
-    placed = blocks(keyed, id_type).join(repeats.hint("merge"), "row", "left").select("page_id", "url", "host", "blocks", "keys")
+    placed = blocks(keyed, id_type).join(repeats.hint("merge"), "row", "left").select("page_id", "url", "blocks", "places")
     return placed.mapInArrow(decide, f"page_id {id_type}, url string, text string, n_chars bigint, n_repeated bigint, n_cut bigint")

@@ -130,29 +130,38 @@ def test_against_brute_force_on_generated_hosts(spark):
 
 
 def test_anchor_of_every_window():
-    import numpy as np
+    import random
 
-    rng = np.random.default_rng(3)
-    ids = rng.integers(0, 5, 300).astype(np.uint64)
-    seed = np.uint64(11)
-    every, single = H.window_anchors(ids, seed), H.grams(ids, H.GRAM, seed)
-    windows = [tuple(ids[i : i + H.DEPTH]) for i in range(len(ids) - H.DEPTH + 1)]
-    assert [min(single[i : i + H.DEPTH - H.GRAM + 1]) for i in range(len(windows))] == every.tolist()
-    assert len(H.window_anchors(ids[: H.DEPTH - 1], seed)) == 0
+    rng = random.Random(3)
+    pages = [[H.Block(" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 40))), H.UNKNOWN, True) for _ in range(3)] for _ in range(9)] + [[]]
+    streams = H.Streams(pages, [rng.randrange(1 << 64) for _ in pages])
+    single, places = streams.grams(H.GRAM), streams.windows()
+    expected = [i for i in range(len(streams.ids) - H.DEPTH + 1) if len(set(streams.page[i : i + H.DEPTH].tolist())) == 1]
+    assert places.tolist() == expected
+    assert streams.anchors().tolist() == [min(single[i : i + H.DEPTH - H.GRAM + 1].tolist()) for i in expected]
+    assert len(H.Streams([], []).anchors()) == 0
 
 
 def test_suffix_ranks_against_brute_force():
     import numpy as np
 
     rng = np.random.default_rng(5)
-    streams = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 1, 40, 9, 25, 25)]
-    for depth in (1, 3, 8, 10):
-        rank, starts = H.suffix_ranks(streams, depth)
-        seen = {}
-        for s, (start, ids) in enumerate(zip(starts, streams)):
-            for i in range(len(ids) - depth + 1):
-                seen.setdefault(int(rank[start + i]), set()).add(tuple(ids[i : i + depth].tolist()))
-        assert all(len(v) == 1 for v in seen.values()) and len(seen) == len(set().union(*seen.values()))
+    for n in (0, 1, 9, 60):
+        ids = rng.integers(0, 3, n).astype(np.uint64)
+        for depth in (1, 3, 8, 10):
+            rank, seen = H.suffix_ranks(ids, depth), {}
+            for i in range(n):
+                seen.setdefault(int(rank[i]), set()).add(tuple(ids[i : i + depth].tolist()))
+            assert all(len(v) == 1 for v in seen.values()) and len(seen) == len(set().union(*seen.values()))
+            assert [x[1] for x in sorted((k, min(v)) for k, v in seen.items())] == sorted(min(v) for v in seen.values())
+
+
+def test_streams():
+    pages = [[H.Block("ab c", 1, True), H.Block("é", 1, True)], [], [H.Block("c ab", 1, True)]]
+    streams = H.Streams(pages, [1, 2, 3])
+    a, b = streams.ids.tolist(), H._BOUNDARY_ID
+    assert len(a) == 8 and a[2] == a[4] == a[7] == b and (a[0], a[1]) == (a[6], a[5]) and len(set(a)) == 4
+    assert streams.page.tolist() == [0] * 5 + [2] * 3 and streams.starts.tolist() == [0, 5, 5]
 
 
 def test_host_boilerplate_of_unmarked_pages(spark):
