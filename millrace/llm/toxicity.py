@@ -2,27 +2,28 @@ r"""Toxicity by votes of the nearest labelled examples, exact TF-IDF cosine.
 
 1. A bounded sample of the labelled training rows (at most about ``max_examples``,
    half of each label, chosen by a hash of the id) becomes the set of examples.
-2. Terms are words and their longer prefixes (compounds share them).  Those whose
-   presence goes with a label among the examples (likelihood ratio ``min_g2``, high enough for all the terms tested) are kept, at most
-   ``max_terms``.
-3. One pass over all texts counts the kept terms of every document; the inverse
-   document frequencies come from all documents.
-4. The examples are put into an inverted index in blocks of ``BLOCK`` examples.  For
+2. The vocabulary is every word that ``min_examples`` examples hold.  A word's weight is its
+   inverse document frequency, counted over all documents, times its relevance
+   ``floor + (g / (g + half)) ** 2``, where g is the likelihood ratio of the word's presence and
+   the label among the examples.  No word has weight 0: words that go with a label lead,
+   all others tell texts apart.
+3. The examples are put into an inverted index in blocks of ``BLOCK`` examples.  For
    a query the largest weight of each term in each block bounds the cosine of a
    whole block; the blocks with the highest bounds are scored first and only
    blocks whose bound reaches the k-th best cosine are scored after them, so the
    result is exact.
-5. Neighbours vote with weight 1 / (1 - cosine + 0.05).  The vote is calibrated by
+4. Neighbours vote with weight 1 / (1 - cosine + 0.05).  The vote is calibrated by
    logistic regression on leave-one-out votes of the examples, which are weighted
    back to the labels' frequencies among all training rows.
 
-Terms, examples and index are bounded by parameters, so they can be broadcast;
-document vectors stay in a table.
+Examples, vocabulary (``max_terms`` words at most, the most relevant) and index are bounded by
+parameters, so they can be broadcast; document vectors stay in a table.
 
 Defined cases: null, empty and term-less texts have no neighbour and get the
 calibrated frequency of such examples; without examples of both labels every score
 is the labels' mean (0 if there is none); rows of ``labels`` that repeat an id
-count once with the largest label; null labels are ignored; equal cosines go to
+count once with the largest label; null labels are ignored; of rows that repeat a
+labelled id with several texts the smallest text is the example; equal cosines go to
 the example with the smaller id; extra columns are ignored.
 """
 
@@ -36,31 +37,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold
+from .common import by_size, cut, fold
 
 BLOCK = 64
 MAX_EXAMPLES = 8192
-MAX_TERMS = 4096
+MAX_TERMS = 1 << 20
 #: ASCII letters in lower case and all other characters above ASCII stay, anything else parts words.
 _LETTERS = bytes(i + 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i > 127 else 32 for i in range(256))
-#: Lengths in bytes of the prefixes that are terms besides the word itself.
-PREFIXES = (5, 6, 7, 8)
-_REMEMBERED = 500_000
-#: The number of the term that stands for all words without a kept term.
-BACKGROUND = 0
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LETTERS).split()
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """The word, and its prefixes marked by a star."""
-    return [word, *(word[:n] + b"*" for n in PREFIXES if len(word) > n)]
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all the ranges, one after another."""
+    sizes = ends - starts
+    return np.arange(int(sizes.sum())) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
 
 
 class BlockMaxIndex:
-    """Inverted index over unit vectors; ``search`` gives the exact k nearest by cosine."""
+    """Inverted index over unit vectors; ``search`` gives the exact k nearest by cosine.
+
+    Postings are sorted by term and example; a segment is a term's postings in one block.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
         self.size = len(vectors)
@@ -69,45 +69,42 @@ class BlockMaxIndex:
         terms = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)]).astype(np.int64)
         weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
         order = np.lexsort((owner, terms))
-        owner, terms, weights = owner[order], terms[order], weights[order]
-        self.postings: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.maxima: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if len(terms) else np.empty(0, np.int64)
-        for s, e in zip(starts, np.r_[starts[1:], len(terms)]):
-            own, w = owner[s:e], weights[s:e]
-            block = own // BLOCK
-            first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            self.postings[int(terms[s])] = (own, w)
-            self.maxima[int(terms[s])] = (block[first], np.maximum.reduceat(w, first))
-
-    def _score(self, query: list[tuple[int, float]], wanted: np.ndarray) -> np.ndarray:
-        """Cosines with the examples of the wanted blocks, 0 elsewhere."""
-        total = np.zeros(self.blocks * BLOCK)
-        for term, q in query:
-            own, w = self.postings[term]
-            here = wanted[own // BLOCK]
-            total[own[here]] += q * w[here]
-        return total
+        self.owner, terms, self.weights = owner[order], terms[order], weights[order]
+        block = self.owner // BLOCK
+        self.start = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])][: len(terms)])
+        self.end = np.r_[self.start[1:], len(terms)].astype(np.int64)[: len(self.start)]
+        self.block = block[self.start]
+        self.top = np.maximum.reduceat(self.weights, self.start) if len(self.start) else np.empty(0)
+        self.terms, first = np.unique(terms[self.start], return_index=True)
+        self.first = np.r_[first, len(self.start)]
+
+    def _score(self, segments: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """What the segments add to the cosine of each example."""
+        at = _ranges(self.start[segments], self.end[segments])
+        return np.bincount(self.owner[at], np.repeat(q, self.end[segments] - self.start[segments]) * self.weights[at], minlength=self.size)
 
     def search(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Example numbers and cosines above 0, best first, equal ones by number."""
-        query = [(t, q) for t, q in zip(ids.tolist(), weights.tolist()) if t in self.postings]
-        if not query:
+        place = np.searchsorted(self.terms, ids)
+        here = (place < len(self.terms)) & (self.terms[np.minimum(place, len(self.terms) - 1)] == ids) if len(self.terms) else np.zeros(len(ids), bool)
+        place, weights = place[here], weights[here]
+        if not len(place):
             return np.empty(0, np.int64), np.empty(0)
-        bound = np.zeros(self.blocks)
-        for term, q in query:
-            block, top = self.maxima[term]
-            bound[block] += q * top
+        segments = _ranges(self.first[place], self.first[place + 1])
+        q = np.repeat(weights, self.first[place + 1] - self.first[place])
+        block = self.block[segments]
+        bound = np.bincount(block, q * self.top[segments], minlength=self.blocks)
         few = min(self.blocks, 2 + k // BLOCK)
         wanted = np.zeros(self.blocks, dtype=bool)
         wanted[np.argpartition(-bound, few - 1)[:few]] = True
-        total = self._score(query, wanted)
+        first = wanted[block]
+        total = self._score(segments[first], q[first])
         if without >= 0:
             total[without] = 0.0
         kth = np.partition(total, -k)[-k] if len(total) > k else 0.0
-        rest = ~wanted & (bound >= kth - 1e-12) & (bound > 0)
+        rest = (~wanted & (bound >= kth - 1e-12) & (bound > 0))[block]
         if rest.any():
-            total += self._score(query, rest)
+            total += self._score(segments[rest], q[rest])
             if without >= 0:
                 total[without] = 0.0
         found = np.flatnonzero(total > 1e-12)
@@ -118,8 +115,8 @@ class BlockMaxIndex:
         return best, total[best]
 
 
-def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = (1.0 + np.log(counts)) * idf
+def _weigh(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    x = (1.0 + np.log(counts)) * weight
     norm = np.sqrt((x * x).sum())
     return x / norm if norm else x
 
@@ -146,13 +143,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 class Model:
     """Index, labels and calibration; ``score`` works on one document's term counts."""
 
-    def __init__(self, example_ids, labels: np.ndarray, weights: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, k: int, fallback: float):
-        self.example_ids, self.labels, self.idf, self.k, self.fallback = example_ids, labels, idf, k, fallback
+    def __init__(self, example_ids, labels: np.ndarray, weights: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, k: int, fallback: float):
+        self.example_ids, self.labels, self.weight, self.k, self.fallback = example_ids, labels, weight, k, fallback
         self.usable = bool(len(labels)) and 0 < labels.mean() < 1
-        self._known: dict[bytes, tuple[float, list]] = {}
+        self._known: dict[bytes, tuple[float, list]] = {}  # copies are frequent
         if not self.usable:
             return
-        vectors = [(ids, _weigh(n, idf[ids])) for ids, n in counts]
+        vectors = [(ids, _weigh(n, weight[ids])) for ids, n in counts]
         self.index = BlockMaxIndex(vectors)
         votes = np.full(len(labels), np.nan)
         for i, (ids, w) in enumerate(vectors):
@@ -170,7 +167,7 @@ class Model:
         if key not in self._known:
             if len(self._known) > 50_000:
                 self._known.clear()
-            best, cosines = self.index.search(ids, _weigh(counts, self.idf[ids]), self.k)
+            best, cosines = self.index.search(ids, _weigh(counts, self.weight[ids]), self.k)
             if len(best):
                 z = self.slope * _vote(self.labels[best], cosines) + self.offset
                 self._known[key] = float(1.0 / (1.0 + np.exp(-z))), [self.example_ids[i] for i in best[:n_evidence]]
@@ -179,58 +176,37 @@ class Model:
         return self._known[key]
 
 
-def _term_tables(terms: list[bytes]) -> dict[bytes, int]:
-    return {t: i for i, t in enumerate(terms, BACKGROUND + 1)}
-
-
-def vectors(docs: DataFrame, terms: list[bytes], id_col: str, text_col: str, modulus: int) -> DataFrame:
-    """``doc_id, held_out, ids, counts``: the kept terms of every row, ids ascending."""
+def vectors(docs: DataFrame, terms: list[bytes], keys: list[str]) -> DataFrame:
+    """``keys``, ``ids, counts``: the vocabulary words of the ``text`` of every row, ids ascending."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
+    n = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _term_tables(shared.value)
-        known: dict[bytes, tuple[int, ...]] = {}
-
-        def of(word: bytes) -> tuple[int, ...]:
-            found = known.get(word)
-            if found is None:
-                if len(known) > _REMEMBERED:
-                    known.clear()
-                found = known[word] = tuple(number[t] for t in terms_of(word) if t in number)
-            return found
-
-        for batch in batches:
+        number = {t: i for i, t in enumerate(shared.value)}
+        for batch in (part for whole in batches for part in by_size(whole, n)):
             ids, counts, ends = [], [], [0]
-            for text in batch.column(2):
-                seen: Counter[int] = Counter()
-                words = words_of(text.as_py())
-                hits = list(filter(None, map(of, words)))
-                for hit in hits:
-                    seen.update(hit)
-                if len(words) > len(hits):
-                    seen[BACKGROUND] = len(words) - len(hits)
-                for i in sorted(seen):
-                    ids.append(i)
-                    counts.append(seen[i])
+            for text in batch.column(n):
+                seen = Counter(words_of(text.as_py()))
+                hits = sorted((number[w], c) for w, c in seen.items() if w in number)
+                ids += [h[0] for h in hits]
+                counts += [h[1] for h in hits]
                 ends.append(len(ids))
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (ids, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "held_out", "ids", "counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *lists], names=[*keys, "ids", "counts"])
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, modulus) == 0).alias("held_out"), F.col(text_col).cast("string")).mapInArrow(
-        run, f"doc_id {id_type}, held_out boolean, ids array<int>, counts array<int>"
-    )
+    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return docs.select(*keys, "text").mapInArrow(run, f"{kinds}, ids array<int>, counts array<int>")
 
 
-def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, min_examples: int, min_g2: float) -> list[bytes]:
-    """The terms whose presence depends on the label most, by the likelihood ratio."""
+def _vocabulary(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, min_examples: int, floor: float, half: float) -> tuple[list[bytes], np.ndarray]:
+    """The words of at least ``min_examples`` examples in byte order, and the relevance of each."""
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pos: Counter[bytes] = Counter()
         neg: Counter[bytes] = Counter()
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1)):
-                (pos if label.as_py() else neg).update({t for w in set(words_of(text.as_py())) for t in terms_of(w)})
+                (pos if label.as_py() else neg).update(set(words_of(text.as_py())))
         terms = sorted(pos.keys() | neg.keys())
         for at in range(0, len(terms), 20_000):
             part = terms[at : at + 20_000]
@@ -248,8 +224,10 @@ def _select_terms(examples: DataFrame, n_pos: int, n_neg: int, max_terms: int, m
 
     with_term, without = p + n, total - (p + n)
     g2 = 2 * (part(p, F.lit(n_pos), with_term) + part(n, F.lit(n_neg), with_term) + part(n_pos - p, F.lit(n_pos), without) + part(n_neg - n, F.lit(n_neg), without))
-    kept = seen.filter((with_term >= min_examples) & (without > 0)).withColumn("g2", g2).filter(F.col("g2") >= min_g2)
-    return sorted(bytes(r["term"]) for r in kept.orderBy(F.desc("g2"), "term").limit(max_terms).collect())
+    kept = seen.filter(with_term >= min_examples).select("term", F.greatest(g2, F.lit(0.0)).alias("g2"))
+    rows = sorted((bytes(r["term"]), r["g2"]) for r in kept.orderBy(F.desc("g2"), "term").limit(max_terms).collect())
+    g = np.array([r[1] for r in rows])
+    return [r[0] for r in rows], floor + (g / (g + half)) ** 2
 
 
 def _frequencies(counted: DataFrame, size: int) -> DataFrame:
@@ -275,8 +253,9 @@ def score_toxicity(
     k: int = 15,
     max_examples: int = MAX_EXAMPLES,
     max_terms: int = MAX_TERMS,
-    min_examples: int = 5,
-    min_g2: float = 40.0,
+    min_examples: int = 2,
+    floor: float = 0.05,
+    half: float = 40.0,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -288,27 +267,27 @@ def score_toxicity(
     chance = F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) < chance * (1 << 20))
     # Bounded by max_examples, so its ids can go to every task.
-    drawn = cut(drawn, "examples")
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    examples = keyed.join(F.broadcast(drawn), "doc_id")
-    sampled = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    terms: list[bytes] = []
+    drawn = cut(drawn, "drawn")
+    keyed = docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, modulus) == 0).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    examples = keyed.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    examples = cut(examples, "examples")
+    sampled = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    terms, relevance = [], np.zeros(0)
     if len(sampled) == 2:
-        terms = _select_terms(examples, sampled[1], sampled[0], max_terms, min_examples, min_g2)
-    counted = cut(vectors(docs, terms, id_col, text_col, modulus), "vectors")
-    df = np.zeros(len(terms) + 1)
+        terms, relevance = _vocabulary(examples, sampled[1], sampled[0], max_terms, min_examples, floor, half)
+    counted = cut(vectors(keyed, terms, ["doc_id", "held_out"]), "vectors")
+    df = np.zeros(len(terms))
     for r in _frequencies(counted, len(df)).collect():
         df[r["id"]] = r["n"]
     idf = np.log((1.0 + counted.count()) / (1.0 + df)) + 1.0
-    chosen = counted.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "ids", "counts")
-    rows = sorted(chosen.collect(), key=lambda r: r["doc_id"])
+    rows = sorted(vectors(examples, terms, ["doc_id", "label"]).collect(), key=lambda r: r["doc_id"])
     weight = {c: per_label[c] / sampled[c] for c in sampled}
     model = Model(
         [r["doc_id"] for r in rows],
         np.array([r["label"] for r in rows], dtype=float),
         np.array([weight[r["label"]] for r in rows]),
         [(np.array(r["ids"], dtype=np.int64), np.array(r["counts"], dtype=float)) for r in rows],
-        idf,
+        idf * relevance,
         k,
         per_label.get(1, 0) / n_all if n_all else 0.0,
     )
