@@ -1,16 +1,18 @@
 r"""Quality rules learned as decision lists (DataFrame functions only).
 
 ``measure`` turns each text into a few counts.  ``learn`` runs sequential covering
-over the labelled rows: it grows one conjunction of thresholds at a time on two
-thirds of them by FOIL gain, prunes it on the other third, keeps it while it is
-precise, and goes on with the rows that no rule covers.  Every labelled row takes
-part; a step is one aggregation to (feature, bin) counts, so the driver sees some
-hundred numbers at a time.  The result is an ordered list of rules that
+over the labelled rows that the base rule leaves: it grows one conjunction of
+thresholds at a time on two thirds of them by FOIL gain, prunes it on the other
+third, keeps it if it is precise there, and goes on with the rows that no rule covers.
+What a rule that is not precise covers is set aside, and the next one is grown on the
+rest, until the rows left hold too few bad ones to tell.  Every such row takes part;
+a step is one aggregation to (feature, bin) counts, so the driver sees some hundred
+numbers at a time.  The result is an ordered list of rules that
 ``DecisionList.column`` renders as one Spark ``CASE WHEN`` expression.
 
 Defined cases: a null text counts as empty and fails the base rule (fewer than 50
-words); null labels and labels of unknown documents are ignored; rows that repeat
-an id are judged one by one; without labels of both kinds the list is empty and
+words); null labels and labels of unknown documents are ignored; of labels that repeat
+an id the smallest counts; rows that repeat an id are judged one by one; without labels of both kinds the list is empty and
 the base rule alone decides; extra columns are ignored by ``judge`` and kept by
 ``keep_good``.
 """
@@ -169,16 +171,22 @@ def _best_test(hist: dict[str, list[list[int]]], cuts: dict[str, list[float]]) -
     return best
 
 
-def _centred(rows: DataFrame, test: Test) -> Test:
-    """The same split of ``rows``, with the threshold midway between the values on its two sides."""
-    value = F.expr(FEATURES[test.feature]).cast("double")
-    low, high = rows.agg(
-        F.max(F.when(value <= test.threshold, value)), F.min(F.when(value > test.threshold, value))
-    ).collect()[0]
-    if low is None or high is None:
-        return test
-    middle = low + (high - low) / 2
-    return Test(test.feature, test.above, middle if low <= middle < high else low)
+def _centred(rows: DataFrame, tests: list[Test]) -> list[Test]:
+    """The same splits of ``rows`` one after another, with thresholds midway between the values on their two sides."""
+    sides = []
+    for i, test in enumerate(tests):
+        value = F.expr(" AND ".join(["true", *(t.sql() for t in tests[:i])]))
+        value = F.when(value, F.expr(FEATURES[test.feature]).cast("double"))
+        sides += [F.max(F.when(value <= test.threshold, value)).alias(f"low{i}"), F.min(F.when(value > test.threshold, value)).alias(f"high{i}")]
+    found = rows.agg(*sides).collect()[0].asDict()
+    out = []
+    for i, test in enumerate(tests):
+        low, high = found[f"low{i}"], found[f"high{i}"]
+        if low is not None and high is not None:
+            middle = low + (high - low) / 2
+            test = Test(test.feature, test.above, middle if low <= middle < high else low)
+        out.append(test)
+    return out
 
 
 def _tightest(tests: list[Test]) -> tuple[Test, ...]:
@@ -195,42 +203,49 @@ def learn(
     measured: DataFrame,
     labels: DataFrame,
     label_col: str = "quality",
-    max_rules: int = 8,
+    max_rules: int = 16,
+    max_aside: int = 8,
     max_tests: int = 4,
     bins: int = 24,
     min_precision: float = 0.9,
     min_covered: int = 5,
 ) -> DecisionList:
     """Decision list whose rules find rows that ``labels`` marks 0; all other rows are good."""
-    known = labels.filter(F.col(label_col).isNotNull()).select("doc_id", (F.col(label_col) == 0).alias("bad"))
+    known = labels.filter(F.col(label_col).isNotNull()).groupBy("doc_id").agg((F.min(label_col) == 0).alias("bad"))
     keep = ["doc_id", "n_words", "word_chars", "n_symbols", "n_upper", "n_digits", "n_exclaim", "n_lines", "n_dup_lines", "n_repeat_words"]
-    rows = measured.select(*keep).join(known, "doc_id").withColumn("_prune", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
+    rows = measured.filter(f"NOT ({BASE_FAILED})").select(*keep)
+    rows = rows.join(known, "doc_id").withColumn("_prune", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
     rows = cut(rows, "labelled")
     cuts = _thresholds(rows, bins)
     rules: list[Rule] = []
-    while len(rules) < max_rules:
+    aside: list[str] = []
+    while len(rules) < max_rules and len(aside) < max_aside:
         left = rows.filter(DecisionList(tuple(rules)).column().isNull())
+        start = grow = left.filter(" AND ".join(["NOT _prune", *(f"NOT ({c})" for c in aside)]))
         tests: list[Test] = []
-        grow = left.filter(~F.col("_prune"))
         while len(tests) < max_tests:
             best = _best_test(_histogram(grow, cuts), cuts)
             if best is None:
                 break
-            tests.append(_centred(grow, best[1]))
-            grow = grow.filter(best[1].sql())
+            tests.append(best[1])
+            grow = grow.filter(tests[-1].sql())
             if not best[3]:
                 break
         if not tests:
             break
+        tests = _centred(start, tests)
         prefixes = [" AND ".join(t.sql() for t in tests[: k + 1]) for k in range(len(tests))]
         sums = [F.count_if(F.expr(f"({c}) AND {'bad' if bad else 'NOT bad'}")).alias(f"{k}_{int(bad)}") for k, c in enumerate(prefixes) for bad in (True, False)]
-        held = left.filter("_prune").agg(*sums).collect()[0].asDict()
+        held = left.filter("_prune").agg(F.count_if("bad").alias("bad"), *sums).collect()[0].asDict()
+        if held["bad"] < min_covered:
+            break
         worth = [((held[f"{k}_1"] - held[f"{k}_0"]) / max(held[f"{k}_1"] + held[f"{k}_0"], 1), held[f"{k}_1"]) for k in range(len(tests))]
         k = max(range(len(tests)), key=lambda i: (worth[i], -i))
         p, n = held[f"{k}_1"], held[f"{k}_0"]
         if p + n < min_covered or p / (p + n) < min_precision:
-            break
-        rules.append(Rule(_tightest(tests[: k + 1]), p / (p + n), p + n))
+            aside.append(prefixes[-1])
+        else:
+            rules.append(Rule(_tightest(tests[: k + 1]), p / (p + n), p + n))
     return DecisionList(tuple(rules))
 
 
