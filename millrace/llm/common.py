@@ -22,10 +22,12 @@ _fallback_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where it names none (tests)."""
+    """The shared folder the session names; a temporary one only in a local session that names none (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _fallback_dir:
         _fallback_dir.append("file://" + tempfile.mkdtemp(prefix="millrace-"))
     return _fallback_dir[0]
@@ -54,11 +56,17 @@ def drop_cut(spark: SparkSession, path: str) -> None:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of finished jobs whose frames are gone."""
+    """Let the context cleaner drop shuffle files of finished jobs whose frames are gone.
+
+    The first round lets go of the plans, the second of what these alone held.
+    """
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +82,14 @@ def fold(column: str, modulus: int):
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,7 +7,8 @@ that all occurrences of a name agree in length and in an independent 64-bit
 hash; a disagreement stops the job instead of merging different contents.
 A document becomes its recipe, the ordered list of chunk identifiers.  Texts are
 equal exactly if their recipes are, so only recipes (some 40 bytes for each
-kilobyte of text) are shuffled and the documents themselves never move.
+kilobyte of text) are compared and the query moves no document.  The filtering form
+``keep_first`` joins the documents with the rows that stay, which moves each once.
 
 Defined cases: a null text counts as empty; empty texts equal one another (their
 recipe has no chunk); exactly one row of a group stays, the one with the smallest
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut, free_shuffles, read_cut, text_or_empty, write_cut
+from .common import cut, drop_cut, free_name, free_shuffles, read_cut, text_or_empty, write_cut
 
 #: A run of white space that is not already one single space.
 _UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -121,6 +122,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = cut(_decide(read_cut(docs.sparkSession, path, listed), id_col).filter("kept").select(key(F.col("text_sha256")).alias("_key")), "kept")
     drop_cut(docs.sparkSession, path)
     free_shuffles(docs.sparkSession)
-    keyed = docs.withColumn("_key", key(F.sha2(normalised(text_or_empty(text_col)), 256)))
+    name = free_name(docs, "_key")
+    keyed = docs.withColumn(name, key(F.sha2(normalised(text_or_empty(text_col)), 256)))
     # Rows that repeat id and text meet in the partition where the join has put them.
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return keyed.join(kept.withColumnRenamed("_key", name), name, "left_semi").dropDuplicates([name]).drop(name)

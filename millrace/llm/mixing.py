@@ -140,8 +140,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         .filter("_low + _more > 0")
     )
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
+    # The columns of the documents travel as one, so that no name of theirs can clash.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        key(F.col(id_col), size, _source_key(F.col(source_col)), F.xxhash64(text_col)).alias("_key"),
+    )
     # One row per document grows with the table, so the plan is the same at any size: no broadcast.
-    keyed = docs.withColumn("_key", key(F.col(id_col), size, _source_key(F.col(source_col)), F.xxhash64(text_col)))
     kept = keyed.join(copies.hint("merge"), "_key").withColumn("_nth", F.row_number().over(W.partitionBy("_key").orderBy("_low")))
-    kept = kept.withColumn("_copies", F.col("_low") + (F.col("_nth") <= F.col("_more")).cast("bigint")).filter("_copies > 0")
-    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy")).drop("_copy")
+    taken = F.col("_low") + (F.col("_nth") <= F.col("_more")).cast("bigint")
+    kept = kept.select("_doc", taken.alias("_copies")).filter("_copies > 0")
+    return kept.select("_doc", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy")).select("_doc.*")

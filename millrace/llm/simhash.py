@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, drop_cut, free_shuffles, partitions, pieces, read_cut, write_cut
+from .common import cut, drop_cut, free_name, free_shuffles, partitions, pieces, read_cut, write_cut
 
 SEED = 42
 TILE_ROWS = 2048
@@ -477,6 +477,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     judged each by its own text.  Rows equal in id and text stay or go together; they are
     exact copies, which the stage before removes.
     """
-    keyed = docs.withColumn("_key", _row_key(docs, id_col, text_col))
-    gone = near_copies(keyed, "_key", text_col, **named).select(F.col("node").alias("_key"))
-    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+    name = free_name(docs, "_key")
+    keyed = docs.withColumn(name, _row_key(docs, id_col, text_col))
+    gone = near_copies(keyed, name, text_col, **named).select(F.col("node").alias(name))
+    return keyed.join(gone, name, "left_anti").select(*docs.columns)

@@ -29,7 +29,7 @@ EDGE = [
     (10_012, "### $$$ | < > & * %", "es", "src9", 20),
     (None, "no id at all", "en", "src0", 12),
 ]
-CLASHING = ["words", "size", "kept", "fp", "label", "score", "bucket", "text_sha256", "copies"]
+CLASHING = ["words", "size", "kept", "fp", "label", "score", "bucket", "text_sha256", "copies", "_key", "_copy", "_copies", "_row", "_doc"]
 
 
 @pytest.fixture(scope="session")
