@@ -207,9 +207,14 @@ def near_dedup(
 # Jaccard similarity of word shingles, wide fingerprints are compared by exclusive-or and
 # bit counts within groups of texts that share an anchor, and every link is confirmed on the
 # shingles themselves.  That finds nearly all links cheaply, but not all.  The rest comes
-# from an exact prefix filter: in one global order of the shingles, two texts of the
-# similarity share SHARED of the first n - ceil(similarity * n) + SHARED shingles of each.  Only
-# pairs that the first pass has not already put in one group are looked at.
+# from an exact pass.  In one global order of the shingles, two texts of the similarity s
+# share one of the first n - ceil(s * n) + 1 shingles of each, so only texts that share
+# such a shingle and are not in one group yet are compared, in tiles, by exclusive-or and
+# bit counts of parity sketches: bit h mod b of a sketch tells if an odd number of shingles
+# hashes to it, so two sketches differ in at most as many bits as their texts have
+# shingles that the other has not, and that number is (n + m) * (1 - s) / (1 + s) at most for a
+# link.  A pair beyond this radius is no link, and what is within it is confirmed on the
+# shingles.  Tiles whose sizes differ beyond the similarity are skipped.
 
 ANCHORS = 5
 WIDE = 4
@@ -218,9 +223,8 @@ WIDE_RADIUS = 64
 #: Texts from which common shingles are known, and in how many of them one is common.  Common
 #: shingles come last in the global order; any order finds the same links.
 SAMPLE_TEXTS, COMMON = 4096, 8
-#: Shingles that the prefixes of similar texts share at least (all of them, if fewer suffice);
-#: prefixes are longer by as many less one.
-SHARED = 8
+#: Bits of a parity sketch for each shingle, as a power of two in all; 256 bits at least.
+SKETCH_BITS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -250,7 +254,20 @@ def prefix(h: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
     late = np.zeros(len(h), dtype=bool)
     if len(common):
         late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
-    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + SHARED]
+    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+
+
+def parity_sketch(h: np.ndarray) -> np.ndarray:
+    """Which of b bits an odd number of the hashes fall on; b is a power of two by their number."""
+    bits = 1 << max(8, (SKETCH_BITS * len(h) - 1).bit_length())
+    # A second mixing: the prefixes' order is that of the hashes themselves.
+    odd = np.bincount((_mixed(h, _ODD[0]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same hashes with fewer bits."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
 
 
 def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -324,16 +341,18 @@ def near_copies(
     1 - (1 - similarity) ** ANCHORS (0.9997 at 0.8).  Groups of the same members count
     once; a group of more than ``tile_rows`` texts is compared in pairs of blocks.
     What the anchors and the radius miss, the pairs of ``_open_pairs`` hold, so no link is lost.
+    Rows of one id are one text here; ``keep_one`` makes ids that tell texts apart.
     """
     spark, longs = docs.sparkSession, pa.list_(pa.int64())
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     common = _common(rows, shingle)
 
-    def seeds(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    def seeds(text: str | None) -> tuple[np.ndarray, np.ndarray, bytes, int]:
         h = _shingle_hashes(text, shingle)
-        return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), len(h)
+        return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), parity_sketch(h).tobytes(), len(h)
 
-    seeded = _by_text(rows, {"anchors": longs, "prefix": longs, "n": pa.int64()}, "anchors array<bigint>, prefix array<bigint>, n bigint", seeds)
+    kinds = {"anchors": longs, "prefix": longs, "sketch": pa.binary(), "n": pa.int64()}
+    seeded = _by_text(rows, kinds, "anchors array<bigint>, prefix array<bigint>, sketch binary, n bigint", seeds)
     seeded = seeded.withColumn("row", F.monotonically_increasing_id())
     path = write_cut(seeded, "anchors")
     table = read_cut(spark, path, seeded)
@@ -401,38 +420,77 @@ def _common(rows: DataFrame, shingle: int) -> np.ndarray:
     return np.unique(np.array([r["h"] for r in often.collect()], dtype=np.int64).view(np.uint64))
 
 
+def within(rows: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs (row, row) of a tile's two sides, of different roots, whose sketches differ by no more than a link can.
+
+    Texts are visited by size, so each is compared with a stretch of the others; sketches are
+    folded to the smallest width of the stretch.  Equal pairs are reported once.
+    """
+    share = (1 - similarity) / (1 + similarity)
+    order = right[np.argsort(sizes[right], kind="stable")]
+    ordered = sizes[order]
+    widths = np.array([len(s) for s in sketches])
+    found = []
+    stacks: dict[tuple[int, int], np.ndarray] = {}
+    for i in left.tolist():
+        low = np.searchsorted(ordered, math.ceil(similarity * sizes[i] - 1e-9))
+        high = np.searchsorted(ordered, math.floor(sizes[i] / similarity + 1e-9), side="right")
+        for width in np.unique(np.minimum(widths[order[low:high]], widths[i])).tolist():
+            key = (width, int(widths[i] > width))  # smaller partners keep their width, others are folded to i's
+            if key not in stacks:
+                at = np.flatnonzero(widths[order] == width) if key[1] else np.flatnonzero(widths[order] >= width)
+                stacks[key] = at, np.array([folded(sketches[j], width) for j in order[at].tolist()], dtype=np.uint64).reshape(len(at), width)
+            at, stack = stacks[key]
+            a, b = np.searchsorted(at, (low, high))
+            js = order[at[a:b]]
+            open_ = np.flatnonzero((roots[js] != roots[i]) & (rows[js] != rows[i]))
+            if not len(open_):
+                continue
+            js = js[open_]
+            differ = np.bitwise_count(stack[a:b][open_] ^ folded(sketches[i], width)).sum(axis=1, dtype=np.int64)
+            js = js[differ <= (sizes[js] + sizes[i]) * share + 1e-6]
+            found += [(int(min(rows[i], r)), int(max(rows[i], r))) for r in rows[js].tolist()]
+    return list(set(found))
+
+
 def _open_pairs(table: DataFrame, found: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
-    """``a, b``: pairs of different groups of ``found`` that can be similar, by an exact prefix filter.
+    """``a, b``: pairs of different groups of ``found`` that can be similar: all links are among them.
 
-    ``table`` holds ``doc_id, row, prefix, n``.  Two texts of c shared prefix shingles share
-    no more than c and what is left after the last of these; links need SHARED of them.
-    Groups are told apart by a 64-bit hash of the root, texts by their row.
+    ``table`` holds ``doc_id, row, prefix, sketch, n``.  Groups are told apart by a 64-bit hash of the
+    root, texts by their row.  Prefix shingles that the same texts share are one group.
     """
-    placed = table.select("doc_id", "row", "prefix", "n").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
-    entries = placed.select("row", "n", F.xxhash64(F.coalesce("root", "doc_id")).alias("root"), F.posexplode("prefix").alias("pos", "h"))
-    entries = entries.select("h", "row", "root", F.col("n").cast("int").alias("n"), F.col("pos").cast("int").alias("pos"))
-    groups = entries.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("h")
-    path = write_cut(entries.join(groups.hint("merge"), "h", "left_semi"), "entries")
-    entries = read_cut(table.sparkSession, path, entries)
-    blocks = entries.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("blocks"))
-    entries = entries.join(blocks.hint("merge"), "h")
-    one = entries.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks").cast("bigint")).cast("int")).alias("x")
-    other = entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    needed = F.ceil((small + large) * (similarity / (1 + similarity)) - 1e-6)
-    last = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
-    pairs = (
-        one.join(other.hint("merge"), ["h", "block"])
-        .filter((F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & (small >= large * similarity - 1e-6))
-        .groupBy(F.col("x.row").alias("row_a"), F.col("y.row").alias("row_b"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min(last).alias("last"), F.first(needed).alias("needed"))
-        .filter((F.col("c") >= F.least(F.lit(SHARED), "needed")) & (F.col("c") + F.col("last") >= F.col("needed")))
+    spark = table.sparkSession
+    placed = table.select("doc_id", "row", "prefix").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
+    entries = placed.select("row", F.xxhash64(F.coalesce("root", "doc_id")).alias("root"), F.explode("prefix").alias("h"))
+    groups = (
+        entries.groupBy("h")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("who"), F.min("row").alias("least"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low != high")
+        .groupBy("k", "who", "least")
+        .agg(F.min("h").alias("h"))
+        .select("h", F.ceil(F.col("k") / tile_rows).cast("int").alias("blocks"))
     )
-    pairs = cut(pairs.select("row_a", "row_b"), "pairs")
+    entries = entries.join(groups.hint("merge"), "h")
+    path = write_cut(entries, "entries")
+    free_shuffles(spark)
+    entries = read_cut(spark, path, entries)
+    sketched = entries.join(table.select("row", "sketch", "n").hint("merge"), "row")
+    block = F.pmod(F.xxhash64("row"), F.col("blocks").cast("bigint")).cast("int")
+    tiles = sketched.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows, roots, sizes, block = (group.column(c).to_numpy() for c in ("row", "root", "n", "block"))
+        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        sketches = [np.frombuffer(s, dtype=np.uint64) for s in group.column("sketch").to_pylist()]
+        near = within(rows, roots, sizes, sketches, np.flatnonzero(block == x), np.flatnonzero(block == y), similarity)
+        return pa.table({"row_a": pa.array([p[0] for p in near], pa.int64()), "row_b": pa.array([p[1] for p in near], pa.int64())})
+
+    tiles = tiles.select("h", "x", "y", "block", "row", "root", "n", "sketch")
+    pairs = cut(tiles.groupBy("h", "x", "y").applyInArrow(compare, "row_a bigint, row_b bigint").distinct(), "pairs")
+    drop_cut(spark, path)
     named = lambda row, name: table.select(F.col("row").alias(row), F.col("doc_id").alias(name)).hint("merge")
-    pairs = cut(pairs.join(named("row_a", "a"), "row_a").join(named("row_b", "b"), "row_b").select("a", "b"), "pairs")
-    drop_cut(table.sparkSession, path)
-    return pairs
+    return cut(pairs.join(named("row_a", "a"), "row_a").join(named("row_b", "b"), "row_b").select("a", "b"), "pairs")
 
 
 def _confirmed(rows: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:

@@ -143,3 +143,34 @@ def test_rows_that_repeat_an_id(spark):
         kept = [(r["doc_id"], r["text"]) for r in S.keep_one(docs).collect()]
         assert len(kept) == 3 and (as_id(-3), text) in kept and (None, "alone") in kept
         assert [i for i, t in kept if t in (clean, last)] == [as_id(7)]
+
+
+def test_sketches_hold_the_radius():
+    """A sketch differs in no more bits than the sets in elements, at any width; tiles lose no link."""
+    rng = np.random.default_rng(9)
+    sets = []
+    for n in (1, 3, 40, 63, 64, 65, 200, 900):
+        for _ in range(4):
+            h = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            sets.append(h)
+            for share in (0.95, 0.8, 0.5):
+                kept = h[rng.random(len(h)) < share]
+                sets.append(np.unique(np.r_[kept, rng.integers(0, 2**64, (len(h) - len(kept)) // 3 + 1, dtype=np.uint64)]))
+    sketches = [S.parity_sketch(h) for h in sets]
+    links = set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            apart = len(np.setxor1d(a, b))
+            width = min(len(sketches[i]), len(sketches[j]))
+            differ = np.bitwise_count(S.folded(sketches[i], width) ^ S.folded(sketches[j], width)).sum()
+            assert differ <= apart and (apart - differ) % 2 == 0
+            both = len(np.intersect1d(a, b))
+            if both >= 0.8 * (len(a) + len(b) - both):
+                links.add((j, i))
+    rows, sizes = np.arange(len(sets)), np.array(list(map(len, sets)))
+    half = rows % 2 == 0
+    for roots in (rows, rows // 2):
+        sides = [(rows[half], rows[half]), (rows[half], rows[~half]), (rows[~half], rows[~half])]
+        found = set().union(*(S.within(rows, roots, sizes, sketches, x, y, 0.8) for x, y in sides))
+        assert {(a, b) for a, b in links if roots[a] != roots[b]} <= found
+        assert len(found) < 2 * len(links) and all(roots[a] != roots[b] for a, b in found)
