@@ -333,10 +333,11 @@ def _relations(spark, sf_dir):
 
 
 @_q(
-    "SELECT l_orderkey AS subject, l_returnflag AS predicate, l_suppkey AS object, max(l_discount) AS confidence, count(*) AS n_relations FROM lineitem GROUP BY ALL"
+    "SELECT l_orderkey AS subject, l_returnflag AS predicate, l_suppkey AS object, max(l_discount) AS confidence, count(*) AS n_relations, array_to_string(list_sort(list(DISTINCT l_linenumber)), ',') AS relation_ids FROM lineitem GROUP BY ALL"
 )
 def edge_aggregate(spark, sf_dir):
-    return knowledge.aggregate_edges(_relations(spark, sf_dir)).drop("relation_ids")
+    edges = knowledge.aggregate_edges(_relations(spark, sf_dir))
+    return edges.withColumn("relation_ids", F.array_join(F.col("relation_ids").cast("array<string>"), ","))
 
 
 @_q(
@@ -512,12 +513,12 @@ def error_rate(spark, sf_dir):
 
 
 @_q(
-    "SELECT user_id AS run_id, event_type AS module, min(ts) AS started, max(ts) FILTER (value > 50) AS completed FROM events GROUP BY ALL"
+    "SELECT user_id AS run_id, event_type AS module, min(ts) AS started, max(ts) FILTER (value > 50) AS completed, round((epoch_us(max(ts) FILTER (value > 50)) - epoch_us(min(ts))) / 1e6::DOUBLE, 3)::DOUBLE AS seconds FROM events GROUP BY ALL"
 )
 def module_latency(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("module"), "ts", "value")
     both = e.withColumn("event", F.lit("start")).unionByName(e.filter("value > 50").withColumn("event", F.lit("complete")))
-    return knowledge.module_latency(both).drop("seconds")
+    return knowledge.module_latency(both).withColumn("seconds", F.round("seconds", 3))
 
 
 @_q("WITH RECURSIVE t(node, hops) AS (SELECT 1::BIGINT, 0 UNION SELECT e.d, t.hops + 1 FROM t JOIN (SELECT DISTINCT r_regionkey + 1 AS s, n_nationkey + 100 AS d FROM region JOIN nation ON r_regionkey = n_regionkey UNION SELECT DISTINCT s_nationkey + 100, s_suppkey + 1000 FROM supplier) e ON e.s = t.node WHERE t.hops < 3) SELECT node, min(hops)::INT AS hops FROM t GROUP BY node")
@@ -575,6 +576,9 @@ def flagship_distribution(spark, sf_dir):
     return flagship(spark, sf_dir).withColumnRenamed("label", "quality")
 
 
+from . import rule_queries  # noqa: E402, F401  registers its queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
