@@ -42,6 +42,8 @@ from .common import by_size, cut, fold
 BLOCK = 64
 MAX_EXAMPLES = 8192
 MAX_TERMS = 1 << 20
+#: Queries whose frequent terms are multiplied at once.
+_TOGETHER = 128
 #: ASCII letters in lower case and all other characters above ASCII stay, anything else parts words.
 _LETTERS = bytes(i + 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i > 127 else 32 for i in range(256))
 
@@ -60,6 +62,8 @@ class BlockMaxIndex:
     """Inverted index over unit vectors; ``search`` gives the exact k nearest by cosine.
 
     Postings are sorted by term and example; a segment is a term's postings in one block.
+    Terms that more than a fourth of the examples hold bound nothing; their weights are a
+    matrix, and what they add to all cosines of many queries is one product (``base``).
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
@@ -68,8 +72,17 @@ class BlockMaxIndex:
         owner = np.repeat(np.arange(self.size), [len(ids) for ids, _ in vectors])
         terms = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)]).astype(np.int64)
         weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
+        found, place, df = np.unique(terms, return_inverse=True, return_counts=True)
+        often = 4 * df > max(self.size, BLOCK)
+        self.frequent = found[often]
+        dense = often[place]
+        self.dense = np.zeros((len(self.frequent), self.size))
+        self.dense[np.searchsorted(self.frequent, terms[dense]), owner[dense]] = weights[dense]
+        owner, terms, weights = owner[~dense], terms[~dense], weights[~dense]
         order = np.lexsort((owner, terms))
         self.owner, terms, self.weights = owner[order], terms[order], weights[order]
+        self.block_of = np.arange(self.size) // BLOCK
+        self.block_starts = np.arange(0, self.size, BLOCK)
         block = self.owner // BLOCK
         self.start = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])][: len(terms)])
         self.end = np.r_[self.start[1:], len(terms)].astype(np.int64)[: len(self.start)]
@@ -83,28 +96,42 @@ class BlockMaxIndex:
         at = _ranges(self.start[segments], self.end[segments])
         return np.bincount(self.owner[at], np.repeat(q, self.end[segments] - self.start[segments]) * self.weights[at], minlength=self.size)
 
-    def search(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def base(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the frequent terms add to the cosine of each query and example."""
+        rows = np.zeros((len(queries), len(self.frequent)))
+        for row, (ids, weights) in zip(rows, queries):
+            place, here = self._find(self.frequent, ids)
+            row[place] = weights[here]
+        return rows @ self.dense
+
+    @staticmethod
+    def _find(terms: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(terms, ids)
+        here = terms[np.minimum(place, len(terms) - 1)] == ids if len(terms) else np.zeros(len(ids), dtype=bool)
+        return place[here], here
+
+    def search(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Example numbers and cosines above 0, best first, equal ones by number."""
-        place = np.searchsorted(self.terms, ids)
-        here = (place < len(self.terms)) & (self.terms[np.minimum(place, len(self.terms) - 1)] == ids) if len(self.terms) else np.zeros(len(ids), bool)
-        place, weights = place[here], weights[here]
-        if not len(place):
+        if not self.size:
             return np.empty(0, np.int64), np.empty(0)
+        base = self.base([(ids, weights)])[0] if base is None else base
+        place, here = self._find(self.terms, ids)
         segments = _ranges(self.first[place], self.first[place + 1])
-        q = np.repeat(weights, self.first[place + 1] - self.first[place])
+        q = np.repeat(weights[here], self.first[place + 1] - self.first[place])
         block = self.block[segments]
-        bound = np.bincount(block, q * self.top[segments], minlength=self.blocks)
+        bound = np.bincount(block, q * self.top[segments], minlength=self.blocks) + np.maximum.reduceat(base, self.block_starts)
         few = min(self.blocks, 2 + k // BLOCK)
         wanted = np.zeros(self.blocks, dtype=bool)
         wanted[np.argpartition(-bound, few - 1)[:few]] = True
         first = wanted[block]
-        total = self._score(segments[first], q[first])
+        total = np.where(wanted[self.block_of], base, 0.0) + self._score(segments[first], q[first])
         if without >= 0:
             total[without] = 0.0
         kth = np.partition(total, -k)[-k] if len(total) > k else 0.0
-        rest = (~wanted & (bound >= kth - 1e-12) & (bound > 0))[block]
-        if rest.any():
-            total += self._score(segments[rest], q[rest])
+        more = ~wanted & (bound >= kth - 1e-12) & (bound > 0)
+        if more.any():
+            rest = more[block]
+            total += np.where(more[self.block_of], base, 0.0) + self._score(segments[rest], q[rest])
             if without >= 0:
                 total[without] = 0.0
         found = np.flatnonzero(total > 1e-12)
@@ -152,28 +179,36 @@ class Model:
         vectors = [(ids, _weigh(n, weight[ids])) for ids, n in counts]
         self.index = BlockMaxIndex(vectors)
         votes = np.full(len(labels), np.nan)
-        for i, (ids, w) in enumerate(vectors):
-            best, cosines = self.index.search(ids, w, k, without=i)
-            if len(best):
-                votes[i] = _vote(labels[best], cosines)
+        for at in range(0, len(vectors), _TOGETHER):
+            part = vectors[at : at + _TOGETHER]
+            for i, ((ids, w), base) in enumerate(zip(part, self.index.base(part)), at):
+                best, cosines = self.index.search(ids, w, k, i, base)
+                if len(best):
+                    votes[i] = _vote(labels[best], cosines)
         has = ~np.isnan(votes)
         self.slope, self.offset = _logistic(votes[has], labels[has], weights[has])
         self.fallback = float(((weights * labels)[~has].sum() + fallback) / (weights[~has].sum() + 1.0))
 
-    def score(self, ids: np.ndarray, counts: np.ndarray, n_evidence: int = 5) -> tuple[float, list]:
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]], n_evidence: int = 5) -> list[tuple[float, list]]:
+        """Score and evidence of each text, given the numbers and counts of its words; copies are looked up once."""
         if not self.usable:
-            return self.fallback, []
-        key = ids.tobytes() + counts.tobytes()
-        if key not in self._known:
-            if len(self._known) > 50_000:
-                self._known.clear()
-            best, cosines = self.index.search(ids, _weigh(counts, self.weight[ids]), self.k)
-            if len(best):
-                z = self.slope * _vote(self.labels[best], cosines) + self.offset
-                self._known[key] = float(1.0 / (1.0 + np.exp(-z))), [self.example_ids[i] for i in best[:n_evidence]]
-            else:
-                self._known[key] = self.fallback, []
-        return self._known[key]
+            return [(self.fallback, [])] * len(texts)
+        keys = [ids.tobytes() + counts.tobytes() for ids, counts in texts]
+        if len(self._known) > 50_000:
+            self._known.clear()
+        fresh = {key: text for key, text in zip(keys, texts) if key not in self._known}
+        queries = [(ids, _weigh(counts, self.weight[ids])) for ids, counts in fresh.values()]
+        order = list(fresh)
+        for at in range(0, len(order), _TOGETHER):
+            part = queries[at : at + _TOGETHER]
+            for key, (ids, w), base in zip(order[at : at + _TOGETHER], part, self.index.base(part)):
+                best, cosines = self.index.search(ids, w, self.k, base=base)
+                if len(best):
+                    z = self.slope * _vote(self.labels[best], cosines) + self.offset
+                    self._known[key] = float(1.0 / (1.0 + np.exp(-z))), [self.example_ids[i] for i in best[:n_evidence]]
+                else:
+                    self._known[key] = self.fallback, []
+        return [self._known[key] for key in keys]
 
 
 def vectors(docs: DataFrame, terms: list[bytes], keys: list[str]) -> DataFrame:
@@ -295,10 +330,8 @@ def score_toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                shared.value.score(np.array(i.as_py(), dtype=np.int64), np.array(c.as_py(), dtype=float))
-                for i, c in zip(batch.column(2), batch.column(3))
-            ]
+            texts = [(np.array(i.as_py(), dtype=np.int64), np.array(c.as_py(), dtype=float)) for i, c in zip(batch.column(2), batch.column(3))]
+            found = shared.value.scores(texts)
             score = [f[0] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
