@@ -62,7 +62,7 @@ class BlockMaxIndex:
     """Inverted index over unit vectors; ``search`` gives the exact k nearest by cosine.
 
     Postings are sorted by term and example; a segment is a term's postings in one block.
-    Terms that more than a fourth of the examples hold bound nothing; their weights are a
+    Terms that more than a sixteenth of the examples hold bound little; their weights are a
     matrix, and what they add to all cosines of many queries is one product (``base``).
     """
 
@@ -73,7 +73,7 @@ class BlockMaxIndex:
         terms = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)]).astype(np.int64)
         weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
         found, place, df = np.unique(terms, return_inverse=True, return_counts=True)
-        often = 4 * df > max(self.size, BLOCK)
+        often = 16 * df > max(self.size, BLOCK)
         self.frequent = found[often]
         dense = often[place]
         self.dense = np.zeros((len(self.frequent), self.size))
