@@ -14,7 +14,9 @@ from ..functions import text as X
 from ..operators import knowledge, labels
 from .catalogue import _STANCE, _q, _stances, _t
 
-KEY = F.col("o_orderkey")
+
+def _key():
+    return F.col("o_orderkey")
 
 
 def _joined(column: str):
@@ -31,7 +33,7 @@ _REASON = "CASE WHEN o_orderpriority = '5-LOW' THEN 'opinion' WHEN o_orderstatus
     f"FROM (SELECT o_orderkey AS claim_id, o_orderstatus <> 'P' AS checkable, {_REASON} AS reason FROM orders)"
 )
 def claim_checkability(spark, sf_dir):
-    claims = _t(spark, sf_dir, "orders").select(KEY.alias("claim_id"), (F.col("o_orderstatus") != "P").alias("checkable"), F.expr(_REASON).alias("reason"))
+    claims = _t(spark, sf_dir, "orders").select(_key().alias("claim_id"), (F.col("o_orderstatus") != "P").alias("checkable"), F.expr(_REASON).alias("reason"))
     return knowledge.checkability(claims)
 
 
@@ -44,10 +46,10 @@ def evidence_tier_violations(spark, sf_dir):
 def _summary(spark, sf_dir) -> DataFrame:
     """A summary row per order as the fusion rules expect it."""
     orders = _t(spark, sf_dir, "orders")
-    rows = knowledge.stance_summary(orders.select(KEY.alias("claim_id")), _stances(spark, sf_dir)).join(orders, F.col("claim_id") == KEY)
-    tier = KEY % 3 + 1
+    rows = knowledge.stance_summary(orders.select(_key().alias("claim_id")), _stances(spark, sf_dir)).join(orders, F.col("claim_id") == _key())
+    tier = _key() % 3 + 1
     return rows.select(
-        "claim_id", "stance", "n_evidence", F.col("o_orderpriority").alias("claim_type"), (KEY % 101 / F.lit(100.0)).alias("confidence"),
+        "claim_id", "stance", "n_evidence", F.col("o_orderpriority").alias("claim_type"), (_key() % 101 / F.lit(100.0)).alias("confidence"),
         tier.alias("worst_tier"), ((tier == 3) & (F.col("o_custkey") % 2 == 0)).alias("all_tier3"), (F.col("o_custkey") % 5 == 0).alias("image_manipulated"),
     )
 
@@ -83,7 +85,7 @@ def decision_threshold(spark, sf_dir):
     "FROM orders LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON o_custkey % 25 = s_nationkey) WHERE r = 1"
 )
 def policy_rules(spark, sf_dir):
-    items = _t(spark, sf_dir, "orders").select(KEY.alias("item_id"), (F.col("o_custkey") % 25).cast("int").alias("topic"))
+    items = _t(spark, sf_dir, "orders").select(_key().alias("item_id"), (F.col("o_custkey") % 25).cast("int").alias("topic"))
     policies = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("policy_id"), (F.col("s_suppkey") % 7).alias("priority"), (F.col("s_acctbal") > 0).alias("active"), "s_nationkey")
     return knowledge.apply_policies(items, policies, F.col("topic") == F.col("s_nationkey")).select("item_id", "policy_id")
 
@@ -107,7 +109,7 @@ def chain_order(spark, sf_dir):
 def explanations(spark, sf_dir):
     line = _t(spark, sf_dir, "lineitem")
     chain = line.select(F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("sequence_order"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("text"))
-    decisions = _t(spark, sf_dir, "orders").select(KEY.alias("claim_id"), F.col("o_orderstatus").alias("decision"))
+    decisions = _t(spark, sf_dir, "orders").select(_key().alias("claim_id"), F.col("o_orderstatus").alias("decision"))
     return knowledge.render_explanations(chain, decisions)
 
 
@@ -140,7 +142,7 @@ def conditional_fields(spark, sf_dir):
 
 @_q("SELECT o_orderkey, (o_orderkey % 3) || '.' || (o_orderkey % 5) AS schema_version FROM orders WHERE o_orderkey % 3 <> 1")
 def schema_versions(spark, sf_dir):
-    rows = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(".", (KEY % 3).cast("string"), (KEY % 5).cast("string")).alias("schema_version"))
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(".", (_key() % 3).cast("string"), (_key() % 5).cast("string")).alias("schema_version"))
     return knowledge.incompatible_versions(rows, 1)
 
 
@@ -190,7 +192,7 @@ def resolution_outcomes(spark, sf_dir):
     "WHERE previous IS NOT NULL AND previous <> state AND previous || state NOT IN ('OP', 'PF', 'OF')"
 )
 def state_transitions(spark, sf_dir):
-    states = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item_id"), KEY.alias("seq"), F.col("o_orderstatus").alias("state"))
+    states = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item_id"), _key().alias("seq"), F.col("o_orderstatus").alias("state"))
     legal = spark.createDataFrame([("O", "P"), ("P", "F"), ("O", "F")], "previous string, state string")
     return knowledge.illegal_transitions(states, legal).select("item_id", "seq", "previous", "state")
 
@@ -205,7 +207,7 @@ def facts(spark, sf_dir):
 @_q("SELECT l_orderkey AS claim_id, l_linenumber AS evidence_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 4 = 0 OR l_shipdate >= o_orderdate + INTERVAL 30 DAY")
 def stale_evidence(spark, sf_dir):
     evidence = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("evidence_id"), F.col("l_shipdate").alias("captured_on"))
-    claims = _t(spark, sf_dir, "orders").select(KEY.alias("claim_id"), F.when(KEY % 4 != 0, F.col("o_orderdate") + F.expr("INTERVAL 30 DAY")).alias("event_date"))
+    claims = _t(spark, sf_dir, "orders").select(_key().alias("claim_id"), F.when(_key() % 4 != 0, F.col("o_orderdate") + F.expr("INTERVAL 30 DAY")).alias("event_date"))
     return knowledge.usable_evidence(evidence, claims).select("claim_id", "evidence_id")
 
 
@@ -218,7 +220,7 @@ def corroboration_groups(spark, sf_dir):
 
 @_q("SELECT o_orderkey AS claim_id, a AS assertion FROM orders, (VALUES ('O'), ('F')) v(a) WHERE (o_orderkey, a) NOT IN (SELECT l_orderkey, l_linestatus FROM lineitem)")
 def unresolved_assertions(spark, sf_dir):
-    asked = _t(spark, sf_dir, "orders").select(KEY.alias("claim_id"), F.explode(F.array(F.lit("O"), F.lit("F"))).alias("assertion"))
+    asked = _t(spark, sf_dir, "orders").select(_key().alias("claim_id"), F.explode(F.array(F.lit("O"), F.lit("F"))).alias("assertion"))
     return knowledge.unresolved(asked, _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_linestatus").alias("assertion")))
 
 
@@ -227,7 +229,7 @@ _FACTORS = {"quality": 2, "corroboration": 3, "consistency": 5, "coverage": 7, "
 
 @_q("SELECT o_orderkey AS claim_id, (" + " + ".join(f"(o_orderkey % {m}) / {m}.0::DOUBLE" for m in _FACTORS.values()) + ") / 5.0::DOUBLE AS confidence FROM orders")
 def confidence_factors(spark, sf_dir):
-    rows = _t(spark, sf_dir, "orders").select(KEY.alias("claim_id"), *[(KEY % m / F.lit(float(m))).alias(k) for k, m in _FACTORS.items()])
+    rows = _t(spark, sf_dir, "orders").select(_key().alias("claim_id"), *[(_key() % m / F.lit(float(m))).alias(k) for k, m in _FACTORS.items()])
     return knowledge.confidence_factors(rows).select("claim_id", "confidence")
 
 
@@ -257,8 +259,8 @@ def node_merge(spark, sf_dir):
 @_q("SELECT o_orderkey AS mention_id, CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS node_id FROM orders")
 def node_split(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    moved = o.filter("o_orderstatus = 'P'").select(KEY.alias("mention_id"), (-F.col("o_custkey")).alias("new_node_id"))
-    return knowledge.split_node(o.select(KEY.alias("mention_id"), F.col("o_custkey").alias("node_id")), moved)
+    moved = o.filter("o_orderstatus = 'P'").select(_key().alias("mention_id"), (-F.col("o_custkey")).alias("new_node_id"))
+    return knowledge.split_node(o.select(_key().alias("mention_id"), F.col("o_custkey").alias("node_id")), moved)
 
 
 @_q(
@@ -266,7 +268,7 @@ def node_split(spark, sf_dir):
 )
 def evidence_bundle(spark, sf_dir):
     rows = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_suppkey").alias("evidence_id"), F.expr(_STANCE).alias("stance"))
-    out = knowledge.bundle(_t(spark, sf_dir, "orders").select(KEY.alias("claim_id")), rows)
+    out = knowledge.bundle(_t(spark, sf_dir, "orders").select(_key().alias("claim_id")), rows)
     return out.withColumn("evidence", F.array_join(F.transform("evidence", lambda e: F.concat_ws(":", e["evidence_id"].cast("string"), e["stance"])), ","))
 
 
@@ -290,7 +292,7 @@ def access_policy(spark, sf_dir):
 def provenance_chain(spark, sf_dir):
     line = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").distinct()
     found = F.struct("l_linenumber", "l_suppkey")
-    facts_ = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("fact_id"), KEY.alias("edge_id"))
+    facts_ = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("fact_id"), _key().alias("edge_id"))
     edges = line.groupBy(F.col("l_orderkey").alias("edge_id")).agg(F.collect_set(found).alias("relation_ids"))
     relations = line.select(found.alias("relation_id"), F.col("l_suppkey").alias("claim_id")).distinct()
     claims = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("claim_id"), F.col("s_nationkey").alias("doc_id"))
@@ -320,7 +322,7 @@ def feedback_export(spark, sf_dir):
 
 @_q("SELECT key, version FROM (SELECT o_custkey AS key, o_orderkey AS version, o_orderstatus = 'P' AS retracted, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) WHERE r = 1 AND NOT retracted")
 def rollback_view(spark, sf_dir):
-    history = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), KEY.alias("version"), (F.col("o_orderstatus") == "P").alias("retracted"))
+    history = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), _key().alias("version"), (F.col("o_orderstatus") == "P").alias("retracted"))
     return knowledge.latest_state(history, "key").select("key", "version")
 
 
