@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +49,23 @@ _TOGETHER = 128
 _LETTERS = bytes(i + 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i > 127 else 32 for i in range(256))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+def words_of(text: str | bytes | None) -> list[bytes]:
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    return raw.translate(_LETTERS).split()
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers of all the ranges, one after another."""
     sizes = ends - starts
-    return np.arange(int(sizes.sum())) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
+    ends_here = np.cumsum(sizes)
+    return np.arange(int(ends_here[-1]) if len(sizes) else 0) + np.repeat(starts - ends_here + sizes, sizes)
 
 
 class BlockMaxIndex:
     """Inverted index over unit vectors; ``search`` gives the exact k nearest by cosine.
 
     Postings are sorted by term and example; a segment is a term's postings in one block.
-    Terms that more than a sixteenth of the examples hold bound little; their weights are a
+    Terms that more than a thirty-second of the examples hold bound little; their weights are a
     matrix, and what they add to all cosines of many queries is one product (``base``).
     """
 
@@ -73,7 +76,7 @@ class BlockMaxIndex:
         terms = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)]).astype(np.int64)
         weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
         found, place, df = np.unique(terms, return_inverse=True, return_counts=True)
-        often = 16 * df > max(self.size, BLOCK)
+        often = 32 * df > max(self.size, BLOCK)
         self.frequent = found[often]
         dense = often[place]
         self.dense = np.zeros((len(self.frequent), self.size))
@@ -127,14 +130,15 @@ class BlockMaxIndex:
         total = np.where(wanted[self.block_of], base, 0.0) + self._score(segments[first], q[first])
         if without >= 0:
             total[without] = 0.0
-        kth = np.partition(total, -k)[-k] if len(total) > k else 0.0
+        seen = total[wanted[self.block_of]]
+        kth = np.partition(seen, -k)[-k] if len(seen) > k else 0.0
         more = ~wanted & (bound >= kth - 1e-12) & (bound > 0)
         if more.any():
             rest = more[block]
             total += np.where(more[self.block_of], base, 0.0) + self._score(segments[rest], q[rest])
             if without >= 0:
                 total[without] = 0.0
-        found = np.flatnonzero(total > 1e-12)
+        found = np.flatnonzero(total >= max(kth, 1e-12))
         if len(found) > k:
             least = np.partition(total[found], -k)[-k]
             found = found[total[found] >= least]
@@ -218,15 +222,16 @@ def vectors(docs: DataFrame, terms: list[bytes], keys: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(shared.value)}
+        size = max(len(number), 1)
         for batch in (part for whole in batches for part in by_size(whole, n)):
-            ids, counts, ends = [], [], [0]
-            for text in batch.column(n):
-                seen = Counter(words_of(text.as_py()))
-                hits = sorted((number[w], c) for w, c in seen.items() if w in number)
-                ids += [h[0] for h in hits]
-                counts += [h[1] for h in hits]
-                ends.append(len(ids))
-            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (ids, counts)]
+            texts = batch.column(n).cast(pa.large_binary())
+            found = [np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words)) for words in (words_of(t.as_py()) for t in texts)]
+            # One sort of (row, word) counts the words of all texts of the batch.
+            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            ids = np.concatenate([np.empty(0, np.int64), *found])
+            cells, counts = np.unique((rows * size + ids)[ids >= 0], return_counts=True)
+            ends = np.searchsorted(cells, np.arange(len(found) + 1) * size)
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (cells % size, counts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *lists], names=[*keys, "ids", "counts"])
 
     kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
@@ -330,8 +335,10 @@ def score_toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(np.array(i.as_py(), dtype=np.int64), np.array(c.as_py(), dtype=float)) for i, c in zip(batch.column(2), batch.column(3))]
-            found = shared.value.scores(texts)
+            ends = batch.column(2).offsets.to_numpy()
+            ids, counts = batch.column(2).values.to_numpy().astype(np.int64), batch.column(3).values.to_numpy().astype(float)
+            shift = batch.column(3).offsets.to_numpy()[0] - ends[0] if len(ends) else 0
+            found = shared.value.scores([(ids[a:b], counts[a + shift : b + shift]) for a, b in zip(ends[:-1], ends[1:])])
             score = [f[0] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
