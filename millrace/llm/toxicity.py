@@ -67,14 +67,24 @@ class BlockMaxIndex:
     Postings are sorted by term and example; a segment is a term's postings in one block.
     Terms that more than a thirty-second of the examples hold bound little; their weights are a
     matrix, and what they add to all cosines of many queries is one product (``base``).
+    Only the vectors are pickled; whoever loads an index builds the rest anew.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
-        self.size = len(vectors)
+        sizes = np.array([len(ids) for ids, _ in vectors], dtype=np.int64)
+        terms = np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in vectors)]).astype(np.int32)
+        self.__setstate__((sizes, terms, np.concatenate([np.empty(0), *(w for _, w in vectors)])))
+
+    def __getstate__(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.given
+
+    def __setstate__(self, given: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.given = given
+        sizes, terms, weights = given
+        self.size = len(sizes)
         self.blocks = -(-self.size // BLOCK)
-        owner = np.repeat(np.arange(self.size), [len(ids) for ids, _ in vectors])
-        terms = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)]).astype(np.int64)
-        weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
+        owner = np.repeat(np.arange(self.size), sizes)
+        terms = terms.astype(np.int64)
         found, place, df = np.unique(terms, return_inverse=True, return_counts=True)
         often = 32 * df > max(self.size, BLOCK)
         self.frequent = found[often]
