@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
@@ -207,7 +208,7 @@ class Model:
         """Score and evidence of each text, given the numbers and counts of its words; copies are looked up once."""
         if not self.usable:
             return [(self.fallback, [])] * len(texts)
-        keys = [ids.tobytes() + counts.tobytes() for ids, counts in texts]
+        keys = [blake2b(ids.tobytes() + counts.tobytes(), digest_size=16).digest() for ids, counts in texts]
         if len(self._known) > 50_000:
             self._known.clear()
         fresh = {key: text for key, text in zip(keys, texts) if key not in self._known}
@@ -327,16 +328,18 @@ def score_toxicity(
         terms, relevance = _vocabulary(examples, sampled[1], sampled[0], max_terms, min_examples, floor, half)
     counted = cut(vectors(keyed, terms, ["doc_id", "held_out"]), "vectors")
     df = np.zeros(len(terms))
-    for r in _frequencies(counted, len(df)).collect():
-        df[r["id"]] = r["n"]
+    seen_in = _frequencies(counted, len(df)).toArrow()
+    df[seen_in["id"].to_numpy()] = seen_in["n"].to_numpy()
     idf = np.log((1.0 + counted.count()) / (1.0 + df)) + 1.0
-    rows = sorted(vectors(examples, terms, ["doc_id", "label"]).collect(), key=lambda r: r["doc_id"])
+    rows = vectors(examples, terms, ["doc_id", "label"]).toArrow().sort_by("doc_id").combine_chunks()
+    label_of = np.array(rows["label"].to_pylist(), dtype=int)
+    ids, counts = ([x.values.to_numpy().astype(kind) for x in rows[c]] for c, kind in (("ids", np.int64), ("counts", float)))
     weight = {c: per_label[c] / sampled[c] for c in sampled}
     model = Model(
-        [r["doc_id"] for r in rows],
-        np.array([r["label"] for r in rows], dtype=float),
-        np.array([weight[r["label"]] for r in rows]),
-        [(np.array(r["ids"], dtype=np.int64), np.array(r["counts"], dtype=float)) for r in rows],
+        rows["doc_id"].to_pylist(),
+        label_of.astype(float),
+        np.array([weight[label] for label in label_of.tolist()]),
+        list(zip(ids, counts)),
         idf * relevance,
         k,
         per_label.get(1, 0) / n_all if n_all else 0.0,
