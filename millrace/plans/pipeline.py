@@ -44,6 +44,7 @@ def clean(raw: DataFrame, spec: NormalizeSpec, label_map: dict[str, int], settin
 def clean_one(spark: SparkSession, manager: DatasetManager, config: dict, key: str, loader: Callable | None = None) -> dict:
     """Cleans one dataset to a staged table, validates it and publishes it; returns the manifest."""
     spec: DatasetSpec = manager.get(key)
+    sinks.restore(spark, manager.processed_path(key))
     raw = (loader or LOADERS[key])(spark, manager.raw_dir(key))
     tracker = LineageTracker(key, spec.dataset_version, config["pipeline_version"])
     rows = clean(raw, SPECS[key], spec.label_map, config["cleaning"], tracker)
@@ -56,10 +57,7 @@ def clean_one(spark: SparkSession, manager: DatasetManager, config: dict, key: s
     found = validate.run_all(done, sorted(set(spec.label_map.values())), limits["min_text_length"], limits["max_text_length"])
     if found["too_short"] or found["too_long"]:
         log.warning("%s: %s texts too short, %s too long", key, found["too_short"], found["too_long"])
-    import shutil
-
-    shutil.rmtree(final, ignore_errors=True)
-    staged.rename(final)
+    sinks.publish(spark, staged, final)
     published = spark.read.parquet(str(final))
     log.info("%s: missing values\n%s", key, sinks.markdown_table(missing.missing_value_report(published)))
     return tracker.finalize(published, manager.lineage_path(key))

@@ -19,6 +19,8 @@ from ..operators.normalize import ORDINAL
 STATEMENT_COLUMNS = (
     "id label statement subject speaker speaker_job state_info party barely_true_c false_c half_true_c mostly_true_c pants_fire_c context".split()
 )
+#: What a delimited file's field holds where it has no value.
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 ARTICLE_COLUMNS = ["title", "text", "subject", "date"]
 CORRUPT = "_corrupt_record"
 
@@ -111,12 +113,22 @@ def read_claims(spark: SparkSession, raw_dir: str | Path, on_bad_record: str = "
     return good_lines(rows) if on_bad_record != "fail" else rows
 
 
-def read_statements(spark: SparkSession, raw_dir: str | Path) -> DataFrame:
-    """Headerless tab-separated file; quotes are ordinary characters, so an unpaired one swallows nothing."""
+def missing_as_null(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The tokens for a missing value, null."""
+    return rows.withColumns({c: F.when(~F.col(c).isin(NA_TOKENS), F.col(c)) for c in columns})
+
+
+def read_statements(spark: SparkSession, raw_dir: str | Path, quote: str | None = '"', na_tokens: bool = True) -> DataFrame:
+    """Headerless tab-separated file; a field that begins with a quote runs to its end, across lines too.
+
+    With ``quote=None`` quotes are ordinary characters, so an unpaired one swallows nothing
+    and the file can be split; with ``na_tokens=False`` the tokens for missing values stay text.
+    """
     path = Path(raw_dir) / "train.tsv"
     _require(path)
-    rows = read_csv(spark, path, STATEMENT_COLUMNS, header=False, sep="\t", quote=None)
-    return _numbered([rows.select("*", "_metadata")]).select(*STATEMENT_COLUMNS, ORDINAL)
+    rows = read_csv(spark, path, STATEMENT_COLUMNS, header=False, sep="\t", quote=quote).select("*", "_metadata")
+    rows = missing_as_null(rows, STATEMENT_COLUMNS) if na_tokens else rows
+    return _numbered([rows]).select(*STATEMENT_COLUMNS, ORDINAL)
 
 
 def read_generated_text(spark: SparkSession, raw_dir: str | Path) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str | Path, partition_by: list[str] | None = None) -> None:
@@ -18,6 +18,38 @@ def write_table(df: DataFrame, path: str | Path, partition_by: list[str] | None
         writer.option("header", True).option("escape", '"').csv(str(path))
 
 
+def publish(spark: SparkSession, staged: str | Path, final: str | Path) -> None:
+    """Puts the finished table ``staged`` in the place of ``final``, on any file system Hadoop knows.
+
+    The old table is set aside until the new one is in place; ``restore`` brings it back
+    if the job ended in between.
+    """
+    fs, new, old, aside = _places(spark, staged, final)
+    restore(spark, final)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"cannot set {final} aside")
+    if not fs.rename(new, old):
+        restore(spark, final)
+        raise OSError(f"cannot publish {final}")
+    fs.delete(aside, True)
+
+
+def restore(spark: SparkSession, final: str | Path) -> None:
+    """Undoes a publication that ended half-way: the table set aside returns, or goes if the new one is there."""
+    fs, _, old, aside = _places(spark, final, final)
+    if fs.exists(aside):
+        if fs.exists(old):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, old):
+            raise OSError(f"cannot restore {final}")
+
+
+def _places(spark: SparkSession, staged: str | Path, final: str | Path) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path(str(final))
+    return old.getFileSystem(spark._jsc.hadoopConfiguration()), path(str(staged)), old, path(old.getParent(), f"_aside_{old.getName()}")
+
+
 def write_jsonl(df: DataFrame, path: str | Path) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(str(path))
 

@@ -48,23 +48,37 @@ def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = "10 mi
 def upsert(target: str, key: str, version: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges a batch into the Parquet table ``target``: the latest version of a key wins.
 
-    The merged table is written beside the old one and named after the batch, so a batch
-    that is repeated after a failure gives the same table.
+    Each merge writes the version after the newest finished one, whatever the batch's number:
+    skipped numbers and a restart from 0 lose nothing, and a batch that is repeated after a
+    failure changes no row.  The newest two versions stay, so a reader of the last is not cut off.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rest = [c for c in batch.columns if c != key]
-        previous = f"{target}/v={batch_id - 1}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(previous)
-        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        rows = batch.unionByName(spark.read.parquet(previous)) if there else batch
+        done = versions(spark, target)
+        rows = batch.unionByName(spark.read.parquet(f"{target}/v={done[-1]}")) if done else batch
         latest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(version, *[c for c in rest if c != version])).alias("r"))
-        latest.select(key, "r.*").write.mode("overwrite").parquet(f"{target}/v={batch_id}")
+        latest.select(key, "r.*").write.mode("overwrite").parquet(f"{target}/v={done[-1] + 1 if done else 0}")
+        for old in done[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/v={old}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return merge
 
 
+def versions(spark: SparkSession, target: str) -> list[int]:
+    """The finished versions of a table kept by ``upsert``, oldest first; one without its end mark does not count."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/v=*/_SUCCESS")
+    marks = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
+    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
+
+
+def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    """The newest finished version."""
+    return spark.read.parquet(f"{target}/v={versions(spark, target)[-1]}")
+
+
 def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Runs a bounded stream to its end into a memory table (for tests and small reports)."""
     query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()

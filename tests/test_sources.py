@@ -58,7 +58,9 @@ def test_readers(spark, project):
     claims = readers.read_claims(spark, raw / "claim_verification").orderBy("row_seq").collect()
     assert [r["claim"] for r in claims] == [f"claim {i}" for i in range(30)] and json.loads(claims[3]["evidence"]) == [[[1, None, "E", 3]]]
     statements = readers.read_statements(spark, raw / "fact_checking").orderBy("row_seq").collect()
-    assert len(statements) == 13 and statements[5]["statement"] == 'an "unbalanced 5' and statements[12]["context"] is None and statements[0]["context"] == "NA"
+    assert len(statements) == 13 and statements[5]["statement"] == 'an "unbalanced 5' and statements[12]["context"] is None and statements[0]["context"] is None
+    plain = readers.read_statements(spark, raw / "fact_checking", quote=None, na_tokens=False).orderBy("row_seq").collect()
+    assert [r["statement"] for r in plain] == [r["statement"] for r in statements] and plain[0]["context"] == "NA"
     texts = readers.read_generated_text(spark, raw / "ai_text_detection").orderBy("row_seq").collect()
     assert [(r["text"], r["source"]) for r in texts] == [("human one", "human"), ("", "human"), ("machine one", "machine")]
     listed = readers.list_images(spark, raw / "image_forensics").orderBy("row_seq").collect()
@@ -86,6 +88,25 @@ def test_tables_round_trip(spark, tmp_path):
     assert sinks.markdown_table(df).splitlines()[0] == "| id | t |"
 
 
+def test_quoted_statements(spark, tmp_path):
+    row = lambda i, statement: "\t".join([f"{i}.json", "true", statement, *"sabcdefghij"])
+    (tmp_path / "train.tsv").write_text("\n".join([row(0, '"two\nlines and ""quotes"""'), row(1, "None"), row(2, "Nancy")]) + "\n")
+    got = readers.read_statements(spark, tmp_path).orderBy("row_seq").collect()
+    assert [r["statement"] for r in got] == ['two\nlines and "quotes"', None, "Nancy"]
+
+
+def test_publish(spark, tmp_path):
+    table = lambda name, n: sinks.write_table(spark.range(n), tmp_path / name)
+    count = lambda: spark.read.parquet(str(tmp_path / "t.parquet")).count()
+    for n in (3, 5):
+        table("staged.parquet", n)
+        sinks.publish(spark, tmp_path / "staged.parquet", tmp_path / "t.parquet")
+        assert count() == n and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t.parquet"]
+    (tmp_path / "t.parquet").rename(tmp_path / "_aside_t.parquet")
+    sinks.restore(spark, tmp_path / "t.parquet")
+    assert count() == 5
+
+
 def test_landing(tmp_path):
     assert landing.fetch("x", tmp_path / "a.bin", lambda url: [b"12", b"3"]) and not landing.fetch("x", tmp_path / "a.bin")
 

@@ -26,3 +26,13 @@ def test_upsert(spark, tmp_path):
     merge(spark.createDataFrame([("a", 2, "z"), ("b", 0, "old")], "k string, version int, v string"), 1)
     merge(spark.createDataFrame([("a", 2, "z"), ("b", 0, "old")], "k string, version int, v string"), 1)
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "t/v=1")).select("k", "v").collect()) == [("a", "z"), ("b", "y")]
+
+
+def test_upsert_keeps_history(spark, tmp_path):
+    merge = events.upsert(str(tmp_path / "t"), "k", "version")
+    for i, batch_id in enumerate((0, 1, 3, 0)):
+        merge(spark.createDataFrame([(f"k{i}", 1, "x"), ("a", i, str(i))], "k string, version int, v string"), batch_id)
+    got = sorted(tuple(r) for r in events.read_upserted(spark, str(tmp_path / "t")).select("k", "v").collect())
+    assert got == [("a", "3"), ("k0", "x"), ("k1", "x"), ("k2", "x"), ("k3", "x")]
+    (tmp_path / "t/v=9").mkdir()
+    assert events.versions(spark, str(tmp_path / "t")) == [2, 3]
