@@ -387,10 +387,12 @@ def as_of_join(spark, sf_dir):
     return knowledge.as_of_join(left, right, "k", "at", "since").select("o_orderkey", "last_order")
 
 
-@_q("SELECT o_custkey AS node_id, count(*) AS mention_count, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_updated FROM orders GROUP BY 1")
+@_q(
+    "SELECT o_custkey AS node_id, count(*) AS mention_count, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS aliases, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_updated FROM orders GROUP BY 1"
+)
 def node_aggregate(spark, sf_dir):
     mentions = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("node_id"), F.col("o_orderpriority").alias("surface"), F.col("o_orderdate").alias("seen_at"))
-    return knowledge.aggregate_nodes(mentions).drop("aliases")
+    return knowledge.aggregate_nodes(mentions).withColumn("aliases", F.array_join("aliases", ","))
 
 
 @_q("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)")
@@ -457,12 +459,13 @@ def document_summary(spark, sf_dir):
 
 
 @_q(
-    "SELECT claim_id, low, high, n, distinct_n FROM (SELECT l_orderkey AS claim_id, min(l_linenumber) AS low, max(l_linenumber) AS high, count(*) AS n, count(DISTINCT l_linenumber) AS distinct_n FROM lineitem GROUP BY 1) "
-    "WHERE high - low + 1 <> n OR n <> distinct_n"
+    "SELECT * FROM (SELECT l_orderkey AS claim_id, min(l_linenumber) AS low, max(l_linenumber) AS high, count(*) AS n, count(DISTINCT l_linenumber) AS distinct_n, "
+    "max(l_linenumber) FILTER (l_returnflag = 'R') AS last_fusion, min(l_linenumber) FILTER (l_returnflag = 'A') AS first_decision FROM lineitem GROUP BY 1) "
+    "WHERE high - low + 1 <> n OR n <> distinct_n OR last_fusion > first_decision"
 )
 def chain_violations(spark, sf_dir):
-    chain = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("sequence_order"), F.lit("step").alias("kind"))
-    return knowledge.chain_violations(chain).drop("last_fusion", "first_decision")
+    chain = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("sequence_order"), F.when(F.col("l_returnflag") == "R", "fusion").when(F.col("l_returnflag") == "A", "decision").otherwise("step").alias("kind"))
+    return knowledge.chain_violations(chain)
 
 
 @_q(
@@ -483,12 +486,12 @@ def cited_by(spark, sf_dir):
 
 _RUNS = (
     "WITH e AS (SELECT user_id AS run_id, event_type AS module, (event_id % 3)::INT AS attempt, CASE WHEN value > 50 THEN 'failed' ELSE 'succeeded' END AS status, event_type = 'click' AS required, value AS seconds, event_id FROM events), "
-    "l AS (SELECT run_id, module, arg_max(status, attempt * 100000000 + event_id) AS status, max(attempt) AS attempts, bool_or(required) AS required FROM e GROUP BY ALL) "
+    "l AS (SELECT run_id, module, arg_max(status, attempt * 100000000 + event_id) AS status, max(attempt) AS attempts, bool_or(required) AS required, sum(seconds) AS seconds FROM e GROUP BY ALL) "
 )
 
 
 @_q(
-    _RUNS + "SELECT run_id, sum(attempts - 1)::BIGINT AS retries, CASE WHEN bool_or(status = 'failed' AND required) THEN 'FAILED' WHEN bool_or(status = 'failed') THEN 'PARTIAL_FAILURE' ELSE 'SUCCEEDED' END AS status FROM l GROUP BY 1"
+    _RUNS + "SELECT run_id, round(sum(seconds), 3) AS seconds, sum(attempts - 1)::BIGINT AS retries, CASE WHEN bool_or(status = 'failed' AND required) THEN 'FAILED' WHEN bool_or(status = 'failed') THEN 'PARTIAL_FAILURE' ELSE 'SUCCEEDED' END AS status FROM l GROUP BY 1"
 )
 def run_rollup(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
@@ -503,7 +506,7 @@ def run_rollup(spark, sf_dir):
     )
     # Attempts repeat in this table; the later event of an attempt counts.
     last = runs.groupBy("run_id", "module", F.col("_a").alias("attempt")).agg(F.max_by("status", "event_id").alias("status"), F.bool_or("required").alias("required"), F.sum("seconds").alias("seconds"))
-    return knowledge.run_rollup(last).drop("seconds")
+    return knowledge.run_rollup(last).withColumn("seconds", F.round("seconds", 3))
 
 
 @_q("SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS errors, count(*) FILTER (value > 50) / count(*) AS rate FROM events GROUP BY 1")
@@ -550,9 +553,9 @@ def evidence_ranking(spark, sf_dir):
 # ---- event windows -------------------------------------------------------------------------
 
 
-@_q("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+@_q("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY ALL")
 def events_tumbling(spark, sf_dir):
-    return streams.tumbling(_t(spark, sf_dir, "events")).drop("total")
+    return streams.tumbling(_t(spark, sf_dir, "events")).withColumn("total", F.round("total", 3))
 
 
 @_q(

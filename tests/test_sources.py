@@ -150,3 +150,13 @@ def test_pipeline_end_to_end(spark, project):
     assert "## fact_checking" in manager.eda_path().read_text()
     (project / "data/raw/fake_real_news/True.csv").unlink()
     assert pipeline.clean_all(spark, manager, config)["fake_real_news"].startswith("SKIPPED")
+
+
+def test_command_and_log(spark, project):
+    from millrace.__main__ import main
+
+    assert main(["--root", str(project), "--log-dir", str(project / "logs"), "clean", "split"]) == 0
+    (file,) = (project / "logs").iterdir()
+    assert "clean fact_checking: OK" in file.read_text() and "split claim_verification: OK" in file.read_text()
+    with pytest.raises(SystemExit):
+        main(["no-such-stage"])
