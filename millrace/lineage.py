@@ -35,11 +35,12 @@ class LineageTracker:
     """Row counts by stage.
 
     ``observe`` counts rows as they pass, in the job that writes the result; ``checkpoint``
-    takes a number that is known already.
+    takes a number that is known already.  ``about`` holds the dataset's name, modality, task and source.
     """
 
-    def __init__(self, dataset: str, dataset_version: str = "unknown", pipeline_version: str = "unknown"):
+    def __init__(self, dataset: str, dataset_version: str = "unknown", pipeline_version: str = "unknown", about: dict[str, str] | None = None):
         self.dataset, self.dataset_version, self.pipeline_version = dataset, dataset_version, pipeline_version
+        self.about, self.started_at = about or {}, now_iso()
         self._stages: list[tuple[str, int | Observation]] = []
 
     def observe(self, stage: str, df: DataFrame) -> DataFrame:
@@ -52,13 +53,17 @@ class LineageTracker:
 
     def finalize(self, df: DataFrame, path: str | Path | None = None, label: str = "label") -> dict:
         counts = {str(r[0]): r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+        # The key names of the manifest.
         manifest = {
-            "dataset": self.dataset,
+            "dataset_key": self.dataset,
+            "dataset_name": self.about.get("name", self.dataset),
+            **{k: self.about.get(k) for k in ("modality", "task", "source")},
             "dataset_version": self.dataset_version,
-            "pipeline_version": self.pipeline_version,
             "schema_version": SCHEMA_VERSION,
-            "created_at": now_iso(),
-            "checkpoints": [{"stage": s, "n_rows": x if isinstance(x, int) else x.get["n"]} for s, x in self._stages],
+            "pipeline_version": self.pipeline_version,
+            "pipeline_run_started_at": self.started_at,
+            "pipeline_run_finished_at": now_iso(),
+            "row_count_checkpoints": [{"stage": s, "n_rows": x if isinstance(x, int) else x.get["n"]} for s, x in self._stages],
             "final_row_count": sum(counts.values()),
             "final_label_distribution": counts,
         }

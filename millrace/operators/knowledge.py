@@ -313,6 +313,29 @@ def contradictions(assertions: DataFrame) -> DataFrame:
     return sums.filter("supports > 0 AND refutes > 0")
 
 
+def complementary(assertions: DataFrame) -> DataFrame:
+    """``claim_id, assertion, stance, n_evidence``: assertions of one claim that evidence addresses apart from each other.
+
+    An assertion with evidence on both sides is a contradiction and does not count; a claim
+    needs two others.  Evidence that says too little addresses nothing.
+    """
+    by = assertions.filter(F.col("stance").isin(*STANCES[:2])).groupBy("claim_id", "assertion")
+    one_sided = by.agg(F.min("stance").alias("stance"), F.max("stance").alias("_other"), F.count(F.lit(1)).alias("n_evidence")).filter("stance = _other").drop("_other")
+    return one_sided.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy("claim_id"))).filter("_n > 1").drop("_n")
+
+
+def synthesised_stance(assertions: DataFrame) -> DataFrame:
+    """``claim_id, stance``: what all evidence of a claim shows together, by its shape and never by weights.
+
+    Both sides, on one assertion or on different ones, are ``conflicting``; one side alone is
+    that side; else there is not enough information.
+    """
+    on = lambda stance: F.bool_or(F.coalesce(F.col("stance") == stance, F.lit(False)))
+    sides = assertions.groupBy("claim_id").agg(on(STANCES[0]).alias("_for"), on(STANCES[1]).alias("_against"))
+    stance = F.when(F.col("_for") & F.col("_against"), "conflicting").when(F.col("_for"), STANCES[0]).when(F.col("_against"), STANCES[1]).otherwise(STANCES[2])
+    return sides.select("claim_id", stance.alias("stance"))
+
+
 def unresolved(asserted: DataFrame, addressed: DataFrame) -> DataFrame:
     """Assertions that no evidence speaks to."""
     return asserted.join(addressed.select("claim_id", "assertion").distinct(), ["claim_id", "assertion"], "left_anti")

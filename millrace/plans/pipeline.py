@@ -46,7 +46,7 @@ def clean_one(spark: SparkSession, manager: DatasetManager, config: dict, key: s
     spec: DatasetSpec = manager.get(key)
     sinks.restore(spark, manager.processed_path(key))
     raw = (loader or LOADERS[key])(spark, manager.raw_dir(key))
-    tracker = LineageTracker(key, spec.dataset_version, config["pipeline_version"])
+    tracker = LineageTracker(key, spec.dataset_version, config["pipeline_version"], {k: getattr(spec, k) for k in ("name", "modality", "task", "source")})
     rows = clean(raw, SPECS[key], spec.label_map, config["cleaning"], tracker)
     rows = canonical_view(stamp(rows, spec.dataset_version, config["pipeline_version"]))
     final = manager.processed_path(key)

@@ -224,6 +224,29 @@ def unresolved_assertions(spark, sf_dir):
     return knowledge.unresolved(asked, _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.col("l_linestatus").alias("assertion")))
 
 
+_ASSERTED = f"(SELECT l_orderkey AS claim_id, l_partkey % 3 AS assertion, {_STANCE} AS stance FROM lineitem)"
+
+
+def _asserted(spark, sf_dir):
+    return _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim_id"), (F.col("l_partkey") % 3).alias("assertion"), F.expr(_STANCE).alias("stance"))
+
+
+@_q(
+    "SELECT claim_id, assertion, stance, n_evidence FROM (SELECT *, count(*) OVER (PARTITION BY claim_id) AS n FROM (SELECT claim_id, assertion, any_value(stance) AS stance, count(*) AS n_evidence "
+    f"FROM {_ASSERTED} WHERE stance IN ('supports', 'refutes') GROUP BY ALL HAVING count(DISTINCT stance) = 1)) WHERE n > 1"
+)
+def complementary_evidence(spark, sf_dir):
+    return knowledge.complementary(_asserted(spark, sf_dir))
+
+
+@_q(
+    "SELECT claim_id, CASE WHEN list_contains(s, 'supports') AND list_contains(s, 'refutes') THEN 'conflicting' WHEN list_contains(s, 'supports') THEN 'supports' "
+    f"WHEN list_contains(s, 'refutes') THEN 'refutes' ELSE 'not_enough_info' END AS stance FROM (SELECT claim_id, list(stance) AS s FROM {_ASSERTED} GROUP BY 1)"
+)
+def synthesised_stance(spark, sf_dir):
+    return knowledge.synthesised_stance(_asserted(spark, sf_dir))
+
+
 _FACTORS = {"quality": 2, "corroboration": 3, "consistency": 5, "coverage": 7, "completeness": 11}
 
 

@@ -72,8 +72,8 @@ class DatasetManager:
             raise KeyError(f"unknown dataset {key!r}; known: {', '.join(self._specs)}")
         return self._specs[key]
 
-    def register(self, spec: DatasetSpec) -> None:
-        self._specs[spec.key] = spec
+    def register(self, key: str, spec: DatasetSpec) -> None:
+        self._specs[key] = spec
 
     def _keys(self, test: Callable[[DatasetSpec], bool]) -> list[str]:
         return [k for k, s in self._specs.items() if test(s)]
@@ -91,7 +91,7 @@ class DatasetManager:
         return self._root / self._paths["processed_dir"] / f"{key}.parquet"
 
     def lineage_path(self, key: str) -> Path:
-        return self._root / self._paths["lineage_dir"] / f"{key}.json"
+        return self._root / self._paths["lineage_dir"] / f"{key}.lineage.json"
 
     def splits_dir(self, key: str) -> Path:
         return self._root / self._paths["splits_dir"] / key

@@ -66,7 +66,7 @@ def test_registry():
     assert m.get("fact_checking").label_map["true"] == 5 and m.by_task("fake_news") == ["fake_real_news"]
     with pytest.raises(KeyError):
         m.get("nope")
-    m.register(registry.DatasetSpec("mine", "n", "claim", "t", "url", "raw"))
+    m.register("mine", registry.DatasetSpec("mine", "n", "claim", "t", "url", "raw"))
     assert "mine" in m.list_keys() and m.get("mine").dataset_version == "unknown"
     assert registry.DatasetSpec.from_dict("k", {"name": "n", "modality": "claim", "task": "t", "source": "s", "raw_subdir": "r", "odd": 1}).extra == {"odd": 1}
     with pytest.raises(KeyError):
@@ -96,7 +96,7 @@ def test_normalize_and_lineage(spark, tmp_path):
     seen.write.mode("overwrite").parquet(str(tmp_path / "x.parquet"))
     manifest = tracker.finalize(spark.read.parquet(str(tmp_path / "x.parquet")), tmp_path / "m.json")
     assert manifest["final_row_count"] == 5 and manifest["final_label_distribution"]["1"] == 3
-    assert [c["n_rows"] for c in manifest["checkpoints"]] == [5, 5] and (tmp_path / "m.json").exists()
+    assert [c["n_rows"] for c in manifest["row_count_checkpoints"]] == [5, 5] and (tmp_path / "m.json").exists()
 
 
 def test_ordinal(spark):

@@ -143,7 +143,7 @@ def test_pipeline_end_to_end(spark, project):
     articles = spark.read.parquet(str(manager.processed_path("fake_real_news"))).orderBy("id").collect()
     assert [(r["text"][:10], r["label"]) for r in articles] == [("first \"quo", 0), ("same text", 0), ("true text", 1), ("more truth", 1)]
     manifest = json.loads(manager.lineage_path("fake_real_news").read_text())
-    assert [c["n_rows"] for c in manifest["checkpoints"]] == [7, 7, 6, 5, 4, 4]
+    assert [c["n_rows"] for c in manifest["row_count_checkpoints"]] == [7, 7, 6, 5, 4, 4]
     split = spark.read.parquet(str(manager.splits_dir("claim_verification") / "all.parquet"))
     assert split.count() == 30 and {r[0] for r in split.select("split").distinct().collect()} == {"train", "val", "test"}
     assert all(s == {"downloaded": True, "cleaned": True, "split": True} for s in manager.status_report().values())
