@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, cut, fold
+from .common import by_size, cut, fold, pieces
 
 BLOCK = 64
 MAX_EXAMPLES = 8192
@@ -234,7 +234,7 @@ def vectors(docs: DataFrame, terms: list[bytes], keys: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(shared.value)}
         size = max(len(number), 1)
-        for batch in (part for whole in batches for part in by_size(whole, n)):
+        for batch in (part for whole in batches for part in by_size(whole, n, 4 << 20)):
             texts = batch.column(n).cast(pa.large_binary())
             found = [np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words)) for words in (words_of(t.as_py()) for t in texts)]
             # One sort of (row, word) counts the words of all texts of the batch.
@@ -347,11 +347,11 @@ def score_toxicity(
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             ends = batch.column(2).offsets.to_numpy()
-            ids, counts = batch.column(2).values.to_numpy().astype(np.int64), batch.column(3).values.to_numpy().astype(float)
-            shift = batch.column(3).offsets.to_numpy()[0] - ends[0] if len(ends) else 0
-            found = shared.value.scores([(ids[a:b], counts[a + shift : b + shift]) for a, b in zip(ends[:-1], ends[1:])])
+            ends = ends - ends[:1]
+            ids, counts = batch.column(2).flatten().to_numpy().astype(np.int64), batch.column(3).flatten().to_numpy().astype(float)
+            found = shared.value.scores([(ids[a:b], counts[a:b]) for a, b in zip(ends[:-1], ends[1:])])
             score = [f[0] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
