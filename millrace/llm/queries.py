@@ -76,6 +76,27 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import fingerprint_report
+
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op12_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .changepoints import segments
+
+    return segments(table(spark, sf_dir, "sale_lines"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .align import alignment
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment(table(spark, sf_dir, "documents"), a, b)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
