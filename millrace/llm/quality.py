@@ -213,7 +213,10 @@ def learn(
     """Decision list whose rules find rows that ``labels`` marks 0; all other rows are good."""
     known = labels.filter(F.col(label_col).isNotNull()).groupBy("doc_id").agg((F.min(label_col) == 0).alias("bad"))
     keep = ["doc_id", "n_words", "word_chars", "n_symbols", "n_upper", "n_digits", "n_exclaim", "n_lines", "n_dup_lines", "n_repeat_words"]
-    rows = measured.filter(f"NOT ({BASE_FAILED})").select(*keep)
+    # The generated number keeps the filter above the counts: pushed below, each of its tests
+    # would compute them anew, and a frame that is not written yet would never end.
+    rows = measured.select(*keep, F.monotonically_increasing_id().alias("_number"))
+    rows = rows.filter(f"NOT ({BASE_FAILED}) AND _number >= 0").drop("_number")
     rows = rows.join(known, "doc_id").withColumn("_prune", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
     rows = cut(rows, "labelled")
     cuts = _thresholds(rows, bins)

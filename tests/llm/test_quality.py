@@ -137,3 +137,9 @@ def test_without_labels(docs, labels, nothing):
     assert Q.learn(Q.measure(docs), labels.filter("false")).rules == ()
     assert Q.learn(Q.measure(docs), labels.withColumn("quality", F.lit(1))).rules == ()
     assert Q.judge(nothing, labels).count() == 0
+
+
+def test_learning_on_counts_that_are_not_written(spark):
+    """The filter on the base rule stays above the counts, so they are computed once."""
+    docs, labels = planted(spark)
+    assert Q.learn(Q.measure(docs), labels).rules == Q.learn(Q.measure(docs).cache(), labels).rules
