@@ -42,6 +42,10 @@ from .common import cut, pieces
 BROADCAST_PAIRS = 2_000_000
 
 
+#: Fixed value: the pattern of the plain byte-level pre-tokeniser.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def _byte_characters() -> dict[str, int]:
     """Byte-level vocabularies write a byte as itself where it prints and as U+0100 and up otherwise."""
     prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -63,19 +67,48 @@ class Side:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def _merges_in_order(model: dict) -> bool:
+    """Whether the ids after the single bytes follow the order of the merges, so that an id is its token's rank."""
+    merges = (m if isinstance(m, str) else " ".join(m) for m in model["merges"])
+    return all(model["vocab"].get(m.replace(" ", "")) == 256 + i for i, m in enumerate(merges))
+
+
 def byte_side(path: str) -> Side:
-    """A byte-level BPE file of the tokenizers library."""
+    """A byte-level BPE file of the tokenizers library.
+
+    Where ids are ranks and the pre-tokeniser is the plain byte-level one, a rank encoder with the
+    same pattern gives the same ids in a fifth of the time; other files go through the library.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        whole = json.load(file)
     of, tokens = _byte_characters(), [b""] * library.get_vocab_size()
-    for token, i in vocabulary.items():
-        tokens[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-    return Side(lambda text: library.encode(" " + text, add_special_tokens=False).ids, tokens)
+    added = {t["content"] for t in whole["added_tokens"]}
+    for token, i in whole["model"]["vocab"].items():
+        tokens[i] = token.encode() if token in added else bytes(of[c] for c in token)
+    plain = lambda text: library.encode(" " + text, add_special_tokens=False).ids
+    before = whole["pre_tokenizer"] or {}
+    simple = before.get("type") == "ByteLevel" and not before["add_prefix_space"] and before.get("use_regex", True) and not whole["normalizer"]
+    if not simple or not _merges_in_order(whole["model"]):
+        return Side(plain, tokens)
+    from tiktoken import Encoding
+
+    ranks = {t: i for i, t in enumerate(tokens) if t and t.decode("latin-1") not in added}
+    fast = Encoding("byte_side", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast.encode_ordinary(" " + text)
+        except BaseException as error:  # the pattern engine gives up on some very long runs of white space
+            if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+                raise
+            return plain(text)
+
+    return Side(encode, tokens)
 
 
 def piece_side(path: str) -> Side:

@@ -38,6 +38,29 @@ def brute(text, both):
     return ids_a, ids_b, groups, [(i, at[e]) for i, e in zip(ids_a, ends_a) if e in at]
 
 
+def test_rank_encoder_equals_the_library(both):
+    """On every code point between letters, digits, blanks and marks: the character classes of both agree."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATHS[0])
+    library.encode_special_tokens = True
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"{c} x{c}1{c}{c}. {c}" for c in points]
+    for at in range(0, len(texts), 20_000):
+        part = texts[at : at + 20_000]
+        for text, want in zip(part, library.encode_batch_fast([" " + t for t in part], add_special_tokens=False)):
+            assert both[0].encode(text) == want.ids, repr(text)
+    for text in [*ODD, "it's we'LL they've  \n \t x", " " * 3_000 + "x" + "\n" * 3_000]:
+        assert both[0].encode(text) == library.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_very_long_blank_runs(both):
+    a, b = both
+    for text in (" " * 400_000, "x" + "\n" * 400_000 + "y"):
+        ids_a, ids_b = A.encode(text, a, b)
+        assert len(A.groups(a.ends(ids_a), b.ends(ids_b))[0]) > 0
+
+
 def test_overlaps(both):
     a, b = both
     for text in ["unbelievable misalignments, 1234567 words", *ODD]:
