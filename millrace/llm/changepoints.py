@@ -35,6 +35,7 @@ with the square of its days.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +45,8 @@ from pyspark.sql import functions as F
 
 MIN_DAYS = 14
 PENALTY = 40_000
+#: Series times the days of the longest that one call cuts together; the number changes the time only.
+TOGETHER = 40_000
 
 
 @dataclass(frozen=True)
@@ -56,37 +59,38 @@ class Segment:
 
 
 class Series:
-    """Exact segment statistics of whole numbers by prefix sums."""
-
-    def __init__(self, values: np.ndarray):
-        n = len(values)
-        low = int(values.min()) if n else 0
-        # The spread does not change if all values move by the same amount.
-        top = int(values.max()) - low if n else 0
-        kind = np.int64 if n * n * top * top < 1 << 62 else object
-        moved = np.array([int(v) - low for v in values], dtype=kind)
-        self.low = low
-        self.sums = np.concatenate([np.zeros(1, dtype=kind), np.cumsum(moved)])
-        self.squares = np.concatenate([np.zeros(1, dtype=kind), np.cumsum(moved * moved)])
-
-    def __len__(self) -> int:
-        return len(self.sums) - 1
-
-    def spread(self, starts: np.ndarray, end: int) -> np.ndarray:
-        n = end - starts
-        s = self.sums[end] - self.sums[starts]
-        q = self.squares[end] - self.squares[starts]
-        return 1 + (n * q - s * s) // (n * n)
-
-    def costs(self, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Costs and spreads of the segments from each of ``starts`` to ``end``."""
-        v = self.spread(starts, end)
-        return (end - starts) * np.floor(1000 * np.log(v.astype(np.float64))).astype(np.int64), v
-
-    def segment(self, start: int, end: int) -> Segment:
-        cost, v = self.costs(np.array([start]), end)
-        total = int(self.sums[end] - self.sums[start]) + (end - start) * self.low
-        return Segment(start, end - start, total, int(v[0]), int(cost[0]))
+    """Exact segment statistics of several series of whole numbers by prefix sums.
+
+    Positions are those of the joined prefix sums: ``at[k]`` is where series k begins.
+    """
+
+    def __init__(self, many: list[np.ndarray]):
+        self.lengths = np.array([len(x) for x in many], dtype=np.int64)
+        self.at = np.cumsum(np.concatenate([[0], self.lengths[:-1] + 1]))
+        # The spread does not change if all values of a series move by the same amount.
+        self.low = [int(x.min()) for x in many]
+        tops = [int(x.max()) - low for x, low in zip(many, self.low)]
+        safe = all(n * n * top * top < 1 << 62 for n, top in zip(self.lengths.tolist(), tops))
+        kind = np.int64 if safe else object
+        moved = [np.array([0, *(v - low for v in x.tolist())], dtype=kind) for x, low in zip(many, self.low)]
+        self.sums = np.concatenate([np.cumsum(x) for x in moved])
+        self.squares = np.concatenate([np.cumsum(x * x) for x in moved])
+
+    def costs(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Costs and spreads of the segments between positions of the prefix sums."""
+        n = ends - starts
+        s, q = self.sums[ends] - self.sums[starts], self.squares[ends] - self.squares[starts]
+        v = 1 + (n * q - s * s) // (n * n)
+        return n * np.floor(1000 * np.log(v.astype(np.float64))).astype(np.int64), v.astype(np.int64) if v.dtype != object else v
+
+    def segments(self, k: int, cuts: list[int]) -> list[Segment]:
+        """The segments of series k between consecutive ``cuts``."""
+        where = self.at[k] + np.array(cuts)
+        costs, spreads = self.costs(where[:-1], where[1:])
+        return [
+            Segment(s, t - s, int(self.sums[self.at[k] + t] - self.sums[self.at[k] + s]) + (t - s) * self.low[k], int(v), int(c))
+            for s, t, v, c in zip(cuts, cuts[1:], spreads, costs)
+        ]
 
 
 def lost(n: np.ndarray, spread: np.ndarray, longest: np.ndarray) -> np.ndarray:
@@ -95,35 +99,59 @@ def lost(n: np.ndarray, spread: np.ndarray, longest: np.ndarray) -> np.ndarray:
     return np.ceil(longest * (1000 * np.log1p(1 / union.astype(np.float64)) + 1)).astype(np.int64) + 1
 
 
-def cut_series(values: np.ndarray, least: int = MIN_DAYS, penalty: int = PENALTY) -> tuple[list[Segment], int]:
-    """The best segments of a series and their whole cost with penalties."""
-    series, n = Series(values), len(values)
-    if n < 2 * least:
-        one = series.segment(0, n)
-        return [one], one.cost
+def cut_many(many: list[np.ndarray], least: int = MIN_DAYS, penalty: int = PENALTY) -> list[tuple[list[Segment], int]]:
+    """The best segments of each series and their whole cost with penalties.
+
+    All series take each step together; a step is a few operations on all their open starts.
+    """
+    if not many:
+        return []
+    order = sorted(range(len(many)), key=lambda k: -len(many[k]))
+    series = Series([many[k] for k in order])
+    lengths, at = series.lengths, series.at
+    longest = int(lengths[0])
+    size = (len(order), longest + 1)
     never = np.iinfo(np.int64).max
-    best = np.zeros(n + 1, dtype=np.int64)
-    best[0] = -penalty
-    used = np.zeros(n + 1, dtype=np.int64)
-    previous = np.zeros(n + 1, dtype=np.int64)
-    gone = np.full(n + 1, never, dtype=np.int64)  # from which end on a start is dropped
-    starts = np.zeros(1, dtype=np.int64)
-    for end in range(least, n + 1):
+    best = np.zeros(size, dtype=np.int64)
+    best[:, 0] = -penalty
+    used, previous = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+    gone = np.full(size, never, dtype=np.int64)  # from which end on a start is dropped
+    open_ = np.zeros(size, dtype=bool)
+    open_[:, 0] = True
+    for end in range(least, longest + 1):
+        active = int(np.searchsorted(-lengths, -end, side="right"))  # the longest series come first
         if end >= 2 * least:
-            starts = np.append(starts, end - least)
-        starts = starts[gone[starts] > end]
-        cost, spread = series.costs(starts, end)
-        reached = best[starts] + cost
-        tied = starts[reached == reached.min()]
-        start = tied[used[tied] == used[tied].min()].min()
-        best[end], used[end], previous[end] = reached.min() + penalty, used[start] + 1, start
-        drop = starts[reached - lost(end - starts, spread, n - starts) > best[end]]
-        gone[drop] = np.minimum(gone[drop], end + least)
-    found, end = [], n
-    while end:
-        found.append(series.segment(int(previous[end]), end))
-        end = int(previous[end])
-    return found[::-1], int(best[n])
+            open_[:active, end - least] = True
+        open_[:active, : end + 1] &= gone[:active, : end + 1] > end
+        k, start = np.nonzero(open_[:active, : end - least + 1])
+        first = np.searchsorted(k, np.arange(active))
+        cost, spread = series.costs(at[k] + start, at[k] + end)
+        reached = best[k, start] + cost
+        least_cost = np.minimum.reduceat(reached, first)
+        tied = reached == least_cost[k]
+        cuts = np.where(tied, used[k, start], never)
+        fewest = np.minimum.reduceat(cuts, first)
+        earliest = np.minimum.reduceat(np.where(tied & (cuts == fewest[k]), start, never), first)
+        best[:active, end], used[:active, end], previous[:active, end] = least_cost + penalty, fewest + 1, earliest
+        drop = np.flatnonzero(reached - lost(end - start, spread, lengths[k] - start) > best[k, end])
+        if len(drop):
+            gone[k[drop], start[drop]] = np.minimum(gone[k[drop], start[drop]], end + least)
+    out: list = [None] * len(many)
+    for i, k in enumerate(order):
+        n = int(lengths[i])
+        if n < 2 * least:
+            one = series.segments(i, [0, n])
+            out[k] = one, one[0].cost
+            continue
+        cuts = [n]
+        while cuts[-1]:
+            cuts.append(int(previous[i, cuts[-1]]))
+        out[k] = series.segments(i, cuts[::-1]), int(best[i, n])
+    return out
+
+
+def cut_series(values: np.ndarray, least: int = MIN_DAYS, penalty: int = PENALTY) -> tuple[list[Segment], int]:
+    return cut_many([values], least, penalty)[0]
 
 
 def daily(rows: DataFrame, key_col: str, value_col: str, time_col: str) -> DataFrame:
@@ -150,17 +178,52 @@ def segments(
     key_type = rows.schema[key_col].dataType.simpleString()
     names = [field.split()[0] for field in _OUT.split(", ")]
 
-    def run(group: pa.Table) -> pa.Table:
-        key = group.column("key")[0].as_py()
-        days = group.column("day").to_numpy()
-        first = int(days.min())
-        values = np.zeros(int(days.max()) - first + 1, dtype=np.int64)
-        values[days - first] = group.column("total").to_numpy()
-        found, whole = cut_series(values, least, penalty)
-        out = [(i + 1, first + s.first, s.n, s.total, s.spread, s.cost, len(found), whole) for i, s in enumerate(found)]
-        columns = [pa.array([key] * len(out), group.schema.field("key").type)]
-        columns += [pa.array(c, pa.int32() if i == 0 else pa.int64()) for i, c in enumerate(zip(*out))]
-        return pa.table(columns, names=["key", *names])
-
-    found = daily(rows, key_col, value_col, time_col).groupBy("key").applyInArrow(run, f"key {key_type}, {_OUT}")
-    return found.withColumnRenamed("key", key_col)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []  # series that are whole
+
+        def flush() -> pa.RecordBatch:
+            out = []
+            for (key, first, _), (found, whole) in zip(waiting, cut_many([w[2] for w in waiting], least, penalty)):
+                out += [(key, i + 1, first + s.first, s.n, s.total, s.spread, s.cost, len(found), whole) for i, s in enumerate(found)]
+            waiting.clear()
+            kinds = [kind, pa.int32(), *[pa.int64()] * 7]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["key", *names])
+
+        kind, rest = None, None
+        for batch in batches:
+            if kind is None:
+                kind = batch.schema.field("key").type
+            whole = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest is not None else pa.Table.from_batches([batch])
+            *ready, rest = list(_runs(whole))
+            for part in map(_dense, ready):
+                if waiting and (len(waiting) + 1) * max(len(part[2]), *(len(w[2]) for w in waiting)) > TOGETHER:
+                    yield flush()
+                waiting.append(part)
+        if rest is not None:
+            waiting.append(_dense(rest))
+        if waiting:
+            yield flush()
+
+    days = daily(rows, key_col, value_col, time_col)
+    # A key's days are neighbours in one partition; their number is the calendar's.
+    days = days.repartition("key").sortWithinPartitions("key", "day")
+    return days.mapInArrow(run, f"key {key_type}, {_OUT}").withColumnRenamed("key", key_col)
+
+
+def _runs(table: pa.Table) -> Iterator[pa.Table]:
+    """Consecutive rows of one key; the last run may go on in the next batch."""
+    codes = table.column("key").combine_chunks().dictionary_encode("encode")
+    codes = (codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes).indices.to_numpy()
+    ends = np.append(np.flatnonzero(codes[1:] != codes[:-1]) + 1, len(codes))
+    start = 0
+    for end in ends.tolist():
+        yield table.slice(start, end - start)
+        start = end
+
+
+def _dense(part: pa.Table) -> tuple:
+    """Key, first day and the values of all days."""
+    days = part.column("day").to_numpy()
+    values = np.zeros(int(days[-1]) - int(days[0]) + 1, dtype=np.int64)
+    values[days - days[0]] = part.column("total").to_numpy()
+    return part.column("key")[0].as_py(), int(days[0]), values

@@ -45,13 +45,21 @@ def test_equal_to_brute_force(top):
         assert (whole, [(s.first, s.first + s.n) for s in found]) == brute(x, least, penalty)
 
 
+def test_series_together():
+    """Series of different lengths and sizes, some beyond 64-bit products, give what each gives alone."""
+    rng = np.random.default_rng(11)
+    many = [rng.integers(0, int(rng.choice([3, 1000, 10**12])), int(rng.integers(1, 120))) for _ in range(60)]
+    assert C.cut_many(many, 4, 3_000) == [C.cut_series(x, 4, 3_000) for x in many]
+    assert C.cut_many([]) == []
+
+
 def test_what_the_floors_lose_is_bounded():
     rng = np.random.default_rng(5)
     for _ in range(3_000):
         n, m = int(rng.integers(1, 40)), int(rng.integers(1, 40))
         x = rng.integers(0, int(rng.choice([2, 4, 30, 1000])), n + m)
-        series = C.Series(x)
-        bound = C.lost(np.array([n]), series.spread(np.array([0]), n), np.array([n + m + int(rng.integers(0, 50))]))[0]
+        spread = C.Series([x]).costs(np.array([0]), np.array([n]))[1]
+        bound = C.lost(np.array([n]), spread, np.array([n + m + int(rng.integers(0, 50))]))[0]
         assert cost_of(x, 0, n) + cost_of(x, n, n + m) - cost_of(x, 0, n + m) <= bound
 
 
@@ -62,9 +70,9 @@ def test_starts_are_dropped():
     whole = C.Series.costs
 
     class Counting(C.Series):
-        def costs(self, starts, end):
+        def costs(self, starts, ends):
             asked.append(len(starts))
-            return whole(self, starts, end)
+            return whole(self, starts, ends)
 
     plain, C.Series = C.Series, Counting
     try:
@@ -106,6 +114,20 @@ def test_whole_table(spark):
         assert [r["total"] for r in found[key]] == [sum(x[s:t]) for s, t in cuts]
 
 
+def test_series_that_batches_cut(spark):
+    """Keys go on over the edges of Arrow batches and of groups of series."""
+    rows = spark.read.parquet(f"{SF}/sale_lines.parquet")
+    whole = sorted(C.segments(rows).collect())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    together, C.TOGETHER = C.TOGETHER, 300
+    try:
+        assert sorted(C.segments(rows).collect()) == whole
+    finally:
+        C.TOGETHER = together
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_invariance(spark):
     rows = spark.read.parquet(f"{SF}/sale_lines.parquet")
     assert sorted(C.segments(rows).collect()) == sorted(C.segments(rows.repartition(7, F.rand(3))).collect())
