@@ -4,8 +4,8 @@ Terms are the distinct lower-case words of a text and its distinct pairs of neig
 words.  A term's 64-bit hashes (one for every 64 bits of the fingerprint) vote with the
 term's weight on each bit, for it where the hash has a one and against it otherwise; words of
 one or two characters weigh half.  A bit is set if more than half of all weight is for it.
-Votes are sums: two bits of a hash are added per 64-bit sum, 32 bits apart, so 256 bits take
-128 sums in one hash aggregation.  ``likeness`` of two fingerprints is the cosine that their
+Votes are sums: four bits of a hash are added per 64-bit sum, 16 bits apart, so 256 bits take
+64 sums in one hash aggregation.  ``likeness`` of two fingerprints is the cosine that their
 differing bits estimate, cos(pi * d / bits), zero from a right angle on.
 
 ``within`` finds all fingerprints within a radius of given ones by permuted block tables.
@@ -43,7 +43,9 @@ BLOCKS = 8
 BLOCK_ROWS = 2048
 #: Ranges of the hash in which rows without id stand.
 _UNNAMED = 16
-_LANES = 0x0000000100000001
+#: Every 16th bit, the lower 16 bits of every 32, and 32 bits.
+_LANES = 0x0001000100010001
+_PAIR = 0x0000FFFF0000FFFF
 _LANE = 0xFFFFFFFF
 
 
@@ -70,36 +72,57 @@ def terms(text: Column) -> Column:
     )[0]
 
 
-def votes(rows: DataFrame, keys: list[str], term: str, bits: int = BITS) -> DataFrame:
-    """``keys`` and the fingerprint's words of each group of ``keys``; ``term`` is null for a group without terms."""
+def votes(rows: DataFrame, keys: list[str], term: str, bits: int = BITS, place: str | None = None, side: str | None = None, outputs: dict[str, Column | None] | None = None) -> DataFrame:
+    """``keys`` and the fingerprint's words of each group of ``keys``; ``term`` is null for a group without terms.
+
+    ``place`` is a term's position in its text.  ``outputs`` names several fingerprints of a group by
+    the prefix of their words, each with a condition on ``side``; terms that several share vote once.
+    Four bits are added per sum, 16 bits apart, over runs of terms that cannot overflow them.
+    """
+    outputs = outputs or {"w": None}
+    run = F.shiftright(F.col(place), 14) if place else F.lit(0)
+    limit = F.lit(1).cast("bigint")
     hashed = rows.select(
         *keys,
-        F.when(F.col(term).isNull(), 0).otherwise(F.col(term).bitwiseAND(F.lit(1)) + 1).cast("bigint").alias("_weight"),
+        (F.col(side) if side else F.lit(0)).alias("_side"),
+        run.alias("_run"),
+        F.when(F.col(term).isNull(), 0).otherwise(F.col(term).bitwiseAND(limit) + 1).cast("bigint").alias("_weight"),
         *[F.xxhash64(term, F.lit(j)).alias(f"_h{j}") for j in range(bits // 64)],
     )
     sums = [
         F.sum(F.col("_weight") * F.shiftrightunsigned(F.col(f"_h{j}"), i).bitwiseAND(F.lit(_LANES))).alias(f"_s{j}_{i}")
         for j in range(bits // 64)
-        for i in range(32)
+        for i in range(16)
     ]
-    summed = hashed.groupBy(*keys).agg(F.sum("_weight").alias("_all"), *sums)
-
-    def word(j: int) -> Column:
+    partial = hashed.groupBy(*keys, "_side", "_run").agg(F.sum("_weight").alias("_all"), *sums)
+    # Sums of runs have room for 2^31 of weight: two bits each, 32 bits apart.
+    wide = []
+    for prefix, where in outputs.items():
+        here = (lambda c, where=where: c) if where is None else (lambda c, where=where: F.when(where, c))
+        wide.append(F.coalesce(F.sum(here(F.col("_all"))), F.lit(0)).alias(f"_{prefix}all"))
+        for j in range(bits // 64):
+            for i in range(16):
+                s = F.col(f"_s{j}_{i}")
+                for k, part in ((0, s), (16, F.shiftrightunsigned(s, 16))):
+                    wide.append(F.coalesce(F.sum(here(part.bitwiseAND(F.lit(_PAIR)))), F.lit(0)).alias(f"_{prefix}{j}_{i + k}"))
+    summed = partial.withColumnRenamed("_side", side or "_side").groupBy(*keys).agg(*wide)
+
+    def word(prefix: str, j: int) -> Column:
         parts = []
         for i in range(32):
-            s = F.col(f"_s{j}_{i}")
+            s = F.col(f"_{prefix}{j}_{i}")
             for at, lane in ((i, s.bitwiseAND(F.lit(_LANE))), (i + 32, F.shiftrightunsigned(s, 32))):
-                parts.append(F.shiftleft((2 * lane > F.col("_all")).cast("bigint"), at))
+                parts.append(F.shiftleft((2 * lane > F.col(f"_{prefix}all")).cast("bigint"), at))
         return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
-    return summed.select(*keys, *[word(j).alias(n) for j, n in enumerate(names(bits))])
+    return summed.select(*keys, *[word(p, j).alias(n) for p in outputs for j, n in enumerate(names(bits, p))])
 
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """``row, doc_id`` and the words ``w0, w1, ...`` of the fingerprint of every row."""
     numbered = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_or_empty(text_col).alias("_text"))
-    exploded = numbered.select("row", "doc_id", F.explode_outer(terms(F.col("_text"))).alias("_term"))
-    return votes(exploded, ["row", "doc_id"], "_term", bits)
+    exploded = numbered.select("row", "doc_id", F.posexplode_outer(terms(F.col("_text"))).alias("_place", "_term"))
+    return votes(exploded, ["row", "doc_id"], "_term", bits, "_place")
 
 
 def differing(a: list[Column], b: list[Column]) -> Column:
@@ -239,15 +262,14 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     w = names(bits)
     old, new, following = (names(bits, p) for p in ("o", "e", "f"))
     rows = with_next(docs, id_col, text_col)
-    keys = ["part", "place", "guest", "doc_id", "n_chars", "sha", "side"]
+    keys = ["part", "place", "guest", "doc_id", "n_chars", "sha"]
     rows = rows.select("part", "place", "guest", "doc_id", "text", F.length("text").cast("bigint").alias("n_chars"), F.when(~F.col("guest"), edited(F.col("text"), F.col("next"))).alias("edited"))
-    rows = rows.withColumn("sha", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
-    both = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))
-    rows = rows.select("part", "place", "guest", "doc_id", "n_chars", "sha", F.explode(both).alias("b")).filter("NOT guest OR b.side = 0")
-    rows = rows.select(*keys[:-1], F.col("b.side").alias("side"), F.explode_outer(terms(F.col("b.text"))).alias("_term"))
-    sides = votes(rows, keys, "_term", bits)
-    one = [F.max(F.when(F.col("side") == s, F.col(c))).alias(n) for s, many in ((0, old), (1, new)) for c, n in zip(w, many)]
-    both = sides.groupBy(*keys[:-1]).agg(*one)
+    rows = rows.select(*keys[:5], F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"), terms(F.col("text")).alias("own"), terms(F.coalesce("edited", F.lit(""))).alias("now"))
+    # Most terms of a text are also those of its edited form.
+    shares = [F.array_intersect("own", "now"), F.array_except("own", "now"), F.array_except("now", "own")]
+    rows = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("side"), t.alias("terms")) for i, t in enumerate(shares)])).alias("s"))
+    rows = rows.select(*keys, F.col("s.side").alias("side"), F.posexplode_outer("s.terms").alias("at", "term"))
+    both = votes(rows, keys, "term", bits, "at", "side", {"o": F.col("side") != 2, "e": F.col("side") != 1})
     ordered = W.partitionBy("part").orderBy("place")
     both = both.select("*", *[F.lead(o).over(ordered).alias(f) for o, f in zip(old, following)]).filter("NOT guest").drop("guest")
     both = cut(both, "fingerprints")
