@@ -142,6 +142,44 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY t)
 """
 
+#: The same optimum by dynamic programming over all segments of at least 14 days, without pruning.
+_OP12 = r"""
+WITH RECURSIVE taken AS (
+  SELECT vendor_id AS v, datediff('day', DATE '1970-01-01', CAST(shipped_at AS DATE)) AS day, sum(quantity)::BIGINT AS x
+  FROM sale_lines WHERE quantity IS NOT NULL AND shipped_at IS NOT NULL GROUP BY ALL
+), span AS (
+  SELECT v, min(day) AS first, max(day) - min(day) + 1 AS n FROM taken GROUP BY v
+), dense AS (
+  SELECT s.v, s.n, g.i AS i, coalesce(t.x, 0)::HUGEINT AS x
+  FROM span s, LATERAL (SELECT unnest(range(1, s.n + 1)) AS i) g LEFT JOIN taken t ON t.v IS NOT DISTINCT FROM s.v AND t.day = s.first + g.i - 1
+), sums AS (
+  SELECT v, n, i, sum(x) OVER w AS s, sum(x * x) OVER w AS q FROM dense WINDOW w AS (PARTITION BY v ORDER BY i)
+  UNION ALL SELECT v, n, 0, 0, 0 FROM span
+), parts AS (
+  SELECT a.v, a.n AS days, a.i AS s, b.i AS e, b.i - a.i AS n, b.s - a.s AS total, 1 + ((b.i - a.i) * (b.q - a.q) - (b.s - a.s) * (b.s - a.s)) // ((b.i - a.i) * (b.i - a.i)) AS spread
+  FROM sums a JOIN sums b ON a.v IS NOT DISTINCT FROM b.v AND b.i > a.i
+  WHERE (a.n < 28 AND a.i = 0 AND b.i = a.n) OR (a.n >= 28 AND b.i - a.i >= 14 AND (a.i = 0 OR a.i >= 14))
+), costs AS (
+  SELECT *, n * floor(1000 * ln(spread::DOUBLE))::BIGINT AS cost FROM parts
+), best(v, e, state) AS (
+  SELECT v, 0::BIGINT, [{'c': -40000::BIGINT, 'k': 0::BIGINT, 's': 0::BIGINT}] FROM span
+  UNION ALL
+  SELECT b.v, b.e + 1, list_append(any_value(b.state), min({'c': b.state[c.s + 1].c + c.cost + 40000, 'k': b.state[c.s + 1].k + 1, 's': c.s}))
+  FROM best b JOIN span p ON p.v IS NOT DISTINCT FROM b.v AND b.e < p.n
+  LEFT JOIN costs c ON c.v IS NOT DISTINCT FROM b.v AND c.e = b.e + 1 AND b.state[c.s + 1] IS NOT NULL
+  GROUP BY b.v, b.e
+), whole AS (
+  SELECT b.v, b.state, p.n, p.first FROM best b JOIN span p ON p.v IS NOT DISTINCT FROM b.v AND b.e = p.n
+), back AS (
+  SELECT v, state, first, n AS e, state[n + 1].s AS s, state[n + 1].k AS k, state[n + 1].k AS n_segments, state[n + 1].c AS best_cost FROM whole
+  UNION ALL
+  SELECT v, state, first, s, state[s + 1].s, k - 1, n_segments, best_cost FROM back WHERE s > 0
+)
+SELECT k.v AS vendor_id, k.k::INT AS segment_no, (k.first + k.s)::BIGINT AS first_day, c.n::BIGINT AS n_days, c.total::BIGINT AS total, c.spread::BIGINT AS spread,
+       c.cost::BIGINT AS cost, k.n_segments::BIGINT AS n_segments, k.best_cost::BIGINT AS best_cost
+FROM back k JOIN costs c ON c.v IS NOT DISTINCT FROM k.v AND c.s = k.s AND c.e = k.e
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mixing": _OP5, "op9_exact_dedup": _OP9}
+    return {"op5_source_mixing": _OP5, "op9_exact_dedup": _OP9, "op12_change_points": _OP12}
