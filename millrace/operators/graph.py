@@ -2,29 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_local: list[str] = []
-
-
-def _folder(spark: SparkSession) -> str:
-    """The shared folder the session names, else (tests) a temporary one."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _local:
-        _local.append("file://" + tempfile.mkdtemp(prefix="millrace-graph-"))
-    return _local[0]
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    path = f"{_folder(df.sparkSession)}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..storage import Table
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,18 +14,40 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Labels are lowered over the edges and then along themselves (pointer jumping), so
     the number of rounds grows with the logarithm of the longest path.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct()
-    both = _cut(both)
-    labels = _cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
+    ends = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    both = Table(ends.select(F.col(a).alias("u"), F.col(b).alias("v")).union(ends.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "edges")
+    labels = Table(both.df.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"), "labels")
     while True:
-        near = both.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("root").alias("near"))
-        low = labels.join(near, F.col("node") == F.col("u"), "left").select("node", "root", F.least("root", "near").alias("low"))
+        near = both.df.join(labels.df, F.col("v") == F.col("node")).groupBy("u").agg(F.min("root").alias("near"))
+        low = labels.df.join(near, F.col("node") == F.col("u"), "left").select("node", "root", F.least("root", "near").alias("low"))
         up = low.select(F.col("node").alias("at"), F.col("low").alias("higher"))
-        after = _cut(low.join(up, F.col("low") == F.col("at"), "left").select("node", "root", F.least("low", "higher").alias("new")))
-        changed = not after.filter("new < root").isEmpty()
-        labels = after.select("node", F.col("new").alias("root"))
+        joined = low.join(up, F.col("low") == F.col("at"), "left").select("node", F.least("low", "higher").alias("root"), (F.least("low", "higher") < F.col("root")).alias("lowered"))
+        after = Table(joined, "labels")
+        changed = not after.df.filter("lowered").isEmpty()
+        labels.drop()
+        labels = after
         if not changed:
-            return labels
+            both.drop()
+            return labels.df.drop("lowered")
+
+
+def extend_components(labels: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``node, root`` after new links, from the components so far: the old links are not looked at again.
+
+    New links are carried over to the roots of their ends, the components of these few roots are found,
+    and only rows of a root that is lowered change.  Nodes that only the new links name are added.
+    The links may come in any order and more than once; the result is that of all links together.
+    """
+    links = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b")).distinct()
+    known = lambda end: labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    placed = links.join(known("a"), "a", "left").join(known("b"), "b", "left").select("a", "b", F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y"))
+    placed = Table(placed, "placed")
+    moved = connected_components(placed.df.filter("x != y"), "x", "y").withColumnRenamed("node", "old").withColumnRenamed("root", "new")
+    fresh = placed.df.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("root"))
+    every = labels.select("node", "root").unionByName(fresh)
+    out = Table(every.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "labels")
+    placed.drop()
+    return out.df
 
 
 def traverse(edges: DataFrame, start: DataFrame, depth: int, any_direction: bool = False, src: str = "subject", dst: str = "object") -> DataFrame:
@@ -57,8 +60,8 @@ def traverse(edges: DataFrame, start: DataFrame, depth: int, any_direction: bool
     front = seen
     for hop in range(1, depth + 1):
         reached = front.join(steps, F.col("node") == F.col("s")).select(F.col("d").alias("node")).distinct()
-        front = _cut(reached.join(seen, "node", "left_anti").withColumn("hops", F.lit(hop)))
+        front = Table(reached.join(seen, "node", "left_anti").withColumn("hops", F.lit(hop)), "front").df
         if front.isEmpty():
             break
-        seen = _cut(seen.unionByName(front))
+        seen = Table(seen.unionByName(front), "seen").df
     return seen

@@ -579,7 +579,7 @@ def flagship_distribution(spark, sf_dir):
     return flagship(spark, sf_dir).withColumnRenamed("label", "quality")
 
 
-from . import rule_queries  # noqa: E402, F401  registers its queries
+from . import access_queries, rule_queries  # noqa: E402, F401  register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
