@@ -65,3 +65,22 @@ def traverse(edges: DataFrame, start: DataFrame, depth: int, any_direction: bool
             break
         seen = Table(seen.unionByName(front), "seen").df
     return seen
+
+
+def depths(steps: DataFrame, child: str, parent: str) -> DataFrame:
+    """``node, depth``: the longest way from each node to one without a parent.
+
+    Each round moves the front one step down, so rounds grow with the longest chain.  Nodes on a cycle
+    and below one have no longest way and are left out.
+    """
+    steps = Table(steps.select(F.col(child).alias("c"), F.col(parent).alias("p")).distinct(), "steps")
+    waiting = steps.df.groupBy("c").agg(F.count(F.lit(1)).alias("need")).withColumnRenamed("c", "node")
+    front = Table(steps.df.select(F.col("p").alias("node")).distinct().join(waiting.select("node"), "node", "left_anti").withColumn("depth", F.lit(0)), "front")
+    done = front.df
+    while not front.df.isEmpty():
+        # A node follows when all its parents are done; it is one below the last of them.
+        met = steps.df.join(done, F.col("p") == F.col("node")).groupBy("c").agg(F.count(F.lit(1)).alias("have"), (F.max("depth") + 1).alias("depth"))
+        ready = met.join(waiting, F.col("c") == F.col("node")).filter("have = need").select("node", "depth").join(done.select("node"), "node", "left_anti")
+        front = Table(ready, "front")
+        done = Table(done.unionByName(front.df), "done").df
+    return done

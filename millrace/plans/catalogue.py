@@ -533,15 +533,6 @@ def graph_traverse(spark, sf_dir):
     return graph.traverse(edges, spark.createDataFrame([(1,)], "node bigint"), 3)
 
 
-@_q()
-def graph_components(spark, sf_dir):
-    """Parts connected by being in one order with the same discount."""
-    lines = _t(spark, sf_dir, "lineitem")
-    a = lines.groupBy("l_orderkey", "l_discount").agg(F.min("l_partkey").alias("a"))
-    edges = lines.join(a, ["l_orderkey", "l_discount"]).filter("l_partkey != a").select("a", F.col("l_partkey").alias("b"))
-    return graph.connected_components(edges, "a", "b")
-
-
 @_q()
 def evidence_ranking(spark, sf_dir):
     """The five passages most like each benchmark item, by BM25."""
@@ -579,7 +570,7 @@ def flagship_distribution(spark, sf_dir):
     return flagship(spark, sf_dir).withColumnRenamed("label", "quality")
 
 
-from . import access_queries, rule_queries  # noqa: E402, F401  register their queries
+from . import access_queries, evidence_queries, rule_queries  # noqa: E402, F401  register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
