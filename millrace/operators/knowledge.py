@@ -32,19 +32,10 @@ def tier_violations(evidence: DataFrame) -> DataFrame:
 
 
 def rank_evidence(claims: DataFrame, evidence: DataFrame, k: int = 5, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """``claim_id, evidence_id, score, rank``: the top k by BM25 over lower-case letter words (our choice)."""
-    from ..functions.text import alpha_tokens
-
-    terms = evidence.select("evidence_id", alpha_tokens(F.col("text")).alias("t"))
-    size = terms.select(F.size("t").alias("n")).agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"))
-    tf = terms.select("evidence_id", F.size("t").alias("n"), F.explode("t").alias("term")).groupBy("evidence_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    query = claims.select("claim_id", F.explode(F.array_distinct(alpha_tokens(F.col("text")))).alias("term"))
-    idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / F.col("mean")))
-    scored = query.join(df, "term").join(tf, "term").join(F.broadcast(size)).groupBy("claim_id", "evidence_id").agg(F.sum(weight).alias("score"))
-    order = W.partitionBy("claim_id").orderBy(F.desc(F.round("score", 9)), "evidence_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """``claim_id, evidence_id, score, rank``: the top k by BM25; see ``ranking`` for how frequent terms are bounded."""
+    from . import ranking
+
+    return ranking.rank(claims, ranking.index(evidence, k1, b), k)
 
 
 def stance_summary(claims: DataFrame, stances: DataFrame) -> DataFrame:

@@ -533,12 +533,32 @@ def graph_traverse(spark, sf_dir):
     return graph.traverse(edges, spark.createDataFrame([(1,)], "node bigint"), 3)
 
 
-@_q()
+_BM25 = """WITH d AS (SELECT doc_id, coalesce({words}, []) AS t FROM documents), z AS (SELECT count(*) AS docs, greatest(avg(len(t)), 1) AS mean FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+p AS (SELECT doc_id, term, ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean)) AS impact FROM tf JOIN df USING (term), z),
+q AS (SELECT DISTINCT claim_id, unnest({words}) AS term FROM ({claims})),
+s AS (SELECT claim_id, doc_id AS evidence_id, sum(impact) AS score FROM q JOIN p USING (term) GROUP BY ALL),
+r AS (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY round(score, 9) DESC, evidence_id))::INT AS rank FROM s)
+SELECT claim_id, evidence_id, round(score, 6) AS score, rank FROM r WHERE rank <= {k}"""
+
+
+def _ranked(spark, sf_dir, claims, k):
+    evidence = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("evidence_id"), "text")
+    return knowledge.rank_evidence(claims, evidence, k).withColumn("score", F.round("score", 6))
+
+
+@_q(_BM25.format(words=_ALPHA.format("text"), claims="SELECT item_id AS claim_id, text FROM benchmark", k=5))
 def evidence_ranking(spark, sf_dir):
     """The five passages most like each benchmark item, by BM25."""
-    claims = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("claim_id"), "text")
-    evidence = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("evidence_id"), "text")
-    return knowledge.rank_evidence(claims, evidence).select("claim_id", "evidence_id", "rank")
+    return _ranked(spark, sf_dir, _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("claim_id"), "text"), 5)
+
+
+@_q(_BM25.format(words=_ALPHA.format("text"), claims="SELECT conv_id * 1000 + turn AS claim_id, text FROM conversations", k=10))
+def evidence_ranking_turns(spark, sf_dir):
+    """The ten passages most like each turn of each conversation: many claims of frequent words."""
+    turns = _t(spark, sf_dir, "conversations")
+    return _ranked(spark, sf_dir, turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("claim_id"), "text"), 10)
 
 
 # ---- event windows -------------------------------------------------------------------------
