@@ -40,5 +40,5 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert set(entry.oracle_sql()) <= names and P.PATTERN
