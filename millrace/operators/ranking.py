@@ -56,13 +56,26 @@ def tokens(text: Column) -> Column:
     return F.coalesce(alpha_tokens(text), F.array().cast("array<string>"))
 
 
+def counts(words: Column) -> Column:
+    """``term, tf, n`` of each different word of an array of ``n`` words, by the ends of equal stretches of the sorted words."""
+    ends = lambda s: F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: ~F.coalesce(F.get(s, i) == F.get(s, i - 1), F.lit(False)))
+    one = lambda s, e: F.transform(
+        e, lambda end, j: F.struct(F.get(s, end - 1).alias("term"), (end - F.coalesce(F.get(e, j - 1), F.lit(0))).alias("tf"), F.size(s).alias("n"))
+    )
+    # Arrays of one element bind a value to a name, so that nothing is computed once per word.
+    pieces = F.transform(F.array(F.array_sort(words)), lambda s: F.transform(F.array(ends(s)), lambda e: one(s, e))[0])[0]
+    return F.when(F.size(words) > 0, pieces)
+
+
 def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS) -> Index:
     """Impacts of every (term, text) by BM25 over lower-case letter words (our choice), with their maxima."""
-    words = Table(evidence.select("evidence_id", tokens(F.col("text")).alias("t")), "words").df
-    sizes = words.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("t")).alias("mean")).collect()[0]
+    texts = evidence.select("evidence_id", tokens(F.col("text")).alias("t"))
+    sizes = texts.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("t")).alias("mean")).collect()[0]
     docs, mean = sizes["docs"], max(sizes["mean"] or 0.0, 1.0)
-    tf = words.select("evidence_id", F.size("t").alias("n"), F.explode("t").alias("term")).groupBy("evidence_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Words are counted inside their row, so only different words are moved, once, to their term.
+    counted = evidence.select("evidence_id", F.explode(counts(tokens(F.col("text")))).alias("c")).select("evidence_id", "c.*")
+    df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = counted.withColumn("n", F.col("n").cast("int"))
     idf = F.log(1 + (docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / mean))
     blocks = max(1, -(-docs // block_texts))

@@ -57,6 +57,11 @@ def test_parts_of_a_frequent_term(spark, corpus):
     assert max(r["count"] for r in rows if r["df"] > 200) < 60
 
 
+def test_counts_inside_a_row(spark):
+    rows = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (None,), (["x"],)], "w array<string>").select(R.counts(__import__("pyspark.sql.functions", fromlist=["x"]).col("w")).alias("c")).collect()
+    assert [sorted(map(tuple, r["c"] or [])) for r in rows] == [[("a", 1, 4), ("b", 3, 4)], [], [], [("x", 1, 1)]]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "evidence_id int, text string")
     known = R.index(none)
