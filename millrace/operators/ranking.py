@@ -41,6 +41,8 @@ PART_ROWS = 100_000
 #: Terms, strongest first, and postings of them, that give the first bound; and how many times k texts are scored for it.
 SEED_TERMS, SEED_ROWS, SEED_TEXTS = 16, 50_000, 4
 SLACK = 1e-9
+#: Different terms or texts up to which they are sent to every task (some 100 bytes each) to filter postings where they are read.
+SENT_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -67,13 +69,18 @@ def counts(words: Column) -> Column:
     return F.when(F.size(words) > 0, pieces)
 
 
-def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS) -> Index:
-    """Impacts of every (term, text) by BM25 over lower-case letter words (our choice), with their maxima."""
+def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS, only: DataFrame | None = None) -> Index:
+    """Impacts of every (term, text) by BM25 over lower-case letter words (our choice), with their maxima.
+
+    An index for given claims alone needs their terms only: the column ``term`` of ``only``.
+    """
     texts = evidence.select("evidence_id", tokens(F.col("text")).alias("t"))
     sizes = texts.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("t")).alias("mean")).collect()[0]
     docs, mean = sizes["docs"], max(sizes["mean"] or 0.0, 1.0)
     # Words are counted inside their row, so only different words are moved, once, to their term.
     counted = evidence.select("evidence_id", F.explode(counts(tokens(F.col("text")))).alias("c")).select("evidence_id", "c.*")
+    if only is not None:
+        counted = _only(counted, "term", only.select("term"))
     df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     tf = counted.withColumn("n", F.col("n").cast("int"))
     idf = F.log(1 + (docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -89,6 +96,17 @@ def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: in
     return Index(postings.drop("df"), *[Table(t, "index").df for t in (terms, by_block)])
 
 
+def _only(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` of the wanted values if these are few enough to be sent, else all: what follows is a join on them anyway."""
+    wanted = wanted.distinct()
+    return rows.join(F.broadcast(wanted), column, "left_semi") if wanted.limit(SENT_ROWS + 1).count() <= SENT_ROWS else rows
+
+
+def claim_terms(claims: DataFrame) -> DataFrame:
+    """``claim_id, term``: the different words of each claim."""
+    return claims.select("claim_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+
+
 def _meet(asked: DataFrame, postings: DataFrame) -> DataFrame:
     """Asked terms (``claim_id, term, parts``) with their postings; a term meets each of its parts."""
     dealt = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
@@ -97,8 +115,10 @@ def _meet(asked: DataFrame, postings: DataFrame) -> DataFrame:
 
 def scores(pairs: DataFrame, asked: DataFrame, postings: DataFrame) -> DataFrame:
     """``claim_id, evidence_id, score``: whole scores of the given pairs, by the keys (term, text)."""
+    pairs = Table(pairs, "pairs").df
+    some = _only(postings.select("term", "evidence_id", "impact"), "evidence_id", pairs.select("evidence_id"))
     terms = pairs.join(asked.select("claim_id", "term"), "claim_id")
-    return terms.join(postings.select("term", "evidence_id", "impact"), ["term", "evidence_id"]).groupBy("claim_id", "evidence_id").agg(F.sum("impact").alias("score"))
+    return terms.join(some, ["term", "evidence_id"]).groupBy("claim_id", "evidence_id").agg(F.sum("impact").alias("score"))
 
 
 def floors(asked: DataFrame, postings: DataFrame, k: int, seed_terms: int = SEED_TERMS, seed_rows: int = SEED_ROWS, seed_texts: int = SEED_TEXTS) -> DataFrame:
@@ -130,8 +150,8 @@ def candidates(asked: DataFrame, known: Index, k: int, **named) -> DataFrame:
 
 def rank(claims: DataFrame, known: Index, k: int = 5, **named) -> DataFrame:
     """``claim_id, evidence_id, score, rank``: the k best texts of every claim (``claim_id, text``)."""
-    words = claims.select("claim_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    asked = Table(words.join(known.terms, "term"), "asked").df
+    asked = Table(claim_terms(claims).join(known.terms, "term"), "asked").df
+    known = Index(_only(known.postings, "term", asked.select("term")), known.terms, known.blocks)
     scored = scores(candidates(asked, known, k, **named), asked, known.postings)
     order = W.partitionBy("claim_id").orderBy(F.desc(F.round("score", 9)), "evidence_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
