@@ -70,15 +70,23 @@ _FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th caption fig
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner cookie cookies consent sidebar menu nav navbar navigation breadcrumb breadcrumbs"
     " footer comment comments disqus share sharing social promo promoted sponsor sponsored newsletter subscribe signup popup modal notice"
-    " notices alert pagination complementary contentinfo search login".split()
+    " notices alert pagination complementary contentinfo search login toolbar responses replies respond".split()
 )
-_OUTER_MARKS = frozenset("header masthead related recommended toolbar widget".split())
+_OUTER_MARKS = frozenset("header masthead widget".split())
+#: Marks of reader comments, which decide whatever else a name says ("comment-thread") unless it
+#: also has a word that speaks of comments without holding them ("no-comments", "comments-open", "category-comment").
+_COMMENTS = frozenset("comment comments commentlist commenter commenters disqus".split())
+_ABOUT = frozenset("no not non without with has have hide hides hidden open closed enabled disabled allow allows allowed on off category tag topic type format story opinion code".split())
 #: Words that may stand beside a mark in one name ("site-footer", "ad-slot-2"); any
 #: other word ("with-sidebar", "no-comments", "search-results") makes it a name of something else.
 _BESIDE = frozenset(
     "site page main global top bottom left right inner outer primary secondary post entry user reader wrapper wrap container box block area"
-    " section list item items bar link links slot unit row col column panel group holder text title heading icon button form field fixed sticky".split()
+    " section list item items bar link links slot unit row col column panel group holder text title heading icon button form field fixed sticky"
+    " thread tool count network".split()
 )
+#: Marks of links to other articles, and words that may stand beside these alone ("related-stories").
+_ELSEWHERE = frozenset("related recommended recommendation recommendations".split())
+_PIECES = frozenset("article articles story stories news reading read more".split())
 _PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>"']*)([^>"']*)>""")
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -103,8 +111,12 @@ def _end_of(name: str) -> re.Pattern:
 def _marks(name: str) -> frozenset:
     """The marks of one class, id or role name; none if it says other things too."""
     words = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
-    found = words & (_MARKS | _OUTER_MARKS)
-    return frozenset(found) if words <= found | _BESIDE else frozenset()
+    if words & _COMMENTS and not words & _ABOUT:
+        return frozenset(("comments",))
+    found = words & (_MARKS | _OUTER_MARKS | _ELSEWHERE)
+    rest = words - found - (_PIECES if words & _ELSEWHERE else frozenset())
+    beside = all(w in _BESIDE or w.removesuffix("s") in _BESIDE for w in rest)
+    return frozenset(found) if beside else frozenset()
 
 
 @lru_cache(4096)
@@ -184,7 +196,7 @@ def parse(page: str | None) -> list[Block]:
             outside = within == UNKNOWN
             if name in _DROPPED or outside and name in ("header", "head"):
                 within, named = BOILERPLATE, False
-            elif marks & _MARKS or outside and marks:
+            elif marks - _OUTER_MARKS or outside and marks:
                 within, named = BOILERPLATE, outside
             elif name in _CONTENT and within != MARKED_CONTENT:
                 within = CONTENT

@@ -36,6 +36,22 @@ def test_structure(spark, body, text):
     assert (out["text"], out["n_chars"]) == (text, len(text))
 
 
+@pytest.mark.parametrize(
+    ("names", "goes"),
+    [
+        ("comments reader-comments-list comment-thread commentThread comment-form-wrapper article-comments comment_12 commentlist disqus_thread responses", True),
+        ("share-buttons social-links sharing-tools related-posts related-stories more-related related recommended-articles newsletter-signup-box ads-slot-3 toolbar", True),
+        ("no-comments has-comments comments-open category-comment code-comment with-sidebar search-results market-share share-price news-alert related-work", False),
+        ("content-sidebar-wrap headline lead adventure address commentary response story body post entry-content readmore", False),
+    ],
+)
+def test_names_of_boxes_inside_an_article(names, goes):
+    for name in names.split():
+        for attribute in (f'class="x1 {name}"', f"id='{name}'"):
+            blocks = H.parse(page(f"<article><p>a</p><div {attribute}><p>b</p></div></article>"))
+            assert [b.text for b in blocks if b.kind == H.CONTENT] == (["a"] if goes else ["a", "b"]), name
+
+
 def brute(pages):
     """Extraction by comparing all windows of all pages of a host: page number -> masks, for (host, html) pages."""
     where, whole, content = {}, {}, {}
