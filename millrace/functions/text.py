@@ -11,6 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import encoding
+
 #: Patterns that define the cleaning chain.
 HTML_TAG = r"<[^>]+>"
 URL = r"(?U)https?://\S+|www\.\S+"
@@ -19,10 +21,6 @@ DATELINE = r"^[A-Z .,'-]{3,40}\(Reuters\)\s*-\s*"
 EDGES = r"(?U)^\s+|\s+\z"
 NOT_KEY = r"[^a-z0-9]+"
 
-#: The characters that Windows-1252 has where ISO 8859-1 has controls, and these.
-_CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-_LATIN1 = _CP1252.encode("cp1252").decode("latin-1")
-
 #: Words without weight in vocabulary statistics.
 STOP_WORDS = (
     "the a an and or of to in is are was were be been being this that these those it its for on with as at by from but not no so if then than"
@@ -35,16 +33,11 @@ def strip(c: Column) -> Column:
 
 
 def fix_encoding(c: Column) -> Column:
-    """Undo UTF-8 that was read as Windows-1252, where its marks show and the repair is loss-free.
+    """Mojibake undone layer by layer, then straight quotes, plain line breaks and letters, then composed characters.
 
-    A native approximation of the usual repair libraries; they also uncurl quotes and
-    normalise line breaks, which this does for CR LF only.
+    What repair libraries do besides (entities, terminal escapes, lost bytes) is not done here.
     """
-    marked = c.rlike("Ã[\u0080-¿ƒ‚-™ŒœŠšŸŽžˆ˜]|â€|Â[\u0080-¿]")
-    plain = F.translate(c, _CP1252, _LATIN1)
-    # Only texts whose characters all fit one byte; bytes that are not UTF-8 give null, and the text stays.
-    fixed = F.when(marked & ~plain.rlike("[^\u0000-ÿ]"), F.try_validate_utf8(F.encode(plain, "iso-8859-1").cast("string")))
-    return F.regexp_replace(F.coalesce(fixed, c), "\r\n?", "\n")
+    return encoding.nfc(encoding.plain_typography(encoding.repair_mojibake(c)))
 
 
 def strip_html(c: Column) -> Column:
