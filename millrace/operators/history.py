@@ -69,30 +69,42 @@ def waiting(events: DataFrame, recorded: Column | None = None) -> DataFrame:
     return _standing(events, recorded).filter("_held").select("event_id", "kind", "node", "survivor", "mention_id")
 
 
-def _chains(merges: DataFrame) -> DataFrame:
-    """``node, since, at, final``: a mention that is in ``node`` from a moment in [since, at) on ends in ``final``.
+def _first_after(rows: DataFrame, merges: DataFrame, node: str, at: str) -> DataFrame:
+    """``rows`` with ``hit``: when the first merge of ``node`` after ``at`` took place, null if none did.
 
-    Each merge leads to the first later one that absorbs its survivor; ends are found by doubling the
-    steps, so rounds grow with the logarithm of the longest chain.
+    Rows and merges are dealt by ranges of (node, time), so a node with any share of them is spread over tasks; what
+    follows a node's part is carried over from its next parts, of which there are few.
     """
-    spans = merges.withColumn("since", F.lag("at").over(W.partitionBy("node").orderBy("at")))
-    spans = Table(spans.select("node", "survivor", "since", "at"), "merges")
-    later = spans.df.select(F.col("node").alias("survivor"), F.col("since").alias("after"), F.col("at").alias("next"))
-    step = spans.df.join(later, "survivor").filter("(after IS NULL OR after <= at) AND at < next").select("at", "next")
-    ends = Table(spans.df.select("at", F.col("survivor").alias("final")).join(step, "at", "left"), "ends")
+    none = F.lit(None).cast(merges.schema["at"].dataType)
+    left = rows.select(F.col(node).alias("_node"), F.col(at).alias("_at"), none.alias("_merge"), F.struct(*rows.columns).alias("_row"))
+    right = merges.select(F.col("node").alias("_node"), F.col("at").alias("_at"), F.col("at").alias("_merge"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
+    dealt = Table(left.unionByName(right).repartitionByRange("_node", "_at").withColumn("_part", F.spark_partition_id()), "dealt").df
+    # From the last moment to the first: at the same moment the row comes before the merge, which is not after it.
+    back = W.partitionBy("_part", "_node").orderBy(F.col("_at").desc(), F.col("_merge").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    found = dealt.withColumn("_hit", F.last("_merge", ignorenulls=True).over(back)).filter("_row IS NOT NULL")
+    parts = dealt.groupBy("_part", "_node").agg(F.min("_merge").alias("_first"))
+    later = W.partitionBy("_node").orderBy(F.col("_part").desc()).rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select("_part", "_node", F.last("_first", ignorenulls=True).over(later).alias("_carried")).filter("_carried IS NOT NULL")
+    return found.join(carried, ["_part", "_node"], "left").select("_row.*", F.coalesce("_hit", "_carried").alias("hit"))
+
+
+def _ends(merges: DataFrame) -> DataFrame:
+    """``at, final``: where what a merge moves ends up.  Each leads to the first later merge of its survivor; ends are
+    found by doubling the steps, so rounds grow with the logarithm of the longest chain."""
+    ends = Table(_first_after(merges.select("survivor", "at"), merges, "survivor", "at").select("at", F.col("survivor").alias("final"), F.col("hit").alias("next")), "ends")
     while not ends.df.filter("next IS NOT NULL").isEmpty():
         ahead = ends.df.select(F.col("at").alias("next"), F.col("final").alias("further"), F.col("next").alias("beyond"))
         moved = Table(ends.df.join(ahead, "next", "left").select("at", F.coalesce("further", "final").alias("final"), F.col("beyond").alias("next")), "ends")
         ends.drop()
         ends = moved
-    return spans.df.join(ends.df.select("at", "final"), "at").select("node", "since", "at", "final")
+    return ends.df.select("at", "final")
 
 
 def replay(events: DataFrame, recorded: Column | None = None, valid: Column | None = None) -> DataFrame:
     """``mention_id, named, node``: where each mention was put last, and the node that merges have made of that since.
 
     As known at ``recorded``, for the moment ``valid``; null for all.  Mentions are combined before they
-    move, and merges are joined as spans of time that hold each mention once.
+    move, and each meets only the first merge after it.
     """
     rows = _standing(events, recorded).filter("NOT _held AND node IS NOT NULL")
     if valid is not None:
@@ -100,10 +112,10 @@ def replay(events: DataFrame, recorded: Column | None = None, valid: Column | No
     rows = rows.withColumn("at", F.struct("valid_at", "recorded_at", "event_id", "node", "survivor"))
     merges = rows.filter("kind = 'merge' AND node != survivor").select("node", "survivor", "at")
     put = rows.filter("kind IN ('assign', 'split') AND mention_id IS NOT NULL").groupBy("mention_id").agg(F.max("at").alias("put"))
-    spans = _chains(merges)
-    put = put.select("mention_id", F.col("put.node").alias("named"), "put")
-    within = (F.col("named") == F.col("node")) & (F.col("since").isNull() | (F.col("since") <= F.col("put"))) & (F.col("put") < F.col("at"))
-    return put.join(spans, within, "left").select("mention_id", "named", F.coalesce("final", "named").alias("node"))
+    merges = Table(merges, "merges").df
+    placed = _first_after(put.select("mention_id", F.col("put.node").alias("named"), "put"), merges, "named", "put")
+    ends = _ends(merges).withColumnRenamed("at", "hit")
+    return placed.join(ends, "hit", "left").select("mention_id", "named", F.coalesce("final", "named").alias("node"))
 
 
 def nodes(placed: DataFrame) -> DataFrame:

@@ -56,3 +56,15 @@ def test_replay_equals_one_event_after_the_other(spark):
 def test_no_events(spark):
     events = spark.createDataFrame([], SCHEMA)
     assert H.nodes(H.replay(events)).count() == 0
+
+
+def test_one_node_over_many_parts(spark):
+    """Almost all events name one node, and no parts are put together again."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(f"a{i:03}", "assign", i, 1, None, None, False, i, i, 0) for i in range(90)]
+        rows += [(f"m{i:03}", "merge", None, 1, 2 + i, None, False, i, i, 0) for i in (40, 41, 80)] + [("n", "merge", None, 42, 7, None, False, 85, 85, 0)]
+        got = H.replay(spark.createDataFrame(rows, SCHEMA))
+        assert {tuple(r) for r in got.collect()} == brute(rows, None, None)[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
