@@ -433,3 +433,61 @@ def latest_state(history: DataFrame, key: str, version: str = "version") -> Data
 def experiment_log(log: DataFrame, attempt: DataFrame) -> DataFrame:
     """Append only: negative results stay."""
     return log.unionByName(attempt, allowMissingColumns=True)
+
+
+# ---- conditional fields, provenance questions, applicability by claim type ------------------
+
+
+def broken_conditions(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Rows that break a rule, with the names of those in ``broken``, in the order given.
+
+    A rule is a condition and a test of being filled: the field must be filled if and only if the condition
+    holds.  A condition that is null does not hold; a test that is null is of an empty field.
+    """
+    no = F.lit(False)
+    broken = F.array_compact(F.array(*[F.when(F.coalesce(when, no) != F.coalesce(filled, no), F.lit(name)) for name, (when, filled) in rules.items()]))
+    return df.withColumn("broken", broken).filter(F.size("broken") > 0)
+
+
+#: The questions that every evidence item must answer, in order.
+QUESTIONS = ["where_from", "published_by", "retrieved_at", "original_source", "collected_by", "created_by_pipeline", "referenced_by_claims", "derived_facts"]
+
+
+def provenance_answers(evidence: DataFrame, articles: DataFrame, claims: DataFrame, facts: DataFrame) -> DataFrame:
+    """``evidence_id`` and the answers to the eight questions; null where a row leaves one open.
+
+    ``evidence``: evidence_id, article_id, created_at, produced_by, schema_version.  ``articles``: article_id (unique),
+    source_url, publisher, origin_id (null or itself for an original).  ``claims`` and ``facts`` name an evidence_id in
+    each row and are counted before they are joined.  A pipeline is known by module and version together.  Evidence
+    of an unknown article, and a variant whose original is unknown, leave these questions open.
+    """
+    count = lambda df, name: df.groupBy("evidence_id").agg(F.count(F.lit(1)).alias(name))
+    origins = articles.select(F.col("article_id").alias("_origin"), F.col("source_url").alias("original_source"))
+    known = articles.select("article_id", "source_url", "publisher", F.coalesce("origin_id", "article_id").alias("_origin")).join(origins, "_origin", "left")
+    rows = evidence.join(known, "article_id", "left").join(count(claims, "referenced_by_claims"), "evidence_id", "left").join(count(facts, "derived_facts"), "evidence_id", "left")
+    return rows.select(
+        "evidence_id",
+        F.col("source_url").alias("where_from"),
+        F.col("publisher").alias("published_by"),
+        F.col("created_at").alias("retrieved_at"),
+        "original_source",
+        F.col("produced_by").alias("collected_by"),
+        F.concat("produced_by", F.lit("@"), F.col("schema_version").cast("string")).alias("created_by_pipeline"),
+        "referenced_by_claims",
+        "derived_facts",
+    )
+
+
+def applicable_to_claims(items: DataFrame, analysers: DataFrame) -> DataFrame:
+    """``item_id, analysers, status`` by modality, claim type and language (item_id unique).
+
+    ``unsupported_language`` where analysers fit but for the language, ``not_applicable`` where none fits at all.
+    """
+    # The registry names each analyser once and is small by nature; it becomes one array, so no item is repeated.
+    listed = analysers.agg(F.collect_list(F.struct("analyser", "modalities", "claim_types", "languages")).alias("_all"))
+    has = lambda names, value: F.coalesce(F.array_contains(names, value), F.lit(False))
+    near = F.filter("_all", lambda a: has(a["modalities"], F.col("modality")) & has(a["claim_types"], F.col("claim_type")))
+    out = items.join(F.broadcast(listed)).withColumn("_near", near)
+    ok = F.array_sort(F.transform(F.filter("_near", lambda a: has(a["languages"], F.col("language"))), lambda a: a["analyser"]))
+    status = F.when(F.size(ok) > 0, "ok").when(F.size("_near") > 0, "unsupported_language").otherwise("not_applicable")
+    return out.select("item_id", ok.alias("analysers"), status.alias("status"))

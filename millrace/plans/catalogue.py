@@ -590,7 +590,7 @@ def flagship_distribution(spark, sf_dir):
     return flagship(spark, sf_dir).withColumnRenamed("label", "quality")
 
 
-from . import access_queries, custody_queries, drift_queries, encoding_queries, entity_queries, evidence_queries, history_queries, ingest_queries, language_queries, rule_queries  # noqa: E402, F401  register their queries
+from . import access_queries, claim_queries, custody_queries, drift_queries, encoding_queries, entity_queries, evidence_queries, history_queries, ingest_queries, language_queries, rule_queries  # noqa: E402, F401  register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
