@@ -174,3 +174,43 @@ def test_sketches_hold_the_radius():
         found = set().union(*(S.within(rows, roots, sizes, sketches, x, y, 0.8) for x, y in sides))
         assert {(a, b) for a, b in links if roots[a] != roots[b]} <= found
         assert len(found) < 2 * len(links) and all(roots[a] != roots[b] for a, b in found)
+
+
+def test_near_copies_against_all_pairs_of_the_documents(spark):
+    """Every link at 0.8 of the real table, by bands of similarity, and no group that links do not make."""
+    from collections import defaultdict
+
+    sets = {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    holders, shared = defaultdict(list), defaultdict(int)
+    for i, s in sets.items():
+        for g in s:
+            holders[g].append(i)
+    for ids in holders.values():
+        for k, a in enumerate(ids):
+            for b in ids[k + 1 :]:
+                shared[a, b] += 1
+    links = {p: n / (len(sets[p[0]]) + len(sets[p[1]]) - n) for p, n in shared.items()}
+    links = {p: x for p, x in links.items() if x >= 0.8}
+    empty = [i for i, s in sets.items() if not s]
+    links.update({(empty[0], i): 1.0 for i in empty[1:]})
+    got = {r["node"]: r["root"] for r in S.near_copies(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    bands = defaultdict(lambda: [0, 0])
+    for (a, b), x in links.items():
+        found = bands[min(int(x * 20), 19) / 20]
+        found[0] += got.get(a, a) == got.get(b, b)
+        found[1] += 1
+    print({k: tuple(v) for k, v in sorted(bands.items())})
+    assert len(links) > 20 and all(n == of for n, of in bands.values())
+    root = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            if root[a] != low or root[b] != low:
+                root[a] = root[b] = low
+                changed = True
+    assert {i: got.get(i, i) for i in sets} == root
