@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedup, knowledge, labels, missing
 from ..operators.normalize import normalize
+from ..storage import Table
 from .catalogue import _DOCS, _KEY, _clean_sql, _labelled, _q, _t
 
 
@@ -88,7 +89,8 @@ def analysers_by_claim_type(spark, sf_dir):
 def cleaning_steps(spark, sf_dir):
     """Rows left after each step of cleaning; exact copies go before near ones."""
     loaded = normalize(_labelled(spark, sf_dir).drop("toxic"), _DOCS, "doc_id").withColumn("text", X.clean_text(F.col("text")))
-    required = missing.drop_rows_missing_required(loaded, ["text", "label_raw"])
+    # Cleaned once: each later step reads the rows twice, for winners and for what stays.
+    required = Table(missing.drop_rows_missing_required(loaded, ["text", "label_raw"]).select("doc_id", "text", "label_raw"), "required").df
     exact = dedup.drop_exact_duplicates(required, ["text"], "doc_id")
     near = dedup.drop_near_duplicates(exact, "text", "doc_id")
     labelled = labels.drop_unmapped(labels.apply_label_map(near, {"0": 0, "1": 1}))
