@@ -12,8 +12,9 @@ kilobyte of text) are compared and the query moves no document.  The filtering f
 
 Defined cases: a null text counts as empty; empty texts equal one another (their
 recipe has no chunk); exactly one row of a group stays, the one with the smallest
-doc_id, nulls last, and among rows that repeat this id the first one read; extra
-columns are ignored.
+doc_id, nulls last, and among rows that repeat this id the first one read.  ``keep_first``
+keeps any one of the rows that are equal in id and text, so where their other columns
+differ a rerun may keep another.  The query ignores extra columns.
 """
 
 from __future__ import annotations
