@@ -7,6 +7,8 @@ is imitated.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -80,9 +82,18 @@ def decide(fused: DataFrame, thresholds: DataFrame, default: float = 0.5) -> Dat
     return fused.join(thresholds, "claim_type", "left").withColumn("decision", F.when(low, "unverifiable").otherwise(F.col("verdict")))
 
 
-def apply_policies(items: DataFrame, policies: DataFrame, matches: Column) -> DataFrame:
-    """Each item with its first active policy by priority; ``matches`` relates both sides."""
-    joined = items.join(policies.filter("active"), matches, "left")
+def apply_policies(items: DataFrame, policies: DataFrame, matches: Column | dict[str, str]) -> DataFrame:
+    """Each item with its first active policy by priority; ``matches`` relates both sides.
+
+    A condition meets every pair that it holds for.  Where columns must be equal, ``matches`` names them
+    (item column: policy column), and only the first policy of each value is joined, so items do not multiply.
+    """
+    active = policies.filter("active")
+    if isinstance(matches, dict):
+        first = F.min_by(F.struct(*active.columns), F.struct(F.col("priority").isNull(), "priority", "policy_id"))
+        active = active.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(matches.values())]).agg(first.alias("_p")).select("_p.*")
+        matches = reduce(Column.__and__, [items[i] == active[p] for i, p in matches.items()])
+    joined = items.join(active, matches, "left")
     order = W.partitionBy("item_id").orderBy(F.asc_nulls_last("priority"), "policy_id")
     return joined.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
 

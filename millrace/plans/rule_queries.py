@@ -87,7 +87,7 @@ def decision_threshold(spark, sf_dir):
 def policy_rules(spark, sf_dir):
     items = _t(spark, sf_dir, "orders").select(_key().alias("item_id"), (F.col("o_custkey") % 25).cast("int").alias("topic"))
     policies = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("policy_id"), (F.col("s_suppkey") % 7).alias("priority"), (F.col("s_acctbal") > 0).alias("active"), "s_nationkey")
-    return knowledge.apply_policies(items, policies, F.col("topic") == F.col("s_nationkey")).select("item_id", "policy_id")
+    return knowledge.apply_policies(items, policies, {"topic": "s_nationkey"}).select("item_id", "policy_id")
 
 
 _KIND = "CASE l_linenumber % 3 WHEN 0 THEN 'fusion' WHEN 1 THEN 'decision' ELSE 'step' END"

@@ -112,3 +112,15 @@ def test_runs(spark):
     assert [tuple(r) for r in K.run_rollup(x).collect()] == [("r", 3.0, 1, "PARTIAL_FAILURE")]
     f = spark.createDataFrame([("a", "validated"), ("b", "new")], "id string, status string")
     assert rows(K.export_feedback(f, "b1"), "id", "batch_id") == [("a", "b1")]
+
+
+def test_policies_by_equal_columns_do_not_multiply_items(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None), (1, "b")], "item_id int, topic string")
+    rows = [(i, i % 5 if i % 5 else None, i % 3 > 0, "ab"[i % 2]) for i in range(60)]
+    policies = spark.createDataFrame([*rows, (90, 0, True, None)], "policy_id int, priority int, active boolean, about string")
+    plain = K.apply_policies(items, policies, F.col("topic") == F.col("about"))
+    found = K.apply_policies(items, policies, {"topic": "about"})
+    key = lambda r: tuple(map(str, r))
+    assert found.columns == plain.columns and sorted(found.collect(), key=key) == sorted(plain.collect(), key=key)
+    joins = found.drop("priority")._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.index("Join") < joins.index("Aggregate"), "policies are reduced below the join"
