@@ -11,6 +11,11 @@ text than its largest impact, so with the k-th best score known to be at least `
   inessential terms stay below ``floor``.
 * what is left is scored in full by looking up the pairs of text and term, never a term alone.
 
+Where claims are so many, or their words so frequent, that even the candidates would be far more than claims and
+texts (``PAIR_ROWS``), they are not written down: postings are dealt into groups of texts and claims into chunks,
+both of bounded rows, and each task scores one chunk over one group in full and gives its k best.  The work
+is that of all postings that claims meet; what is moved is postings times chunks and claims times groups.
+
 ``floor`` comes from a first pass over each claim's strongest terms: the texts that are best by these
 alone are scored in full, and the k-th best of any texts cannot be above the k-th best of all.
 
@@ -27,6 +32,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +51,8 @@ SEED_TERMS, SEED_ROWS, SEED_TEXTS = 16, 50_000, 4
 SLACK = 1e-9
 #: Different terms or texts up to which they are sent to every task (some 100 bytes each) to filter postings where they are read.
 SENT_ROWS = 200_000
+#: Postings met by claims beyond which pairs are scored in cells, and rows of a cell's claims (claim, term) and texts (term, text).
+PAIR_ROWS, CHUNK_ROWS, GROUP_ROWS = 20_000_000, 4_000_000, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -69,10 +79,11 @@ def counts(words: Column) -> Column:
     return F.when(F.size(words) > 0, pieces)
 
 
-def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS, only: DataFrame | None = None) -> Index:
+def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS, only: DataFrame | None = None, write_blocks: bool = True) -> Index:
     """Impacts of every (term, text) by BM25 over lower-case letter words (our choice), with their maxima.
 
-    An index for given claims alone needs their terms only: the column ``term`` of ``only``.
+    An index for given claims alone needs their terms only: the column ``term`` of ``only``; the maxima of
+    blocks, which are then read once or not at all, need not be written.
     """
     texts = evidence.select("evidence_id", tokens(F.col("text")).alias("t"))
     sizes = texts.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("t")).alias("mean")).collect()[0]
@@ -93,7 +104,7 @@ def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: in
     postings = Table(postings, "postings").df
     terms = postings.groupBy("term").agg(F.max("df").alias("df"), F.max("impact").alias("most")).withColumn("parts", F.ceil(F.col("df") / part_rows))
     by_block = postings.groupBy("term", "block").agg(F.max("impact").alias("most"))
-    return Index(postings.drop("df"), *[Table(t, "index").df for t in (terms, by_block)])
+    return Index(postings.drop("df"), Table(terms, "index").df, Table(by_block, "index").df if write_blocks else by_block)
 
 
 def _only(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
@@ -148,10 +159,73 @@ def candidates(asked: DataFrame, known: Index, k: int, **named) -> DataFrame:
     return bounded.filter(F.col("score") + F.coalesce("rest", F.lit(0.0)) + SLACK >= F.col("floor")).select("claim_id", "evidence_id")
 
 
-def rank(claims: DataFrame, known: Index, k: int = 5, **named) -> DataFrame:
+def _kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of all scores that can be among the k best; places are in the order of the ids.
+
+    Scores within the rounding of the k-th best stay, of equal ones the k first.
+    """
+    if len(scores) <= k:
+        return np.arange(len(scores))
+    low = np.partition(scores, len(scores) - k)[len(scores) - k] - 2 * SLACK
+    found = np.flatnonzero(scores >= low)
+    if len(found) <= k:
+        return found
+    order = np.lexsort((found, scores[found]))
+    values = scores[found][order]
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    nth = np.arange(len(values)) - np.repeat(starts, np.diff(np.r_[starts, len(values)]))
+    return found[order[nth < k]]
+
+
+def _score_cell(asked: pa.Table, postings: pa.Table, k: int) -> pa.Table:
+    """``claim_id, evidence_id, score``: what can be among the k best texts of each claim within one cell."""
+    asked, postings = asked.sort_by([("claim_id", "ascending"), ("t", "ascending")]), postings.sort_by([("evidence_id", "ascending")])
+    ids = pc.dictionary_encode(postings.column("evidence_id").combine_chunks())
+    terms = postings.column("t").to_numpy()
+    by_term = np.argsort(terms, kind="stable")
+    terms, texts, impacts = terms[by_term], ids.indices.to_numpy()[by_term], postings.column("impact").to_numpy()[by_term]
+    wanted = asked.column("t").to_numpy()
+    begins, ends = np.searchsorted(terms, wanted), np.searchsorted(terms, wanted, side="right")
+    claims = pc.dictionary_encode(asked.column("claim_id").combine_chunks())
+    places = claims.indices.to_numpy()
+    firsts = np.searchsorted(places, np.arange(len(claims.dictionary) + 1))
+    sums, who, which, score = np.zeros(len(ids.dictionary)), [], [], []
+    for c in range(len(claims.dictionary)):
+        for i in range(firsts[c], firsts[c + 1]):
+            sums[texts[begins[i] : ends[i]]] += impacts[begins[i] : ends[i]]
+        met = np.flatnonzero(sums)
+        best = met[_kth(sums[met], k)]
+        who.append(np.full(len(best), c))
+        which.append(best)
+        score.append(sums[best])
+        sums[met] = 0.0
+    join = lambda parts, kind: np.concatenate([np.empty(0, kind), *parts]).astype(kind)
+    return pa.table({"claim_id": claims.dictionary.take(pa.array(join(who, np.int64))), "evidence_id": ids.dictionary.take(pa.array(join(which, np.int64))), "score": join(score, np.float64)})
+
+
+def scored_in_cells(asked: DataFrame, postings: DataFrame, k: int, chunk_rows: int = CHUNK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``claim_id, evidence_id, score``: whole scores of all texts that can be among the k best of a claim."""
+    # Small numbers stand for terms; where these are few, their table is sent to every task.
+    numbers = Table(asked.select("term").distinct().withColumn("t", F.monotonically_increasing_id()), "numbers").df
+    numbers = F.broadcast(numbers) if numbers.count() <= SENT_ROWS else numbers
+    chunks, groups = max(1, -(-asked.count() // chunk_rows)), max(1, -(-postings.count() // group_rows))
+    # Claims are fewer than postings, so for as many cells as there are cores they are the ones to repeat.
+    groups = max(groups, -(-asked.sparkSession.sparkContext.defaultParallelism // chunks))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.filter("claim_id IS NOT NULL").join(numbers, "term").select("claim_id", F.col("t").alias("t"), deal("claim_id", chunks).alias("x"), every(groups).alias("y"))
+    right = postings.join(numbers, "term").select("evidence_id", F.col("t").alias("t"), "impact", deal("evidence_id", groups).alias("y"), every(chunks).alias("x"))
+    types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("claim_id", asked), ("evidence_id", postings)))
+    return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInArrow(lambda a, b: _score_cell(a, b, k), f"{types}, score double")
+
+
+def rank(claims: DataFrame, known: Index, k: int = 5, pair_rows: int = PAIR_ROWS, **named) -> DataFrame:
     """``claim_id, evidence_id, score, rank``: the k best texts of every claim (``claim_id, text``)."""
     asked = Table(claim_terms(claims).join(known.terms, "term"), "asked").df
     known = Index(_only(known.postings, "term", asked.select("term")), known.terms, known.blocks)
-    scored = scores(candidates(asked, known, k, **named), asked, known.postings)
+    if (asked.agg(F.sum("df").alias("met")).collect()[0]["met"] or 0) > pair_rows:
+        scored = scored_in_cells(asked, known.postings, k)
+    else:
+        scored = scores(candidates(asked, known, k, **named), asked, known.postings)
     order = W.partitionBy("claim_id").orderBy(F.desc(F.round("score", 9)), "evidence_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

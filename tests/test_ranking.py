@@ -68,3 +68,12 @@ def test_empty(spark):
     assert R.rank(spark.createDataFrame([(1, "a")], "claim_id int, text string"), known).count() == 0
     known = R.index(spark.createDataFrame([(1, "a b")], "evidence_id int, text string"))
     assert R.rank(spark.createDataFrame([], "claim_id int, text string"), known).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 5, 20])
+def test_pairs_in_cells_equal_scoring_everything(spark, corpus, k):
+    """Many claims of frequent words: no table of pairs is written, ties and copies are ranked as before."""
+    claims, texts = corpus
+    known = R.index(spark.createDataFrame([*texts, *((700 + i, t) for i, t in texts[:50])], "evidence_id int, text string"))
+    found = R.rank(spark.createDataFrame(claims, "claim_id int, text string"), known, k, pair_rows=0)
+    assert sorted((r["claim_id"], r["evidence_id"], r["rank"]) for r in found.collect()) == brute(claims, [*texts, *((700 + i, t) for i, t in texts[:50])], k)
