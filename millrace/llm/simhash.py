@@ -42,15 +42,21 @@ TILE_ROWS = 2048
 _WEIGHTS = (np.uint64(1) << np.arange(64, dtype=np.uint64)).astype(np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of all shingles in the order of the text; those of a text without words are none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    if len(words) <= shingle:
-        grams = [b" ".join(words)]
-    else:
-        grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=len(grams))
+        return np.empty(0, dtype="<u8")
+    grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle))))) if len(words) > shingle else [b" ".join(words)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=len(grams))
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return _voted(_hashes(text, shingle))
+
+
+def _voted(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes set; none of no hashes."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -203,10 +209,11 @@ def near_dedup(
 
 # ---- near copies by similarity -------------------------------------------------------
 #
-# A radius of two bits finds little beyond texts that are all but equal.  For a given
-# Jaccard similarity of word shingles, wide fingerprints are compared by exclusive-or and
-# bit counts within groups of texts that share an anchor, and every link is confirmed on the
-# shingles themselves.  That finds nearly all links cheaply, but not all.  The rest comes
+# Fingerprints of all texts are linked in tiles as above, and the components of these links are
+# groups.  A radius of two bits finds little beyond texts that are all but equal.  For a given
+# Jaccard similarity of word shingles, texts that share an anchor are groups as well.  Within
+# the groups wide fingerprints are compared by exclusive-or and bit counts, and every link is
+# confirmed on the shingles themselves.  That finds nearly all links cheaply, but not all.  The rest comes
 # from an exact pass.  In one global order of the shingles, two texts of the similarity s
 # share one of the first n - ceil(s * n) + 1 shingles of each, so only texts that share
 # such a shingle and are not in one group yet are compared, in tiles, by exclusive-or and
@@ -228,10 +235,13 @@ SKETCH_BITS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
+#: A text without words has one shingle, the empty one.
+_NO_WORDS = np.array([xxhash.xxh64_intdigest(b"", SEED)], dtype="<u8")
+
+
 def _shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle))))) if len(words) > shingle else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=len(grams)))
+    h = _hashes(text, shingle)
+    return np.unique(h) if len(h) else _NO_WORDS
 
 
 def _mixed(h: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -334,29 +344,35 @@ def near_copies(
     similarity: float = 0.8,
     radius: int = WIDE_RADIUS,
     tile_rows: int = TILE_ROWS,
+    tile_radius: int = 2,
 ) -> DataFrame:
     """``node, root`` for every id in a group of near copies; the root is the group's smallest id.
 
-    Texts of the given similarity share one of the ANCHORS anchors with probability
+    Fingerprints that differ in ``tile_radius`` bits at most are linked in tiles (``links``); a
+    component of these links is a group to compare, like the texts that share an anchor.  Texts of the given similarity share one of the ANCHORS anchors with probability
     1 - (1 - similarity) ** ANCHORS (0.9997 at 0.8).  Groups of the same members count
     once; a group of more than ``tile_rows`` texts is compared in pairs of blocks.
-    What the anchors and the radius miss, the pairs of ``_open_pairs`` hold, so no link is lost.
+    What these groups and the radius miss, the pairs of ``_open_pairs`` hold, so no link is lost.
     Rows of one id are one text here; ``keep_one`` makes ids that tell texts apart.
     """
     spark, longs = docs.sparkSession, pa.list_(pa.int64())
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     common = _common(rows, shingle)
 
-    def seeds(text: str | None) -> tuple[np.ndarray, np.ndarray, bytes, int]:
-        h = _shingle_hashes(text, shingle)
-        return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), parity_sketch(h).tobytes(), len(h)
+    def seeds(text: str | None) -> tuple[np.ndarray, np.ndarray, bytes, int, int]:
+        every = _hashes(text, shingle)
+        h = np.unique(every) if len(every) else _NO_WORDS
+        fp = int(np.uint64(_voted(every)).view(np.int64))
+        return _anchors(h).view(np.int64), prefix(h, similarity, common).view(np.int64), parity_sketch(h).tobytes(), len(h), fp
 
-    kinds = {"anchors": longs, "prefix": longs, "sketch": pa.binary(), "n": pa.int64()}
-    seeded = _by_text(rows, kinds, "anchors array<bigint>, prefix array<bigint>, sketch binary, n bigint", seeds)
+    kinds = {"anchors": longs, "prefix": longs, "sketch": pa.binary(), "n": pa.int64(), "fp": pa.int64()}
+    seeded = _by_text(rows, kinds, "anchors array<bigint>, prefix array<bigint>, sketch binary, n bigint, fp bigint", seeds)
     seeded = seeded.withColumn("row", F.monotonically_increasing_id())
     path = write_cut(seeded, "anchors")
     table = read_cut(spark, path, seeded)
-    found = _anchored(rows, table, shingle, similarity, radius, tile_rows)
+    tiled = tile_groups(table, tile_radius, tile_rows)
+    free_shuffles(spark)
+    found = _grouped(rows, table, tiled, shingle, similarity, radius, tile_rows)
     free_shuffles(spark)
     pairs = _open_pairs(table, found, similarity, tile_rows)
     drop_cut(spark, path)
@@ -368,10 +384,19 @@ def near_copies(
     return found
 
 
-def _anchored(rows: DataFrame, table: DataFrame, shingle: int, similarity: float, radius: int, tile_rows: int) -> DataFrame:
-    """``node, root`` by the links among texts that share an anchor and lie within the radius."""
+def tile_groups(table: DataFrame, radius: int = 2, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``doc_id, fp``: each text with the root of the component that its fingerprint is in."""
+    distinct = cut(table.select("fp").distinct(), "distinct")
+    roots = components(links(distinct, radius, tile_rows=tile_rows))
+    placed = table.select("doc_id", "fp").join(roots.hint("merge"), F.col("fp") == F.col("node"), "left")
+    return placed.select("doc_id", F.coalesce("root", "fp").alias("fp"))
+
+
+def _grouped(rows: DataFrame, table: DataFrame, tiled: DataFrame, shingle: int, similarity: float, radius: int, tile_rows: int) -> DataFrame:
+    """``node, root`` by the links among texts that share a fingerprint's component or an anchor and lie within the radius."""
     spark, longs = rows.sparkSession, pa.list_(pa.int64())
     members = table.select("doc_id", F.posexplode("anchors").alias("i", "anchor"))
+    members = members.unionByName(tiled.select("doc_id", F.lit(ANCHORS).alias("i"), F.col("fp").alias("anchor")))
     groups = (
         members.groupBy("i", "anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("who"), F.min("doc_id").alias("least"))
@@ -401,7 +426,7 @@ def _anchored(rows: DataFrame, table: DataFrame, shingle: int, similarity: float
         fps, hashes = sketch(text, shingle)
         return fps.view(np.int64), hashes.tobytes()
 
-    # Only texts that share an anchor are looked at again.
+    # Only texts that share a group are looked at again.
     # Their number grows with the table, so the plan is the same at any size: no broadcast.
     shared = rows.join(placed.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     sketched = _by_text(shared, {"fps": longs, "shingles": pa.binary()}, "fps array<bigint>, shingles binary", full)

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import simhash as S
 
@@ -214,3 +215,28 @@ def test_near_copies_against_all_pairs_of_the_documents(spark):
                 root[a] = root[b] = low
                 changed = True
     assert {i: got.get(i, i) for i in sets} == root
+
+
+def test_near_copies_start_from_fingerprints_in_tiles(spark, monkeypatch):
+    """Groups come from SimHash tiles too: without any shared anchor, and with no exact pass, copies of near fingerprints are found."""
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 2**64, 60, dtype=np.uint64))
+    fps = np.unique(np.r_[fps, fps[:30] ^ np.uint64(5), fps[:10] ^ np.uint64(1 << 63)])
+    table = spark.createDataFrame([(i, int(f)) for i, f in enumerate(np.r_[fps, fps[:5]].view(np.int64))], "doc_id long, fp long")
+    want = brute_components(list(range(len(fps) + 5)), np.r_[fps, fps[:5]], 2)
+    got = {r["doc_id"]: r["fp"] for r in S.tile_groups(table, 2, tile_rows=4).collect()}
+    assert len(set(got.values())) == len(set(want.values()))
+    assert all(got[i] == got[j] for i, j in want.items())
+
+    words = [f"w{rng.integers(10**6)}" for _ in range(300)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:-1], "other"]))], "doc_id long, text string")
+    by_text = S._by_text
+
+    def without_anchors(rows, columns, types, of):
+        out = by_text(rows, columns, types, of)
+        return out.withColumn("anchors", F.array().cast("array<bigint>")) if "anchors" in columns else out
+
+    monkeypatch.setattr(S, "_by_text", without_anchors)
+    monkeypatch.setattr(S, "_open_pairs", lambda table, *_: spark.createDataFrame([], "a long, b long"))
+    assert np.bitwise_count(np.uint64(S.fingerprint(" ".join(words), 5)) ^ np.uint64(S.fingerprint(" ".join([*words[:-1], "other"]), 5))) <= 2
+    assert {r["node"]: r["root"] for r in S.near_copies(docs).collect()} == {2: 1}
