@@ -33,6 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import dedup_key
+from ..storage import Table
 from . import graph
 
 #: The kinds of link.
@@ -50,11 +51,13 @@ def derive_links(evidence: DataFrame) -> DataFrame:
     ``mirrored_at``.  Items of one address whose content differs are versions: each is an
     ``updated_version_of`` the one captured before, with ``changed`` set.  Content without letters or digits
     is compared exactly only; null content links nothing; null outlets and addresses are unknown, not equal.
+    Keys and links are written, so content is read once however often the links are.
     """
     key = F.nullif(dedup_key(F.col("content")), F.lit(""))
     rows = evidence.filter(F.col("content").isNotNull()).select(
         "evidence_id", "outlet", "url", "captured_at", F.sha2("content", 256).alias("exact"), F.sha2(F.coalesce(key, F.col("content")), 256).alias("near")
     )
+    rows = Table(rows, "keys").df
     first = F.min_by(F.struct("evidence_id", "outlet", "url", "exact"), F.struct("captured_at", "evidence_id"))
     links = rows.join(rows.groupBy("near").agg(first.alias("f")), "near").filter(F.col("evidence_id") != F.col("f.evidence_id"))
     kind = (
@@ -68,7 +71,7 @@ def derive_links(evidence: DataFrame) -> DataFrame:
     order = W.partitionBy("url").orderBy("captured_at", "evidence_id")
     steps = rows.filter("url IS NOT NULL").withColumn("before", F.lag(F.struct("evidence_id", "near")).over(order)).filter("near != before.near")
     steps = steps.select(F.col("evidence_id").alias("a"), F.col("before.evidence_id").alias("b"), F.lit("updated_version_of").alias("kind"), F.lit(True).alias("changed"))
-    return links.unionByName(steps)
+    return Table(links.unionByName(steps), "links").df
 
 
 def _same_substance(kinds: tuple[str, ...]) -> Column:

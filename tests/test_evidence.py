@@ -91,3 +91,21 @@ def test_copies_are_one_source(spark):
     stances = spark.createDataFrame([(1, i, "supports") for i in (1, 2, 4, 5, 6)] + [(2, 7, "refutes"), (2, 7, "refutes")], "claim_id int, evidence_id int, stance string")
     got = {r["claim_id"]: (r["n_items"], r["n_independent"]) for r in E.independent_support(stances, items).collect()}
     assert got == {1: (5, 2), 2: (1, 1)}
+
+
+def test_content_is_read_once(spark):
+    """Components read their links many times; the content behind them is hashed once for each row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    items = spark.createDataFrame(ITEMS, SCHEMA)
+    counted = items.mapInArrow(look, SCHEMA)
+    links = E.derive_links(counted)
+    first = links.filter("a % 2 = 0")
+    known = E.extend(E.components(first), links.filter("a % 2 = 1"))
+    assert {r["root"] for r in E.classes(items, links, known).collect()} == {1, 6, 7, 8, 9, 10}
+    assert seen.value == len(ITEMS)
