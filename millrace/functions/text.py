@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import encoding
@@ -37,16 +37,27 @@ def fix_encoding(c: Column) -> Column:
 
     What repair libraries do besides (entities, terminal escapes, lost bytes) is not done here.
     """
-    return encoding.nfc(encoding.plain_typography(encoding.repair_mojibake(c)))
+    all_of = lambda t: encoding.nfc(encoding.plain_typography(encoding.repair_mojibake(t)))
+    # ASCII needs line breaks only.
+    return encoding.bound(c, lambda t: F.when(F.octet_length(t) == F.length(t), F.regexp_replace(t, r"\r\n?", "\n")).otherwise(all_of(t)))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once per row, whatever filters and selections follow.
+
+    A generator of one row: optimisers put no filter below it, which would compute its columns anew.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.stack(F.lit(1), *columns.values()).alias(*columns))
 
 
 def strip_html(c: Column) -> Column:
     """Each tag becomes one space; not a parser."""
-    return F.regexp_replace(c, HTML_TAG, " ")
+    return encoding.bound(c, lambda t: F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, HTML_TAG, " ")).otherwise(t))
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL, " ")
+    return encoding.bound(c, lambda t: F.when(F.contains(t, F.lit("http")) | F.contains(t, F.lit("www.")), F.regexp_replace(t, URL, " ")).otherwise(t))
 
 
 def remove_control_chars(c: Column) -> Column:
@@ -56,7 +67,9 @@ def remove_control_chars(c: Column) -> Column:
 
 def normalize_whitespace(c: Column) -> Column:
     """Runs of blanks and tabs to one blank, three or more line feeds to two, ends stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    lines = lambda t: F.when(F.contains(t, F.lit("\n\n\n")), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)
+    ends = lambda t: F.when(F.concat(F.substring(t, 1, 1), F.substring(t, -1, 1)).rlike(r"(?U)\s"), strip(t)).otherwise(t)
+    return encoding.bound(encoding.bound(F.regexp_replace(c, r"\t[ \t]*| [ \t]+", " "), lines), ends)
 
 
 def strip_dateline(c: Column) -> Column:
