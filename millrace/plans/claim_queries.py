@@ -88,11 +88,13 @@ def analysers_by_claim_type(spark, sf_dir):
 )
 def cleaning_steps(spark, sf_dir):
     """Rows left after each step of cleaning; exact copies go before near ones."""
-    loaded = normalize(_labelled(spark, sf_dir).drop("toxic"), _DOCS, "doc_id").withColumn("text", X.clean_text(F.col("text")))
-    # Cleaned once: each later step reads the rows twice, for winners and for what stays.
-    required = Table(missing.drop_rows_missing_required(loaded, ["text", "label_raw"]).select("doc_id", "text", "label_raw"), "required").df
-    exact = dedup.drop_exact_duplicates(required, ["text"], "doc_id")
-    near = dedup.drop_near_duplicates(exact, "text", "doc_id")
+    loaded = normalize(_labelled(spark, sf_dir).drop("toxic"), _DOCS, "doc_id")
+    # Cleaned once and written as digests: each later step reads the rows twice, for winners and for what stays.
+    required = missing.drop_rows_missing_required(X.once(loaded, text=X.clean_text(F.col("text"))), ["text", "label_raw"])
+    required = required.select("doc_id", F.sha2("text", 256).alias("exact"), F.sha2(X.dedup_key(F.col("text")), 256).alias("near"), "label_raw")
+    required = Table(required, "required").df
+    exact = dedup.drop_exact_duplicates(required, ["exact"], "doc_id")
+    near = dedup.keep_first(exact, F.col("near"), "doc_id")
     labelled = labels.drop_unmapped(labels.apply_label_map(near, {"0": 0, "1": 1}))
     steps = {"1_loaded": loaded, "2_required": required, "3_exact": exact, "4_near": near, "5_labelled": labelled}
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("step"), "n") for name, df in steps.items()]
