@@ -67,14 +67,35 @@ def traverse(edges: DataFrame, start: DataFrame, depth: int, any_direction: bool
     return seen
 
 
+def _forest_depths(steps: DataFrame) -> DataFrame:
+    """``depths`` of steps (``c, p``) with one parent each: the node that each looks at and the way to it, null where it looks past the first."""
+    firsts = steps.select(F.col("p").alias("node")).distinct().join(steps.select(F.col("c").alias("node")), "node", "left_anti")
+    below = steps.select(F.col("c").alias("node"), F.col("p").alias("at"), F.lit(1).alias("depth"))
+    rows = Table(below.unionByName(firsts.select("node", F.lit(None).cast(below.schema["at"].dataType).alias("at"), F.lit(0).alias("depth"))), "ways")
+    left = rows.df.filter("at IS NOT NULL").count()
+    while left:
+        ahead = rows.df.select(F.col("node").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"))
+        after = Table(rows.df.join(ahead, "at", "left").select("node", F.col("next").alias("at"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "ways")
+        rows.drop()
+        rows, before, left = after, left, after.df.filter("at IS NOT NULL").count()
+        if left == before:  # only cycles and what is below them
+            break
+    return rows.df.filter("at IS NULL").select("node", "depth")
+
+
 def depths(steps: DataFrame, child: str, parent: str) -> DataFrame:
     """``node, depth``: the longest way from each node to one without a parent.
 
-    Each round moves the front one step down, so rounds grow with the longest chain.  Nodes on a cycle
+    Each round moves the front one step down, so rounds grow with the longest chain; where no node has two
+    parents, each looks twice as far up in every round, and rounds grow with its logarithm.  Nodes on a cycle
     and below one have no longest way and are left out.
     """
     steps = Table(steps.select(F.col(child).alias("c"), F.col(parent).alias("p")).distinct(), "steps")
-    waiting = steps.df.groupBy("c").agg(F.count(F.lit(1)).alias("need")).withColumnRenamed("c", "node")
+    waiting = steps.df.groupBy("c").agg(F.count(F.lit(1)).alias("need"), F.count_if(F.col("p").isNull()).alias("nulls")).withColumnRenamed("c", "node")
+    seen = waiting.agg(F.max("need").alias("need"), F.sum("nulls").alias("nulls"), F.count_if(F.col("node").isNull()).alias("unnamed")).collect()[0]
+    if seen["need"] == 1 and not seen["nulls"] and not seen["unnamed"]:
+        return _forest_depths(steps.df)
+    waiting = waiting.drop("nulls")
     front = Table(steps.df.select(F.col("p").alias("node")).distinct().join(waiting.select("node"), "node", "left_anti").withColumn("depth", F.lit(0)), "front")
     done = front.df
     while not front.df.isEmpty():

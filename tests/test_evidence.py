@@ -109,3 +109,14 @@ def test_content_is_read_once(spark):
     known = E.extend(E.components(first), links.filter("a % 2 = 1"))
     assert {r["root"] for r in E.classes(items, links, known).collect()} == {1, 6, 7, 8, 9, 10}
     assert seen.value == len(ITEMS)
+
+
+def test_depths_of_long_chains_take_few_rounds(spark, monkeypatch):
+    """One parent each: rounds grow with the logarithm; cycles and what is below them are left out."""
+    written = []
+    real = graph.Table
+    monkeypatch.setattr(graph, "Table", lambda *a: written.append(1) or real(*a))
+    steps = [(i + 1, i) for i in range(40)] + [(100, 102), (101, 100), (102, 101), (103, 102), (201, 200), (202, 200)]
+    got = dict(map(tuple, graph.depths(spark.createDataFrame(steps, "c long, p long"), "c", "p").collect()))
+    assert got == {i: i for i in range(41)} | {200: 0, 201: 1, 202: 1}
+    assert len(written) < 12
