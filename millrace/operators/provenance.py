@@ -18,20 +18,19 @@ def walk(starts: DataFrame, hops: list[tuple[str, DataFrame]], start_kind: str =
     over tasks, and paths that have ended join under keys of their own.  Null ids are no ids; repeated links and starts count once; a start without any link
     keeps its row.
     """
-    id_ = F.col(starts.columns[0]).cast("string")
-    rows = starts.select(id_.alias("start"), id_.alias("_at")).filter("start IS NOT NULL").distinct()
-    rows = rows.select("start", F.concat(F.lit("id:"), "_at").alias("_at"), F.array(F.struct(F.lit(start_kind).alias("kind"), F.col("start").alias("id"))).alias("path"), F.lit(None).cast("string").alias("missing"))
-    for kind, links in hops:
+    # Kinds, the start and what is missing follow from the place in the path, so only ids are moved.
+    kinds = F.array(*map(F.lit, [start_kind, *(kind for kind, _ in hops)]))
+    rows = starts.select(F.col(starts.columns[0]).cast("string").alias("_id")).filter("_id IS NOT NULL").distinct()
+    rows = rows.select(F.concat(F.lit("id:"), "_id").alias("_at"), F.array("_id").alias("_path"))
+    for _, links in hops:
         a, b = links.columns[:2]
         known = links.select(F.concat(F.lit("id:"), F.col(a).cast("string")).alias("_at"), F.col(b).cast("string").alias("_to")).dropna().distinct()
-        step = F.array(F.struct(F.lit(kind).alias("kind"), F.col("_to").alias("id")))
         rows = rows.join(known, "_at", "left").select(
-            "start",
-            F.coalesce(F.concat(F.lit("id:"), "_to"), F.concat(F.lit("ended:"), F.xxhash64("path").cast("string"))).alias("_at"),
-            F.when(F.col("_to").isNull(), F.col("path")).otherwise(F.concat("path", step)).alias("path"),
-            F.when(F.col("missing").isNull() & F.col("_to").isNull(), kind).otherwise(F.col("missing")).alias("missing"),
+            F.coalesce(F.concat(F.lit("id:"), "_to"), F.concat(F.lit("ended:"), F.xxhash64("_path").cast("string"))).alias("_at"),
+            F.when(F.col("_to").isNull(), F.col("_path")).otherwise(F.concat("_path", F.array("_to"))).alias("_path"),
         )
-    return rows.drop("_at")
+    path = F.transform("_path", lambda id_, i: F.struct(F.get(kinds, i).alias("kind"), id_.alias("id")))
+    return rows.select(F.get("_path", F.lit(0)).alias("start"), path.alias("path"), F.get(kinds, F.size("_path")).alias("missing"))
 
 
 def fact_provenance(facts: DataFrame, graph: list[DataFrame], evidence: list[DataFrame]) -> DataFrame:

@@ -44,3 +44,13 @@ def test_provenance_paths(spark):
     }
     assert got.count() == 6
     assert P.fact_provenance(facts.limit(0), graph, evidence).count() == 0
+
+
+def test_walks_move_ids_only(spark):
+    """Kinds and missing links follow from the place in the path: no join carries them."""
+    from millrace.operators import provenance
+
+    links = spark.createDataFrame([("1", "a"), ("a", "x")], "f string, t string")
+    out = provenance.walk(spark.createDataFrame([("1",), ("2",)], "id string"), [("edge", links), ("claim", links), ("article", links)])
+    assert out._jdf.queryExecution().analyzed().toString().count(" AS missing#") == 1
+    assert {(r.start, tuple(map(tuple, r.path)), r.missing) for r in out.collect()} == {("1", (("fact", "1"), ("edge", "a"), ("claim", "x")), "article"), ("2", (("fact", "2"),), "edge")}
