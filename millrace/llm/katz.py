@@ -17,7 +17,8 @@ c(w) and with them both levels of a token's evaluation; contexts v are routed to
 buckets of their own, which hold c(v) and alpha(v).  Both tables are Parquet,
 partitioned by bucket, with packed columns.  Texts are scored by sending their pairs
 to the word buckets and what remains of the context to the context buckets; only
-packed hashes travel, never texts.
+packed hashes travel, never texts.  A word bucket asks each context bucket once, for all texts together,
+so there are buckets^2 such rows and not as many for every chunk of texts.
 
 Scale.  The number of buckets follows the corpus, so a bucket holds some
 ``BUCKET_TOKENS`` tokens.  A bounded sample of texts yields a code book of frequent
@@ -521,13 +522,13 @@ def train(rows: DataFrame, layout: Layout) -> Model:
 
 # ---- scoring --------------------------------------------------------------------------
 
-_ROW = "bucket int, chunk string, part int, data binary, ids array<{id}>, held array<boolean>"
+_ROW = "bucket int, chunk bigint, part int, data binary, ids array<{id}>, held array<boolean>"
 _HEADER, _ANSWER, _QUESTION = 0, 1, 2
 
 
 def _table(rows: list[tuple], id_type: pa.DataType) -> dict:
     """Rows (bucket, chunk, kind, data, ids, held) as columns; ``part`` is the kind, and orders the sums."""
-    types = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.list_(id_type), pa.list_(pa.bool_())]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(id_type), pa.list_(pa.bool_())]
     names = ["bucket", "chunk", "part", "data", "ids", "held"]
     return {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))}
 
@@ -558,7 +559,7 @@ def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
         name, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in _slices(batch, 2):
-                t, chunk = tokens(part.column(2)), f"{name}-{number}"
+                t, chunk = tokens(part.column(2)), (name << 32) + number
                 number += 1
                 code, hot = _code(model.cached, t.kinds), _find(layout.hot_words, t.kinds) >= 0
                 counts = np.where(code > 0, model.cached_count[code.astype(np.int64) - 1], 0)
@@ -590,6 +591,21 @@ def _ask(docs: DataFrame, model: Model, id_type: str) -> DataFrame:
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, _ROW.format(id=id_type))
 
 
+def _pack_contexts(unsettled: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[tuple[int, bytes]]:
+    """One packed question for each context bucket: v once per run, then chunk, owner and whether the pair was seen."""
+    if not unsettled:
+        return
+    v, chunk, owner, seen = (np.concatenate(x) for x in zip(*unsettled))
+    to = (_mix(v) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((v, to))
+    ends = _runs(to[order])
+    for s, e in zip(ends[:-1], ends[1:]):
+        y = order[s:e]
+        runs = _runs(v[y])
+        chunks, number = np.unique(chunk[y], return_inverse=True)
+        yield int(to[y[0]]), _pack(v[y][runs[:-1]], _small(np.diff(runs)), chunks, _small(number), _small(owner[y]), seen[y])
+
+
 def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
     """Word buckets: unigram and pair counts are looked up; contexts that are not cached stay a question."""
     pairs = asked.sparkSession.read.schema("pairs binary, bucket int").parquet(model.pairs_path).select("bucket", "pairs")
@@ -608,7 +624,7 @@ def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
             del v
             order = np.argsort(key)
             key, n = key[order], n[order]
-        rows = []
+        rows, unsettled = [], []
         columns = [left.column(c) for c in ("bucket", "chunk", "part", "data", "ids", "held")]
         for i in range(left.num_rows):
             bucket, chunk, part, data, ids, held = (c[i].as_py() for c in columns)
@@ -631,13 +647,9 @@ def _answer_words(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
             rare = np.repeat(w_code == 0, lengths)
             answer = _answer(owner, score, owner[rare], np.repeat(model.log_base(cw), lengths)[rare], np.repeat(cw > 0, lengths)[rare])
             rows.append((bucket, chunk, _ANSWER, answer, None, None))
-            v, owner, seen = v[~coded], owner[~coded], seen[~coded]
-            to = (_mix(v) % np.uint64(layout.buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            ends = _runs(to[order])
-            for s, e in zip(ends[:-1], ends[1:]):
-                y = order[s:e]
-                rows.append((int(to[y[0]]), chunk, _QUESTION, _pack(v[y], _small(owner[y]), seen[y]), None, None))
+            rare = ~coded
+            unsettled.append((v[rare], np.full(int(rare.sum()), chunk), owner[rare], seen[rare]))
+        rows.extend((to, None, _QUESTION, data, None, None) for to, data in _pack_contexts(unsettled, layout.buckets))
         return pa.table(_table(rows, left.schema.field("ids").type.value_type))
 
     return asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(run, _ROW.format(id=id_type))
@@ -649,18 +661,25 @@ def _answer_contexts(asked: DataFrame, model: Model, id_type: str) -> DataFrame:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known, log_n, log_alpha = _unpack(right.column("contexts")[0].as_py()) if right.num_rows else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-        rows = []
+        rows, settled = [], []
         columns = [left.column(c) for c in ("bucket", "chunk", "part", "data", "ids", "held")]
         for i in range(left.num_rows):
             bucket, chunk, part, data, ids, held = (c[i].as_py() for c in columns)
-            if part == _QUESTION:
-                v, owner, seen = _unpack(data)
-                at = _find(known, v)
-                there = at >= 0
-                score = np.zeros(len(v))
-                score[there] = np.where(seen[there], -log_n[at[there]], log_alpha[at[there]])
-                data, part = _answer(owner.astype(np.int64), score, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)), _ANSWER
-            rows.append((bucket, chunk, part, data, ids, held))
+            if part != _QUESTION:
+                rows.append((bucket, chunk, part, data, ids, held))
+                continue
+            v, lengths, chunks, number, owner, seen = _unpack(data)
+            at = np.repeat(_find(known, v), lengths.astype(np.int64))
+            there = at >= 0
+            settled.append((chunks[number][there], owner[there].astype(np.int64), np.where(seen[there], -log_n[at[there]], log_alpha[at[there]])))
+        if settled:
+            bucket = left.column("bucket")[0].as_py()
+            chunk, owner, score = (np.concatenate(x) for x in zip(*settled))
+            order = np.argsort(chunk, kind="stable")
+            ends = _runs(chunk[order])
+            for s, e in zip(ends[:-1], ends[1:]):
+                y = order[s:e]
+                rows.append((bucket, int(chunk[y[0]]), _ANSWER, _answer(owner[y], score[y], np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)), None, None))
         return pa.table(_table(rows, left.schema.field("ids").type.value_type))
 
     return asked.groupBy("bucket").cogroup(contexts.groupBy("bucket")).applyInArrow(run, _ROW.format(id=id_type))

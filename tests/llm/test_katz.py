@@ -92,3 +92,15 @@ def test_small_tables(spark, nothing):
     assert rows and all((r["train_tokens"], r["n_known"], r["score"], r["base_score"]) == (0, 0, 0.0, 0.0) for r in rows)
     same = spark.createDataFrame([(i, "a a") for i in range(50)], "doc_id long, text string")
     assert all(-1 < r["score"] < 0 for r in K.lm_score(same).collect())
+
+
+def test_word_buckets_ask_each_context_bucket_once(docs, monkeypatch):
+    for name, value in (("CACHED", 200), ("BUCKET_TOKENS", 20_000), ("SAMPLE_ROWS", 60)):
+        monkeypatch.setattr(K, name, value)
+    rows = docs.selectExpr("doc_id", "false AS held_out", "text").repartition(6)
+    layout = K.plan_layout(rows)
+    model = K.train(rows, layout)
+    asked = K._ask(rows, model, "bigint")
+    questions = K._answer_words(asked, model, "bigint").filter(f"part = {K._QUESTION}").count()
+    assert layout.buckets > 1 and asked.select("chunk").distinct().count() == 6
+    assert 0 < questions <= layout.buckets**2
