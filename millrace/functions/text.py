@@ -106,7 +106,8 @@ def word_count(c: Column) -> Column:
 
 def alpha_tokens(c: Column, without: Iterable[str] = ()) -> Column:
     """Lower-case words of letters only, less the given ones."""
-    low = F.transform(F.filter(words(c), lambda w: w.rlike(r"^\p{L}+\z")), F.lower)
+    # The pattern keeps no empty piece either, so the split is filtered once.
+    low = F.transform(F.filter(F.split(c, r"(?U)\s+"), lambda w: w.rlike(r"^\p{L}+\z")), F.lower)
     without = list(without)
     return F.filter(low, lambda w: ~w.isin(without)) if without else low
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import alpha_tokens
+from ..functions.text import alpha_tokens, once
 from ..storage import Table
 
 #: Texts of a block share one bound per term.
@@ -74,9 +74,15 @@ def counts(words: Column) -> Column:
     one = lambda s, e: F.transform(
         e, lambda end, j: F.struct(F.get(s, end - 1).alias("term"), (end - F.coalesce(F.get(e, j - 1), F.lit(0))).alias("tf"), F.size(s).alias("n"))
     )
-    # Arrays of one element bind a value to a name, so that nothing is computed once per word.
-    pieces = F.transform(F.array(F.array_sort(words)), lambda s: F.transform(F.array(ends(s)), lambda e: one(s, e))[0])[0]
-    return F.when(F.size(words) > 0, pieces)
+    # Arrays of one element bind a value to a name, so that nothing is computed once per word and no words twice.
+    return F.transform(F.array(F.sort_array(words)), lambda s: F.when(F.size(s) > 0, F.transform(F.array(ends(s)), lambda e: one(s, e))[0]))[0]
+
+
+def counts_and_size(words: Column) -> Column:
+    """``counts``, after one entry of no word (the empty ``term``, which is no word) that gives the size of every text."""
+    size = lambda w: F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf"), F.size(w).alias("n")))
+    none = F.array().cast("array<struct<term:string,tf:int,n:int>>")
+    return F.transform(F.array(words), lambda w: F.concat(size(w), F.coalesce(counts(w), none)))[0]
 
 
 def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: int = BLOCK_TEXTS, part_rows: int = PART_ROWS, only: DataFrame | None = None, write_blocks: bool = True) -> Index:
@@ -85,13 +91,15 @@ def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: in
     An index for given claims alone needs their terms only: the column ``term`` of ``only``; the maxima of
     blocks, which are then read once or not at all, need not be written.
     """
-    texts = evidence.select("evidence_id", tokens(F.col("text")).alias("t"))
-    sizes = texts.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("t")).alias("mean")).collect()[0]
-    docs, mean = sizes["docs"], max(sizes["mean"] or 0.0, 1.0)
-    # Words are counted inside their row, so only different words are moved, once, to their term.
-    counted = evidence.select("evidence_id", F.explode(counts(tokens(F.col("text")))).alias("c")).select("evidence_id", "c.*")
+    # Words are counted inside their row and written, so texts are split once and only different words are moved, once, to their term.
+    texts = once(evidence.select("evidence_id", "text"), c=counts_and_size(tokens(F.col("text"))))
+    counted = texts.select("evidence_id", F.explode("c").alias("c")).select("evidence_id", "c.*")
     if only is not None:
-        counted = _only(counted, "term", only.select("term"))
+        counted = _only(counted, "term", only.select("term").unionByName(evidence.sparkSession.createDataFrame([("",)], "term string")))
+    written = Table(counted, "counted")
+    sizes = written.df.filter("term = ''").agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean")).collect()[0]
+    docs, mean = sizes["docs"], max(sizes["mean"] or 0.0, 1.0)
+    counted = written.df.filter("term != ''")
     df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     tf = counted.withColumn("n", F.col("n").cast("int"))
     idf = F.log(1 + (docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -102,6 +110,7 @@ def index(evidence: DataFrame, k1: float = 1.2, b: float = 0.75, block_texts: in
         "term", "evidence_id", F.pmod(of_text, F.lit(blocks)).alias("block"), F.pmod(F.shiftright(of_text, 7), F.ceil(F.col("df") / part_rows)).alias("part"), impact.alias("impact"), "df"
     )
     postings = Table(postings, "postings").df
+    written.drop()
     terms = postings.groupBy("term").agg(F.max("df").alias("df"), F.max("impact").alias("most")).withColumn("parts", F.ceil(F.col("df") / part_rows))
     by_block = postings.groupBy("term", "block").agg(F.max("impact").alias("most"))
     return Index(postings.drop("df"), Table(terms, "index").df, Table(by_block, "index").df if write_blocks else by_block)

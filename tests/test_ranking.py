@@ -77,3 +77,20 @@ def test_pairs_in_cells_equal_scoring_everything(spark, corpus, k):
     known = R.index(spark.createDataFrame([*texts, *((700 + i, t) for i, t in texts[:50])], "evidence_id int, text string"))
     found = R.rank(spark.createDataFrame(claims, "claim_id int, text string"), known, k, pair_rows=0)
     assert sorted((r["claim_id"], r["evidence_id"], r["rank"]) for r in found.collect()) == brute(claims, [*texts, *((700 + i, t) for i, t in texts[:50])], k)
+
+
+def test_texts_are_read_and_split_once(spark, corpus):
+    from pyspark.sql import functions as F
+
+    claims, texts = corpus
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    evidence = spark.createDataFrame(texts, "evidence_id int, text string").withColumn("text", F.udf(seen, "string")("text"))
+    asked = R.claim_terms(spark.createDataFrame(claims, "claim_id int, text string"))
+    known = R.index(evidence, only=asked)
+    assert known.postings.count() > 0 and read.value == len(texts)
+    assert known.terms.filter("term = ''").count() == 0
