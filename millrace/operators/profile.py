@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..storage import Table
+
+
+#: Numbers by which terms are counted at first; bounds the memory of a task (some 100 bytes each).
+BUCKETS = 1 << 18
 
 
 def column_cardinality(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -73,13 +78,25 @@ def length_histogram(df: DataFrame, text: str = "text", bins: int = 50, clip: fl
     return clipped.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _top(terms: DataFrame, k: int) -> DataFrame:
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "term").limit(k)
+def _top(terms: DataFrame, k: int, buckets: int = BUCKETS) -> DataFrame:
+    """The ``k`` most frequent terms, exactly, without a count of every term.
+
+    No term occurs more often than its bucket has rows.  The terms of the fullest buckets are counted; every bucket with as many rows as the k-th
+    best of these can hold one of the k best, so where such buckets are left (many terms are as frequent), their terms are counted too.
+    """
+    placed = terms.select("term", F.pmod(F.xxhash64("term"), F.lit(buckets)).alias("bucket"))
+    loads = Table(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")), "loads").df
+    count = lambda some: placed.join(some, "bucket", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "term").limit(k)
+    fullest = loads.orderBy(F.desc("rows"), "bucket").limit(4 * k)
+    best = Table(count(F.broadcast(fullest)), "best").df
+    known = best.agg(F.count(F.lit(1)).alias("terms"), F.min("n").alias("least")).collect()[0]
+    able = loads.filter(F.col("rows") >= (known["least"] if known["terms"] == k else 0))
+    return best.orderBy(F.desc("n"), "term") if able.join(F.broadcast(fullest), "bucket", "left_anti").isEmpty() else count(able)
 
 
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """``term`` of every letter word that is no stop word."""
-    return df.select(F.explode(X.alpha_tokens(F.col(text), X.STOP_WORDS)).alias("term"))
+    return X.once(df.select(text), t=X.alpha_tokens(F.col(text), X.STOP_WORDS)).select(F.explode("t").alias("term"))
 
 
 def vocab_top(df: DataFrame, text: str = "text", k: int = 15) -> DataFrame:
@@ -91,8 +108,8 @@ def vocab_size(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bigram_top(df: DataFrame, text: str = "text", k: int = 15) -> DataFrame:
-    tokens = df.select(X.alpha_tokens(F.col(text)).alias("t"))
-    return _top(tokens.select(F.explode(X.bigrams(F.col("t"))).alias("term")), k)
+    tokens = X.once(df.select(text), t=X.alpha_tokens(F.col(text)))
+    return _top(X.once(tokens.select("t"), b=X.bigrams(F.col("t"))).select(F.explode("b").alias("term")), k)
 
 
 def language_distribution(df: DataFrame, lang: str | Column = "lang", text: str = "text", k: int = 5, min_chars: int = 10) -> DataFrame:

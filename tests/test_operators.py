@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import registry, schema
+from millrace.functions.text import alpha_tokens, bigrams
 from millrace.lineage import LineageTracker, stamp
 from millrace.operators import dedup, labels, missing, profile, split, validate
 from millrace.operators.normalize import SPECS, normalize, with_ordinal
@@ -138,3 +139,21 @@ def test_profiles(spark):
     assert [tuple(r) for r in profile.length_histogram(same).collect()] == [(1, 5)]
     ties = spark.createDataFrame([("pear apple fig",), ("fig apple pear",)], "text string")
     assert [r["term"] for r in profile.vocab_top(ties, k=2).collect()] == ["apple", "fig"]
+
+
+def test_top_terms_count_few_terms(spark):
+    from collections import Counter
+
+    words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}" for i in range(600)]
+    texts = [" ".join([*words[i * 6 : i * 6 + 6], *(words[n] for n in range(i % 7))]) for i in range(100)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    flat = spark.createDataFrame([(" ".join(words),)] * 2, "text string")
+    for rows, data in ((df, texts), (flat, [" ".join(words)] * 2)):
+        pairs = Counter(f"{a} {b}" for t in data for a, b in zip(t.split(), t.split()[1:]))
+        expected = sorted(pairs.items(), key=lambda x: (-x[1], x[0]))
+        terms = rows.select(F.explode(bigrams(alpha_tokens(F.col("text")))).alias("term"))
+        for k, buckets in ((5, 1 << 20), (5, 7), (5000, 64)):
+            assert [tuple(r) for r in profile._top(terms, k, buckets).collect()] == expected[:k]
+    # Where the best stand out, what is left to count is the terms of the fullest buckets, not of all.
+    plan = profile.bigram_top(df, k=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
