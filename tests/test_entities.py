@@ -28,6 +28,16 @@ def test_abbreviations(spark):
     assert {w[2] for w in want} == {"acronym", "abbreviation"} and got.count() == len(want)
 
 
+def test_parts_follow_the_results(spark, monkeypatch):
+    """One spelling may mean many names: results of a task are bounded, also where mentions are few."""
+    monkeypatch.setattr(A, "PART_ROWS", 100)
+    mentions = spark.createDataFrame([(i, "org", "JS") for i in range(60)], "mention_id int, type string, surface string")
+    names = spark.createDataFrame([(i, "org", "John Smith" if i % 2 else "Jane Smith") for i in range(50)], "node_id int, type string, name string")
+    got = A.matches(mentions, names)
+    assert got.count() == 3000 and got.rdd.getNumPartitions() >= 30
+    assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 400
+
+
 def test_provenance_paths(spark):
     link = lambda *rows: spark.createDataFrame(list(rows), "a string, b string")
     facts = spark.createDataFrame([("f1",), ("f2",), ("f2",), (None,)], "fact string")
