@@ -37,7 +37,7 @@ def rank_evidence(claims: DataFrame, evidence: DataFrame, k: int = 5, k1: float
     """``claim_id, evidence_id, score, rank``: the top k by BM25; see ``ranking`` for how frequent terms are bounded."""
     from . import ranking
 
-    return ranking.rank(claims, ranking.index(evidence, k1, b, only=ranking.claim_terms(claims), write_blocks=False), k)
+    return ranking.ranked(claims, evidence, k, k1, b)
 
 
 def stance_summary(claims: DataFrame, stances: DataFrame) -> DataFrame:

@@ -94,3 +94,45 @@ def test_texts_are_read_and_split_once(spark, corpus):
     known = R.index(evidence, only=asked)
     assert known.postings.count() > 0 and read.value == len(texts)
     assert known.terms.filter("term = ''").count() == 0
+
+
+@pytest.mark.parametrize(("k", "claim_rows", "text_rows"), [(1, 50, 1000), (5, 10**6, 10**6), (20, 10**6, 300)])
+def test_whole_texts_in_cells_equal_scoring_everything(spark, corpus, k, claim_rows, text_rows):
+    """Texts are dealt whole: no posting is moved to its term, and copies and ties are ranked as before."""
+    claims, texts = corpus
+    texts = [*texts, *((700 + i, t) for i, t in texts[:50])]
+    found = R.ranked(spark.createDataFrame(claims, "claim_id int, text string"), spark.createDataFrame(texts, "evidence_id int, text string"), k, asked_rows=0, claim_rows=claim_rows, text_rows=text_rows)
+    assert sorted((r["claim_id"], r["evidence_id"], r["rank"]) for r in found.collect()) == brute(claims, texts, k)
+    assert "term" not in found._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroupsInArrow")[0]
+
+
+def test_words_of_one_hash_stay_apart(spark, corpus, monkeypatch):
+    from pyspark.sql import functions as F
+
+    claims, texts = corpus
+    monkeypatch.setattr(R, "_hash", lambda term, seed: F.xxhash64(F.lit(seed), term) if seed else F.length(term).cast("bigint"))
+    found = R.ranked(spark.createDataFrame(claims, "claim_id int, text string"), spark.createDataFrame(texts, "evidence_id int, text string"), 3, asked_rows=0)
+    assert sorted((r["claim_id"], r["evidence_id"], r["rank"]) for r in found.collect()) == brute(claims, texts, 3)
+    none = spark.createDataFrame([], "evidence_id int, text string")
+    assert R.ranked(spark.createDataFrame([(1, "a")], "claim_id int, text string"), none, 3, asked_rows=0).count() == 0
+
+
+@pytest.mark.parametrize(("frequent", "matrix", "scored", "k"), [(16, 1 << 20, 1 << 20, 10), (10**9, 1 << 30, 7, 3), (1, 0, 100, 1), (8, 9000, 50, 700)])
+def test_best_of_a_cell_is_exact(monkeypatch, frequent, matrix, scored, k):
+    """Sums in single precision only choose what is scored, by matrix, by postings or by both."""
+    monkeypatch.setattr(R, "FREQUENT", frequent)
+    monkeypatch.setattr(R, "MATRIX_BYTES", matrix)
+    monkeypatch.setattr(R, "SCORED_ROWS", scored)
+    rng = np.random.default_rng(5)
+    lists = lambda n, most: [np.unique(rng.zipf(1.3, rng.integers(0, most)) % 90) for _ in range(n)]
+    claims, texts = lists(70, 30), lists(500, 40)
+    texts += texts[:40]
+    impacts = [1e3 * (1 + 1e-9 * np.sin(t)) + t for t in texts]
+    ends = lambda rows: np.r_[0, np.cumsum([len(r) for r in rows])]
+    order = rng.permutation(len(texts))
+    parts = list(R._best(ends(claims), np.concatenate(claims), ends(texts), np.concatenate(texts), np.concatenate(impacts), 90, order, k))
+    got = {(c, t): s for part in parts for c, t, s in zip(*(x.tolist() for x in part))}
+    for c, words in enumerate(claims):
+        scores = [(-round(float(sum(i[np.isin(t, words)])), 9), order[n], n) for n, (t, i) in enumerate(zip(texts, impacts)) if np.isin(t, words).any()]
+        for s, _, n in sorted(scores)[:k]:
+            assert got[c, n] == pytest.approx(-s, abs=1e-8)
